@@ -69,14 +69,14 @@ def binary_integer(data: Column, length: int) -> Column:
 def record_field(record: Column, field: Field, encoding: str = "cp037") -> Column:
     """A field of a record by its declared type.
 
-    ``packed``, ``zoned`` and ``binary`` are numbers; all else is trimmed text.
+    ``packed``, ``zoned`` and ``comp`` are numbers; all else is trimmed text.
     """
     data = F.substring(record, field.start, field.length)
     if field.type in ("packed", "comp-3"):
         value = packed_decimal(data, field.precision)
     elif field.type in ("zoned", "display"):
         value = zoned_decimal(data, field.precision)
-    elif field.type in ("binary", "comp"):
+    elif field.type == "comp":
         value = binary_integer(data, field.length)
     else:
         value = F.trim(decode_text(data, encoding))
