@@ -78,8 +78,8 @@ def previous_business_day(
     """Last business day strictly before ``day``.
 
     Weekends count as business days unless ``skip_weekends``. The holiday list is
-    configuration, so it travels as an array literal: the look-back is as long
-    as the longest closed stretch in that list, and no join or shuffle is needed.
+    configuration, so it travels in the expression: days are tried back as far as
+    the longest closed stretch in that list, and no join or shuffle is needed.
     """
     closed = holiday_dates(holidays)
 
@@ -95,10 +95,9 @@ def previous_business_day(
             last += dt.timedelta(days=1)
         longest = max(longest, (last - first).days + 1)
 
-    candidates = F.array(*[F.date_sub(day, n) for n in range(1, longest + 2)])
-
     def open_day(d: Column) -> Column:
         keep = ~d.isin(closed) if closed else F.lit(True)
         return keep & (F.weekday(d) < 5) if skip_weekends else keep
 
-    return F.array_max(F.filter(candidates, open_day))
+    candidates = [F.date_sub(day, n) for n in range(1, longest + 2)]
+    return F.coalesce(*[F.when(open_day(d), d) for d in candidates])

@@ -55,12 +55,15 @@ def pin_scan_splits(spark: SparkSession) -> None:
         spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and continue from the stored copy."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Store ``df`` as a table in the shared folder and continue from the copy.
+
+    One pass computes it, whatever uses it later starts from the stored rows, and
+    a lost executor loses none of them.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

@@ -104,8 +104,10 @@ def read_fixed(
     All files of ``path`` are read together and stay apart by ``feed``. Short
     lines give empty trailing fields; blank lines are no records.
     """
+    header_fields, trailer_fields = list(header_fields), list(trailer_fields)
     envelope = split_envelope(
-        read_lines(spark, path), header_count, trailer_count, unit
+        read_lines(spark, path), header_count, trailer_count, unit,
+        keep_ends=bool(header_fields or trailer_fields),
     )
     layout = Layout.of(fields)
     if not layout.fields:

@@ -76,7 +76,8 @@ def count_blocks(lines: DataFrame, unit: str = "file") -> DataFrame:
             "*",
             (F.sum("lines").over(before) - F.col("lines")).alias("offset"),
             F.sum("lines").over(in_feed).alias("feed_lines"),
-        )
+        ),
+        "blocks",
     )
 
 
@@ -107,12 +108,17 @@ def with_positions(
 
 
 def split_envelope(
-    lines: DataFrame, header_count: int = 0, trailer_count: int = 0, unit: str = "file"
+    lines: DataFrame,
+    header_count: int = 0,
+    trailer_count: int = 0,
+    unit: str = "file",
+    keep_ends: bool = False,
 ) -> Envelope:
     """Split each feed into its first lines, last lines and the lines between.
 
     Without header and trailer no position is needed and nothing is counted.
-    Blank lines count as lines but are not data.
+    Blank lines count as lines but are not data. ``keep_ends`` stores the few
+    header and trailer lines, so that one scan serves every later use of them.
     """
     keep = ["value", "feed", "file_path", "line_no"]
     not_blank = F.trim("value") != ""
@@ -127,8 +133,11 @@ def split_envelope(
     placed = with_positions(lines, unit)
     is_header = F.col("line_no") < header_count
     is_trailer = F.col("line_no") >= F.col("feed_lines") - trailer_count
+    ends = placed.filter(is_header | is_trailer)
+    if keep_ends:
+        ends = cut(ends, "ends")
     return Envelope(
         placed.filter(~is_header & ~is_trailer & not_blank).select(keep),
-        placed.filter(is_header).select(keep),
-        placed.filter(is_trailer).select(keep),
+        ends.filter(is_header).select(keep),
+        ends.filter(is_trailer).select(keep),
     )
