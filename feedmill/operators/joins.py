@@ -67,13 +67,13 @@ def join_frames(
 
 
 def hot_keys(df: DataFrame, columns: list[str], parts: int) -> DataFrame:
-    """Keys that hold more than ``1/parts`` of the rows.
+    """Keys that hold more than ``1/parts`` of the rows that have a key.
 
     At most ``parts - 1`` keys can qualify, whatever the size of ``df``: that is
     the bound that makes the result safe to broadcast. Counts are combined in
     each task before they are shuffled.
     """
-    per_key = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+    per_key = df.dropna(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
     total = per_key.agg(F.sum("rows")).scalar()
     return per_key.filter(F.col("rows") * parts > total).select(
         *[F.col(c).alias(f"__hot_{i}") for i, c in enumerate(columns)]
@@ -92,7 +92,8 @@ def salted_join(
     Rows of a hot key, or of no key, get a salt from their own content; the
     matching rows of the other side are repeated once per salt. Rows of other
     keys are neither salted nor repeated, so the result is the plain join's. For
-    a right join the sides are swapped.
+    a right join the sides are swapped. Every column takes part in the salt:
+    select the wanted ones first.
     """
     if kind == "full":
         # Left rows with their matches, then the right rows that found none.

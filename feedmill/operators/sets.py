@@ -20,7 +20,8 @@ def sort_rows(df: DataFrame, keys: str | list[str], ascending: bool = True) -> D
     """Total order by keys, one direction for all of them.
 
     A content hash breaks ties. Without it every row of a frequent key would
-    fall into one range and so into one task.
+    fall into one range and so into one task. Every column takes part in it:
+    select the wanted ones first.
     """
     names = [get_column(df.columns, k) for k in ([keys] if isinstance(keys, str) else keys)]
     if not names:

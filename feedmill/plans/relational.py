@@ -400,8 +400,8 @@ _HOT = "CASE WHEN o_custkey % 3 = 0 THEN 7 ELSE o_custkey END"
 
 
 def _hot_orders(spark, folder):
-    return table(spark, folder, "orders").withColumn(
-        "o_custkey", F.expr(_HOT).cast("bigint"))
+    return table(spark, folder, "orders").select(
+        "o_orderkey", F.expr(_HOT).cast("bigint").alias("o_custkey"))
 
 
 @query("join_skewed", f"""
@@ -560,10 +560,9 @@ def merge_sorted(spark, folder):
 
 
 def _sorted(spark, folder, logic):
-    orders = table(spark, folder, "orders")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return run_step({"id": "s", "type": "custom", "source_inputs": ["o"],
-                     "logic": {"operation": "sort", **logic}}, {"o": orders})[1].select(
-        "o_orderkey", "o_custkey", "o_orderstatus")
+                     "logic": {"operation": "sort", **logic}}, {"o": orders})[1]
 
 
 @query("sort_asc", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderstatus, o_orderkey")

@@ -13,6 +13,9 @@ from feedmill.functions.names import find_column, sql_text
 
 Spec = Field | Mapping[str, Any]
 
+# Fixed value: Spark's directory name for rows without a partition value.
+NO_FEED = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _implied(value: Column, field: Field) -> Column:
     """Digits without their point, sign first, then zeros."""
@@ -144,6 +147,10 @@ def write_feeds(
     ``order_by`` spreads rows by content. Read back with unit ``directory``.
     """
     layout = Layout.of(fields)
+    if isinstance(df.schema[feed].dataType, T.StringType):
+        # A key that cannot be NULL keeps its order through the partitioned write.
+        named = F.coalesce(F.nullif(feed, F.lit("")), F.lit(NO_FEED))
+        df = df.withColumn(feed, named)
     order = [F.col(c) for c in order_by]
     body = df.select(
         F.col(feed), F.lit(1).alias("__section"), F.struct(*order, F.xxhash64(*df.columns)
