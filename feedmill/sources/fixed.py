@@ -79,12 +79,13 @@ def absolute_offset(lines: DataFrame, layout: Layout) -> int:
     """Offset of a layout whose starts count on through several record types.
 
     Such starts lie past the end of every record; the first start then marks
-    position one. Costs one pass for the shortest line.
+    position one. A declared record length settles it; without one, a layout
+    that does not begin at position one costs a pass for the shortest line.
     """
     first = min((f.start for f in layout.fields), default=1)
     if first <= 1:
         return 0
-    shortest = lines.agg(F.min(F.length("value"))).first()[0]
+    shortest = layout.record_length or lines.agg(F.min(F.length("value"))).first()[0]
     return first - 1 if shortest is not None and first - 1 >= shortest else 0
 
 

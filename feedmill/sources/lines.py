@@ -32,8 +32,8 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .text(path)
         .select(
             "value",
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("block"),
+            F.input_file_name().alias("file_path"),
+            F.input_file_block_start().alias("block"),
             F.monotonically_increasing_id().alias("scan_id"),
         )
     )

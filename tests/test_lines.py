@@ -99,6 +99,8 @@ def test_offset_only_when_starts_lie_past_the_record(spark, tmp_path):
     data = split_envelope(read_lines(spark, str(tmp_path))).data
     assert absolute_offset(data, Layout.of([{"name": "A", "start": 121, "length": 2}])) == 120
     assert absolute_offset(data, Layout.of([{"name": "A", "start": 3, "length": 2}])) == 0
+    assert absolute_offset(data, Layout.of([{"name": "A", "start": 121, "length": 2}], 120)) == 120
+    assert absolute_offset(data, Layout.of([{"name": "A", "start": 7, "length": 2}], 120)) == 0
     fields = [{"name": "A", "start": 121, "length": 2}, {"name": "B", "start": 123, "length": 2}]
     feed = read_fixed(spark, str(tmp_path), fields)
     assert sorted((r.A, r.B) for r in feed.data.collect()) == [("AB", "CD"), ("EF", "GH")]
