@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, SparkSession, functions as F
 
+# Fixed value: date part of a dated path.
 DAY = "yyyyMMdd"
 
 

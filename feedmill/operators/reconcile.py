@@ -11,6 +11,10 @@ from feedmill.functions.dates import previous_business_day
 from feedmill.functions.names import get_column
 
 
+# A field is a record count if its name holds one of these.
+COUNT_WORDS = ("count", "cnt")
+
+
 class CountMismatch(RuntimeError):
     """Raised by the gate on a feed whose trailer count is wrong."""
 
@@ -18,7 +22,7 @@ class CountMismatch(RuntimeError):
 def count_column(columns: Iterable[str]) -> str:
     """The first column whose name says it is a count."""
     for name in columns:
-        if "count" in name.lower() or "cnt" in name.lower():
+        if any(word in name.lower() for word in COUNT_WORDS):
             return name
     raise ValueError(f"no count column among {list(columns)}")
 

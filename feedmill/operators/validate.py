@@ -33,7 +33,22 @@ CASTS = {
     "number": "double",
     "text": "string",
 }
+# Patterns of dates and timestamps that declare none.
 DATE_FORMAT, TIMESTAMP_FORMAT = "yyyyMMdd", "yyyyMMdd HH:mm:ss"
+# Error texts and what joins them.
+NULL_ERROR = "'{field}' must not be null or empty"
+TYPE_ERROR = "'{field}' is not a valid {type}"
+DATE_ERROR = "'{field}' is not a valid date (expected: {pattern})"
+TIMESTAMP_ERROR = "'{field}' is not a valid timestamp (expected: {pattern})"
+LENGTH_ERROR = "'{field}' exceeds max length {limit}"
+DATE_FORMAT_ERROR = "'{field}' does not match date format '{pattern}'"
+REGEX_ERROR = "'{field}' does not match pattern '{pattern}'"
+FORMAT_ERROR = "'{field}' is not a valid {format} value"
+SEPARATOR = "; "
+# Error texts of the checks that have no counterpart above.
+RANGE_ERROR = "'{field}' is not between {low} and {high}"
+SHORT_ERROR = "'{field}' is below min length {limit}"
+LIST_ERROR = "'{field}' is not one of {values}"
 
 
 class InvalidRows(RuntimeError):
@@ -50,64 +65,60 @@ def _blank(text: Column) -> Column:
 
 def _type_failures(column: Column, text: Column, rule: Mapping[str, Any], name: str):
     data_type = str(rule.get("data_type") or "string").lower()
+    present = column.isNotNull()
     if data_type in CASTS:
-        failed = column.isNotNull() & ~_blank(text) & column.try_cast(CASTS[data_type]).isNull()
-        yield failed, f"'{name}' is not a valid {data_type}"
+        failed = present & ~_blank(text) & column.try_cast(CASTS[data_type]).isNull()
+        yield failed, TYPE_ERROR.format(field=name, type=data_type)
     elif data_type == "date":
         pattern = rule.get("date_format") or DATE_FORMAT
         parsed = F.try_to_date(text, spark_pattern(pattern))
-        yield (column.isNotNull() & parsed.isNull(),
-               f"'{name}' is not a valid date (expected: {pattern})")
+        yield present & parsed.isNull(), DATE_ERROR.format(field=name, pattern=pattern)
     elif data_type == "timestamp":
         pattern = rule.get("date_format") or TIMESTAMP_FORMAT
         parsed = F.try_to_timestamp(text, F.lit(spark_pattern(pattern)))
-        yield (column.isNotNull() & parsed.isNull(),
-               f"'{name}' is not a valid timestamp (expected: {pattern})")
+        yield present & parsed.isNull(), TIMESTAMP_ERROR.format(field=name, pattern=pattern)
 
 
 def _format_failures(column: Column, text: Column, rule: Mapping[str, Any], name: str):
     form = str(rule.get("format") or "any").lower()
     pattern = rule.get("pattern") or ""
+    present = column.isNotNull()
     if form == "date":
         expected = rule.get("date_format") or pattern or DATE_FORMAT
         parsed = F.try_to_date(text, spark_pattern(expected))
-        yield (column.isNotNull() & parsed.isNull(),
-               f"'{name}' does not match date format '{expected}'")
+        yield present & parsed.isNull(), DATE_FORMAT_ERROR.format(field=name, pattern=expected)
     elif form == "regex" and pattern:
-        yield (column.isNotNull() & ~text.rlike(pattern),
-               f"'{name}' does not match pattern '{pattern}'")
+        yield present & ~text.rlike(pattern), REGEX_ERROR.format(field=name, pattern=pattern)
     elif form in PATTERNS:
-        yield column.isNotNull() & ~text.rlike(PATTERNS[form]), f"'{name}' is not a valid {form} value"
+        yield present & ~text.rlike(PATTERNS[form]), FORMAT_ERROR.format(field=name, format=form)
 
 
 def _check_failures(column: Column, text: Column, rule: Mapping[str, Any], name: str):
     """Rules in the ``{check, params}`` vocabulary; NULL passes all but not_null."""
     check, params = str(rule["check"]).lower(), rule.get("params") or {}
+    low, high = params.get("min"), params.get("max")
+    present = column.isNotNull()
     if check == "not_null":
-        yield column.isNull() | _blank(text), f"'{name}' must not be null or empty"
+        yield column.isNull() | _blank(text), NULL_ERROR.format(field=name)
     elif check == "in_range":
-        low, high = params.get("min"), params.get("max")
         value = text.try_cast("double")
         outside = value.isNull() & ~_blank(text)
         if low is not None:
             outside = outside | (value < low)
         if high is not None:
             outside = outside | (value > high)
-        yield column.isNotNull() & outside, f"'{name}' is not between {low} and {high}"
+        yield present & outside, RANGE_ERROR.format(field=name, low=low, high=high)
     elif check == "regex":
         pattern = params.get("pattern") or rule.get("pattern") or ""
-        yield (column.isNotNull() & ~text.rlike(pattern),
-               f"'{name}' does not match pattern '{pattern}'")
+        yield present & ~text.rlike(pattern), REGEX_ERROR.format(field=name, pattern=pattern)
     elif check == "length":
-        low, high = params.get("min"), params.get("max")
         if high is not None:
-            yield column.isNotNull() & (F.length(text) > high), f"'{name}' exceeds max length {high}"
+            yield present & (F.length(text) > high), LENGTH_ERROR.format(field=name, limit=high)
         if low is not None:
-            yield column.isNotNull() & (F.length(text) < low), f"'{name}' is below min length {low}"
+            yield present & (F.length(text) < low), SHORT_ERROR.format(field=name, limit=low)
     elif check == "in_list":
-        values = list(params.get("values") or [])
-        yield (column.isNotNull() & ~text.isin([str(v) for v in values]),
-               f"'{name}' is not one of {', '.join(map(str, values))}")
+        values = [str(v) for v in params.get("values") or []]
+        yield present & ~text.isin(values), LIST_ERROR.format(field=name, values=", ".join(values))
     else:
         raise ValueError(f"unknown check '{check}'")
 
@@ -123,12 +134,12 @@ def _failures(df: DataFrame, rule: Mapping[str, Any]):
         yield from _check_failures(column, text, rule, name)
         return
     if not rule.get("nullable", True):
-        yield column.isNull() | _blank(text), f"'{name}' must not be null or empty"
+        yield column.isNull() | _blank(text), NULL_ERROR.format(field=name)
     yield from _type_failures(column, text, rule, name)
     if rule.get("max_length") is not None:
         limit = int(rule["max_length"])
-        yield (column.isNotNull() & (F.length(text) > limit),
-               f"'{name}' exceeds max length {limit}")
+        too_long = column.isNotNull() & (F.length(text) > limit)
+        yield too_long, LENGTH_ERROR.format(field=name, limit=limit)
     yield from _format_failures(column, text, rule, name)
 
 
@@ -147,7 +158,7 @@ def rule_errors(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> list[tuple
 def annotate(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> DataFrame:
     """FLAG: all rows, with joined errors and a validity flag. One narrow pass."""
     errors = [column for _, column in rule_errors(df, rules)]
-    joined = F.concat_ws("; ", *errors) if errors else F.lit("")
+    joined = F.concat_ws(SEPARATOR, *errors) if errors else F.lit("")
     return df.withColumn(ERRORS, joined).withColumn(VALID, F.length(ERRORS) == 0)
 
 

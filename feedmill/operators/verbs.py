@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmill.functions.names import column_name, find_column, get_column, sql_text
 
+# Words of a STRING expression that are not columns.
+STRING_NOISE = {"BY", "DELIMITED", "SIZE"}
+
 _INTEGER = re.compile(r"[+-]?\d+")
 _DECIMAL = re.compile(r"[+-]?\d*\.\d+")
 
@@ -101,10 +104,9 @@ def _arithmetic(df: DataFrame, op: str, spec: Mapping[str, Any], expression: str
 
 
 def _string(df: DataFrame, spec: Mapping[str, Any], expression: str) -> Column:
-    noise = {"BY", "DELIMITED", "SIZE"}
     tokens = [
         t for t in re.findall(r"'[^']*'|\"[^\"]*\"|\S+", expression)
-        if t.upper() not in noise
+        if t.upper() not in STRING_NOISE
     ]
     if not tokens:
         raise ValueError("STRING needs at least one column")

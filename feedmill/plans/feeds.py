@@ -11,6 +11,7 @@ from feedmill.functions.dates import dated_path, path_date, spark_pattern
 from feedmill.functions.ebcdic import encode_text, pack_decimal
 from feedmill.operators.sets import union_frames
 from feedmill.plans import fixtures
+from feedmill.plans.flow import run_flow
 from feedmill.plans.registry import query, table
 from feedmill.session import new_folder
 from feedmill.sinks import fixed as fixed_sink
@@ -455,3 +456,31 @@ def jdbc_column_types(spark, folder):
         F.nullif("l_returnflag", F.lit("R")).alias("l_returnflag"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
         F.to_date("l_shipdate").alias("shipped")))
+
+
+# ---- whole flows ---------------------------------------------------------------------
+
+@query("flow_feed_to_table", """
+    SELECT o_orderpriority AS PRIORITY, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS TOTAL, count(*) AS N
+    FROM orders WHERE o_orderstatus IN ('O', 'F') AND CAST(o_totalprice AS DECIMAL(18,2)) > 1000
+    GROUP BY 1""")
+def flow_feed_to_table(spark, folder):
+    target = new_folder(spark, "flow")
+    run_flow(spark, {
+        "Inputs": {"ORDERS": {
+            "format": "fixed", "path": fixtures.order_feeds(spark, folder), "unit": "directory",
+            "fields": fixtures.ORDER_FIELDS, "record_length": 40, "header_count": 1, "trailer_count": 1,
+            "trailer_fields": fixtures.ORDER_TRAILER}},
+        "Transformations": {"steps": [
+            {"id": "checked", "type": "validate", "source_inputs": ["ORDERS"], "logic": {
+                "fail_mode": "DROP", "record_count_check": True, "record_count_trailer_field": "RECORD-COUNT",
+                "header_count": 1, "trailer_count": 1, "rules": [
+                    {"field": "STATUS", "check": "in_list", "params": {"values": ["O", "F"]}}]}},
+            {"id": "large", "type": "filter", "source_inputs": ["checked"], "logic": {
+                "conditions": [{"field": "AMOUNT", "operation": ">", "value": 1000}]}},
+            {"id": "totals", "type": "aggregate", "source_inputs": ["large"], "logic": {
+                "group_by": ["PRIORITY"], "aggregations": [
+                    {"field": "AMOUNT", "operation": "sum", "alias": "TOTAL"},
+                    {"field": "*", "operation": "count", "alias": "N"}]}}]},
+        "Outputs": {"REPORT": {"format": "parquet", "path": target, "source_inputs": ["totals"]}}})
+    return read_parquet(spark, target)

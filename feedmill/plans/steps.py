@@ -8,15 +8,17 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from feedmill.operators import aggregates, filters, joins, sets, validate, verbs
+from feedmill.operators import aggregates, filters, joins, reconcile, sets, validate, verbs
+from feedmill.session import cut
 from feedmill.sinks.jdbc import load_table
 from feedmill.sinks.tables import write_control_file
+from feedmill.sources.fixed import last_per_feed
 
 Frames = Mapping[str, DataFrame]
 Step = Mapping[str, Any]
 
 # Keys that describe the step itself; in the flat form all others are its logic.
-_STEP_KEYS = {"id", "name", "type", "input", "output_alias", "logic"}
+_STEP_KEYS = {"id", "name", "type", "input", "output_alias", "logic", "store"}
 
 
 def _logic(step: Step) -> dict[str, Any]:
@@ -91,7 +93,18 @@ def _custom(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame:
 
 
 def _validate(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame:
-    return validate.validate(_source(frames, step, logic), logic)
+    df = _source(frames, step, logic)
+    if logic.get("record_count_check"):
+        name = next(n for n in _names(step, logic) if n in frames)
+        reconcile.require_counts(
+            reconcile.compare_counts(
+                last_per_feed(_frame(frames, f"{name}_trailer")),
+                df,
+                logic.get("record_count_trailer_field"),
+                int(logic.get("header_count") or 0) + int(logic.get("trailer_count") or 0),
+            )
+        )
+    return validate.validate(df, logic)
 
 
 def _control(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame:
@@ -130,13 +143,15 @@ def run_step(step: Step, frames: Frames) -> tuple[str, DataFrame]:
     """Apply one step; returns its alias and its frame.
 
     Steps build plans. Only the sinks (``ctrl_file``, ``table_write``, a
-    validation with an output path) and an ABORT gate run a job; sinks pass
-    their input on.
+    validation with an output path) and the gates of a validation run a job;
+    sinks pass their input on. A step with ``store: true`` is written to the
+    shared folder once, for a result that several outputs start from.
     """
     kind = str(step.get("type") or "select").lower()
     if kind not in STEPS:
         raise ValueError(f"unknown step type '{kind}'")
-    return _alias(step), STEPS[kind](frames, step, _logic(step))
+    df = STEPS[kind](frames, step, _logic(step))
+    return _alias(step), cut(df, "step") if step.get("store") else df
 
 
 def run_steps(frames: Frames, steps: Iterable[Step]) -> dict[str, DataFrame]:

@@ -35,6 +35,7 @@ LOADER_TYPES = {
     "timestamp_ntz": 'TIMESTAMP "YYYY-MM-DD HH24:MI:SS"',
     "binary": "RAW",
 }
+# Rows per batch and port of loads that declare none.
 DEFAULT_BATCH = 10_000
 DEFAULT_PORT = 1521
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedmill.fields import Field, Layout
 from feedmill.functions.names import column_name
+from feedmill.operators.reconcile import count_column
 from feedmill.operators.totals import control_line
 from feedmill.sinks.fixed import to_lines
 
@@ -130,10 +131,7 @@ def write_count_record(
 ) -> None:
     """Structured count file: the first ``count``/``cnt`` field holds the row count."""
     layout = Layout.of(fields)
-    count = next(
-        (f.column for f in layout.fields if "count" in f.name.lower() or "cnt" in f.name.lower()),
-        None,
-    )
+    count = count_column(layout.columns)
     total = df.agg(F.count(F.lit(1)).alias("__n"))
     row = total.select(
         *[
