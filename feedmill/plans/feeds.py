@@ -198,7 +198,7 @@ def fixed_write(spark, folder):
 
 
 @query("fixed_write_justified", """
-    SELECT lpad(substr(c_name, 1, 20), 24, ' ') || '  ' ||
+    SELECT lpad(c_name, 24, ' ') || '  ' ||
            CASE WHEN c_acctbal < 0
                 THEN '-' || lpad(CAST(-CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 100 AS BIGINT) AS VARCHAR), 10, '0')
                 ELSE lpad(CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 100 AS BIGINT) AS VARCHAR), 11, '0')
@@ -206,7 +206,7 @@ def fixed_write(spark, folder):
            repeat(' ', 6) AS value FROM customer""")
 def fixed_write_justified(spark, folder):
     customers = table(spark, folder, "customer").select(
-        F.substring("c_name", 1, 20).alias("NAME"), F.col("c_acctbal").alias("BALANCE"),
+        F.col("c_name").alias("NAME"), F.col("c_acctbal").alias("BALANCE"),
         F.nullif("c_mktsegment", F.lit("BUILDING")).alias("SEGMENT"))
     return fixed_sink.to_lines(customers, Layout.of([
         {"name": "NAME", "length": 24, "just_right": True},
@@ -333,19 +333,19 @@ def date_pattern_normalise(spark, folder):
 
 
 @query("ebcdic_read", """
-    SELECT c_custkey AS CUST_ID, rtrim(substr(c_name, 1, 18)) AS NAME,
+    SELECT c_custkey AS CUST_ID, c_name AS NAME,
            CAST(c_acctbal AS DECIMAL(31,2)) AS BALANCE FROM customer""")
 def ebcdic_read(spark, folder):
     path = new_folder(spark, "ebcdic")
-    # 32 bytes a record. The last is a blank filler, written as the line separator.
+    # 38 bytes a record. The last is a blank filler, written as the line separator.
     record = table(spark, folder, "customer").select(
         F.concat(pack_decimal(F.col("c_custkey"), 6),
-                 encode_text(F.rpad(F.substring("c_name", 1, 18), 18, " ")),
+                 encode_text(F.rpad("c_name", 24, " ")),
                  pack_decimal(F.col("c_acctbal"), 7, 2)).cast("string").alias("value"))
     record.write.option("lineSep", "\x40").text(path)
     data = read_ebcdic(spark, path, [
         {"name": "CUST-ID", "type": "packed", "length": 6},
-        {"name": "NAME", "length": 18},
+        {"name": "NAME", "length": 24},
         {"name": "BALANCE", "type": "packed", "precision": 2, "length": 7},
         {"name": "FILLER", "length": 1}])
     return data.select(F.col("CUST_ID").cast("bigint").alias("CUST_ID"), "NAME", "BALANCE")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,9 +37,13 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="feedmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(context.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    """One temporary folder per local-mode application."""
+    return tempfile.mkdtemp(prefix="feedmill-")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

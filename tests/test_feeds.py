@@ -230,6 +230,14 @@ def test_missing_dates_and_continuity_skip_closed_days(spark):
         ("2026-03-03", "ok"), ("2026-03-05", "ok"), ("2026-03-09", "missing")}
 
 
+@pytest.mark.parametrize("kind, suffix", [
+    ("previous_run_missing", "last_run_file_missing"), ("input_missing", "input_file_missing")])
+def test_missing_date_alerts(spark, kind, suffix):
+    days = spark.createDataFrame([(dt.date(2026, 3, 4),)], "missing_date date")
+    row = alerts.missing_date_alerts(days, "flow", "F.DAT", kind).first()
+    assert (row.alert_key, row.severity) == (f"dataflow.flow.F.DAT.2026-03-04.{suffix}", "CRITICAL")
+
+
 def test_alert_levels(spark):
     one = spark.range(1)
     row = alerts.alerts(one, "generic", "f", F.lit("s"), F.lit("text"), {"n": F.col("id")}, "low").first()
@@ -277,8 +285,19 @@ def test_output_columns(spark):
     assert tables.output_columns(df, None, [{"name": "OUT-CUST-ID"}, {"name": "X-Y"}]).columns == ["OUT-CUST-ID", "X-Y"]
 
 
+class _Unset:
+    """A session without a shared folder."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+
 def test_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(_Unset("local[2]")) == shared_folder(_Unset("local[2]"))
+    with pytest.raises(RuntimeError, match="all executors share"):
+        shared_folder(_Unset("yarn"))
     stored = cut(spark.range(5).withColumn("x", F.lit(None).cast("string")))
     assert stored.count() == 5 and "Range" not in stored._jdf.queryExecution().toString()
 
