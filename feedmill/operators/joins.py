@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedmill.functions.content import content_hash
 from feedmill.functions.names import get_column
 
 # Join words -> Spark join type. "cross" with keys is an inner join.
@@ -31,7 +32,7 @@ KINDS = {
     "leftanti": "left_anti",
     "left_anti": "left_anti",
 }
-_SALT = "__salt"
+_SALT, _SALTS = "__salt", "__salts"
 
 
 def join_frames(
@@ -43,41 +44,39 @@ def join_frames(
 ) -> DataFrame:
     """Join on ``[["l", "r"], ...]`` pairs, or on ``["k", ...]`` shared names.
 
-    Pairs keep both key columns; shared names are kept once. Which side is
-    broadcast, if any, is Spark's choice from size statistics, and adaptive
-    execution splits skewed partitions of sort-merge joins. ``skew_parts`` > 1
-    spreads hot keys explicitly as well, see :func:`salted_join`.
+    Pairs keep both key columns; shared names are kept once, first. Which side
+    is broadcast, if any, is Spark's choice from size statistics, and adaptive
+    execution splits skewed partitions. ``skew_parts`` > 1 spreads hot keys
+    explicitly as well, see :func:`salted_join`. Both frames may come from the
+    same source.
     """
     kind = KINDS.get(how.lower())
     if kind is None:
         raise ValueError(f"unknown join type '{how}'")
     if not on:
         raise ValueError("a join needs keys: every pair of rows is never wanted")
-    if all(isinstance(k, str) for k in on):
-        names = [get_column(left.columns, k) for k in on]
-        for name, key in zip(names, on):
-            found = get_column(right.columns, key)
-            right = right.withColumnRenamed(found, name)
-        return left.join(right, names, kind)
+    left_at = {c: f"__l{i}" for i, c in enumerate(left.columns)}
+    right_at = {c: f"__r{i}" for i, c in enumerate(right.columns)}
     pairs = [(p, p) if isinstance(p, str) else (p[0], p[1]) for p in on]
-    keys = [(get_column(left.columns, a), get_column(right.columns, b)) for a, b in pairs]
-    if skew_parts > 1:
-        return salted_join(left, right, keys, kind, skew_parts)
-    return left.join(right, reduce(and_, [left[a] == right[b] for a, b in keys]), kind)
+    names = [(get_column(left_at, a), get_column(right_at, b)) for a, b in pairs]
+    keys = [(left_at[a], right_at[b]) for a, b in names]
+    # Names of their own keep the sides apart until the result is named.
+    sides = left.toDF(*left_at.values()), right.toDF(*right_at.values())
+    joined = salted_join(*sides, keys, kind, skew_parts)
+    wide = kind not in ("left_semi", "left_anti")
+    shown = []
+    if all(isinstance(k, str) for k in on):
+        for (a, b), (left_key, right_key) in zip(names, keys):
+            both = {"right": [right_key], "full": [left_key, right_key]}.get(kind, [left_key])
+            shown.append(F.coalesce(*both).alias(a))
+            del left_at[a], right_at[b]
+    shown += [F.col(at).alias(c) for c, at in left_at.items()]
+    shown += [F.col(at).alias(c) for c, at in right_at.items()] if wide else []
+    return joined.select(*shown)
 
 
-def hot_keys(df: DataFrame, columns: list[str], parts: int) -> DataFrame:
-    """Keys that hold more than ``1/parts`` of the rows that have a key.
-
-    At most ``parts - 1`` keys can qualify, whatever the size of ``df``: that is
-    the bound that makes the result safe to broadcast. Counts are combined in
-    each task before they are shuffled.
-    """
-    per_key = df.dropna(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
-    total = per_key.agg(F.sum("rows")).scalar()
-    return per_key.filter(F.col("rows") * parts > total).select(
-        *[F.col(c).alias(f"__hot_{i}") for i, c in enumerate(columns)]
-    )
+def _equal(keys: list[tuple[str, str]]) -> Column:
+    return reduce(and_, [F.col(a) == F.col(b) for a, b in keys])
 
 
 def salted_join(
@@ -93,65 +92,56 @@ def salted_join(
     matching rows of the other side are repeated once per salt. Rows of other
     keys are neither salted nor repeated, so the result is the plain join's. For
     a right join the sides are swapped. Every column takes part in the salt:
-    select the wanted ones first.
+    select the wanted ones first. One part is the plain join.
+
+    A full join is the left join and the right rows that found no match:
+    adaptive execution cannot split a skewed full join, but can split both of
+    these, and neither needs to move a left side whose partner is small.
     """
     if kind == "full":
-        # Left rows with their matches, then the right rows that found none.
         matched = salted_join(left, right, keys, "left", parts)
-        known = left.select(*[F.col(a).alias(f"__k{i}") for i, (a, _) in enumerate(keys)])
-        lone = right.join(
-            known.distinct(),
-            reduce(and_, [right[b] == F.col(f"__k{i}") for i, (_, b) in enumerate(keys)]),
-            "left_anti",
-        )
-        blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema]
-        return matched.union(lone.select(*blanks, *[lone[c] for c in right.columns]))
+        known = left.select(*[F.col(a) for a, _ in keys]).distinct()
+        lone = right.join(known, _equal(keys), "left_anti")
+        return matched.unionByName(lone, allowMissingColumns=True)
+    if parts <= 1:
+        return left.join(right, _equal(keys), kind)
     if kind == "right":
-        swapped = salted_join(right, left, [(b, a) for a, b in keys], "left", parts)
-        n = len(right.columns)
-        order = [*range(n, len(swapped.columns)), *range(n)]
-        names = [*left.columns, *right.columns]
-        unique = swapped.toDF(*[f"__c{i}" for i in range(len(names))])
-        return unique.select(*[F.col(f"__c{i}") for i in order]).toDF(*names)
-
+        return salted_join(right, left, [(b, a) for a, b in keys], "left", parts)
     hot = hot_keys(left, [a for a, _ in keys], parts)
     salted = _salt_rows(left, [a for a, _ in keys], hot, parts)
     repeated = _repeat_rows(right, [b for _, b in keys], hot, parts)
-    condition = [salted[f"__l{left.columns.index(a)}"] == repeated[f"__r{right.columns.index(b)}"]
-                 for a, b in keys]
-    joined = salted.join(
-        repeated, reduce(and_, condition, salted[_SALT] == repeated[f"{_SALT}_r"]), kind
+    return salted.join(repeated, _equal([*keys, (_SALT, _SALTS)]), kind).drop(_SALT, _SALTS)
+
+
+def hot_keys(df: DataFrame, columns: list[str], parts: int) -> DataFrame:
+    """Keys that hold more than ``1/parts`` of the rows that have a key.
+
+    At most ``parts - 1`` keys can qualify, whatever the size of ``df``: that is
+    the bound that makes the result safe to broadcast. Counts are combined in
+    each task before they are shuffled.
+    """
+    per_key = df.dropna(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+    total = per_key.agg(F.sum("rows")).scalar()
+    return per_key.filter(F.col("rows") * parts > total).select(
+        *[F.col(c).alias(f"__hot_{i}") for i, c in enumerate(columns)]
     )
-    out = [F.col(f"__l{i}") for i in range(len(left.columns))]
-    names = list(left.columns)
-    if kind in ("inner", "left"):
-        out += [F.col(f"__r{i}") for i in range(len(right.columns))]
-        names += right.columns
-    return joined.select(*out).toDF(*names)
 
 
-def _flag_hot(df: DataFrame, prefix: str, names: list[str], keys: list[str],
-              hot: DataFrame) -> tuple[DataFrame, Column]:
-    renamed = df.toDF(*[f"{prefix}{i}" for i in range(len(names))])
+def _flag_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, Column]:
     marks = F.broadcast(hot.withColumn("__is_hot", F.lit(True)))
-    test = reduce(
-        and_,
-        [F.col(f"{prefix}{names.index(k)}") == F.col(f"__hot_{i}") for i, k in enumerate(keys)],
-    )
-    return renamed.join(marks, test, "left"), F.col("__is_hot").isNotNull()
+    same = _equal([(k, f"__hot_{i}") for i, k in enumerate(keys)])
+    return df.join(marks, same, "left"), F.col("__is_hot").isNotNull()
 
 
 def _salt_rows(df: DataFrame, keys: list[str], hot: DataFrame, parts: int) -> DataFrame:
-    flagged, is_hot = _flag_hot(df, "__l", df.columns, keys, hot)
-    own = [f"__l{i}" for i in range(len(df.columns))]
-    no_key = reduce(or_, [F.col(f"__l{df.columns.index(k)}").isNull() for k in keys])
-    spread = F.pmod(F.xxhash64(*own), F.lit(parts)).cast("int")
+    flagged, is_hot = _flag_hot(df, keys, hot)
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    spread = F.pmod(content_hash(df), F.lit(parts)).cast("int")
     salt = F.when(is_hot | no_key, spread).otherwise(0)
-    return flagged.select(*own, salt.alias(_SALT))
+    return flagged.select(*df.columns, salt.alias(_SALT))
 
 
 def _repeat_rows(df: DataFrame, keys: list[str], hot: DataFrame, parts: int) -> DataFrame:
-    flagged, is_hot = _flag_hot(df, "__r", df.columns, keys, hot)
-    own = [f"__r{i}" for i in range(len(df.columns))]
+    flagged, is_hot = _flag_hot(df, keys, hot)
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    return flagged.select(*own, F.explode(salts).alias(f"{_SALT}_r"))
+    return flagged.select(*df.columns, F.explode(salts).alias(_SALTS))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
+from feedmill.functions.content import content_hash
 from feedmill.functions.names import get_column
 
 
@@ -27,10 +28,7 @@ def sort_rows(df: DataFrame, keys: str | list[str], ascending: bool = True) -> D
     if not names:
         raise ValueError("a sort needs keys")
     order = [F.col(n).asc() if ascending else F.col(n).desc() for n in names]
-    hashable = [
-        f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    return df.orderBy(*order, F.xxhash64(*hashable))
+    return df.orderBy(*order, content_hash(df))
 
 
 def merge_frames(

@@ -7,7 +7,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from feedmill.fields import INTEGRAL, Field, Layout
+from feedmill.fields import Field, Layout
+from feedmill.functions.content import content_hash
 from feedmill.functions.dates import spark_pattern
 from feedmill.functions.names import find_column, sql_text
 
@@ -82,10 +83,8 @@ def envelope_piece(field: Field, columns: list[str]) -> Column:
     if field.format and field.type in ("date", "timestamp"):
         value = F.date_format(value, spark_pattern(field.format))
     text = F.coalesce(value.cast("string"), F.lit(""))
-    if field.just_right or field.numeric:
-        fill = "0" if field.type in INTEGRAL and field.format == "0" else " "
-        return F.lpad(text, field.length, fill)
-    return F.rpad(text, field.length, " ")
+    pad = F.lpad if field.numeric or field.just_right else F.rpad
+    return pad(text, field.length, " ")
 
 
 def envelope_line(fields: Iterable[Spec], columns: list[str], width: int) -> Column:
@@ -153,8 +152,10 @@ def write_feeds(
         df = df.withColumn(feed, named)
     order = [F.col(c) for c in order_by]
     body = df.select(
-        F.col(feed), F.lit(1).alias("__section"), F.struct(*order, F.xxhash64(*df.columns)
-        .alias("__hash")).alias("__order"), fixed_line(df, layout).alias("value"),
+        feed,
+        F.lit(1).alias("__section"),
+        F.struct(*order, content_hash(df).alias("__hash")).alias("__order"),
+        fixed_line(df, layout).alias("value"),
     )
     order_type = body.schema["__order"].dataType
     columns = [c for c in df.columns if c != feed]

@@ -1,4 +1,7 @@
-"""Compare queries with their SQL: ``python tests/run_checks.py FOLDER [name ...]``."""
+"""Compare queries with their SQL: ``python tests/run_checks.py FOLDER [name ...]``.
+
+Words of the form ``key=value`` are settings of the session.
+"""
 
 import sys
 import time
@@ -13,16 +16,20 @@ import __spark_entry__  # noqa: E402
 from checks import differences, open_tables  # noqa: E402
 
 if __name__ == "__main__":
-    folder, names = sys.argv[1], sys.argv[2:]
-    spark = (
+    folder = sys.argv[1]
+    names = [word for word in sys.argv[2:] if "=" not in word]
+    builder = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for word in sys.argv[2:]:
+        if "=" in word:
+            builder = builder.config(*word.split("=", 1))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = open_tables(folder)
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()

@@ -33,6 +33,22 @@ def test_positions_over_files_and_blocks(spark, small_splits, tmp_path):
         assert r.feed_lines == sizes[r.feed]
 
 
+def test_positions_when_blocks_are_too_many_to_broadcast(spark, small_splits, tmp_path, monkeypatch):
+    monkeypatch.setattr("feedmill.session.BROADCAST_LIMIT", 0)
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        for name in "ab":
+            _write(tmp_path / name, [f"{name}:{i:06d}" for i in range(1500)])
+        placed = with_positions(read_lines(spark, str(tmp_path)))
+        assert "Broadcast" not in placed._jdf.queryExecution().toString()
+        rows = _name(placed).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(rows) == 3000
+    assert all(r.value == f"{r.feed}:{r.line_no:06d}" for r in rows)
+
+
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
 def test_envelope_per_file(spark, small_splits, tmp_path, end):
     for name, n in (("a", 300), ("b", 5)):

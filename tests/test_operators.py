@@ -150,6 +150,30 @@ def test_salted_join_equals_plain_join(spark, how):
     assert [r[0] for r in hot_keys(left, ["k"], 4).collect()] == [7]
 
 
+@pytest.mark.parametrize("parts", [0, 3])
+@pytest.mark.parametrize("how", sorted(set(KINDS.values())))
+def test_joins_equal_sparks_own(spark, how, parts):
+    left = spark.range(60).selectExpr(
+        "case when id % 7 = 0 then null else id % 20 end as k", "id % 2 as j", "id as v")
+    right = spark.range(30).selectExpr(
+        "case when id % 11 = 0 then null else id end as k", "id % 2 as j", "-id as w")
+    ours = join_frames(left, right, ["k", "j"], how, parts)
+    theirs = left.join(right, ["k", "j"], how)
+    assert ours.columns == theirs.columns
+    assert _rows(ours) == _rows(theirs)
+    pairs = join_frames(left, right, [["k", "k"], ["j", "j"]], how, parts)
+    assert _rows(pairs) == _rows(left.join(right, (left.k == right.k) & (left.j == right.j), how))
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+@pytest.mark.parametrize("how, n", [("inner", 90), ("full", 90), ("left_anti", 0), ("right", 90)])
+def test_join_of_frames_from_one_source(spark, how, n, parts):
+    df = spark.range(90).selectExpr("id % 9 as k", "id as v")
+    totals = aggregate(df, ["k"], [{"field": "v", "alias": "total"}])
+    assert join_frames(df, totals, [["k", "k"]], how, parts).count() == n
+    assert join_frames(df, df.filter("v >= 0"), ["v"], how, parts).count() == n
+
+
 def test_join_shapes(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b")], "`K-1` long, x string").toDF("K_1", "x")
     right = spark.createDataFrame([(1, "c")], "K_1 long, y string")
