@@ -19,6 +19,10 @@ class CountMismatch(RuntimeError):
     """Raised by the gate on a feed whose trailer count is wrong."""
 
 
+class BrokenContinuity(RuntimeError):
+    """Raised by the gates on deliveries that are missing or carry a wrong date."""
+
+
 def count_column(columns: Iterable[str]) -> str:
     """The first column whose name says it is a count."""
     for name in columns:
@@ -110,6 +114,21 @@ def continuity(
     )
 
 
+def require_continuity(days: DataFrame) -> DataFrame:
+    """The continuity check itself, or :class:`BrokenContinuity` with up to five days."""
+    wrong = days.filter("status <> 'ok'").limit(5).collect()
+    if wrong:
+        raise BrokenContinuity(f"deliveries do not follow on: {[r.asDict() for r in wrong]}")
+    return days
+
+
+def require_complete(missing: DataFrame) -> None:
+    """Nothing if no date is missing, else :class:`BrokenContinuity` with up to five."""
+    gaps = missing.limit(5).collect()
+    if gaps:
+        raise BrokenContinuity(f"no delivery for {[r.asDict() for r in gaps]}")
+
+
 def missing_dates(
     deliveries: DataFrame,
     date: str,

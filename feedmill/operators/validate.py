@@ -246,20 +246,45 @@ def write_split(
     return counts.get
 
 
+def write_sides(
+    df: DataFrame,
+    rules: Iterable[Mapping[str, Any]],
+    validated_path: str = "",
+    error_path: str = "",
+    layout: Layout | None = None,
+    mode: str = "append",
+) -> None:
+    """Write accepted rows to one path and rejected rows, with errors, to another.
+
+    Each path costs a pass over the input; :func:`write_split` needs one in all.
+    """
+    rules = list(rules)
+    sides = ((validated_path, accepted(df, rules)), (error_path, rejected(df, rules)))
+    for path, rows in sides:
+        if path and layout is not None:
+            rows.select(fixed_line(rows, layout).alias("value")).write.mode(mode).text(path)
+        elif path:
+            rows.write.mode(mode).parquet(path)
+
+
 def validate(df: DataFrame, logic: Mapping[str, Any]) -> DataFrame:
     """The validate step. ``fail_mode`` or ``mode`` is FLAG, DROP or ABORT.
 
     FLAG and DROP never stop a run; add ``on_invalid: abort`` to make them.
-    With an ``output_path`` both sides are written as well.
+    Both sides are written as well if paths are given: in one pass below an
+    ``output_path``, or apart to ``validated_path`` and ``error_path``.
     """
     rules = list(logic.get("rules") or [])
     mode = str(logic.get("fail_mode") or logic.get("mode") or "FLAG").upper()
     mode = "FLAG" if mode == "FLAGGED" else mode
     if mode not in ("FLAG", "DROP", "ABORT"):
         raise ValueError(f"unknown validation mode '{mode}'")
+    layout = Layout.of(logic["layout"]) if logic.get("layout") else None
     if logic.get("output_path"):
-        layout = Layout.of(logic["layout"]) if logic.get("layout") else None
         write_split(df, rules, logic["output_path"], layout)
+    validated, errors = logic.get("validated_path") or "", logic.get("error_path") or ""
+    if validated or errors:
+        write_sides(df, rules, validated, errors, layout)
     if mode == "ABORT" or str(logic.get("on_invalid", "")).lower() == "abort":
         require_valid(df, rules)
     return accepted(df, rules) if mode == "DROP" else annotate(df, rules)

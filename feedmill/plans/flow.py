@@ -135,7 +135,7 @@ def run_flow(
     inputs: dict[str, DataFrame] = {}
     for name, spec in (config.get("Inputs") or {}).items():
         inputs |= read_input(spark, name, spec, day, input_base)
-    named = run_steps(inputs, (config.get("Transformations") or {}).get("steps") or [])
+    named = run_steps(inputs, (config.get("Transformations") or {}).get("steps") or [], day)
     results = {k: df for k, df in named.items() if inputs.get(k) is not df}
     declared = config.get("Outputs") or {}
     outputs = resolve_outputs(inputs, results, declared)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
+from feedmill.functions.dates import dated_path
 from feedmill.operators import aggregates, filters, joins, reconcile, sets, validate, verbs
 from feedmill.session import cut
 from feedmill.sinks.jdbc import load_table
@@ -109,9 +111,15 @@ def _validate(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame
 
 def _control(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame:
     df = _source(frames, step, logic)
+    path = logic.get("ctrl_output_path") or logic.get("path") or logic.get("validated_path")
+    if not path:
+        raise ValueError(f"step '{_alias(step)}' declares no path for its control file")
     write_control_file(
         df,
-        logic["path"],
+        dated_path(
+            df.sparkSession, path, logic.get("frequency") or "", logic.get("run_date"),
+            logic.get("partition_column") or "", logic.get("ctrl_file_name") or "",
+        ),
         logic.get("ctrl_file_fields") or [],
         bool(logic.get("ctrl_include_header", False)),
         frames.get(logic.get("header_input") or ""),
@@ -139,26 +147,31 @@ STEPS: dict[str, Callable[[Frames, Step, Mapping[str, Any]], DataFrame]] = {
 }
 
 
-def run_step(step: Step, frames: Frames) -> tuple[str, DataFrame]:
+def run_step(
+    step: Step, frames: Frames, run_date: dt.date | None = None
+) -> tuple[str, DataFrame]:
     """Apply one step; returns its alias and its frame.
 
     Steps build plans. Only the sinks (``ctrl_file``, ``table_write``, a
     validation with an output path) and the gates of a validation run a job;
     sinks pass their input on. A step with ``store: true`` is written to the
-    shared folder once, for a result that several outputs start from.
+    shared folder once, for a result that several outputs start from. Dated
+    paths follow ``run_date``, by default today.
     """
     kind = str(step.get("type") or "select").lower()
     if kind not in STEPS:
         raise ValueError(f"unknown step type '{kind}'")
-    df = STEPS[kind](frames, step, _logic(step))
+    df = STEPS[kind](frames, step, {**_logic(step), "run_date": run_date})
     return _alias(step), cut(df, "step") if step.get("store") else df
 
 
-def run_steps(frames: Frames, steps: Iterable[Step]) -> dict[str, DataFrame]:
+def run_steps(
+    frames: Frames, steps: Iterable[Step], run_date: dt.date | None = None
+) -> dict[str, DataFrame]:
     """Fold steps over named frames; returns inputs and results by name."""
     named = dict(frames)
     for step in steps:
-        alias, df = run_step(step, named)
+        alias, df = run_step(step, named, run_date)
         named[alias] = df
     return named
 

@@ -48,7 +48,8 @@ def feed_of(path: Column, unit: str) -> Column:
     if unit == "file":
         return path
     if unit == "directory":
-        return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+        name = F.substring_index(path, "/", -1)
+        return F.substring(path, F.lit(1), F.length(path) - F.length(name) - 1)
     raise ValueError(f"unknown feed unit '{unit}'")
 
 

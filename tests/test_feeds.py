@@ -157,6 +157,12 @@ def test_control_step_and_count_record(spark, tmp_path):
             "ctrl_file_fields": [{"name": "CNT", "type": "INT", "length": 5, "expression": "count(*)"}]}}
     assert run_step(step, {"d": df})[1] is df
     assert [r.value for r in spark.read.text(path).collect()] == ["CNT  ", "00007"]
+    dated = {"type": "ctrl_file", "input": "d", "logic": {
+        "ctrl_output_path": path + "-dated", "frequency": "daily", "ctrl_file_name": "D.CTL"}}
+    run_step(dated, {"d": df}, dt.date(2026, 3, 1))
+    assert spark.read.text(path + "-dated/DAILY/20260301/D.CTL").first().value == "7"
+    with pytest.raises(ValueError, match="no path"):
+        run_step({"type": "ctrl_file", "input": "d", "logic": {}}, {"d": df})
 
 
 # ---- validation ----------------------------------------------------------------------
@@ -203,6 +209,16 @@ def test_split_write_counts(rows, spark):
     assert {tuple(r) for r in stored} == {("rejected", 8), ("accepted", 2)}
 
 
+def test_sides_to_their_own_paths(rows, spark):
+    good, bad = new_folder(spark, "good"), new_folder(spark, "bad")
+    v.validate(rows, {"rules": RULES, "validated_path": good, "error_path": bad})
+    assert spark.read.parquet(good).columns == ["A"] and spark.read.parquet(good).count() == 1
+    assert spark.read.parquet(bad).filter("_validation_errors <> '' and not _is_valid").count() == 4
+    text = new_folder(spark, "text")
+    v.validate(rows, {"rules": RULES, "error_path": text, "layout": [{"name": "A", "length": 6}]})
+    assert sorted(r.value for r in spark.read.text(text).collect()) == [" " * 6, " " * 6, "12345 ", "x     "]
+
+
 # ---- reconciliation and alerts -------------------------------------------------------
 
 def test_compare_counts_keeps_every_feed(spark):
@@ -226,6 +242,13 @@ def test_missing_dates_and_continuity_skip_closed_days(spark):
     got = {str(r[0]) for r in reconcile.missing_dates(df, "d", ["2026-03-04"], skip_weekends=True).collect()}
     assert got == {"2026-03-06"}
     out = reconcile.continuity(df, F.col("d"), F.col("d"), ["2026-03-04"], True).collect()
+    with pytest.raises(reconcile.BrokenContinuity):
+        reconcile.require_complete(reconcile.missing_dates(df, "d"))
+    reconcile.require_complete(reconcile.missing_dates(df, "d", ["2026-03-04", "2026-03-06"], True))
+    checked = reconcile.continuity(df, F.col("d"), F.col("d"), ["2026-03-04"], True)
+    with pytest.raises(reconcile.BrokenContinuity):
+        reconcile.require_continuity(checked)
+    assert reconcile.require_continuity(checked.filter("status = 'ok'")).count() == 2
     assert {(str(r.file_date), r.status) for r in out} == {
         ("2026-03-03", "ok"), ("2026-03-05", "ok"), ("2026-03-09", "missing")}
 
