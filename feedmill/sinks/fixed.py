@@ -43,7 +43,10 @@ def data_piece(value: Column, field: Field) -> Column:
 
 
 def compose(pieces: list[tuple[Field, Column]], width: int) -> Column:
-    """Pieces set at their starts, gaps blank, the line as wide as declared."""
+    """Pieces set at their starts, gaps blank, the line as wide as declared.
+
+    Every piece has its exact length, so the rest of the line is a constant.
+    """
     out: list[Column] = []
     cursor = 1
     for field, piece in sorted(pieces, key=lambda p: p[0].start):
@@ -53,7 +56,10 @@ def compose(pieces: list[tuple[Field, Column]], width: int) -> Column:
             out.append(F.lit(" " * (field.start - cursor)))
         out.append(piece)
         cursor = field.end + 1
-    return F.rpad(F.concat(*out), width, " ")
+    if width >= cursor:
+        out.append(F.lit(" " * (width - cursor + 1)))
+    line = F.concat(*out)
+    return line if width >= cursor - 1 else F.substring(line, 1, width)
 
 
 def fixed_line(df: DataFrame, layout: Layout) -> Column:

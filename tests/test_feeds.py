@@ -55,6 +55,8 @@ def test_fixed_line_details(spark):
               {"name": "DAY", "type": "date", "format": "DDMMYYYY", "length": 8},
               {"name": "ID", "type": "long", "length": 5}, {"name": "NAME", "length": 3}]
     assert to_lines(df, fields).first().value == "AB  -000150010320261234" + "5" + "   "
+    for width, expected in ((3, "AB "), (4, "AB  "), (6, "AB    ")):
+        assert to_lines(df, Layout.of(fields[:1], width)).first().value == expected
     with pytest.raises(ValueError, match="overlaps"):
         to_lines(df, [{"name": "CODE", "length": 4}, {"name": "ID", "start": 3, "length": 2}])
 
