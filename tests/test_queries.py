@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__
+from feedmill.plans import catalog
 from checks import differences, open_tables
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 
 
 @pytest.fixture(scope="module")
