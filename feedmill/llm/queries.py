@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from feedmill.llm import mixing
 from feedmill.llm.bpe import encode_decode
+from feedmill.llm.quality import apply_rules
 from feedmill.llm.tables import table
 from feedmill.llm.token_files import read_token_files, write_token_files
 from feedmill.session import new_folder
@@ -42,3 +44,16 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode all documents."""
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge all documents; those labelled good are the trusted ones."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return apply_rules(table(spark, sf_dir, "documents"), trusted)
+
+
+@query("op9_mix_sources", mixing.SQL)
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mix all documents by source."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
