@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmill.llm import mixing
 from feedmill.llm.bpe import encode_decode
+from feedmill.llm.language_id import predict_language, train_network
 from feedmill.llm.quality import apply_rules
 from feedmill.llm.tables import table
 from feedmill.llm.token_files import read_token_files, write_token_files
@@ -57,3 +58,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents by source."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """The fold that language training never sees."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from three folds, predict the language of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    network = train_network(docs.where(~held_out()), "text", "lang", key=F.col("doc_id"))
+    return predict_language(docs.select("doc_id", "text", held_out().alias("held_out")), network).drop("text")
