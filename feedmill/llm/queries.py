@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedmill.llm import mixing
+from feedmill.llm import mixing, personal_data
 from feedmill.llm.bpe import encode_decode
 from feedmill.llm.language_id import predict_language, train_network
 from feedmill.llm.quality import apply_rules
@@ -47,6 +47,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query("op4_personal_data")
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find personal data in all documents."""
+    return personal_data.digest(personal_data.detect(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judge all documents; those labelled good are the trusted ones."""
