@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedmill.llm import mixing, personal_data
+from feedmill.llm import mixing, personal_data, web_archive
 from feedmill.llm.bpe import encode_decode
 from feedmill.llm.language_id import predict_language, train_network
 from feedmill.llm.quality import apply_rules
@@ -66,6 +66,14 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op6_web_archive", web_archive.SQL)
+def op6_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Package all pages and read the packages back."""
+    path = new_folder(spark, "packages")
+    web_archive.write_packages(table(spark, sf_dir, "pages"), path)
+    return web_archive.read_packages(spark, path)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """The fold that language training never sees."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
