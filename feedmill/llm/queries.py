@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from feedmill.llm import mixing, personal_data, web_archive
 from feedmill.llm.bpe import encode_decode
 from feedmill.llm.language_id import predict_language, train_network
+from feedmill.llm.nearest import nearest_neighbours
 from feedmill.llm.quality import apply_rules
 from feedmill.llm.tables import table
 from feedmill.llm.token_files import read_token_files, write_token_files
@@ -85,3 +86,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = train_network(docs.where(~held_out()), "text", "lang", key=F.col("doc_id"))
     return predict_language(docs.select("doc_id", "text", held_out().alias("held_out")), network).drop("text")
+
+
+@query("op10_nearest_neighbours")
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)

@@ -18,11 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from feedmill.llm.pieces import PieceEncoder, id_type, in_slices
+from feedmill.llm.bpe import WORDS
+from feedmill.llm.pieces import LONGEST_CACHED, PieceEncoder, id_type, in_slices
 from feedmill.llm.tables import task_count, text_of
 
 MAGIC = b"DACTOK1\0"
@@ -30,6 +32,9 @@ CHUNK_BITS = 8
 BLOCK_BITS = 512
 # A shard is closed once it holds this many ids; a longer document is a shard of its own.
 SHARD_IDS = 4_000_000
+# Words whose ids a worker remembers, twice, and words that go to the library in one text.
+KNOWN_WORDS = 350_000
+JOINED_WORDS = 32
 
 _HEADER = struct.Struct("<8sQQB")
 _encoders: dict[str, PieceEncoder] = {}
@@ -151,37 +156,50 @@ def library_encoder(tokenizer_path: str) -> tuple[PieceEncoder, np.dtype]:
         tokenizer.no_padding()
         kind = id_type(tokenizer.get_vocab_size(with_added_tokens=True))
 
-        def encode_parts(parts: list[str]) -> list[bytes]:
-            # Parts that begin with a blank and a word may stand in one text: no token
-            # crosses such a blank. The offsets then tell whose token it is.
-            joined: list[str] = []
-            groups: list[list[int]] = []
-            for k, part in enumerate(parts):
-                if groups and part[:1] == " " and len(joined[-1]) < 4000 and len(part) > 1 and not part[1].isspace():
-                    joined[-1] += part
-                    groups[-1].append(k)
-                else:
-                    joined.append(part)
-                    groups.append([k])
-            out: list[bytes] = [b""] * len(parts)
-            for group, encoding in zip(groups, tokenizer.encode_batch(joined, add_special_tokens=False), strict=True):
-                ids = np.array(encoding.ids, dtype=kind)
-                if len(group) == 1:
-                    out[group[0]] = ids.tobytes()
-                    continue
-                packed = ids.tobytes()
-                begins = np.cumsum([len(parts[k]) for k in group[:-1]])
+        words = regex.compile(WORDS)
+        known: list[dict[str, bytes]] = [{}, {}]
+
+        def encode_words(new: list[str]) -> None:
+            """The library encodes words it has not met lately. Many stand in one text: no
+            token crosses a blank or a line feed before a letter, and the offsets tell
+            whose token it is."""
+            young = known[0]
+            alone = [w for w in new if w[0].isspace() and (len(w) == 1 or w[1].isspace() or w[0] != " ")]
+            for word, encoding in zip(alone, tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
+                young[word] = np.array(encoding.ids, dtype=kind).tobytes()
+            rest = [w for w in new if w not in young]
+            runs = [rest[k:k + JOINED_WORDS] for k in range(0, len(rest), JOINED_WORDS)]
+            joined = ["".join(w if w[0] == " " else "\n" + w for w in run) for run in runs]
+            for run, encoding in zip(runs, tokenizer.encode_batch(joined, add_special_tokens=False), strict=True):
+                packed = np.array(encoding.ids, dtype=kind).tobytes()
+                begins = np.cumsum([0] + [len(w) + (w[0] != " ") for w in run])
                 firsts = np.array([begin for begin, _ in encoding.offsets])
                 cuts = (np.searchsorted(firsts, begins) * kind.itemsize).tolist()
-                for k, low, high in zip(group, [0, *cuts], [*cuts, len(packed)], strict=True):
-                    out[k] = packed[low:high]
+                for word, low, high in zip(run, cuts, cuts[1:], strict=False):
+                    young[word] = packed[low if word[0] == " " else low + kind.itemsize:high]
+
+        def encode_parts(parts: list[str]) -> list[bytes]:
+            cut = [words.findall(part) for part in parts]
+            young, old = known
+            new = []
+            for word in {word for own in cut for word in own}:
+                if word not in young:
+                    if word in old:
+                        young[word] = old[word]
+                    else:
+                        new.append(word)
+            if new:
+                encode_words(new)
+            out = [b"".join(map(young.__getitem__, own)) for own in cut]
+            if len(young) > KNOWN_WORDS:
+                known[:] = [{}, {word: ids for word, ids in young.items() if len(word) <= LONGEST_CACHED}]
             return out
 
         specials = {
             token.content: np.array([number], dtype=kind).tobytes()
             for number, token in tokenizer.get_added_tokens_decoder().items()
         }
-        _encoders[tokenizer_path] = PieceEncoder(encode_parts, specials)
+        _encoders[tokenizer_path] = PieceEncoder(encode_parts, specials, generation=300_000)
         _kinds[tokenizer_path] = kind
     return _encoders[tokenizer_path], _kinds[tokenizer_path]
 
