@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedmill.session import cut
 
-DIMENSIONS = 6
-CONFIDENCE = 0.97
-LEAF = 16
+DIMENSIONS = 12
+CONFIDENCE = 0.95
+LEAF = 128
 # Vectors a cell on average, and vectors of the sample that places the cells.
 CELL = 4096
 SAMPLE = 20_000
@@ -166,25 +166,24 @@ class Tree:
                 far, rows = far[~ready], rows[~ready]
 
 
-def search(tree: Tree, vectors: np.ndarray, ids: list[np.ndarray], query: np.ndarray, projected: np.ndarray, own: int | None,
-           k: int, confidence: float, best: list[tuple[float, int]]) -> list[tuple[float, int]]:
-    """The k best (distance, id) of a cell and of ``best``, walked until the test holds."""
+def search(tree: Tree, vectors: np.ndarray, ids: list[np.ndarray], query: np.ndarray, projected: np.ndarray, own: int,
+           k: int, confidence: float, bound: float) -> list[tuple[float, int]]:
+    """The k best (distance, id) of a cell, walked until the test holds; none farther than
+    ``bound``, the k-th best distance known from elsewhere."""
     dimensions = tree.points.shape[1]
+    best: list[tuple[float, int]] = []
+    limit = bound
     for far, rows in tree.nearest(projected):
-        if len(best) >= k:
-            limit = best[-1][0]
-            if far[0] > 0 and (limit == 0 or chi_square(far[0] / (limit * limit), dimensions) >= confidence):
-                break
+        if far[0] > 0 and limit < np.inf and (limit == 0 or chi_square(far[0] / (limit * limit), dimensions) >= confidence):
+            break
         delta = vectors[rows] - query
         exact = np.sqrt((delta * delta).sum(axis=1))
-        limit = best[-1][0] if len(best) >= k else np.inf
-        for d, row in zip(exact.tolist(), rows.tolist(), strict=True):
-            if d <= limit:
-                best += [(d, i) for i in ids[row].tolist() if i != own]
-        if len(best) > k:
-            best = sorted(best)[:k]
-        else:
-            best.sort()
+        near = exact <= limit
+        for d, row in zip(exact[near].tolist(), rows[near].tolist(), strict=True):
+            best += [(d, i) for i in ids[row].tolist() if i != own]
+        best = sorted(best)[:k]
+        if len(best) == k:
+            limit = min(limit, best[-1][0])
     return best
 
 
@@ -256,8 +255,8 @@ def nearest_neighbours(
                 stored = np.stack(index["v"].to_list())
                 tree = Tree(stored @ weights)
                 ids = [np.asarray(x) for x in index["ids"]]
-            for query, v, home in zip(asked["id"], asked["v"], asked["cell"], strict=True):
-                best = search(tree, stored, ids, v, v @ weights, int(query), k, confidence, []) if len(index) else []
+            for query, v, home, bound in zip(asked["id"], asked["v"], asked["cell"], asked["bound"], strict=True):
+                best = search(tree, stored, ids, v, v @ weights, int(query), k, confidence, bound) if len(index) else []
                 rows.append((query, v, size, home, [i for _, i in best], [d for d, _ in best]))
         return pd.DataFrame(rows, columns=["query_id", "v", "size", "cell", "ids", "scores"])
 
@@ -267,23 +266,23 @@ def nearest_neighbours(
         left = indexed.join(blocks.withColumnRenamed(at, "cell"), ["size", "cell"]).select(
             "v", "ids", "size", F.col("cell").alias("at"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
         right = queries.join(blocks, ["size", at]).select(
-            "id", "v", "size", "cell", F.col(at).alias("at"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+            "id", "v", "size", "cell", "bound", F.col(at).alias("at"), F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
         return left.groupBy("size", "at", "block").cogroup(right.groupBy("size", "at", "block")).applyInPandas(searched, found)
 
-    first = cut(meet(queries.withColumn("home", F.col("cell")), "home"), "first")
+    first = cut(meet(queries.withColumn("home", F.col("cell")).withColumn("bound", F.lit(float("inf"))), "home"), "first")
     point = chi_square_point(confidence, dimensions)
 
     def further(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for query, v, size, home, scores in zip(*(batch[c] for c in ("query_id", "v", "size", "cell", "scores")), strict=True):
-                radius = point * scores[-1] ** 2 if len(scores) >= k else np.inf
-                for other in cells[int(size)].within(v @ projection(int(size), dimensions), radius):
+                bound = scores[-1] if len(scores) >= k else np.inf
+                for other in cells[int(size)].within(v @ projection(int(size), dimensions), point * bound * bound):
                     if other != home:
-                        rows.append((query, v, size, home, other))
-            yield pd.DataFrame(rows, columns=["id", "v", "size", "cell", "next"])
+                        rows.append((query, v, size, home, other, bound))
+            yield pd.DataFrame(rows, columns=["id", "v", "size", "cell", "next", "bound"])
 
-    more = meet(first.mapInPandas(further, "id long, v array<double>, size int, cell long, next long"), "next")
+    more = meet(first.mapInPandas(further, "id long, v array<double>, size int, cell long, next long, bound double"), "next")
     pairs = first.unionByName(more).select("query_id", "v", F.explode(F.arrays_zip("scores", "ids")).alias("x")).select(
         "query_id", "v", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id", "v").orderBy("score", "vec_id"))
