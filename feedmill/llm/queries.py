@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmill.llm import mixing, personal_data, web_archive
 from feedmill.llm.bpe import encode_decode
+from feedmill.llm.jaccard_join import jaccard_classes
 from feedmill.llm.language_id import predict_language, train_network
 from feedmill.llm.nearest import nearest_neighbours
 from feedmill.llm.quality import apply_rules
@@ -92,3 +93,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest of every hundredth vector."""
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Join all documents by their four-word shingles."""
+    return jaccard_classes(table(spark, sf_dir, "documents"))
