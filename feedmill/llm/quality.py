@@ -82,7 +82,8 @@ def apply_rules(
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("doc_id"))
-    good = texts.join(ids, "doc_id", "left_semi")
+    # The same plan at every size: a small table of ids is not broadcast either.
+    good = texts.join(ids.hint("merge"), "doc_id", "left_semi")
     ratios = likelihood_ratios(texts, good, buckets, smoothing)
 
     words = texts.select(
