@@ -364,7 +364,8 @@ def jaccard_classes(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
     threshold: int = THRESHOLD, orders: int = ORDERS, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row a row of ``docs``: doc_id, n_shingles, component_id, and the ``carry`` columns.
+    """One row a row of ``docs``: doc_id, n_shingles, component_id, component (the group's
+    own name, null for an empty set), and the ``carry`` columns.
 
     Letters A-Z are lower-cased; words are runs of anything but ASCII white space. A text
     with fewer than ``words`` words is one n-gram of them all. Two documents link when
@@ -424,7 +425,7 @@ def jaccard_classes(
 
     owner = classes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "first_id")
     least = owner.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = owner.join(least, "component").select("node", "component_id")
+    named = owner.join(least, "component").select("node", "component", "component_id")
     return sets.join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        *[F.col(f"_carry_{c}").alias(c) for c in carry])
+        "component", *[F.col(f"_carry_{c}").alias(c) for c in carry])

@@ -11,6 +11,7 @@ from feedmill.llm import mixing, personal_data, web_archive
 from feedmill.llm.bpe import encode_decode
 from feedmill.llm.jaccard_join import jaccard_classes
 from feedmill.llm.language_id import predict_language, train_network
+from feedmill.llm.licences import scan_licences, train_model
 from feedmill.llm.nearest import nearest_neighbours
 from feedmill.llm.quality import apply_rules
 from feedmill.llm.tables import table
@@ -98,4 +99,14 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_jaccard_join")
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Join all documents by their four-word shingles."""
-    return jaccard_classes(table(spark, sf_dir, "documents"))
+    return jaccard_classes(table(spark, sf_dir, "documents")).drop("component")
+
+
+@query("op2_licences")
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan all documents for licences."""
+    docs = table(spark, sf_dir, "documents")
+    found = scan_licences(docs, train_model(docs))
+    return found.select(
+        "doc_id", F.array_join("families", ",").alias("families"), F.size("findings").cast("long").alias("n_findings"),
+        F.array_join(F.transform("findings", lambda x: F.concat_ws(":", x["family"], x["start"].cast("string"), x["end"].cast("string"))), ",").alias("findings"))
