@@ -36,12 +36,13 @@ class PieceEncoder:
     """Encodes texts part by part through ``encode_parts``, which takes a list of parts
     and returns the ids of each as packed bytes.
 
+    ``encode_parts`` may ask ``known`` and use ``remember`` for parts of its own.
     The cache has two generations of at most ``generation`` parts each; when the young
     one is full, the old one is dropped.
     """
 
     def __init__(self, encode_parts: Callable[[list[str]], list[bytes]], specials: dict[str, bytes],
-                 generation: int = 500_000):
+                 generation: int = 350_000):
         self._encode_parts = encode_parts
         self._specials = specials
         self._special_cut = re.compile("(" + "|".join(map(re.escape, sorted(specials, key=len, reverse=True))) + ")") if specials else None
@@ -49,6 +50,18 @@ class PieceEncoder:
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
+    def known(self, part: str) -> bytes | None:
+        """The ids of a blank and ``part``, if they are cached."""
+        ids = self._young.get(part)
+        if ids is None and (ids := self._old.get(part)) is not None:
+            self._young[part] = ids
+        return ids
+
+    def remember(self, part: str, ids: bytes) -> None:
+        """Cache the ids of a blank and ``part``."""
+        if len(part) <= LONGEST_CACHED:
+            self._young[part] = ids
+
     def _parts(self, segment: str, rows: list[list[bytes | None]], heads: list, gaps: list) -> None:
         """Look up the parts of a segment; what is not cached is noted in ``gaps``."""
         young, old = self._young, self._old

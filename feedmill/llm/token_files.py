@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from feedmill.llm.bpe import WORDS
-from feedmill.llm.pieces import LONGEST_CACHED, PieceEncoder, id_type, in_slices
+from feedmill.llm.pieces import PieceEncoder, id_type, in_slices
 from feedmill.llm.tables import task_count, text_of
 
 MAGIC = b"DACTOK1\0"
@@ -32,8 +32,9 @@ CHUNK_BITS = 8
 BLOCK_BITS = 512
 # A shard is closed once it holds this many ids; a longer document is a shard of its own.
 SHARD_IDS = 4_000_000
-# Words whose ids a worker remembers, twice, and words that go to the library in one text.
-KNOWN_WORDS = 350_000
+# Words without a leading blank that a worker remembers, and words that go to the library
+# in one text.
+KNOWN_OTHERS = 100_000
 JOINED_WORDS = 32
 
 _HEADER = struct.Struct("<8sQQB")
@@ -157,17 +158,16 @@ def library_encoder(tokenizer_path: str) -> tuple[PieceEncoder, np.dtype]:
         kind = id_type(tokenizer.get_vocab_size(with_added_tokens=True))
 
         words = regex.compile(WORDS)
-        known: list[dict[str, bytes]] = [{}, {}]
+        others: dict[str, bytes] = {}
 
-        def encode_words(new: list[str]) -> None:
-            """The library encodes words it has not met lately. Many stand in one text: no
-            token crosses a blank or a line feed before a letter, and the offsets tell
-            whose token it is."""
-            young = known[0]
+        def encode_words(new: list[str]) -> dict[str, bytes]:
+            """The library encodes words. Many stand in one text: no token crosses a blank
+            or a line feed before a letter, and the offsets tell whose token it is."""
+            found: dict[str, bytes] = {}
             alone = [w for w in new if w[0].isspace() and (len(w) == 1 or w[1].isspace() or w[0] != " ")]
             for word, encoding in zip(alone, tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
-                young[word] = np.array(encoding.ids, dtype=kind).tobytes()
-            rest = [w for w in new if w not in young]
+                found[word] = np.array(encoding.ids, dtype=kind).tobytes()
+            rest = [w for w in new if w not in found]
             runs = [rest[k:k + JOINED_WORDS] for k in range(0, len(rest), JOINED_WORDS)]
             joined = ["".join(w if w[0] == " " else "\n" + w for w in run) for run in runs]
             for run, encoding in zip(runs, tokenizer.encode_batch(joined, add_special_tokens=False), strict=True):
@@ -176,30 +176,37 @@ def library_encoder(tokenizer_path: str) -> tuple[PieceEncoder, np.dtype]:
                 firsts = np.array([begin for begin, _ in encoding.offsets])
                 cuts = (np.searchsorted(firsts, begins) * kind.itemsize).tolist()
                 for word, low, high in zip(run, cuts, cuts[1:], strict=False):
-                    young[word] = packed[low if word[0] == " " else low + kind.itemsize:high]
+                    found[word] = packed[low if word[0] == " " else low + kind.itemsize:high]
+            return found
 
         def encode_parts(parts: list[str]) -> list[bytes]:
             cut = [words.findall(part) for part in parts]
-            young, old = known
+            ids: dict[str, bytes] = {}
             new = []
             for word in {word for own in cut for word in own}:
-                if word not in young:
-                    if word in old:
-                        young[word] = old[word]
-                    else:
-                        new.append(word)
+                have = encoder.known(word[1:]) if word[0] == " " and len(word) > 1 else others.get(word)
+                if have is None:
+                    new.append(word)
+                else:
+                    ids[word] = have
             if new:
-                encode_words(new)
-            out = [b"".join(map(young.__getitem__, own)) for own in cut]
-            if len(young) > KNOWN_WORDS:
-                known[:] = [{}, {word: ids for word, ids in young.items() if len(word) <= LONGEST_CACHED}]
-            return out
+                found = encode_words(new)
+                ids |= found
+                for word, own in found.items():
+                    if word[0] != " ":
+                        others[word] = own
+                    elif len(word) > 1:
+                        encoder.remember(word[1:], own)
+                if len(others) > KNOWN_OTHERS:
+                    others.clear()
+            return [b"".join(map(ids.__getitem__, own)) for own in cut]
 
         specials = {
             token.content: np.array([number], dtype=kind).tobytes()
             for number, token in tokenizer.get_added_tokens_decoder().items()
         }
-        _encoders[tokenizer_path] = PieceEncoder(encode_parts, specials, generation=300_000)
+        encoder = PieceEncoder(encode_parts, specials)
+        _encoders[tokenizer_path] = encoder
         _kinds[tokenizer_path] = kind
     return _encoders[tokenizer_path], _kinds[tokenizer_path]
 
