@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from feedmill.fields import Layout
 from feedmill.functions.dates import spark_pattern
@@ -93,7 +94,31 @@ def _format_failures(column: Column, text: Column, rule: Mapping[str, Any], name
         yield present & ~text.rlike(PATTERNS[form]), FORMAT_ERROR.format(field=name, format=form)
 
 
-def _check_failures(column: Column, text: Column, rule: Mapping[str, Any], name: str):
+def _bound(value: Any, kind: T.DataType) -> Column:
+    """A limit as an exact literal, unless the column itself is a float."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.lit(float(value))
+    return F.lit(Decimal(str(value)))
+
+
+def _outside(column: Column, kind: T.DataType, low: Any, high: Any) -> Column:
+    """Whether a value lies outside its range, compared in its own type; text is compared
+    as an exact decimal, and as a double only where it fits none."""
+    def beyond(value: Column, as_kind: T.DataType) -> Column:
+        found = F.lit(False)
+        if low is not None:
+            found = found | (value < _bound(low, as_kind))
+        if high is not None:
+            found = found | (value > _bound(high, as_kind))
+        return found
+
+    if not isinstance(kind, T.StringType):
+        return beyond(column, kind)
+    exact, rough = column.try_cast("decimal(38,12)"), column.try_cast("double")
+    return F.when(exact.isNotNull(), beyond(exact, T.DecimalType(38, 12))).otherwise(beyond(rough, T.DoubleType()))
+
+
+def _check_failures(column: Column, text: Column, rule: Mapping[str, Any], name: str, kind: T.DataType):
     """Rules in the ``{check, params}`` vocabulary; NULL passes all but not_null."""
     check, params = str(rule["check"]).lower(), rule.get("params") or {}
     low, high = params.get("min"), params.get("max")
@@ -101,13 +126,10 @@ def _check_failures(column: Column, text: Column, rule: Mapping[str, Any], name:
     if check == "not_null":
         yield column.isNull() | _blank(text), NULL_ERROR.format(field=name)
     elif check == "in_range":
-        value = text.try_cast("double")
-        outside = value.isNull() & ~_blank(text)
-        if low is not None:
-            outside = outside | (value < low)
-        if high is not None:
-            outside = outside | (value > high)
-        yield present & outside, RANGE_ERROR.format(field=name, low=low, high=high)
+        if not isinstance(kind, (T.NumericType, T.StringType)):
+            raise ValueError(f"'{name}' is no number and has no range")
+        no_number = text.try_cast("double").isNull() & ~_blank(text)
+        yield present & (no_number | F.coalesce(_outside(column, kind, low, high), F.lit(False))), RANGE_ERROR.format(field=name, low=low, high=high)
     elif check == "regex":
         pattern = params.get("pattern") or rule.get("pattern") or ""
         yield present & ~text.rlike(pattern), REGEX_ERROR.format(field=name, pattern=pattern)
@@ -118,7 +140,12 @@ def _check_failures(column: Column, text: Column, rule: Mapping[str, Any], name:
             yield present & (F.length(text) < low), SHORT_ERROR.format(field=name, limit=low)
     elif check == "in_list":
         values = [str(v) for v in params.get("values") or []]
-        yield present & ~text.isin(values), LIST_ERROR.format(field=name, values=", ".join(values))
+        if isinstance(kind, T.StringType):
+            listed = text.isin(values)
+        else:
+            # In the type of the column: 1.0 is 1, and true is True.
+            listed = F.coalesce(column.isin([F.lit(v).try_cast(kind) for v in values]), F.lit(False))
+        yield present & ~listed, LIST_ERROR.format(field=name, values=", ".join(values))
     else:
         raise ValueError(f"unknown check '{check}'")
 
@@ -131,7 +158,7 @@ def _failures(df: DataFrame, rule: Mapping[str, Any]):
     column = df[found]
     text = column.cast("string")
     if rule.get("check"):
-        yield from _check_failures(column, text, rule, name)
+        yield from _check_failures(column, text, rule, name, df.schema[found].dataType)
         return
     if not rule.get("nullable", True):
         yield column.isNull() | _blank(text), NULL_ERROR.format(field=name)
@@ -209,11 +236,14 @@ def error_counts(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> DataFrame
 def require_valid(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> DataFrame:
     """ABORT: ``df`` itself if every row passes, else :class:`InvalidRows`."""
     rules = list(rules)
-    invalid = summary(df, rules).first()["invalid_rows"]
+    _raise_invalid(df, rules, summary(df, rules).first()["invalid_rows"])
+    return df
+
+
+def _raise_invalid(df: DataFrame, rules: list[Mapping[str, Any]], invalid: int) -> None:
     if invalid:
         sample = rejected(df, rules).select(ERRORS).limit(5).collect()
         raise InvalidRows(invalid, [row[0] for row in sample])
-    return df
 
 
 def write_split(
@@ -280,11 +310,14 @@ def validate(df: DataFrame, logic: Mapping[str, Any]) -> DataFrame:
     if mode not in ("FLAG", "DROP", "ABORT"):
         raise ValueError(f"unknown validation mode '{mode}'")
     layout = Layout.of(logic["layout"]) if logic.get("layout") else None
-    if logic.get("output_path"):
-        write_split(df, rules, logic["output_path"], layout)
+    counts = write_split(df, rules, logic["output_path"], layout) if logic.get("output_path") else None
     validated, errors = logic.get("validated_path") or "", logic.get("error_path") or ""
     if validated or errors:
         write_sides(df, rules, validated, errors, layout)
     if mode == "ABORT" or str(logic.get("on_invalid", "")).lower() == "abort":
-        require_valid(df, rules)
+        if counts is not None:
+            # The write has counted already.
+            _raise_invalid(df, rules, counts["rejected"])
+        else:
+            require_valid(df, rules)
     return accepted(df, rules) if mode == "DROP" else annotate(df, rules)

@@ -17,7 +17,7 @@ from feedmill.session import new_folder
 from feedmill.sinks import fixed as fixed_sink
 from feedmill.sinks import tables as sinks
 from feedmill.sinks.jdbc import column_types
-from feedmill.sources.dated import with_load_date
+from feedmill.sources.dated import days_between, read_dated, with_load_date
 from feedmill.sources.ebcdic import read_ebcdic
 from feedmill.sources.fixed import last_per_feed, read_fixed, width_profile
 from feedmill.sources.lines import read_lines, split_envelope, with_positions
@@ -300,14 +300,25 @@ def feed_write_enveloped(spark, folder):
 
 @query("dated_read", """
     SELECT strftime(ts, '%Y%m%d') AS load_date, event_type AS EVENT_TYPE, count(*) AS n
-    FROM events WHERE strftime(ts, '%Y-%m-%d') NOT IN ('2024-01-10', '2024-01-20') GROUP BY 1, 2""")
+    FROM events GROUP BY 1, 2""")
 def dated_read(spark, folder):
-    base = fixtures.event_feeds(spark, folder)
+    base = fixtures.event_feeds(spark, folder, complete=True)
     feed = read_fixed(spark, f"{base}/DAILY", fixtures.EVENT_FIELDS, 1, 1, unit="directory")
     dated = with_load_date(feed.data, "daily")
     return dated.groupBy("load_date", "EVENT_TYPE").agg(F.count("*").alias("n"))
 
 
+@query("dated_read_range", """
+    SELECT strftime(ts, '%Y%m%d') AS load_date, event_type AS EVENT_TYPE, count(*) AS n
+    FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-12' GROUP BY 1, 2""")
+def dated_read_range(spark, folder):
+    """Only the directories of the wanted days are listed and read."""
+    base = fixtures.event_feeds(spark, folder, complete=True)
+    days = days_between(dt.date(2024, 1, 5), dt.date(2024, 1, 12))
+    feed = read_dated(spark, base, "daily", days, fixtures.EVENT_FIELDS, header_count=1, trailer_count=1)
+    return feed.data.groupBy("load_date", "EVENT_TYPE").agg(F.count("*").alias("n"))
+
+
 @query("dated_path_expressions", """
     SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS loaded,
            strftime(o_orderdate - INTERVAL 3 DAY, '%Y%m%d') AS earlier,
@@ -378,14 +389,17 @@ def sink_csv_roundtrip(spark, folder):
 
 @query("sink_csv_enveloped", """
     SELECT n AS line_no, line FROM (VALUES (0, '|||'), (1, '|||'), (2, 'ORDER-KEY|STATUS|AMOUNT|PRIORITY')) t(n, line)
-    UNION ALL SELECT count(*) + 3, '|||' FROM orders""")
+    UNION ALL SELECT count(*) + 3, '|||' FROM orders
+    UNION ALL SELECT -1, o_orderkey || '|' || o_orderstatus || '|' || CAST(o_totalprice AS DECIMAL(18,2)) || '|' || o_orderpriority
+    FROM orders""")
 def sink_csv_enveloped(spark, folder):
     path = new_folder(spark, "sink-enveloped")
     orders = _csv_orders(spark, folder).drop("ORDER-DAY")
     sinks.write_delimited_enveloped(orders, path, "|", 2, 1)
     lines = with_positions(read_lines(spark, path), "directory")
     ends = (F.col("line_no") < 3) | (F.col("line_no") == F.col("feed_lines") - 1)
-    return lines.filter(ends).select("line_no", F.col("value").alias("line"))
+    # Lines of the table have no number of their own: only the ends have a fixed place.
+    return lines.select(F.when(ends, F.col("line_no")).otherwise(-1).alias("line_no"), F.col("value").alias("line"))
 
 
 @query("sink_quoted_export", """
@@ -460,6 +474,95 @@ def jdbc_column_types(spark, folder):
 
 # ---- whole flows ---------------------------------------------------------------------
 
+_ORDER_ROWS = """SELECT o_orderkey AS ORDER_KEY, o_orderstatus AS STATUS,
+    CAST(o_totalprice AS DECIMAL(18,2)) AS AMOUNT FROM orders"""
+_PLAIN = [{"name": "ORDER-KEY", "type": "long", "length": 12}, {"name": "STATUS", "length": 2},
+          {"name": "AMOUNT", "type": "decimal", "precision": 2, "length": 14}]
+
+
+def _order_rows(spark, folder):
+    return fixtures.orders(spark, folder).select("ORDER_KEY", "STATUS", "AMOUNT")
+
+
+def _typed_rows(df):
+    return df.select(F.col("ORDER_KEY").cast("bigint").alias("ORDER_KEY"), "STATUS",
+                     F.col("AMOUNT").cast("decimal(18,2)").alias("AMOUNT"))
+
+
+@query("feed_default_unit", _ORDER_ROWS)
+def feed_default_unit(spark, folder):
+    """Written as many part files, read back as the one feed they are."""
+    path = new_folder(spark, "parts")
+    fixed_sink.write_fixed(_order_rows(spark, folder).repartition(4, "ORDER_KEY"), _PLAIN, path, 1, 1)
+    return _typed_rows(read_fixed(spark, path, _PLAIN, 1, 1).data)
+
+
+@query("fixed_append", f"{_ORDER_ROWS} UNION ALL {_ORDER_ROWS}")
+def fixed_append(spark, folder):
+    path = new_folder(spark, "grown")
+    for mode in ("overwrite", "append"):
+        fixed_sink.write_fixed(_order_rows(spark, folder), _PLAIN, path, mode=mode)
+    return _typed_rows(read_fixed(spark, path, _PLAIN).data)
+
+
+@query("scan_csv_mixed", """
+    SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS CODE, CAST(o_totalprice AS DECIMAL(18,2)) AS AMOUNT,
+           o_custkey AS CUSTOMER FROM orders""")
+def scan_csv_mixed(spark, folder):
+    """Leading zeros and exact decimals of declared columns beside an undeclared one."""
+    path = new_folder(spark, "mixed")
+    table(spark, folder, "orders").select(
+        F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("CODE"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("AMOUNT"), F.col("o_custkey").alias("CUSTOMER"),
+    ).write.option("header", True).csv(path)
+    df = read_delimited(spark, path, [{"name": "CODE"}, {"name": "AMOUNT", "type": "decimal", "precision": 2}])
+    return df.withColumn("CUSTOMER", F.col("CUSTOMER").cast("bigint"))
+
+
+# ---- whole flows: feeds in and out --------------------------------------------------
+
+def _copy_flow(spark, folder, output, fields=_PLAIN):
+    """Orders written as a feed by one flow; the feed's path."""
+    source, target = new_folder(spark, "flow-in"), new_folder(spark, "flow-out")
+    _order_rows(spark, folder).repartition(3, "ORDER_KEY").write.parquet(source)
+    run_flow(spark, {
+        "Inputs": {"ORDERS": {"path": source}},
+        "Transformations": {"steps": [{"id": "all", "type": "filter", "source_inputs": ["ORDERS"], "logic": {
+            "conditions": [{"field": "ORDER-KEY", "operation": ">=", "value": 0}]}}]},
+        "Outputs": {"OUT": {"format": "fixed", "path": target, "source_inputs": ["all"], "fields": fields,
+                            "header_count": 1, "trailer_count": 1, **output}}})
+    return target
+
+
+@query("flow_feed_roundtrip", _ORDER_ROWS)
+def flow_feed_roundtrip(spark, folder):
+    target = new_folder(spark, "flow-back")
+    run_flow(spark, {
+        "Inputs": {"FEED": {"format": "fixed", "path": _copy_flow(spark, folder, {}), "fields": _PLAIN,
+                            "header_count": 1, "trailer_count": 1}},
+        "Transformations": {"steps": [{"id": "all", "type": "filter", "source_inputs": ["FEED"], "logic": {
+            "conditions": [{"field": "ORDER-KEY", "operation": "!=", "value": ""}]}}]},
+        "Outputs": {"OUT": {"path": target, "source_inputs": ["all"]}}})
+    return _typed_rows(read_parquet(spark, target))
+
+
+@query("flow_fixed_output_columns", """
+    SELECT CAST(NULL AS BIGINT) AS ORDER_KEY, o_orderstatus AS STATUS, CAST(o_totalprice AS DECIMAL(18,2)) AS AMOUNT
+    FROM orders""")
+def flow_fixed_output_columns(spark, folder):
+    """A column that the output does not list stays blank."""
+    path = _copy_flow(spark, folder, {"output_columns": ["STATUS", "AMOUNT"]})
+    feed = read_fixed(spark, path, _PLAIN, 1, 1).data
+    return _typed_rows(feed.withColumn("ORDER_KEY", F.nullif("ORDER_KEY", F.lit(""))))
+
+
+@query("flow_fixed_suffix_alias", _ORDER_ROWS)
+def flow_fixed_suffix_alias(spark, folder):
+    """Output names are served by columns that end like them."""
+    fields = [{**f, "name": f"OUT-{f['name']}"} for f in _PLAIN]
+    return _typed_rows(read_fixed(spark, _copy_flow(spark, folder, {}, fields), _PLAIN, 1, 1).data)
+
+
 @query("flow_feed_to_table", """
     SELECT o_orderpriority AS PRIORITY, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS TOTAL, count(*) AS N
     FROM orders WHERE o_orderstatus IN ('O', 'F') AND CAST(o_totalprice AS DECIMAL(18,2)) > 1000

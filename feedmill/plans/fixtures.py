@@ -95,12 +95,14 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def event_feeds(spark: SparkSession, folder: str) -> str:
-    """Daily event deliveries below ``DAILY``, two of them lost; returns their base."""
+def event_feeds(spark: SparkSession, folder: str, complete: bool = False) -> str:
+    """Daily event deliveries below ``DAILY``, two of them lost unless ``complete``;
+    returns their base."""
     base = new_folder(spark, "events")
-    lost = [d.replace("-", "") for d in LOST_DAYS]
+    lost = [] if complete else [d.replace("-", "") for d in LOST_DAYS]
+    delivered = events(spark, folder)
     write_feeds(
-        events(spark, folder).filter(~F.col("load_date").isin(lost)), "load_date",
+        delivered.filter(~F.col("load_date").isin(lost)) if lost else delivered, "load_date",
         Layout.of(EVENT_FIELDS, record_length=30), f"{base}/DAILY",
         EVENT_HEADER, EVENT_TRAILER, order_by=["EVENT_ID"],
     )

@@ -54,7 +54,7 @@ def read_input(
     """Frames of one input: itself and, for feeds, ``<name>_header``/``_trailer``."""
     path = declared_path(spark, spec, run_date, base)
     kind = str(spec.get("format") or "parquet").lower()
-    fields, unit = spec.get("fields") or [], spec.get("unit") or "file"
+    fields, unit = spec.get("fields") or [], spec.get("unit") or "auto"
     if kind == "parquet":
         return {name: read_parquet(spark, path)}
     if kind in ("csv", "delimited"):
@@ -92,11 +92,19 @@ def write_output(
     mode = str(spec.get("write_mode") or "overwrite").lower()
     ends = _number(spec, "header_count"), _number(spec, "trailer_count")
     chosen = spec.get("output_columns", spec.get("columns"))
+    fields = [Field.of(f) for f in spec.get("fields") or []]
+    shown = table_sinks.output_columns(df, chosen, fields)
+    if not shown.columns:
+        # No name matches: fields map to columns by position.
+        shown = df
+    if not (chosen or fields) or shown is df:
+        shown = shown.drop("feed")
     if kind in ("fixed", "cobol", "ebcdic"):
         layout = Layout.of(spec.get("fields") or [], _number(spec, "record_length"))
         fixed_sink.write_fixed(
-            df.drop("feed"), layout, path, *ends,
+            shown, layout, path, *ends,
             spec.get("header_fields") or [], spec.get("trailer_fields") or [], mode,
+            spec.get("on_overflow") or "error",
         )
         if spec.get("control_file_path"):
             control, fields = spec["control_file_path"], spec.get("control_fields") or []
@@ -105,10 +113,6 @@ def write_output(
             else:
                 table_sinks.write_control_file(df, control, mode=mode)
         return
-    fields = [Field.of(f) for f in spec.get("fields") or []]
-    shown = table_sinks.output_columns(df, chosen, fields)
-    if not (chosen or fields):
-        shown = shown.drop("feed")
     if kind == "parquet":
         table_sinks.write_parquet(shown, path, mode)
     elif kind in ("csv", "delimited") and any(ends):

@@ -104,11 +104,10 @@ def filter_not_in(spark, folder):
     WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') GROUP BY 1""")
 def filter_else_branch(spark, folder):
     customer = table(spark, folder, "customer")
-    listed, other = split_rows(customer, "c_mktsegment", ["BUILDING", "MACHINERY"])
+    listed, _ = split_rows(customer, "c_mktsegment", ["BUILDING", "MACHINERY"])
     rest = run_step({"id": "rest", "type": "filter", "source_inputs": ["c"], "logic": {
         "else_branch": True, "field": "c-mktsegment", "value_list": ["BUILDING", "MACHINERY"]}},
         {"c": customer})[1]
-    assert rest.columns == other.columns
     both = listed.withColumn("branch", F.lit("listed")).union(rest.withColumn("branch", F.lit("else")))
     return both.groupBy("c_mktsegment", "branch").agg(F.count("*").alias("n"))
 
@@ -313,12 +312,21 @@ def _joined(spark, folder, left, right, on, how, columns, **more):
     return run_step(step, frames)[1].select(columns)
 
 
-def _few_customers(spark, folder):
-    """Customers of one segment, so that outer joins have rows without a match."""
-    return table(spark, folder, "customer").filter("c_mktsegment = 'BUILDING'")
+def _moved_customers(spark, folder):
+    """All customers, every third under another key, so that outer joins have rows
+    without a match on either side."""
+    return table(spark, folder, "customer").withColumn("c_custkey", F.expr(_MOVED).cast("bigint"))
 
 
-_FEW = "(SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c"
+def _moved_orders(spark, folder):
+    """All orders, those of every fifth customer under another key."""
+    return table(spark, folder, "orders").withColumn("o_custkey", F.expr(_MOVED_ORDER).cast("bigint"))
+
+
+_MOVED = "CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1000000000 ELSE c_custkey END"
+_MOVED_ORDER = "CASE WHEN o_custkey % 5 = 0 THEN -o_custkey ELSE o_custkey END"
+_CUSTOMERS = f"(SELECT * REPLACE ({_MOVED} AS c_custkey) FROM customer) c"
+_ORDERS = f"(SELECT * REPLACE ({_MOVED_ORDER} AS o_custkey) FROM orders) o"
 
 
 @query("join_inner", """
@@ -330,44 +338,44 @@ def join_inner(spark, folder):
 
 
 @query("join_left", f"""
-    SELECT o_orderkey, c_name FROM orders LEFT JOIN {_FEW} ON o_custkey = c_custkey""")
+    SELECT o_orderkey, c_name FROM orders LEFT JOIN {_CUSTOMERS} ON o_custkey = c_custkey""")
 def join_left(spark, folder):
-    return _joined(spark, folder, table(spark, folder, "orders"), _few_customers(spark, folder),
+    return _joined(spark, folder, table(spark, folder, "orders"), _moved_customers(spark, folder),
                    [["o_custkey", "c_custkey"]], "left", ["o_orderkey", "c_name"])
 
 
-@query("join_right", """
-    SELECT o_orderkey, c_name FROM (SELECT * FROM orders WHERE o_orderstatus = 'P') o
+@query("join_right", f"""
+    SELECT o_orderkey, c_name FROM {_ORDERS}
     RIGHT JOIN customer ON o_custkey = c_custkey""")
 def join_right(spark, folder):
-    orders = table(spark, folder, "orders").filter("o_orderstatus = 'P'")
+    orders = _moved_orders(spark, folder)
     return _joined(spark, folder, orders, table(spark, folder, "customer"),
                    [["o_custkey", "c_custkey"]], "right", ["o_orderkey", "c_name"])
 
 
 @query("join_full", f"""
-    SELECT o_orderkey, c_name FROM (SELECT * FROM orders WHERE o_orderstatus = 'P') o
-    FULL JOIN {_FEW} ON o_custkey = c_custkey""")
+    SELECT o_orderkey, c_name FROM {_ORDERS}
+    FULL JOIN {_CUSTOMERS} ON o_custkey = c_custkey""")
 def join_full(spark, folder):
-    orders = table(spark, folder, "orders").filter("o_orderstatus = 'P'")
-    return _joined(spark, folder, orders, _few_customers(spark, folder),
+    orders = _moved_orders(spark, folder)
+    return _joined(spark, folder, orders, _moved_customers(spark, folder),
                    [["o_custkey", "c_custkey"]], "outer", ["o_orderkey", "c_name"])
 
 
-@query("join_semi", """
+@query("join_semi", f"""
     SELECT c_custkey, c_name FROM customer
-    WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')""")
+    WHERE EXISTS (SELECT 1 FROM {_ORDERS} WHERE o_custkey = c_custkey)""")
 def join_semi(spark, folder):
-    orders = table(spark, folder, "orders").filter("o_orderstatus = 'P'")
+    orders = _moved_orders(spark, folder)
     return _joined(spark, folder, table(spark, folder, "customer"), orders,
                    [["c_custkey", "o_custkey"]], "left_semi", ["c_custkey", "c_name"])
 
 
-@query("join_anti", """
+@query("join_anti", f"""
     SELECT c_custkey, c_name FROM customer
-    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')""")
+    WHERE NOT EXISTS (SELECT 1 FROM {_ORDERS} WHERE o_custkey = c_custkey)""")
 def join_anti(spark, folder):
-    orders = table(spark, folder, "orders").filter("o_orderstatus = 'P'")
+    orders = _moved_orders(spark, folder)
     return _joined(spark, folder, table(spark, folder, "customer"), orders,
                    [["c_custkey", "o_custkey"]], "anti", ["c_custkey", "c_name"])
 
@@ -406,18 +414,18 @@ def _hot_orders(spark, folder):
 
 @query("join_skewed", f"""
     SELECT o_orderkey, c_custkey, c_mktsegment
-    FROM (SELECT o_orderkey, {_HOT} AS k FROM orders) o LEFT JOIN {_FEW} ON k = c_custkey""")
+    FROM (SELECT o_orderkey, {_HOT} AS k FROM orders) o LEFT JOIN {_CUSTOMERS} ON k = c_custkey""")
 def join_skewed(spark, folder):
-    return _joined(spark, folder, _hot_orders(spark, folder), _few_customers(spark, folder),
+    return _joined(spark, folder, _hot_orders(spark, folder), _moved_customers(spark, folder),
                    [["o_custkey", "c_custkey"]], "left",
                    ["o_orderkey", "c_custkey", "c_mktsegment"], skew_parts=8)
 
 
 @query("join_skewed_full", f"""
     SELECT o_orderkey, c_custkey, c_mktsegment
-    FROM (SELECT o_orderkey, {_HOT} AS k FROM orders) o FULL JOIN {_FEW} ON k = c_custkey""")
+    FROM (SELECT o_orderkey, {_HOT} AS k FROM orders) o FULL JOIN {_CUSTOMERS} ON k = c_custkey""")
 def join_skewed_full(spark, folder):
-    return _joined(spark, folder, _hot_orders(spark, folder), _few_customers(spark, folder),
+    return _joined(spark, folder, _hot_orders(spark, folder), _moved_customers(spark, folder),
                    [["o_custkey", "c_custkey"]], "full",
                    ["o_orderkey", "c_custkey", "c_mktsegment"], skew_parts=8)
 
@@ -607,9 +615,8 @@ def steps_join_filter_agg(spark, folder):
 
 @query("steps_single", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F'")
 def steps_single(spark, folder):
-    alias, df = run_step({"type": "filter", "input": "ORDERS", "name": "final", "conditions": [
-        {"field": "o_orderstatus", "operation": "equals", "value": "F"}]}, _inputs(spark, folder))
-    assert alias == "final"
+    df = run_step({"type": "filter", "input": "ORDERS", "name": "final", "conditions": [
+        {"field": "o_orderstatus", "operation": "equals", "value": "F"}]}, _inputs(spark, folder))[1]
     return df.select("o_orderkey", "o_custkey")
 
 

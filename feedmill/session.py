@@ -9,9 +9,9 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Largest table, in bytes, that a join here will broadcast by itself. A block row
-# stands for a whole file split, so this covers some 250 TB of text in 128 MB
+# stands for a whole file split, so this covers some 30 TB of text in 128 MB
 # splits; above it the same join shuffles.
-BROADCAST_LIMIT = 1024 * 1024 * 1024
+BROADCAST_LIMIT = 128 * 1024 * 1024
 
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:

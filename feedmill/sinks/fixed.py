@@ -18,19 +18,40 @@ Spec = Field | Mapping[str, Any]
 NO_FEED = "__HIVE_DEFAULT_PARTITION__"
 
 
+def refuse_append(mode: str, path: str) -> None:
+    """A feed with header or trailer cannot grow: its lines would end up inside."""
+    if mode.lower() == "append":
+        raise ValueError(f"cannot append to the enveloped feed at '{path}'; write a directory of its own")
+
+
+def _fitting(text: Column, field: Field, on_overflow: str) -> Column:
+    """The text, or an error if it is longer than its field; ``truncate`` lets it be cut."""
+    if on_overflow == "truncate":
+        return text
+    if on_overflow != "error":
+        raise ValueError(f"unknown overflow mode '{on_overflow}'")
+    message = F.concat(F.lit(f"value does not fit the {field.length} places of '{field.name}': "), text)
+    return F.when(F.length(text) > field.length, F.raise_error(message).cast("string")).otherwise(text)
+
+
 def _implied(value: Column, field: Field) -> Column:
-    """Digits without their point, sign first, then zeros."""
-    exact = value.try_cast(T.DecimalType(18, field.precision))
-    digits = (exact * F.lit(10**field.precision)).cast("bigint")
-    plus = F.lpad(digits.cast("string"), field.length, "0")
-    if field.length == 1:
-        return plus
-    minus = F.concat(F.lit("-"), F.lpad((-digits).cast("string"), field.length - 1, "0"))
-    return F.when(digits < 0, minus).otherwise(plus)
-
-
-def data_piece(value: Column, field: Field) -> Column:
-    """One field of a data line, padded or cut to its length; NULL is blank."""
+    """Digits without their point, sign first, then zeros; longer than the field if they must be."""
+    exact = value.try_cast(T.DecimalType(38, field.precision)).cast("string")
+    digits = F.ltrim(F.replace(F.ltrim(exact, F.lit("-")), F.lit("."), F.lit("")), F.lit("0"))
+
+    def filled(width: int) -> Column:
+        return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+
+    minus = F.concat(F.lit("-"), filled(max(1, field.length - 1)))
+    return F.when(exact.startswith("-") & (digits != ""), minus).otherwise(filled(field.length))
+
+
+def data_piece(value: Column, field: Field, on_overflow: str = "error") -> Column:
+    """One field of a data line, padded to its length; NULL is blank.
+
+    Text is cut to its length. A number that does not fit raises an error, since
+    its first digits would be another number; ``on_overflow="truncate"`` cuts it.
+    """
     if field.implied:
         text = _implied(value, field)
     elif field.format and field.type in ("date", "timestamp"):
@@ -38,6 +59,8 @@ def data_piece(value: Column, field: Field) -> Column:
     else:
         text = value.cast("string")
     text = F.coalesce(text, F.lit(""))
+    if field.implied or field.numeric:
+        text = _fitting(text, field, on_overflow)
     pad = F.lpad if field.numeric or field.just_right else F.rpad
     return pad(text, field.length, " ")
 
@@ -62,7 +85,7 @@ def compose(pieces: list[tuple[Field, Column]], width: int) -> Column:
     return line if width >= cursor - 1 else F.substring(line, 1, width)
 
 
-def fixed_line(df: DataFrame, layout: Layout) -> Column:
+def fixed_line(df: DataFrame, layout: Layout, on_overflow: str = "error") -> Column:
     """A row as one line. Fields the frame lacks are blank.
 
     If no field name matches any column, fields map to columns by position.
@@ -72,15 +95,15 @@ def fixed_line(df: DataFrame, layout: Layout) -> Column:
     if not any(found):
         found = [*df.columns[: len(fields)], *[None] * (len(fields) - len(df.columns))]
     pieces = [
-        (f, F.lit(" " * f.length) if c is None else data_piece(df[c], f))
+        (f, F.lit(" " * f.length) if c is None else data_piece(df[c], f, on_overflow))
         for f, c in zip(fields, found)
     ]
     return compose(pieces, layout.width)
 
 
-def to_lines(df: DataFrame, fields: Iterable[Spec] | Layout) -> DataFrame:
+def to_lines(df: DataFrame, fields: Iterable[Spec] | Layout, on_overflow: str = "error") -> DataFrame:
     """All rows as fixed-width lines in column ``value``."""
-    return df.select(fixed_line(df, Layout.of(fields)).alias("value"))
+    return df.select(fixed_line(df, Layout.of(fields), on_overflow).alias("value"))
 
 
 def envelope_piece(field: Field, columns: list[str]) -> Column:
@@ -89,6 +112,8 @@ def envelope_piece(field: Field, columns: list[str]) -> Column:
     if field.format and field.type in ("date", "timestamp"):
         value = F.date_format(value, spark_pattern(field.format))
     text = F.coalesce(value.cast("string"), F.lit(""))
+    if field.numeric:
+        text = _fitting(text, field, "error")
     pad = F.lpad if field.numeric or field.just_right else F.rpad
     return pad(text, field.length, " ")
 
@@ -110,17 +135,22 @@ def write_fixed(
     header_fields: Iterable[Spec] = (),
     trailer_fields: Iterable[Spec] = (),
     mode: str = "overwrite",
+    on_overflow: str = "error",
 ) -> None:
     """Write one feed as ordered part files: header, data, trailer.
 
     Header and trailer values come from one aggregation. A union keeps its
-    inputs in order, so data is written in parallel and never moved.
+    inputs in order, so data is written in parallel and never moved. Only a feed
+    without header and trailer can be appended to.
     """
     layout = Layout.of(fields)
-    body = to_lines(df, layout)
+    if not layout.fields:
+        raise ValueError("a fixed-width output needs fields")
+    body = to_lines(df, layout, on_overflow)
     if not (header_count or trailer_count):
         body.write.mode(mode).text(path)
         return
+    refuse_append(mode, path)
     ends = df.agg(
         envelope_line(header_fields, df.columns, layout.width).alias("header"),
         envelope_line(trailer_fields, df.columns, layout.width).alias("trailer"),
@@ -144,14 +174,18 @@ def write_feeds(
     trailer_fields: Iterable[Spec] = (),
     order_by: Iterable[str] = (),
     mode: str = "overwrite",
+    on_overflow: str = "error",
 ) -> None:
     """Write one enveloped feed per value of ``feed``, each in its own directory.
 
     Lines are range-partitioned by feed, section and order, so a large feed is
     spread over many part files whose order is the order of the feed. A blank
-    ``order_by`` spreads rows by content. Read back with unit ``directory``.
+    ``order_by`` spreads rows by content. Nothing can be appended to such feeds.
     """
+    refuse_append(mode, path)
     layout = Layout.of(fields)
+    if not layout.fields:
+        raise ValueError("a fixed-width output needs fields")
     if isinstance(df.schema[feed].dataType, T.StringType):
         # A key that cannot be NULL keeps its order through the partitioned write.
         named = F.coalesce(F.nullif(feed, F.lit("")), F.lit(NO_FEED))
@@ -161,7 +195,7 @@ def write_feeds(
         feed,
         F.lit(1).alias("__section"),
         F.struct(*order, content_hash(df).alias("__hash")).alias("__order"),
-        fixed_line(df, layout).alias("value"),
+        fixed_line(df, layout, on_overflow).alias("value"),
     )
     order_type = body.schema["__order"].dataType
     columns = [c for c in df.columns if c != feed]

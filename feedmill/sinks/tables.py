@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedmill.fields import Field, Layout
-from feedmill.functions.names import column_name
+from feedmill.functions.names import column_name, find_column
 from feedmill.operators.reconcile import count_column
 from feedmill.operators.totals import control_line
-from feedmill.sinks.fixed import to_lines
+from feedmill.sinks.fixed import refuse_append, to_lines
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -42,14 +44,18 @@ def write_delimited_enveloped(
     """One delimited feed with delimiter-only lines before and after the table.
 
     Part files follow each other in part order: header lines, the line of
-    names, data, trailer lines. Text with line breaks cannot be written so.
+    names, data, trailer lines. Text with line breaks cannot be written so, and
+    nothing can be appended to a feed that is closed by its trailer.
     """
+    refuse_append(mode, path)
     spark = df.sparkSession
     row = F.to_csv(F.struct(*[df[c] for c in df.columns]), {"sep": delimiter})
     broken = row.contains("\n") | row.contains("\r")
     row = F.when(broken, F.raise_error(F.lit("a value holds a line break"))).otherwise(row)
     blank = delimiter * (len(df.columns) - 1)
-    before = [blank] * header_count + [delimiter.join(df.columns)]
+    names = io.StringIO()
+    csv.writer(names, delimiter=delimiter, lineterminator="").writerow(df.columns)
+    before = [blank] * header_count + [names.getvalue()]
 
     def fixed(lines: list[str]) -> DataFrame:
         # A single partition: its lines stay in the order of the array.
@@ -62,22 +68,30 @@ def write_delimited_enveloped(
     whole.write.mode(mode.lower()).text(path)
 
 
+def _shared_words(a: str, b: str) -> int:
+    """Number of equal words at the end of two names."""
+    pairs = zip(reversed(column_name(a).split("_")), reversed(column_name(b).split("_")))
+    return next((k for k, (x, y) in enumerate(pairs) if x != y), min(a.count("_"), b.count("_")) + 1)
+
+
 def _source_for(columns: list[str], wanted: str) -> str | None:
-    """Column for an output name: itself, its hyphenated form, or a suffix match.
+    """Column for an output name: the one with that name, else the one that shares most
+    words at the end of its name, and among those the shortest name in words.
 
-    ``OUT_CUST_ID`` is served by ``CUST_ID`` or ``INP_CUST_ID``; the longest
-    shared suffix wins.
+    ``OUT_CUST_ID`` is served by ``CUST_ID``, else by ``INP_CUST_ID``; two columns
+    that serve equally well are an error.
     """
-    for candidate in (wanted, wanted.replace("_", "-")):
-        if candidate in columns:
-            return candidate
-    words = wanted.split("_")
-    for i in range(1, len(words)):
-        suffix = "_".join(words[i:])
-        for c in columns:
-            if c == suffix or c.endswith("_" + suffix):
-                return c
-    return None
+    named = find_column(columns, wanted)
+    if named is not None:
+        return named
+    ranks = {c: (_shared_words(c, wanted), -column_name(c).count("_")) for c in columns}
+    best = max(ranks.values(), default=(0, 0))
+    if best[0] == 0:
+        return None
+    found = [c for c, rank in ranks.items() if rank == best]
+    if len(found) > 1:
+        raise ValueError(f"output column '{wanted}' could come from any of {found}")
+    return found[0]
 
 
 def output_columns(

@@ -22,10 +22,21 @@ class Feed(NamedTuple):
     trailer: DataFrame
 
 
-def implied_decimal(digits: Column, precision: int) -> Column:
-    """Digits with an implied point: exact decimal scaling, NULL if not a number."""
+def implied_decimal(digits: Column, precision: int, length: int = 18) -> Column:
+    """Digits with an implied point: exact decimal scaling, NULL if not a number.
+
+    Fields of more than 18 places get a wider decimal, up to Spark's 38.
+    """
     unit = F.lit(Decimal(1).scaleb(-precision)).cast(T.DecimalType(precision + 1, precision))
-    return (digits.try_cast("bigint") * unit).try_cast(T.DecimalType(18, precision))
+    if length <= 18:
+        return (digits.try_cast("bigint") * unit).try_cast(T.DecimalType(18, precision))
+    # Scaling by text: the product of wide decimals would lose digits.
+    whole = digits.try_cast(T.DecimalType(38, 0)).cast("string")
+    sign, plain = F.when(whole.startswith("-"), "-").otherwise(""), F.ltrim(whole, F.lit("-"))
+    plain = F.when(F.length(plain) <= precision, F.lpad(plain, precision + 1, "0")).otherwise(plain)
+    cut = F.length(plain) - precision
+    text = F.concat(sign, F.substring(plain, F.lit(1), cut), F.lit("."), F.substring(plain, cut + 1, F.lit(precision)))
+    return text.try_cast(T.DecimalType(38, precision))
 
 
 def field_column(field: Field) -> Column:
@@ -35,7 +46,7 @@ def field_column(field: Field) -> Column:
     """
     text = F.trim(F.substring("value", field.start, field.length))
     if field.implied:
-        text = implied_decimal(text, field.precision)
+        text = implied_decimal(text, field.precision, field.length)
     return text.alias(field.column)
 
 
@@ -97,7 +108,7 @@ def read_fixed(
     trailer_count: int = 0,
     header_fields: Iterable[Spec] = (),
     trailer_fields: Iterable[Spec] = (),
-    unit: str = "file",
+    unit: str = "auto",
     detect_offset: bool = True,
 ) -> Feed:
     """Read fixed-width feeds into data, header and trailer frames.

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedmill.session import broadcast_if_small, cut, pin_scan_splits
 
+# Part files that Spark writes: several of them are one table or feed.
+_PART_FILE = r"/part-\d+[^/]*$"
 # A block row holds two paths and a few numbers.
 _BLOCK_ROW_BYTES = 512
 
@@ -42,14 +44,21 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def feed_of(path: Column, unit: str) -> Column:
     """Name of the feed a file belongs to.
 
-    A feed is one ``file``, or one ``directory`` whose part files follow each
-    other in part order.
+    With ``auto``, the part files of a directory are one feed, in part order, and
+    any other file is one by itself. ``directory`` takes all files of a directory
+    as one feed; ``file`` takes each by itself and refuses part files, which
+    would each lose a first and a last line.
     """
-    if unit == "file":
-        return path
+    name = F.substring_index(path, "/", -1)
+    folder = F.substring(path, F.lit(1), F.length(path) - F.length(name) - 1)
+    is_part = path.rlike(_PART_FILE)
+    if unit == "auto":
+        return F.when(is_part, folder).otherwise(path)
     if unit == "directory":
-        name = F.substring_index(path, "/", -1)
-        return F.substring(path, F.lit(1), F.length(path) - F.length(name) - 1)
+        return folder
+    if unit == "file":
+        refused = F.concat(F.lit("a part file is no feed of its own: "), path)
+        return F.when(is_part, F.raise_error(refused).cast("string")).otherwise(path)
     raise ValueError(f"unknown feed unit '{unit}'")
 
 
@@ -58,7 +67,7 @@ def _part_number(path: Column) -> Column:
     return F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
 
 
-def count_blocks(lines: DataFrame, unit: str = "file") -> DataFrame:
+def count_blocks(lines: DataFrame, unit: str = "auto") -> DataFrame:
     """One row per scan block: its feed, first scan id, line count and offset.
 
     The scan of the lines is reduced to blocks inside each task, so the window
@@ -83,7 +92,7 @@ def count_blocks(lines: DataFrame, unit: str = "file") -> DataFrame:
 
 
 def with_positions(
-    lines: DataFrame, unit: str = "file", blocks: DataFrame | None = None
+    lines: DataFrame, unit: str = "auto", blocks: DataFrame | None = None
 ) -> DataFrame:
     """Add ``feed``, ``line_no`` (0-based in the feed) and ``feed_lines`` to lines.
 
@@ -112,7 +121,7 @@ def split_envelope(
     lines: DataFrame,
     header_count: int = 0,
     trailer_count: int = 0,
-    unit: str = "file",
+    unit: str = "auto",
     keep_ends: bool = False,
 ) -> Envelope:
     """Split each feed into its first lines, last lines and the lines between.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from feedmill.fields import Field
 from feedmill.functions.dates import spark_pattern
@@ -66,12 +67,13 @@ def read_delimited(
     delimiter: str = ",",
     header_count: int = 0,
     trailer_count: int = 0,
-    unit: str = "file",
+    unit: str = "auto",
 ) -> DataFrame:
     """Delimited text whose first kept line names the columns.
 
-    With every column declared the file is read once, as text, and cast; types
-    are inferred only for files with undeclared columns. ``header_count`` and
+    Declared columns are read as text and cast, so that leading zeros and exact
+    decimals survive; types are inferred for undeclared columns only. Files whose
+    line of names differs from the first one's are refused. ``header_count`` and
     ``trailer_count`` lines around the table are skipped in parallel.
     """
     fields = [Field.of(f) for f in fields]
@@ -82,8 +84,12 @@ def read_delimited(
     reader = spark.read.option("header", True).option("sep", delimiter)
     df = reader.csv(path)
     known = {f.column.lower() for f in fields}
-    if any(column_name(c).lower() not in known for c in df.columns):
-        df = reader.option("inferSchema", True).csv(path)
+    declared = [column_name(c).lower() in known for c in df.columns]
+    schema = df.schema
+    if not all(declared):
+        guessed = reader.option("inferSchema", True).csv(path).schema
+        schema = T.StructType([a if text else b for text, a, b in zip(declared, schema, guessed)])
+    df = reader.schema(schema).option("enforceSchema", False).csv(path)
     return typed_cast(df.toDF(*map(column_name, df.columns)), fields)
 
 
@@ -100,11 +106,13 @@ def _read_enveloped(
     envelope = split_envelope(
         read_lines(spark, path), header_count + 1, trailer_count, unit
     )
-    names_line = envelope.header.filter(F.col("line_no") == header_count).first()
-    if names_line is None:
+    lines = envelope.header.filter(F.col("line_no") == header_count).select("value").distinct().limit(2).collect()
+    if not lines:
         return empty_frame(spark, fields)
+    if len(lines) > 1:
+        raise ValueError(f"feeds differ in their line of names: {[r['value'] for r in lines]}")
     options = {"sep": delimiter}
-    names = [column_name(n) for n in _split_names(names_line["value"], delimiter)]
+    names = [column_name(n) for n in _split_names(lines[0]["value"], delimiter)]
     schema = ", ".join(f"`{n}` STRING" for n in names)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     whole = F.when(quotes % 2 == 0, F.col("value")).otherwise(
@@ -115,4 +123,4 @@ def _read_enveloped(
 
 
 def _split_names(line: str, delimiter: str) -> list[str]:
-    return [n.strip().strip('"') for n in line.split(delimiter)]
+    return [name.strip() for name in next(csv.reader([line], delimiter=delimiter))]

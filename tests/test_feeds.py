@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -14,10 +15,10 @@ from feedmill.operators import validate as v
 from feedmill.plans.steps import run_step
 from feedmill.session import cut, new_folder, shared_folder
 from feedmill.sinks import jdbc, tables
-from feedmill.sinks.fixed import to_lines, write_fixed
-from feedmill.sources.dated import load_date
+from feedmill.sinks.fixed import to_lines, write_feeds, write_fixed
+from feedmill.sources.dated import days_between, load_date, read_dated
 from feedmill.sources.ebcdic import read_ebcdic
-from feedmill.sources.fixed import read_fixed
+from feedmill.sources.fixed import parse_fixed, read_fixed
 from feedmill.sources.tables import empty_frame, read_delimited, typed_cast
 
 LAYOUT = Layout.of([
@@ -54,7 +55,10 @@ def test_fixed_line_details(spark):
     fields = [{"name": "CODE", "length": 4}, {"name": "AMT", "type": "decimal", "precision": 2, "length": 7},
               {"name": "DAY", "type": "date", "format": "DDMMYYYY", "length": 8},
               {"name": "ID", "type": "long", "length": 5}, {"name": "NAME", "length": 3}]
-    assert to_lines(df, fields).first().value == "AB  -000150010320261234" + "5" + "   "
+    # The first digits of a number would be another number: only an explicit wish cuts it.
+    with pytest.raises(SparkRuntimeException, match="does not fit the 5 places of 'ID'"):
+        to_lines(df, fields).collect()
+    assert to_lines(df, fields, "truncate").first().value == "AB  -000150010320261234" + "5" + "   "
     for width, expected in ((3, "AB "), (4, "AB  "), (6, "AB    ")):
         assert to_lines(df, Layout.of(fields[:1], width)).first().value == expected
     with pytest.raises(ValueError, match="overlaps"):
@@ -338,3 +342,73 @@ def test_row_steps_run_on_a_stream(spark, tmp_path):
         "checkpointLocation", str(tmp_path / "cp")).start()
     query.awaitTermination(60)
     assert {(r.A, r._is_valid) for r in spark.table("flagged").collect()} == {("1", True), ("x", False)}
+
+
+_PLAIN = [{"name": "ID", "type": "long", "length": 6}, {"name": "CODE", "length": 3}]
+
+
+def test_part_files_are_one_feed(spark, tmp_path):
+    path = str(tmp_path / "feed")
+    rows = spark.range(100).selectExpr("id AS ID", "'abc' AS CODE").repartition(4, "ID")
+    write_fixed(rows, _PLAIN, path, 1, 1)
+    assert read_fixed(spark, path, _PLAIN, 1, 1).data.count() == 100
+    with pytest.raises(SparkRuntimeException, match="part file"):
+        read_fixed(spark, path, _PLAIN, 1, 1, unit="file").data.count()
+
+
+def test_enveloped_feeds_refuse_append(spark, tmp_path):
+    rows = spark.range(3).selectExpr("id AS ID", "'abc' AS CODE")
+    path = str(tmp_path / "feed")
+    for call in (
+        lambda: write_fixed(rows, _PLAIN, path, 1, 1, mode="append"),
+        lambda: write_feeds(rows, "CODE", _PLAIN[:1], path, mode="append"),
+        lambda: tables.write_delimited_enveloped(rows, path, "|", 1, 1, mode="append"),
+    ):
+        with pytest.raises(ValueError, match="cannot append"):
+            call()
+    with pytest.raises(ValueError, match="needs fields"):
+        write_fixed(rows, [], path)
+
+
+def test_wide_decimals_are_exact_or_refused(spark):
+    wide = Decimal("1234567890123456789012.34")
+    df = spark.createDataFrame([(wide,), (-wide,), (Decimal("0.05"),), (None,)], "AMT decimal(38,2)")
+    field = {"name": "AMT", "type": "decimal", "precision": 2, "length": 26}
+    lines = to_lines(df, [field])
+    assert [r.value for r in lines.collect()] == [
+        "00123456789012345678901234", "-0123456789012345678901234", "0" * 25 + "5", " " * 26]
+    back = parse_fixed(lines, Layout.of([field])).collect()
+    assert [r.AMT for r in back] == [wide, -wide, Decimal("0.05"), None]
+    with pytest.raises(SparkRuntimeException, match="does not fit"):
+        to_lines(df, [{**field, "length": 12}]).collect()
+
+
+def test_feeds_with_other_names_are_refused(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("H\nA,B\n1,2\n")
+    (tmp_path / "two.csv").write_text("H\nB,A\n1,2\n")
+    with pytest.raises(ValueError, match="differ in their line of names"):
+        read_delimited(spark, str(tmp_path), [{"name": "A"}, {"name": "B"}], header_count=1)
+
+
+def test_names_are_written_and_read_as_csv(spark, tmp_path):
+    path = str(tmp_path / "names")
+    tables.write_delimited_enveloped(spark.createDataFrame([("1", "2")], "`A|X` string, B string"), path, "|", 1, 1)
+    assert read_delimited(spark, path, (), "|", 1, 1).columns == ["A|X", "B"]
+
+
+def test_output_names_prefer_the_closest_column(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "CUST_ID int, INP_CUST_ID int, NAME int")
+    assert tables.output_columns(df, ["OUT-CUST-ID"]).first()[0] == 1
+    assert tables.output_columns(df.drop("CUST_ID"), ["OUT-CUST-ID"]).first()[0] == 2
+    with pytest.raises(ValueError, match="could come from any of"):
+        tables.output_columns(spark.createDataFrame([(1, 2)], "A_CUST_ID int, B_CUST_ID int"), ["OUT_CUST_ID"])
+
+
+def test_dated_range_opens_only_wanted_days(spark, tmp_path):
+    for name in ("20260301", "load_date=20260302", "20260303"):
+        folder = tmp_path / "DAILY" / name
+        folder.mkdir(parents=True)
+        (folder / "F.DAT").write_text("000001abc\n")
+    feed = read_dated(spark, str(tmp_path), "daily", days_between(dt.date(2026, 3, 1), dt.date(2026, 3, 2)), _PLAIN)
+    assert sorted(r.load_date for r in feed.data.collect()) == ["20260301", "20260302"]
+    assert len(feed.data.inputFiles()) == 2
