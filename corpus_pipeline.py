@@ -35,10 +35,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with two hashes of the whole row; equal rows have equal ones."""
-    columns = [F.col(c) for c in docs.columns]
-    return docs.withColumns({"_row_1": F.xxhash64(*columns), "_row_2": F.xxhash64(F.lit(1), *columns)})
+def _with_key(docs: DataFrame, *columns: str) -> DataFrame:
+    """The given columns and two hashes of the whole row; equal rows have equal ones."""
+    whole = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(*columns, F.xxhash64(*whole).alias("_row_1"), F.xxhash64(F.lit(1), *whole).alias("_row_2"))
 
 
 def _repeat(docs: DataFrame, times: DataFrame) -> DataFrame:
@@ -47,9 +47,11 @@ def _repeat(docs: DataFrame, times: DataFrame) -> DataFrame:
     Texts move once, to meet their narrow row of ``times``.
     """
     keys = ["_row_1", "_row_2"]
-    met = _with_key(docs).join(times, keys)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    whole = [F.col(f"whole.`{c}`") for c in docs.columns]
+    met = rows.select("whole", F.xxhash64(*whole).alias("_row_1"), F.xxhash64(F.lit(1), *whole).alias("_row_2")).join(times, keys)
     one = met.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))).where("_place = 1")
-    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select("whole.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +60,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that repeat are one document. A row without an id stays only if its group has no
     row with one; rows without words are in no group and stay, once each.
     """
-    classes = jaccard_classes(_with_key(docs), words=NEAR_WORDS, threshold=NEAR_HUNDREDTHS, carry=("_row_1", "_row_2"))
+    classes = jaccard_classes(_with_key(docs, "doc_id", "text"), words=NEAR_WORDS, threshold=NEAR_HUNDREDTHS, carry=("_row_1", "_row_2"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row_1", "_row_2")).alias("first")
     groups = classes.where("component IS NOT NULL").groupBy("component").agg(first).select("first._row_1", "first._row_2")
     alone = classes.where("component IS NULL").select("_row_1", "_row_2").distinct()
@@ -73,7 +75,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take every document as often as the mix does: once an epoch, and once more where the
     fraction takes it; documents the mix does not take go."""
-    taken = mix(_with_key(docs), whole=True, carry=("_row_1", "_row_2"))
+    taken = mix(_with_key(docs, "doc_id", "text", "source"), whole=True, carry=("_row_1", "_row_2"))
     times = F.sum(F.col("epochs") + (F.col("part") > 0).cast("long")).cast("int").alias("times")
     return _repeat(docs, taken.groupBy("_row_1", "_row_2").agg(times).where("times > 0"))
 

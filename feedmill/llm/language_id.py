@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedmill.llm.tables import text_of
+from feedmill.llm.tables import free_name
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -250,4 +250,4 @@ def predict_language(
 
     schema = kept.schema.add("lang_pred", "string").add("score", "double")
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    return kept.withColumn("_letters", letters).mapInArrow(run, schema)
+    return kept.withColumn(free_name(kept, "letters"), letters).mapInArrow(run, schema)

@@ -279,13 +279,16 @@ def detect(docs: DataFrame, *, text_col: str = "text", accept: float = ACCEPT) -
 
 def digest(found: DataFrame) -> DataFrame:
     """doc_id, a count of each base kind, base_sha256 and spans of ``detect``'s result."""
+    def of_kind(kind: str):
+        return lambda x: x["kind"] == kind
+
     order = F.array(*[F.lit(k) for k in (*KINDS, *ADDED)])
     ranked = lambda spans: F.transform(F.sort_array(F.transform(spans, lambda x: F.struct(
         F.array_position(order, x["kind"]).alias("rank"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))),
         lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")))
     return found.select(
         "doc_id",
-        *[F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(F.array_join(ranked(F.col("base")), ","), 256).alias("base_sha256"),
         F.array_join(ranked(F.concat("base", "added")), ",").alias("spans"))
 

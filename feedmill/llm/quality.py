@@ -54,7 +54,7 @@ def likelihood_ratios(texts: DataFrame, trusted: DataFrame, buckets: int, smooth
     sums = both.agg(F.sum("raw"), F.sum("good")).first()
     spread = smoothing * buckets
     shift = math.log((sums[0] + spread) / (sums[1] + spread))
-    ratio = F.log((F.col("good") + smoothing) / (F.col("raw") + smoothing)) + shift
+    ratio = F.log((F.col("good") + smoothing) / (F.col("raw") + smoothing)) + shift if sums[1] else F.lit(0.0)
     return both.select("bucket", F.round(ratio * 1000).cast("long").alias("ratio"))
 
 

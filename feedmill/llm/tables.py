@@ -58,3 +58,9 @@ def running_total(df: DataFrame, group: list[str], order: list[Column], values:
         .withColumns({new: F.sum(c).over(within) + F.col(n) for (new, c), n in zip(values.items(), names, strict=True)})
         .drop("_task", "_of_task", *[f"_of_{c}" for c in group], *names)
     )
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(name for k in range(len(taken) + 1) if (name := f"_{stem}_{k}") not in taken)
