@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmill.functions.content import content_hash
 from feedmill.functions.names import get_column
+from feedmill.session import cut
 
 # Join words -> Spark join type. "cross" with keys is an inner join.
 KINDS = {
@@ -32,7 +33,9 @@ KINDS = {
     "leftanti": "left_anti",
     "left_anti": "left_anti",
 }
-_SALT, _SALTS = "__salt", "__salts"
+_SALT, _SALTS, _REPEATED, _DROP = "__salt", "__salts", "__repeated", "__other_repeated"
+# A key is hot well below a task's even share, so that no key just under it is left whole.
+_HOT_FACTOR = 4
 
 
 def join_frames(
@@ -86,13 +89,15 @@ def salted_join(
     kind: str,
     parts: int,
 ) -> DataFrame:
-    """Join that spreads each hot key of the left side over ``parts`` tasks.
+    """Join that spreads each hot key, of either side, over ``parts`` tasks.
 
-    Rows of a hot key, or of no key, get a salt from their own content; the
-    matching rows of the other side are repeated once per salt. Rows of other
-    keys are neither salted nor repeated, so the result is the plain join's. For
-    a right join the sides are swapped. Every column takes part in the salt:
-    select the wanted ones first. One part is the plain join.
+    Rows of a key that is hot on their own side, or of no key, get a salt from their
+    own content; the rows of the other side are repeated once per salt. A left row
+    repeated for a key that is hot on the right has a match for at least one salt, so
+    the salts without one are dropped. Rows of other keys are neither salted nor
+    repeated, so the result is the plain join's. For a right join the sides are
+    swapped. Every column takes part in the salt: select the wanted ones first. One
+    part is the plain join. Semi and anti joins spread the left side only.
 
     A full join is the left join and the right rows that found no match:
     adaptive execution cannot split a skewed full join, but can split both of
@@ -107,41 +112,51 @@ def salted_join(
         return left.join(right, _equal(keys), kind)
     if kind == "right":
         return salted_join(right, left, [(b, a) for a, b in keys], "left", parts)
-    hot = hot_keys(left, [a for a, _ in keys], parts)
-    salted = _salt_rows(left, [a for a, _ in keys], hot, parts)
-    repeated = _repeat_rows(right, [b for _, b in keys], hot, parts)
-    return salted.join(repeated, _equal([*keys, (_SALT, _SALTS)]), kind).drop(_SALT, _SALTS)
+    left_keys, right_keys = [a for a, _ in keys], [b for _, b in keys]
+    hot = [cut(hot_keys(left, left_keys, parts), "hot"), None]
+    if kind in ("inner", "left"):
+        hot[1] = cut(hot_keys(right, right_keys, parts), "hot")
+    # A key that is hot on both sides is spread on the right and repeated on the left.
+    salted = _salt_rows(left, left_keys, hot, parts, repeat_first=True)
+    repeated = _salt_rows(right, right_keys, hot[::-1], parts, repeat_first=False).withColumnsRenamed({_SALT: _SALTS, _REPEATED: _DROP})
+    joined = salted.join(repeated, _equal([*keys, (_SALT, _SALTS)]), kind)
+    if kind == "left":
+        joined = joined.where(~F.col(_REPEATED) | F.col(_SALTS).isNotNull())
+    return joined.drop(_SALT, _SALTS, _REPEATED, _DROP)
 
 
 def hot_keys(df: DataFrame, columns: list[str], parts: int) -> DataFrame:
-    """Keys that hold more than ``1/parts`` of the rows that have a key.
+    """Keys that hold more than ``1 / (4 * parts)`` of the rows that have a key.
 
-    At most ``parts - 1`` keys can qualify, whatever the size of ``df``: that is
-    the bound that makes the result safe to broadcast. Counts are combined in
-    each task before they are shuffled.
+    Fewer than ``4 * parts`` keys can qualify, whatever the size of ``df``: that is
+    the bound that makes the result safe to broadcast. Counts are combined in each
+    task before they are shuffled.
     """
     per_key = df.dropna(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
     total = per_key.agg(F.sum("rows")).scalar()
-    return per_key.filter(F.col("rows") * parts > total).select(
+    return per_key.filter(F.col("rows") * (_HOT_FACTOR * parts) > total).select(
         *[F.col(c).alias(f"__hot_{i}") for i, c in enumerate(columns)]
     )
 
 
-def _flag_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, Column]:
-    marks = F.broadcast(hot.withColumn("__is_hot", F.lit(True)))
-    same = _equal([(k, f"__hot_{i}") for i, k in enumerate(keys)])
-    return df.join(marks, same, "left"), F.col("__is_hot").isNotNull()
+def _flag_hot(df: DataFrame, keys: list[str], hot: DataFrame | None, name: str) -> DataFrame:
+    if hot is None:
+        return df.withColumn(name, F.lit(False))
+    named = [f"{name}_{i}" for i in range(len(keys))]
+    marks = F.broadcast(hot.toDF(*named).withColumn(name, F.lit(True)))
+    flagged = df.join(marks, _equal(list(zip(keys, named))), "left")
+    return flagged.withColumn(name, F.col(name).isNotNull()).drop(*named)
 
 
-def _salt_rows(df: DataFrame, keys: list[str], hot: DataFrame, parts: int) -> DataFrame:
-    flagged, is_hot = _flag_hot(df, keys, hot)
+def _salt_rows(
+    df: DataFrame, keys: list[str], hot: list[DataFrame | None], parts: int, repeat_first: bool
+) -> DataFrame:
+    """Rows with their salt: ``hot`` has the hot keys of this side and of the other one."""
+    flagged = _flag_hot(_flag_hot(df, keys, hot[0], "__own"), keys, hot[1], _REPEATED)
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    spread = F.pmod(content_hash(df), F.lit(parts)).cast("int")
-    salt = F.when(is_hot | no_key, spread).otherwise(0)
-    return flagged.select(*df.columns, salt.alias(_SALT))
-
-
-def _repeat_rows(df: DataFrame, keys: list[str], hot: DataFrame, parts: int) -> DataFrame:
-    flagged, is_hot = _flag_hot(df, keys, hot)
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
-    return flagged.select(*df.columns, F.explode(salts).alias(_SALTS))
+    spread = F.array(F.pmod(content_hash(df), F.lit(parts)).cast("int"))
+    spreads = [(F.col("__own") | no_key, spread)]
+    repeats = [(F.col(_REPEATED), F.sequence(F.lit(0), F.lit(parts - 1)))]
+    (first, salts), (second, others) = repeats + spreads if repeat_first else spreads + repeats
+    salts = F.when(first, salts).when(second, others).otherwise(F.array(F.lit(0)))
+    return flagged.select(*df.columns, _REPEATED, F.explode(salts).alias(_SALT))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import datetime as dt
+from collections.abc import Callable, Iterable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmill.functions.dates import previous_business_day
 from feedmill.functions.names import get_column
+from feedmill.sources.lines import read_lines, split_envelope
 
 
 # A field is a record count if its name holds one of these.
@@ -114,6 +117,47 @@ def continuity(
     )
 
 
+def compare_total(data: DataFrame, expected: Column, source: DataFrame) -> DataFrame:
+    """One row: the count that ``expected`` finds in ``source`` (its first line or record)
+    against all rows of ``data``, in the columns of :func:`compare_counts`."""
+    declared = source.select(F.trim(expected).try_cast("bigint").alias("n")).agg(F.max("n").alias("n")).scalar()
+    actual = data.agg(F.count(F.lit(1)).alias("actual_count"))
+    return actual.select(
+        F.lit("all").alias("feed"), declared.alias("expected_count"), "actual_count",
+        F.coalesce(declared == F.col("actual_count"), F.lit(False)).alias("matches"))
+
+
+def previous_delivery(
+    spark: SparkSession,
+    run_date: dt.date,
+    path_of: Callable[[dt.date], str],
+    header_date: Callable[[DataFrame], Column] | None = None,
+    holidays: Iterable[Any] = (),
+    skip_weekends: bool = False,
+) -> DataFrame:
+    """The delivery of the business day before ``run_date``, as one row of :func:`continuity`.
+
+    ``path_of`` names the place of a day's delivery. ``header_date`` takes its lines to the
+    date its header carries; without it, a delivery that is there is right.
+    """
+    day = spark.range(1).select(previous_business_day(F.lit(run_date), holidays, skip_weekends).alias("d"))
+    expected = day.first()["d"]
+    actual, status = None, "ok"
+    try:
+        lines = read_lines(spark, path_of(expected))
+        if header_date is not None:
+            first = split_envelope(lines, header_count=1).header
+            actual = first.agg(F.max(header_date(first))).first()[0]
+            status = "ok" if actual == expected else "wrong_date"
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        status = "missing"
+    return spark.range(1).select(
+        F.lit(run_date).alias("file_date"), F.lit(expected).alias("expected_date"), F.lit(actual).cast("date").alias("actual_date"),
+        F.lit(status).alias("status"))
+
+
 def require_continuity(days: DataFrame) -> DataFrame:
     """The continuity check itself, or :class:`BrokenContinuity` with up to five days."""
     wrong = days.filter("status <> 'ok'").limit(5).collect()

@@ -587,3 +587,60 @@ def flow_feed_to_table(spark, folder):
                     {"field": "*", "operation": "count", "alias": "N"}]}}]},
         "Outputs": {"REPORT": {"format": "parquet", "path": target, "source_inputs": ["totals"]}}})
     return read_parquet(spark, target)
+
+
+@query("flow_previous_day_check", """
+    SELECT event_type AS EVENT_TYPE, count(*) AS n FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-09' GROUP BY 1""")
+def flow_previous_day_check(spark, folder):
+    """One day's feed, let through because the day before was delivered with its own date."""
+    base, target, run = fixtures.event_feeds(spark, folder, complete=True), new_folder(spark, "checked"), dt.date(2024, 1, 9)
+    run_flow(spark, {
+        "Inputs": {"EVENTS": {
+            "format": "fixed", "source_path": base, "frequency": "DAILY", "partition_col": "load_date=20240109",
+            "fields": fixtures.EVENT_FIELDS, "header_count": 1, "trailer_count": 1,
+            "header_fields": fixtures.EVENT_HEADER}},
+        "Transformations": {"steps": [
+            {"id": "checked", "type": "validate", "source_inputs": ["EVENTS"], "logic": {
+                "fail_mode": "DROP", "rules": [{"field": "EVENT-TYPE", "check": "not_null"}], "previous_day_check": True,
+                "previous_day_file_path": base, "previous_day_frequency": "DAILY", "partition_column": "load_date=20240108",
+                "previous_day_header_field": {"name": "FILE-DATE", "start": 4, "length": 8, "format": "YYYYMMDD"}}},
+            {"id": "counts", "type": "aggregate", "source_inputs": ["checked"], "logic": {
+                "group_by": ["EVENT-TYPE"], "aggregations": [{"field": "*", "operation": "count", "alias": "n"}]}}]},
+        "Outputs": {"OUT": {"path": target, "source_inputs": ["counts"]}}}, run)
+    return read_parquet(spark, target)
+
+
+@query("flow_count_file", _ORDER_ROWS)
+def flow_count_file(spark, folder):
+    """A feed that its count file, a record of its own, agrees with."""
+    path, target = new_folder(spark, "counted"), new_folder(spark, "counted-out")
+    control = [{"name": "KIND", "length": 3}, {"name": "REC-CNT", "type": "long", "length": 12}]
+    rows = _order_rows(spark, folder)
+    fixed_sink.write_fixed(rows, _PLAIN, path, 1, 1)
+    sinks.write_count_record(rows, f"{path}-count", control)
+    run_flow(spark, {
+        "Inputs": {"FEED": {"format": "fixed", "path": path, "fields": _PLAIN, "header_count": 1, "trailer_count": 1,
+                            "count_file_path": f"{path}-count", "control_fields": control}},
+        "Transformations": {"steps": [{"id": "all", "type": "filter", "source_inputs": ["FEED"], "logic": {
+            "conditions": [{"field": "ORDER-KEY", "operation": "!=", "value": ""}]}}]},
+        "Outputs": {"OUT": {"path": target, "source_inputs": ["all"]}}})
+    return _typed_rows(read_parquet(spark, target))
+
+
+@query("flow_curated_control", """
+    SELECT lpad(CAST(count(*) AS VARCHAR), 9, '0') || lpad(CAST(sum(o_custkey) AS VARCHAR), 18, '0') AS value
+    FROM orders WHERE o_orderstatus <> 'P'""")
+def flow_curated_control(spark, folder):
+    """The control file beside a curated output counts the rows of that output."""
+    base, fields = new_folder(spark, "curated"), [
+        {"name": "CNT", "type": "INT", "length": 9}, {"name": "KEYS", "type": "LONG", "length": 18, "expression": "sum(o_custkey)"}]
+    run_flow(spark, {
+        "Inputs": {"ORDERS": {"path": f"{folder}/orders.parquet"}},
+        "Transformations": {"steps": [
+            {"id": "open", "type": "filter", "source_inputs": ["ORDERS"], "logic": {
+                "conditions": [{"field": "o_orderstatus", "operation": "!=", "value": "P"}]}},
+            {"id": "control", "type": "ctrl_file", "source_inputs": ["open"], "logic": {
+                "path": f"{base}/raw", "ctrl_file_name": "ORDERS.CTL", "ctrl_file_fields": fields}}]},
+        "Outputs": {"OUT": {"path": f"{base}/out", "source_inputs": ["control"]}}})
+    return spark.read.text(f"{base}/ORDERS.CTL")
+

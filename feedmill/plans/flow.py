@@ -6,10 +6,11 @@ import datetime as dt
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedmill.fields import Field, Layout
 from feedmill.functions.dates import dated_path
+from feedmill.operators.reconcile import compare_total, count_column, require_counts
 from feedmill.plans.steps import resolve_outputs, row_counts, run_steps
 from feedmill.sinks import fixed as fixed_sink
 from feedmill.sinks import tables as table_sinks
@@ -48,6 +49,38 @@ def declared_path(
     )
 
 
+def _require_count(spark: SparkSession, data: DataFrame, spec: Spec) -> None:
+    """Gate on the input's count file: a plain number, or a record with a count field."""
+    fields = spec.get("control_fields") or []
+    if fields:
+        record = read_fixed(spark, spec["count_file_path"], fields).data
+        expected = F.col(count_column([c for c in record.columns if c != "feed"]))
+    else:
+        record = spark.read.text(spec["count_file_path"])
+        expected = F.col("value")
+    require_counts(compare_total(data, expected, record))
+
+
+def write_curated_control(
+    df: DataFrame, spec: Spec, steps: list[Spec], run_date: dt.date, frames: Mapping[str, DataFrame], base: str = ""
+) -> None:
+    """The control file of an output, beside its directory, if a control step feeds it.
+
+    Its values come from the very rows that were written. A control step feeds an output
+    when the output names the step's result among its sources.
+    """
+    sources = spec.get("source_inputs") or []
+    for step in steps:
+        logic = {**{k: v for k, v in step.items() if k != "logic"}, **(step.get("logic") or {})}
+        if step.get("type") != "ctrl_file" or (step.get("output_alias") or step.get("id")) not in sources:
+            continue
+        if logic.get("ctrl_file_name") and logic.get("ctrl_file_fields"):
+            folder = declared_path(df.sparkSession, spec, run_date, base, output=True).rstrip("/").rpartition("/")[0]
+            table_sinks.write_control_file(
+                df, f"{folder}/{logic['ctrl_file_name']}", logic["ctrl_file_fields"], bool(logic.get("ctrl_include_header")),
+                frames.get(logic.get("header_input") or ""))
+
+
 def read_input(
     spark: SparkSession, name: str, spec: Spec, run_date: dt.date, base: str = ""
 ) -> dict[str, DataFrame]:
@@ -70,6 +103,8 @@ def read_input(
             _number(spec, "header_count"), _number(spec, "trailer_count"),
             spec.get("header_fields") or [], spec.get("trailer_fields") or [], unit,
         )
+        if spec.get("count_file_path"):
+            _require_count(spark, feed.data, spec)
         return {name: feed.data, f"{name}_header": feed.header, f"{name}_trailer": feed.trailer}
     if kind in ("cobol", "ebcdic"):
         options = spec.get("cobrix") or {}
@@ -139,7 +174,8 @@ def run_flow(
     inputs: dict[str, DataFrame] = {}
     for name, spec in (config.get("Inputs") or {}).items():
         inputs |= read_input(spark, name, spec, day, input_base)
-    named = run_steps(inputs, (config.get("Transformations") or {}).get("steps") or [], day)
+    steps = (config.get("Transformations") or {}).get("steps") or []
+    named = run_steps(inputs, steps, day)
     results = {k: df for k, df in named.items() if inputs.get(k) is not df}
     declared = config.get("Outputs") or {}
     outputs = resolve_outputs(inputs, results, declared)
@@ -147,4 +183,5 @@ def run_flow(
         return {"row_counts": row_counts(outputs)}
     for name, df in outputs.items():
         write_output(df, declared[name], day, output_base)
+        write_curated_control(df, declared[name], steps, day, inputs, output_base)
     return outputs

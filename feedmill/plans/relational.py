@@ -421,6 +421,15 @@ def join_skewed(spark, folder):
                    ["o_orderkey", "c_custkey", "c_mktsegment"], skew_parts=8)
 
 
+@query("join_skewed_right_side", f"""
+    SELECT c_custkey, o_orderkey
+    FROM {_CUSTOMERS} LEFT JOIN (SELECT o_orderkey, {_HOT} AS k FROM orders) o ON c_custkey = k""")
+def join_skewed_right_side(spark, folder):
+    """A hot key of the right side of a left join, which no engine splits by itself."""
+    return _joined(spark, folder, _moved_customers(spark, folder), _hot_orders(spark, folder),
+                   [["c_custkey", "o_custkey"]], "left", ["c_custkey", "o_orderkey"], skew_parts=8)
+
+
 @query("join_skewed_full", f"""
     SELECT o_orderkey, c_custkey, c_mktsegment
     FROM (SELECT o_orderkey, {_HOT} AS k FROM orders) o FULL JOIN {_CUSTOMERS} ON k = c_custkey""")

@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from feedmill.functions.dates import dated_path
+from feedmill.fields import Field
+from feedmill.functions.dates import dated_path, spark_pattern
 from feedmill.operators import aggregates, filters, joins, reconcile, sets, validate, verbs
 from feedmill.session import cut
 from feedmill.sinks.jdbc import load_table
@@ -94,8 +95,56 @@ def _custom(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame:
     raise ValueError(f"unknown custom operation '{op}'")
 
 
+# What a validate step knows; anything else is refused, so that no declared check is lost.
+_VALIDATE_KEYS = {
+    "source_inputs", "rules", "fail_mode", "mode", "on_invalid", "layout", "output_path", "validated_path", "error_path", "run_date",
+    "record_count_check", "record_count_trailer_field", "header_count", "trailer_count", "trailer_check", "trailer_count_field",
+    "previous_day_check", "last_run_check", "previous_day_file_path", "previous_day_file_name", "previous_day_frequency",
+    "previous_day_header_field", "last_run_file_path", "last_run_file_name", "last_run_frequency", "partition_column", "holidays",
+    "skip_weekends",
+}
+
+
+def _previous(df: DataFrame, logic: Mapping[str, Any], kind: str) -> None:
+    """Gate on the delivery of the business day before the run."""
+    spark, run_date = df.sparkSession, logic.get("run_date") or dt.date.today()
+    base = logic.get(f"{kind}_file_path")
+    if not base:
+        raise ValueError(f"'{kind}' check without '{kind}_file_path'")
+    frequency, name = logic.get(f"{kind}_frequency") or "", logic.get(f"{kind}_file_name") or ""
+    header = Field.of(logic["previous_day_header_field"]) if kind == "previous_day" and logic.get("previous_day_header_field") else None
+
+    def path_of(day: dt.date) -> str:
+        # A declared partition is an expression of the run date and is taken as it is.
+        if logic.get("partition_column"):
+            return dated_path(spark, base, frequency, run_date, logic["partition_column"], name)
+        return dated_path(spark, base, frequency, day, "load_date()", name)
+
+    def header_date(lines: DataFrame) -> Column:
+        text = F.trim(F.substring("value", header.start, header.length))
+        return F.try_to_date(text, spark_pattern(header.format or "yyyyMMdd"))
+
+    reconcile.require_continuity(reconcile.previous_delivery(
+        spark, run_date, path_of, header_date if header else None, logic.get("holidays") or [], bool(logic.get("skip_weekends"))))
+
+
 def _validate(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame:
+    """Validation of one input, after its gates: the previous delivery, and record counts.
+
+    ``trailer_check`` compares each feed's trailer with the rows that pass all rules.
+    """
     df = _source(frames, step, logic)
+    unknown = {k for k in logic if not k.startswith("_")} - _VALIDATE_KEYS
+    if unknown:
+        raise ValueError(f"step '{_alias(step)}': unknown validation options {sorted(unknown)}")
+    for kind, wanted in (("previous_day", logic.get("previous_day_check")), ("last_run", logic.get("last_run_check"))):
+        if wanted:
+            _previous(df, logic, kind)
+    if logic.get("trailer_check"):
+        name = next(n for n in _names(step, logic) if n in frames)
+        reconcile.require_counts(reconcile.compare_counts(
+            last_per_feed(_frame(frames, f"{name}_trailer")), validate.accepted(df, logic.get("rules") or []),
+            logic.get("trailer_count_field"), int(logic.get("header_count") or 0) + int(logic.get("trailer_count") or 0)))
     if logic.get("record_count_check"):
         name = next(n for n in _names(step, logic) if n in frames)
         reconcile.require_counts(

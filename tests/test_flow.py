@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from feedmill.operators.reconcile import CountMismatch
+from feedmill.operators.reconcile import BrokenContinuity, CountMismatch
 from feedmill.plans.flow import declared_path, read_input, run_flow
 from feedmill.plans.steps import run_steps
 
@@ -109,3 +109,51 @@ def test_stored_step(spark):
               "conditions": [{"field": "id", "operation": "<", "value": 3}]}]
     stored = run_steps({"d": spark.range(9)}, steps)["s"]
     assert stored.count() == 3 and "Range" not in stored._jdf.queryExecution().toString()
+
+
+def _checked_flow(tmp_path, **options):
+    config = _feed_config(tmp_path)
+    config["Transformations"]["steps"][0]["logic"] |= options
+    return config
+
+
+def test_declared_checks_are_gates(spark, tmp_path):
+    _feed(tmp_path / "F.DAT", 5, 7)
+    before = tmp_path / "prev" / "DAILY" / "20260228"
+    before.mkdir(parents=True)
+    previous = {"previous_day_check": True, "previous_day_file_path": str(tmp_path / "prev"), "previous_day_frequency": "DAILY",
+                "previous_day_file_name": "F.DAT",
+                "previous_day_header_field": {"name": "FILE-DATE", "start": 4, "length": 8, "format": "YYYYMMDD"}}
+    with pytest.raises(BrokenContinuity, match="missing"):
+        run_flow(spark, _checked_flow(tmp_path, **previous), dt.date(2026, 3, 1))
+    (before / "F.DAT").write_text("HDR20260227\nx\n")
+    with pytest.raises(BrokenContinuity, match="wrong_date"):
+        run_flow(spark, _checked_flow(tmp_path, **previous), dt.date(2026, 3, 1))
+    (before / "F.DAT").write_text("HDR20260228\nx\n")
+    run_flow(spark, _checked_flow(tmp_path, **previous), dt.date(2026, 3, 1))
+    last = {"last_run_check": True, "last_run_file_path": str(tmp_path / "prev"), "last_run_frequency": "DAILY"}
+    run_flow(spark, _checked_flow(tmp_path, **last), dt.date(2026, 3, 1))
+    with pytest.raises(BrokenContinuity, match="missing"):
+        run_flow(spark, _checked_flow(tmp_path, **last), dt.date(2026, 3, 5))
+    with pytest.raises(ValueError, match="unknown validation options"):
+        run_flow(spark, _checked_flow(tmp_path, previous_dya_check=True), DAY)
+
+
+def test_trailer_counts_valid_rows(spark, tmp_path):
+    _feed(tmp_path / "F.DAT", 5, 7)
+    good = {"trailer_check": True, "trailer_count_field": "REC-CNT"}
+    run_flow(spark, _checked_flow(tmp_path, **good), DAY)
+    rules = [{"field": "ID", "check": "in_range", "params": {"min": 1}}]
+    with pytest.raises(CountMismatch):
+        run_flow(spark, _checked_flow(tmp_path, **good, rules=rules), DAY)
+
+
+def test_count_file_of_an_input(spark, tmp_path):
+    _feed(tmp_path / "F.DAT", 5, 7)
+    config = _feed_config(tmp_path)
+    config["Inputs"]["F"]["count_file_path"] = str(tmp_path / "F.CNT")
+    (tmp_path / "F.CNT").write_text("5\n")
+    run_flow(spark, config, DAY)
+    (tmp_path / "F.CNT").write_text("6\n")
+    with pytest.raises(CountMismatch):
+        run_flow(spark, config, DAY)

@@ -242,3 +242,15 @@ def test_outputs(txn, spark):
         resolve_outputs(inputs, {**results, "b": txn}, {"REPORT": {}})
     counts = {r.output: r.row_count for r in row_counts({"a": other, "IN": txn}).collect()}
     assert counts == {"a": 2, "IN": 5}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_hot_keys_of_either_side(spark, how):
+    """Keys hot on the left, on the right, on both and on neither, and no key at all."""
+    left = spark.range(400).selectExpr("case when id % 4 = 0 then 1 when id % 4 = 1 then 2 when id % 9 = 0 then null else id end as k", "id as l")
+    right = spark.range(300).selectExpr("case when id % 3 = 0 then 2 when id % 3 = 1 then 3 when id % 7 = 0 then null else id end as k", "id as r")
+    right = right.unionByName(spark.createDataFrame([(1, -1), (77, -2)], "k long, r long"))
+    wanted = left.join(right, left.k == right.k, {"full": "full_outer"}.get(how, how))
+    got = join_frames(left, right, [["k", "k"]], how, skew_parts=4)
+    order = lambda df: sorted(map(str, map(tuple, df.collect())))
+    assert order(got) == order(wanted)
