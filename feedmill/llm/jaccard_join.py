@@ -257,7 +257,7 @@ def shared_grams(texts: DataFrame, words: int, threshold: int, frequent: np.ndar
         order = np.argsort(codes, kind="stable")
         full, codes, sizes, ranks = full[order], codes[order], sizes[order], ranks[order]
         starts = np.nonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))[0] if len(codes) else np.empty(0, dtype=np.int64)
-        ends = np.append(starts[1:], len(codes))
+        ends = np.append(starts[1:], len(codes)) if len(codes) else starts
         return pa.Table.from_pydict({
             "code": pa.array(codes[starts], pa.int64()), "n": pa.array(sizes[starts].astype(np.int64), pa.int64()),
             "held": pa.array(np.zeros(len(starts), dtype=np.int64)),
