@@ -15,8 +15,8 @@ KINDS = {
     "record_count": ("record_count_check_failed", "CRITICAL"),
     "generic": ("generic", "MEDIUM"),
 }
-# Fixed value: first part of every alert key.
-KEY_PREFIX = "dataflow"
+# First part of every alert key, unless a caller has one of its own.
+KEY_PREFIX = "feedmill"
 
 
 def alerts(
@@ -27,6 +27,7 @@ def alerts(
     summary: Column,
     tags: dict[str, Column] | None = None,
     severity: str | None = None,
+    prefix: str = KEY_PREFIX,
 ) -> DataFrame:
     """One alert per finding; the same finding always gets the same key.
 
@@ -43,7 +44,7 @@ def alerts(
     for name, value in (tags or {}).items():
         pairs += [F.lit(name), value.cast("string")]
     return findings.select(
-        F.concat_ws(".", F.lit(KEY_PREFIX), F.lit(flow), subject, F.lit(suffix)).alias("alert_key"),
+        F.concat_ws(".", F.lit(prefix), F.lit(flow), subject, F.lit(suffix)).alias("alert_key"),
         F.lit(kind).alias("kind"),
         F.lit(level).alias("severity"),
         F.lit(SEVERITIES[level]).alias("severity_code"),

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import SparkRuntimeException
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -237,7 +238,7 @@ def test_compare_counts_keeps_every_feed(spark):
         reconcile.require_counts(out)
     assert reconcile.require_counts(out.filter("matches")).count() == 2
     keys = {r.alert_key for r in alerts.count_alerts(out, "flow").collect()}
-    assert keys == {f"dataflow.flow.{f}.record_count_check_failed" for f in "bd"}
+    assert keys == {f"feedmill.flow.{f}.record_count_check_failed" for f in "bd"}
     with pytest.raises(ValueError, match="no count column"):
         reconcile.count_column(["A", "B"])
 
@@ -264,13 +265,13 @@ def test_missing_dates_and_continuity_skip_closed_days(spark):
 def test_missing_date_alerts(spark, kind, suffix):
     days = spark.createDataFrame([(dt.date(2026, 3, 4),)], "missing_date date")
     row = alerts.missing_date_alerts(days, "flow", "F.DAT", kind).first()
-    assert (row.alert_key, row.severity) == (f"dataflow.flow.F.DAT.2026-03-04.{suffix}", "CRITICAL")
+    assert (row.alert_key, row.severity) == (f"feedmill.flow.F.DAT.2026-03-04.{suffix}", "CRITICAL")
 
 
 def test_alert_levels(spark):
     one = spark.range(1)
     row = alerts.alerts(one, "generic", "f", F.lit("s"), F.lit("text"), {"n": F.col("id")}, "low").first()
-    assert (row.severity_code, row.alert_key, row.tags) == (2, "dataflow.f.s.generic", {"pipeline": "f", "n": "0"})
+    assert (row.severity_code, row.alert_key, row.tags) == (2, "feedmill.f.s.generic", {"pipeline": "f", "n": "0"})
     assert alerts.SEVERITIES["HIGH"] == 4
     for kind, level in (("nope", None), ("generic", "URGENT")):
         with pytest.raises(ValueError):
@@ -412,3 +413,15 @@ def test_dated_range_opens_only_wanted_days(spark, tmp_path):
     feed = read_dated(spark, str(tmp_path), "daily", days_between(dt.date(2026, 3, 1), dt.date(2026, 3, 2)), _PLAIN)
     assert sorted(r.load_date for r in feed.data.collect()) == ["20260301", "20260302"]
     assert len(feed.data.inputFiles()) == 2
+
+
+def test_header_references_stay_with_their_feed(spark):
+    data = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5)], "feed string, N int")
+    header = spark.createDataFrame([("a", 0, "20260301"), ("a", 1, "x"), ("b", 0, "20260302")], "feed string, line_no int, FILE_DATE string")
+    fields = [{"name": "CNT", "type": "INT", "length": 3}, {"name": "DAY", "length": 8, "expression": "first(FILE-DATE)"}]
+    lines = totals.control_lines_by(data, ["feed"], fields, header)
+    assert {r.feed: r.value for r in lines.collect()} == {"a": "00220260301", "b": "00120260302"}
+    # Spark wraps what a scalar subquery raises.
+    with pytest.raises(Py4JJavaError, match="several feeds"):
+        totals.control_line(data, fields, header=header).collect()
+    assert totals.control_line(data, fields, header=header.where("feed = 'a'")).first().value == "00320260301"
