@@ -46,9 +46,29 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="feedmill-")
 
 
+# Folders handed out, by application, until they are cleaned up.
+_handed_out: dict[str, list[str]] = {}
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, until :func:`clean_up`."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete every folder this process has handed out in this application; returns how many.
+
+    Block tables, stored steps and feeds in the shared folder are needed as long as a
+    frame that starts from them is; call this when the results are written.
+    """
+    context = spark.sparkContext
+    paths = _handed_out.pop(context.applicationId, [])
+    for path in paths:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
 
 
 def pin_scan_splits(spark: SparkSession) -> None:

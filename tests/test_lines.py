@@ -1,10 +1,12 @@
 """Positions and envelopes over many files and many blocks."""
 
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from feedmill import session
 from feedmill.plans.fixtures import ORDER_HEADER, ORDER_TRAILER
 from feedmill.sinks.fixed import write_feeds, write_fixed
 from feedmill.sources.fixed import absolute_offset, last_per_feed, read_fixed
@@ -155,3 +157,12 @@ def test_many_feeds_one_of_them_hot(spark, small_splits, tmp_path, key):
         assert lines[0] == "HDR20260301".ljust(20)
         assert lines[-1] == f"TRL{len(expected[k]) + 2:010d}".ljust(20)
         assert [int(v) for v in lines[1:-1]] == expected[k]
+
+
+def test_clean_up_deletes_what_was_stored(spark, monkeypatch):
+    monkeypatch.setattr(session, "_handed_out", {})
+    kept = session.cut(spark.range(3))
+    path = session._handed_out[spark.sparkContext.applicationId][0]
+    assert kept.count() == 3 and os.path.isdir(path)
+    assert session.clean_up(spark) == 1 and not os.path.exists(path)
+    assert session.clean_up(spark) == 0
