@@ -58,8 +58,9 @@ _CUE = re.compile(r"(?<![a-z])(?:" + "|".join(map(re.escape, CUES)) + r")(?![a-z
 # A candidate is a span if its probability is at least this.
 ACCEPT = 0.5
 LABELERS = 4
-# The classifier's features: kind (7), digits (6), length (6), cue (2), marks around (3), mixed letters and digits (2).
-_FEATURES = (7, 6, 6, 2, 3, 2)
+# The classifier's features: kind (7), digits (6), length (6), cue (2), marks around (3), mixed letters and digits (2),
+# a right check digit (2).
+_FEATURES = (7, 6, 6, 2, 3, 2, 2)
 
 
 def luhn(digits: str) -> bool:
@@ -154,7 +155,7 @@ def _describe(text: str, kind: str, start: int, end: int) -> tuple[int, int]:
     for vote in (form, gazetteer, context, shape):
         votes = votes * 3 + vote + 1
     features = 0
-    values = ((*KINDS, *ADDED).index(kind), _digits_class(digits), _size_class(len(span)), int(cue), marks, mixed)
+    values = ((*KINDS, *ADDED).index(kind), _digits_class(digits), _size_class(len(span)), int(cue), marks, mixed, int(len(number) >= 13 and luhn(number)))
     for size, value in zip(_FEATURES, values, strict=True):
         features = features * size + value
     return votes, features
@@ -208,10 +209,10 @@ def estimate_reliabilities(patterns: dict[int, int], rounds: int = 100) -> tuple
         like = np.stack([prior[y] * table[y][np.arange(LABELERS), votes].prod(axis=1) for y in (0, 1)], axis=1)
         post = like / like.sum(axis=1, keepdims=True)
         mass = post * counts[:, None]
-        # A prior of some votes keeps each labeler better than chance.
+        # A prior of some votes keeps each labeler better than chance where there are few spans.
         for y in (0, 1):
             for j in range(LABELERS):
-                got = np.bincount(votes[:, j], weights=mass[:, y], minlength=3) + (np.array([4, 2, 1]) if y == 0 else np.array([1, 2, 4]))
+                got = np.bincount(votes[:, j], weights=mass[:, y], minlength=3) + (np.array([20, 10, 5]) if y == 0 else np.array([5, 10, 20]))
                 table[y, j] = got / got.sum()
         prior = (mass.sum(axis=0) + 1) / (mass.sum() + 2)
     return dict(zip(keys.tolist(), post[:, 1].tolist(), strict=True)), table
@@ -225,7 +226,7 @@ def _one_hot(features: np.ndarray) -> np.ndarray:
     return np.concatenate([*parts, np.ones((len(features), 1))], axis=1)
 
 
-def train_classifier(features: np.ndarray, truth: np.ndarray, weight: np.ndarray, rounds: int = 400, ridge: float = 1.0) -> np.ndarray:
+def train_classifier(features: np.ndarray, truth: np.ndarray, weight: np.ndarray, rounds: int = 400, ridge: float = 0.1) -> np.ndarray:
     """Weights of the logistic classifier of span features, from soft labels."""
     x = _one_hot(features)
     w = np.zeros(x.shape[1])
@@ -253,8 +254,11 @@ def learn(spans: DataFrame) -> dict[int, float]:
     likely, _ = estimate_reliabilities(votes)
     features = np.array([r["features"] for r in rows], dtype=np.int64)
     counts = np.array([r["n"] for r in rows], dtype=np.float64)
-    w = train_classifier(features, np.array([likely[r["votes"]] for r in rows]), counts)
     known = np.unique(features)
+    # One span of every pattern that is no personal data: a pattern must earn its place.
+    w = train_classifier(
+        np.concatenate([features, known]), np.concatenate([[likely[r["votes"]] for r in rows], np.zeros(len(known))]),
+        np.concatenate([counts, np.ones(len(known))]))
     return dict(zip(known.tolist(), (1 / (1 + np.exp(-_one_hot(known) @ w))).tolist(), strict=True))
 
 
@@ -297,10 +301,10 @@ def mask(docs: DataFrame, *, text_col: str = "text", accept: float = ACCEPT) ->
     """``docs`` with every span of its text replaced by its kind in angle brackets, such as
     ``<EMAIL>``; where spans overlap, the stretch they cover becomes the first one's kind.
     Null texts stay null."""
-    name = next(c for k in range(len(docs.columns) + 1) if (c := f"_text_{k}") not in docs.columns)
-    found = detect(docs.withColumn(name, F.col(text_col)), text_col=name, accept=accept)
-    place = found.columns.index(text_col)
-    columns = docs.columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(text_col).alias("text"))
+    found = detect(packed, accept=accept).select("whole", "base", "added")
+    place = docs.columns.index(text_col)
+    names = docs.columns
 
     def replaced(text: str | None, spans: list[dict]) -> str | None:
         if not text or not spans:
@@ -314,10 +318,10 @@ def mask(docs: DataFrame, *, text_col: str = "text", accept: float = ACCEPT) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            base, added = batch.column("base").to_pylist(), batch.column("added").to_pylist()
-            new = pa.array([replaced(t, b + a) for t, b, a in zip(texts, base, added, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [new if c == text_col else batch.column(c) for c in columns], names=columns)
+            columns = batch.column(0).flatten()
+            base, added = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            texts = columns[place].to_pylist()
+            columns[place] = pa.array([replaced(t, b + a) for t, b, a in zip(texts, base, added, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return found.select(*columns, "base", "added").mapInArrow(run, docs.schema)
+    return found.mapInArrow(run, docs.schema)
