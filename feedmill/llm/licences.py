@@ -201,7 +201,11 @@ def train_model(docs: DataFrame, *, text_col: str = "text", sample: int = SAMPLE
     rng = np.random.default_rng(seed)
     lines = F.split(F.col(text_col), "\n")
     middle = F.substring(F.get(lines, (F.size(lines) / 2).cast("int")), 1, 400)
-    rows = docs.where(F.length(text_col) > 0).select(middle.alias("p"), F.xxhash64(text_col).alias("k")).where("length(p) > 0").orderBy("k", "p").limit(sample).collect()
+    # Few more than the sample pass the hash, so that no task sends the driver a sample of its own.
+    keep = min(1_000_000, 1 + (2 * sample + 100) * 1_000_000 // max(1, docs.count()))
+    chosen = docs.where(F.length(text_col) > 0).select(middle.alias("p"), F.xxhash64(text_col).alias("k"))
+    chosen = chosen.where((F.length("p") > 0) & (F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < keep)).distinct()
+    rows = chosen.orderBy("k", "p").limit(sample).collect()
     families = [*sorted(TEMPLATES), NONE]
     model = LicenceModel(families)
     plain = [w for r in rows if (w := words_of(r["p"])) and not (model.signs & set(w))]
