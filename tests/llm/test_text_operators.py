@@ -158,6 +158,22 @@ def test_op5_query(spark, documents):
     assert not re.search("Python|InPandas|InArrow|Cartesian|NestedLoop", plan)
 
 
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_bad_texts_are_dropped_at_every_size(spark, scale):
+    folder = FOLDER.replace("sf0.001", scale)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    judged = [r for r in QUERIES["op5_quality_rules"](spark, folder).select("doc_id", "base_failed", "kept").collect() if not r.base_failed]
+    bad, good = ([r.kept for r in judged if labels.get(r.doc_id) == q] for q in (0, 1))
+    assert sum(bad) <= 0.1 * len(bad) and sum(good) == len(good)
+
+
+def test_rare_buckets_are_joined_by_shuffle(spark, odd, nothing):
+    trusted = spark.createDataFrame([(6,), (1,)], "doc_id long")
+    for broadcast in (0, 100, 5000):
+        check_quality([(r[0], r[1]) for r in ROWS], {6, 1}, quality.apply_rules(odd, trusted, buckets=quality.BUCKETS, broadcast=broadcast).collect())
+    assert quality.apply_rules(nothing, trusted, broadcast=100).collect() == []
+
+
 # ---- languages ------------------------------------------------------------------
 
 def test_op7_query(spark):
