@@ -44,9 +44,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Repetitions are bounded, so that no text makes a search go back far.
 _EMAIL_WORDS = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}"
-    r"(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,63})+")
+    r"(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,63})+", re.IGNORECASE)
+_DOT = re.compile("dot", re.IGNORECASE)
 _NUMBER = re.compile(r"[0-9](?<![0-9A-Za-z.][0-9])(?:[ ()./-]{0,2}[0-9]){6,18}(?![0-9A-Za-z])")
-_SECRET = re.compile(r"(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|key)\s{0,2}[:=]\s{0,2}[\"']?([A-Za-z0-9_/+=-]{8,128})")
+_SECRET = re.compile(r"(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|key)\s{0,2}[:=]\s{0,2}[\"']?([A-Za-z0-9_/+=-]{8,128})", re.IGNORECASE)
 
 # Words that announce personal data, and public suffixes that are common.
 CUES = ("mail", "e-mail", "email", "contact", "write", "phone", "tel", "call", "mobile", "fax", "card", "visa", "account", "iban",
@@ -101,7 +102,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def candidate_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans that only the method can accept; none overlaps a base span."""
-    found = [("email_words", *m.span()) for m in _EMAIL_WORDS.finditer(text)] if "dot" in text else []
+    found = [("email_words", *m.span()) for m in _EMAIL_WORDS.finditer(text)] if _DOT.search(text) else []
     if _DIGIT.search(text):
         found += [("number", *m.span()) for m in _NUMBER.finditer(text)]
     if "=" in text or ":" in text:

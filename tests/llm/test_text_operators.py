@@ -87,6 +87,21 @@ def test_op4_query(spark, documents):
         assert {("secret", *k) for k in keys} == {(k, int(a), int(b)) for k, a, b in (s.split(":") for s in added)}
 
 
+def with_documents(spark, documents, *texts):
+    """The texts, under negative ids, masked among the documents they are judged with."""
+    extra = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    masked = personal_data.mask(documents.select("doc_id", "text").unionByName(extra)).where("doc_id < 0")
+    return [r.text for r in masked.orderBy("doc_id", ascending=False).collect()]
+
+
+def test_keys_and_addresses_in_any_case(spark, documents):
+    value = "9233A8ECF7C5D1B04E6F9233A8ECF7C5D1B04E6F"
+    found = with_documents(spark, documents, f'TOKEN = "{value}"', f'Api_Key = "{value}"', f'token = "{value.lower()}" and Token = "{value}"')
+    assert found == ['TOKEN = "<SECRET>"', 'Api_Key = "<SECRET>"', 'token = "<SECRET>" and Token = "<SECRET>"']
+    for text in ("jane.doe AT example DOT com", "jane.doe(AT)example(DOT)com", "jane.doe [at] example [dot] com"):
+        assert personal_data.candidate_spans(text, []) == [("email_words", 0, len(text))]
+
+
 def test_em_finds_the_bad_labeler():
     # Labelers 0, 1 and 2 agree with the truth, labeler 3 votes at random.
     patterns = {}
