@@ -41,13 +41,13 @@ _DIGIT = re.compile(r"[0-9]")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Candidates: an address in words, a long number that is no card, a key after its name.
-# Repetitions are bounded, so that no text makes a search go back far.
+# Repetitions are bounded, or of one class up to its end, so that no text makes a search go back far.
 _EMAIL_WORDS = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}"
     r"(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,63})+", re.IGNORECASE)
 _DOT = re.compile("dot", re.IGNORECASE)
 _NUMBER = re.compile(r"[0-9](?<![0-9A-Za-z.][0-9])(?:[ ()./-]{0,2}[0-9]){6,18}(?![0-9A-Za-z])")
-_SECRET = re.compile(r"(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|key)\s{0,2}[:=]\s{0,2}[\"']?([A-Za-z0-9_/+=-]{8,128})", re.IGNORECASE)
+_SECRET = re.compile(r"(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|key)\s{0,2}[:=]\s{0,2}[\"']?([A-Za-z0-9_/+=.-]{7,}[A-Za-z0-9_/+=-])", re.IGNORECASE)
 
 # Words that announce personal data, and public suffixes that are common.
 CUES = ("mail", "e-mail", "email", "contact", "write", "phone", "tel", "call", "mobile", "fax", "card", "visa", "account", "iban",
@@ -109,7 +109,8 @@ def candidate_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[s
         found += [("secret", *m.span(1)) for m in _SECRET.finditer(text)]
     taken = sorted((s, e) for _, s, e in base)
     out, k = [], 0
-    for kind, start, end in sorted(found, key=lambda x: (x[1], x[2], x[0])):
+    # Of candidates that start together the longest counts: a key may begin as a number does.
+    for kind, start, end in sorted(found, key=lambda x: (x[1], -x[2], x[0])):
         while k < len(taken) and taken[k][1] <= start:
             k += 1
         if (k == len(taken) or taken[k][0] >= end) and (not out or out[-1][2] <= start):
@@ -156,9 +157,11 @@ def _describe(text: str, kind: str, start: int, end: int) -> tuple[int, int]:
     for vote in (form, gazetteer, context, shape):
         votes = votes * 3 + vote + 1
     features = 0
-    values = ((*KINDS, *ADDED).index(kind), _digits_class(digits), _size_class(len(span)), int(cue), marks, mixed, int(len(number) >= 13 and luhn(number)))
-    for size, value in zip(_FEATURES, values, strict=True):
-        features = features * size + value
+    # A key that is longer than most is as much a key.
+    size = _size_class(min(len(span), 63) if kind == "secret" else len(span))
+    values = ((*KINDS, *ADDED).index(kind), _digits_class(digits), size, int(cue), marks, mixed, int(len(number) >= 13 and luhn(number)))
+    for base, value in zip(_FEATURES, values, strict=True):
+        features = features * base + value
     return votes, features
 
 

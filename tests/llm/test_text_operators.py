@@ -102,6 +102,18 @@ def test_keys_and_addresses_in_any_case(spark, documents):
         assert personal_data.candidate_spans(text, []) == [("email_words", 0, len(text))]
 
 
+def test_keys_go_to_their_end(spark):
+    # The smallest table has no key, so nothing to learn keys from.
+    documents = spark.read.parquet(FOLDER.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    jwt = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6IkpvaG4ifQ.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"
+    long = "".join(hashlib.sha256(str(k).encode()).hexdigest() for k in range(5))[:298] + "=="
+    uuid = "12345678-9abc-4def-8123-456789abcdef"
+    found = with_documents(spark, documents, f"token: {jwt}.", f'secret = "{long}"', f"token = {uuid} ends")
+    assert found == ["token: <SECRET>.", 'secret = "<SECRET>"', "token = <SECRET> ends"]
+    for text in ("token=" + "." * 200_000, "token=a" + ".a" * 100_000, "key:" * 50_000):
+        personal_data.candidate_spans(text, [])
+
+
 def test_em_finds_the_bad_labeler():
     # Labelers 0, 1 and 2 agree with the truth, labeler 3 votes at random.
     patterns = {}
