@@ -1,12 +1,14 @@
 """Licence scans by a trained paragraph classifier.
 
-A text is cut into paragraphs at line breaks. Word n-grams of a paragraph are hashed to a
-sparse vector; a multinomial logistic regression gives the probability of every licence
-family and of none. It is trained on variations of the families' template sentences
-against paragraphs drawn from the corpus. Probabilities are calibrated on held-out
-variations and paragraphs by one temperature, and a paragraph whose best probability stays
-below the limit is unknown. A prediction counts only if the paragraph also compares well
-with one of the family's templates, in words.
+A text is cut into paragraphs at blank lines. Around each word that is a sign of a template,
+the stretch that holds most of the template's words is a candidate, across line breaks.
+Word n-grams of a stretch are hashed to a sparse vector; a multinomial logistic regression
+gives the probability of every licence family and of none. It is trained on variations of
+the families' template sentences against paragraphs drawn from the corpus. Probabilities
+are calibrated on held-out variations and paragraphs by one temperature, and a stretch whose
+best probability stays below the limit is unknown. A prediction counts only if the stretch
+compares well with a template of that family, in words. A paragraph may state any number of
+families.
 """
 
 from __future__ import annotations
@@ -24,44 +26,78 @@ from feedmill.llm.tables import text_of
 
 # Sentences by which licences are stated, by SPDX family.
 TEMPLATES: dict[str, tuple[str, ...]] = {
+    "AGPL": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "GNU Affero General Public License.",
+        "AGPL",
+        "AGPLv3",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+        "Apache License.",
+        "Apache-2.0",
     ),
     "BSD": (
         "Released under the BSD License.",
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "BSD License.",
+        "BSD-2-Clause",
+        "BSD-3-Clause",
     ),
     "CC-BY": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
+        "CC-BY-4.0",
     ),
     "CC-BY-NC": (
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0.",
+        "CC-BY-NC-4.0",
     ),
     "CC-BY-SA": (
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Licensed under CC BY-SA 4.0.",
+        "CC-BY-SA-4.0",
     ),
     "CC0": (
         "This work is dedicated to the public domain under CC0 1.0.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
+        "CC0",
+        "Released into the public domain.",
+        "Dedicated to the public domain.",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
+        "GNU General Public License.",
+        "GPL",
+        "GPLv2",
+        "GPLv3",
     ),
     "LGPL": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
+        "GNU Lesser General Public License.",
+        "LGPL",
+        "LGPLv2",
+        "LGPLv2.1",
+        "LGPLv3",
     ),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
+        "MIT License.",
+        "Licensed under MIT.",
+        "SPDX-License-Identifier: MIT",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Mozilla Public License.",
+        "MPL",
+        "MPLv2",
+        "MPLv2.0",
     ),
     "Proprietary": (
         "All rights reserved.",
@@ -69,6 +105,12 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
 }
 NONE = "none"
+# Words of templates that any text has; none of them is a sign.
+COMMON = frozenset(
+    "a and any all as associated at author be binary by can charge compliance conditions copying copyright documentation except extent file files "
+    "following for form forms foundation free general granted hereby in international into is it law library license licensed may met modification modify not "
+    "obtaining of or permitted person possible program provided public published redistribute related released software source strictly subject "
+    "terms that the this to under use v version with without work you code are has copy identifier".split())
 # What variations of a template may begin with.
 OPENINGS = ("", "This file is ", "The text is ", "This document is ", "Copyright 2020 The authors. ", "(c) 2019 Example Corp. ", "Note: ")
 FEATURES = 1 << 15
@@ -78,14 +120,20 @@ VARIATIONS = 120
 # Least calibrated probability, and least share of a template's words, of an accepted family.
 CERTAIN = 0.6
 LIKENESS = 0.6
-# A paragraph is compared in windows of this many words, half overlapping, so that a
-# licence line inside a long paragraph weighs as much as one that stands alone.
+# Words of the corpus's paragraphs in an example. Findings of one family that are nearer are one.
 WINDOW_WORDS = 32
-_WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_WORD = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*")
+_BLANK = re.compile(r"\n[^A-Za-z0-9\n]*(?=\n)")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
+
+
+def signs_of(family: str, template: set[str], templates: dict[str, list[set[str]]]) -> set[str]:
+    """The template's words, of those that not any text has, that the fewest other families use."""
+    others = {w: sum(any(w in t for t in own) for name, own in templates.items() if name != family) for w in template - COMMON - set("0123456789")}
+    return {w for w, n in others.items() if n == min(others.values()) and not re.fullmatch("[0-9.]+", w)}
 
 
 def features(words: list[str], size: int = FEATURES) -> np.ndarray:
@@ -102,11 +150,13 @@ class LicenceModel:
         self.weights = np.zeros((size, len(families)), dtype=np.float32)
         self.bias = np.zeros(len(families), dtype=np.float32)
         self.templates = {f: [set(words_of(t)) for t in TEMPLATES.get(f, ())] for f in families}
-        # Words that no other family's templates and hardly any text has: one of them must
-        # be in a paragraph before it is looked at closely.
-        self.signs = set().union(*(t for own in self.templates.values() for t in own)) & {
-            "licensed", "license", "licence", "rights", "copyright", "permission", "redistribution", "cc", "cc0", "gnu", "mozilla", "apache", "mit", "bsd",
-            "waived", "prohibited", "dedicated"}
+        # A stretch is looked at closely around a word that is a sign of a template.
+        self.by_sign: dict[str, list[tuple[str, set[str]]]] = {}
+        for family, own in self.templates.items():
+            for template in own:
+                for sign in signs_of(family, template, self.templates):
+                    self.by_sign.setdefault(sign, []).append((family, template))
+        self.signs = set(self.by_sign)
 
     def logits(self, rows: list[np.ndarray]) -> np.ndarray:
         out = np.tile(self.bias, (len(rows), 1))
@@ -147,34 +197,72 @@ class LicenceModel:
         self.temperature = best[1]
 
     def scan(self, text: str, certain: float = CERTAIN, likeness: float = LIKENESS) -> list[tuple[str, int, int, float, float]]:
-        """family, start, end, probability and likeness of every paragraph that states one."""
+        """family, start, end, probability and likeness of every statement of a licence."""
         out = []
         at = 0
-        for paragraph in text.split("\n"):
-            start, at = at, at + len(paragraph) + 1
-            lower = paragraph.lower()
-            if not any(sign in lower for sign in self.signs):
-                continue
-            words = words_of(paragraph)
-            pieces = [words[k:k + WINDOW_WORDS] for k in range(0, max(1, len(words) - WINDOW_WORDS // 2), WINDOW_WORDS // 2)]
-            pieces = [p for p in pieces if self.signs & set(p)]
-            if not pieces:
-                continue
-            chances = self.probabilities([features(p, self.size) for p in pieces])
-            best: tuple[str, int, int, float, float] | None = None
-            for piece, chance in zip(pieces, chances, strict=True):
-                k = int(chance.argmax())
-                family = self.families[k]
-                if family == NONE or chance[k] < certain:
-                    continue
-                own = set(piece)
-                like = max(len(t & own) / len(t) for t in self.templates[family])
-                if like >= likeness and (best is None or (float(chance[k]), like) > best[3:]):
-                    best = (family, start, start + len(paragraph), float(chance[k]), like)
-            if best:
-                out.append(best)
+        for blank in [*_BLANK.finditer(text), None]:
+            start, end = at, blank.start() if blank else len(text)
+            at = blank.end() if blank else end
+            lower = text[start:end].lower()
+            if any(sign in lower for sign in self.signs):
+                out += self._statements(text, start, end, certain, likeness)
         return out
 
+    def _statements(self, text: str, start: int, end: int, certain: float, likeness: float) -> list[tuple[str, int, int, float, float]]:
+        """``scan`` of one paragraph."""
+        places = [m.span() for m in _WORD.finditer(text, start, end)]
+        words = [text[a:b].lower() for a, b in places]
+        found: dict[tuple[int, int, str], tuple[int, float, float]] = {}
+        known: dict[tuple[str, ...], np.ndarray] = {}
+        for at, word in enumerate(words):
+            for family, template in self.by_sign.get(word, ()):
+                stretch = _stretch(words, at, template)
+                own = template & set(words[stretch[0]:stretch[1]])
+                # Of a short form no word may lack.
+                if len(own) < (len(template) if len(template) < 5 else likeness * len(template)):
+                    continue
+                piece = tuple(words[stretch[0]:stretch[1]])
+                if piece not in known:
+                    known[piece] = self.probabilities([features(list(piece), self.size)])[0]
+                k = int(known[piece].argmax())
+                if self.families[k] == family and known[piece][k] >= certain:
+                    found[(*stretch, family)] = max(found.get((*stretch, family), (0, 0.0, 0.0)), (len(own), len(own) / len(template), float(known[piece][k])))
+        # Where stretches of two families overlap, the one with more words of its template stands.
+        taken: list[tuple[int, int, str, float, float]] = []
+        held = np.zeros(len(words), dtype=np.int64)
+        number = {f: k + 1 for k, f in enumerate(self.families)}
+        for (a, b, family), (_, like, chance) in sorted(found.items(), key=lambda x: (x[1][0], x[1][1:], x[0]), reverse=True):
+            if np.isin(held[a:b], (0, number[family])).all():
+                held[a:b] = number[family]
+                taken.append((a, b, family, chance, like))
+        out: list[list] = []
+        for a, b, family, chance, like in sorted(taken):
+            if out and out[-1][0] == family and a - out[-1][2] < WINDOW_WORDS:
+                out[-1] = [family, out[-1][1], max(b, out[-1][2]), *max((chance, like), tuple(out[-1][3:]))]
+            else:
+                out.append([family, a, b, chance, like])
+        return [(family, places[a][0], places[b - 1][1], chance, like) for family, a, b, chance, like in out]
+
+
+def _stretch(words: list[str], at: int, template: set[str]) -> tuple[int, int]:
+    """The shortest stretch around word ``at`` with most of the template's words, of at most
+    half as many words again."""
+    most = len(template) + len(template) // 2 + 1
+    near = [k for k in range(max(0, at - most + 1), min(len(words), at + most)) if words[k] in template]
+    best = (1, -1, at)
+    for j, first in enumerate(near):
+        if first > at:
+            break
+        seen: set[str] = set()
+        for last in near[j:]:
+            if last - first >= most:
+                break
+            if words[last] not in seen:
+                seen.add(words[last])
+                if last >= at:
+                    best = max(best, (len(seen), first - last - 1, first))
+    return best[2], best[2] - best[1]
+
 
 def variations(template: str, count: int, rng: np.random.Generator, fill: list[list[str]]) -> list[list[str]]:
     """Word lists around a template: with openings, with words of other text before and
@@ -219,6 +307,8 @@ def train_model(docs: DataFrame, *, text_col: str = "text", sample: int = SAMPLE
     vocabulary = sorted({w for own in model.templates.values() for t in own for w in t})
     for _ in range(10 * VARIATIONS):
         some = [vocabulary[int(rng.integers(len(vocabulary)))] for _ in range(int(rng.integers(1, 5)))]
+        if any(t <= set(some) for own in model.templates.values() for t in own):
+            continue
         around = plain[int(rng.integers(len(plain)))][:16] if plain else []
         examples.append((features([*around, *some]), none))
     order = rng.permutation(len(examples))
@@ -232,7 +322,7 @@ def train_model(docs: DataFrame, *, text_col: str = "text", sample: int = SAMPLE
 def scan_licences(docs: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col: str = "text",
                   certain: float = CERTAIN, likeness: float = LIKENESS) -> DataFrame:
     """One row a document: doc_id, families (distinct, in order), findings (family, start,
-    end of the paragraph in code points, probability, likeness).
+    end of the statement in code points, probability, likeness).
 
     Null and empty texts have none; repeated rows and rows with a null id are kept; other
     columns are ignored. Texts of any length are scanned whole, paragraph by paragraph.

@@ -253,6 +253,28 @@ def test_licences_of_odd_rows(spark, odd, nothing):
     assert model.scan(prose(8, 200)) == []
 
 
+@pytest.fixture(scope="module")
+def licence_model(spark):
+    return licences.train_model(spark.read.parquet(FOLDER.replace("sf0.001", "sf0.01") + "/documents.parquet"))
+
+
+HEADERS = {
+    "GPL": "This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+           "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+    "LGPL": "This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n"
+            " * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or any later version.",
+    "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+}
+
+
+@pytest.mark.parametrize("family", HEADERS)
+def test_wrapped_headers(licence_model, family):
+    text = prose(3, 60) + "\n\n" + HEADERS[family] + "\n\n" + prose(4, 60)
+    found = licence_model.scan(text)
+    assert {f[0] for f in found} == {family}
+    assert text.index(HEADERS[family]) <= found[0][1] < found[0][2] <= text.index(HEADERS[family]) + len(HEADERS[family])
+
+
 # ---- mixing ---------------------------------------------------------------------
 
 def test_op9_query(spark):
