@@ -275,6 +275,14 @@ def test_wrapped_headers(licence_model, family):
     assert text.index(HEADERS[family]) <= found[0][1] < found[0][2] <= text.index(HEADERS[family]) + len(HEADERS[family])
 
 
+def test_a_paragraph_may_state_several_licences(licence_model):
+    for gap in (" ", " or ", " " + prose(7, 300) + " "):
+        text = prose(5, 2000) + " Licensed under the Apache License, Version 2.0." + gap + "Released under the MIT License. " + prose(6, 2000)
+        found = licence_model.scan(text)
+        assert [f[0] for f in found] == ["Apache-2.0", "MIT"]
+        assert text[found[0][1]:found[0][2]] == "Licensed under the Apache License, Version 2.0" and "MIT License" in text[found[1][1]:found[1][2]]
+
+
 # ---- mixing ---------------------------------------------------------------------
 
 def test_op9_query(spark):
