@@ -283,6 +283,16 @@ def test_a_paragraph_may_state_several_licences(licence_model):
         assert text[found[0][1]:found[0][2]] == "Licensed under the Apache License, Version 2.0" and "MIT License" in text[found[1][1]:found[1][2]]
 
 
+def test_short_forms_and_signs(licence_model):
+    for family, templates in licences.TEMPLATES.items():
+        for template in templates:
+            assert licence_model.signs & set(licences.words_of(template)), template
+            assert {f[0] for f in licence_model.scan(template)} == {family}, template
+    for text, family in (("Distributed under GPLv3", "GPL"), ("Released under LGPL-2.1", "LGPL"), ("MPL 2.0", "MPL-2.0"),
+                         ("SPDX-License-Identifier: GPL-3.0-or-later", "GPL"), ("Licensed under AGPL-3.0", "AGPL"), ("BSD-3-Clause", "BSD")):
+        assert [f[0] for f in licence_model.scan(prose(2, 50) + "\n" + text + "\n" + prose(3, 50))] == [family], text
+
+
 # ---- mixing ---------------------------------------------------------------------
 
 def test_op9_query(spark):
