@@ -158,14 +158,14 @@ def train_network(
     sample_windows: int = SAMPLE_WINDOWS, window: int = WINDOW,
 ) -> ByteNetwork | None:
     """Train on at most ``sample_texts`` texts of each label, those with the smallest hash
-    of ``key``, and ``sample_windows`` windows of each, spread over the text.
+    of ``key`` and text, and ``sample_windows`` windows of each, spread over the text.
 
     A label with many texts is thinned by the hash before its smallest are taken, so that
     no task gathers all texts of a label. Null labels and texts without letters are left
-    out; without labelled texts there is no network.
+    out; without labelled texts, or where none passes the thinning, there is no network.
     """
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(label_col).alias("label"), F.col(text_col).alias("text"), F.xxhash64(key).alias("key"))
+        F.col(label_col).alias("label"), F.col(text_col).alias("text"), F.xxhash64(key, F.col(text_col)).alias("key"))
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).limit(MOST_LABELS + 1).collect()}
     if not sizes:
         return None
@@ -184,6 +184,8 @@ def train_network(
     ranked = thin.select("label", "key", parts.alias("parts")).withColumn(
         "n", F.row_number().over(Window.partitionBy("label").orderBy("key", "parts")))
     sample = ranked.where(F.col("n") <= sample_texts).orderBy("label", "n").collect()
+    if not sample:
+        return None
     windows, lengths, truth = [], [], []
     for row in sample:
         for part in dict.fromkeys(row["parts"]):

@@ -231,6 +231,20 @@ def test_language_of_odd_rows(spark, odd, nothing):
     assert predict_language(nothing, network).collect() == []
 
 
+def test_texts_without_ids_are_learnt_from(spark):
+    rows = [(None, prose(k, 12), "en") for k in range(2500)] + [(7, f"{prose(k, 12)} żółć ęą".upper(), "pl") for k in range(2500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = train_network(df, "text", "lang", key=df["doc_id"], sample_texts=100)
+    assert network is not None and network.labels == ["en", "pl"]
+    found = predict_language(df, network).collect()
+    assert sum(r.lang_pred == r.lang for r in found) > 0.97 * len(found)
+    # Copies of one text share a hash whatever it is made of; a sample may be empty.
+    copies = [spark.range(2500).selectExpr("null as doc_id", f"'text {k}' as text", "'en' as lang") for k in range(8)]
+    for same in copies:
+        network = train_network(same, "text", "lang", key=same["doc_id"].cast("long"), sample_texts=1)
+        assert network is None or network.labels == ["en"]
+
+
 # ---- licences -------------------------------------------------------------------
 
 def test_op2_query(spark):
