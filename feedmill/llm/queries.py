@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from feedmill.llm import mixing, personal_data, web_archive
+from feedmill.llm import hard_negatives, mixing, personal_data, web_archive
 from feedmill.llm.bpe import encode_decode
 from feedmill.llm.jaccard_join import jaccard_classes
 from feedmill.llm.language_id import predict_language, train_network
@@ -110,3 +110,10 @@ def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.array_join("families", ",").alias("families"), F.size("findings").cast("long").alias("n_findings"),
         F.array_join(F.transform("findings", lambda x: F.concat_ws(":", x["family"], x["start"].cast("string"), x["end"].cast("string"))), ",").alias("findings"))
+
+
+@query("op12_hard_negatives", hard_negatives.SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mine hard negatives of every hundredth vector; every seventh row has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
