@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmill.llm import hard_negatives, mixing, personal_data, web_archive
+from feedmill.llm.alignment import align_documents
 from feedmill.llm.bpe import encode_decode
 from feedmill.llm.jaccard_join import jaccard_classes
 from feedmill.llm.language_id import predict_language, train_network
@@ -117,3 +118,9 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mine hard negatives of every hundredth vector; every seventh row has the next label."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Align the byte-level and the piece vocabulary on all documents."""
+    return align_documents(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"))
