@@ -15,6 +15,7 @@ from feedmill.llm.language_id import predict_language, train_network
 from feedmill.llm.licences import scan_licences, train_model
 from feedmill.llm.nearest import nearest_neighbours
 from feedmill.llm.quality import apply_rules
+from feedmill.llm.suffix_dedup import remove_repeats
 from feedmill.llm.tables import table
 from feedmill.llm.token_files import read_token_files, write_token_files
 from feedmill.session import new_folder
@@ -124,3 +125,9 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Align the byte-level and the piece vocabulary on all documents."""
     return align_documents(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_suffix_dedup")
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every repeated string of 400 bytes from all documents."""
+    return remove_repeats(table(spark, sf_dir, "documents"))
