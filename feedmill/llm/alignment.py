@@ -14,8 +14,12 @@ met before; new ones are encoded many at a time as one text.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +31,22 @@ from feedmill.llm.pieces import in_slices
 from feedmill.llm.tables import text_of
 from feedmill.session import cut
 
-# Characters of parts that a worker stores, and parts that are encoded as one text.
-STORED_CHARACTERS = 3_000_000
-JOINED_PARTS = 64
+# Parts that a worker stores, as long as they have this many characters; and parts that are
+# encoded as one text.
+STORED_PARTS = 500_000
+STORED_CHARACTERS = 16_000_000
+JOINED_PARTS = 400
+# Links of a group that are laid out one by one; those of larger groups are counted by id.
+FEW_LINKS = 10_000
 # Id pairs that a task counts before it hands them on.
 COUNTED_PAIRS = 1_000_000
 # Counts of pairs that are broadcast at most, 16 bytes each; rarer pairs meet theirs by shuffle.
 BROADCAST_PAIRS = 1 << 21
 
+# Blanks behind anything but a letter, a digit or another visible ASCII character, or at the
+# end of a text, are no cuts; few texts have them.
 _PART = re.compile(r"(?<=[\w!-~]) (?=[\s\S])")
-_CLOSED = re.compile(r"[\w!-~]\Z")
+_ODD_BLANK = re.compile(r"[^\w!-~] | \Z|\A ")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
@@ -79,6 +89,8 @@ class Aligner:
     """Both tokenizers, and what each of their tokens decodes to."""
 
     def __init__(self, byte_path: str, piece_path: str):
+        # The tasks are the parallelism; threads of the library would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.first = Tokenizer.from_file(byte_path)
         self.first.no_truncation()
         self.first.no_padding()
@@ -96,82 +108,104 @@ class Aligner:
         self.first_length = np.array([len(x) for x in self.first_bytes], dtype=np.int64)
         self.second_length = np.array([len(x) for x in self.second_bytes], dtype=np.int64)
 
-    def tokens(self, text: str, encoding) -> tuple[list[int], np.ndarray, list[int], np.ndarray] | None:
+    def tokens(self, text: str, encoding, pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids and byte ends of both; None if the tokens of either don't decode to the
         text. ``text`` begins with the blank that the second tokenizer adds by itself."""
         raw = text.encode()
         a = encoding.ids
-        spans = np.array(encoding.offsets, dtype=np.int64).reshape(-1, 2)
+        spans = np.fromiter(chain.from_iterable(encoding.offsets), dtype=np.int64, count=2 * len(a)).reshape(-1, 2)
         if len(raw) != len(text):
             spans = _character_offsets(text)[spans]
-        pieces = self.second.encode(text[1:], return_type="proto").pieces
-        b = [p.id for p in pieces]
-        places = np.array([(p.begin, p.end) for p in pieces], dtype=np.int64).reshape(-1, 2) + 1
+        # Spans of pieces follow each other; the added blank moves them by one byte.
+        b, ends = zip(*[(p.id, p.end + 1) for p in pieces], strict=True) if pieces else ((), ())
         if b"".join(map(self.first_bytes.__getitem__, a)) != raw or b"".join(map(self.second_bytes.__getitem__, b)) != raw:
             return None
-        if len(places):
-            places[0, 0] = 0
-        return a, byte_ends(spans[:, 0], spans[:, 1], self.first_length[a]), b, byte_ends(places[:, 0], places[:, 1], self.second_length[b])
-
-    def align(self, parts: list[str]) -> Iterator[tuple[str, list[tuple[list[int], list[int]]] | None]]:
-        """Every part with its groups (ids of the one, ids of the other); None for a part
-        whose bytes the tokens don't give back. Not in the order of ``parts``."""
-        closed = [p for p in parts if _CLOSED.search(p)]
-        runs = [closed[k:k + JOINED_PARTS] for k in range(0, len(closed), JOINED_PARTS)]
-        runs += [[p] for p in parts if not _CLOSED.search(p)]
+        ids_a, ids_b, ends = (np.array(x, dtype=np.int64) for x in (a, b, ends))
+        starts = np.concatenate([[0], ends[:-1]])
+        return ids_a, byte_ends(spans[:, 0], spans[:, 1], self.first_length[ids_a]), ids_b, byte_ends(starts, ends, self.second_length[ids_b])
+
+    def align(self, parts: list[str]) -> Iterator[Run]:
+        """All parts in runs, not in their order. A part stands for a blank and itself."""
+        closed, runs = [], []
+        for part in parts:
+            # No token reaches on behind a visible character and a blank.
+            if part and ("!" <= part[-1] <= "~" or part[-1].isalpha()):
+                closed.append(part)
+            else:
+                runs.append([part])
+        runs += [closed[k:k + JOINED_PARTS] for k in range(0, len(closed), JOINED_PARTS)]
         while runs:
             again = []
-            texts = ["".join(run) for run in runs]
+            texts = [" " + " ".join(run) for run in runs]
             for run, text, encoding in zip(runs, texts, self.first.encode_batch(texts, add_special_tokens=False), strict=True):
-                found = self.tokens(text, encoding)
-                if found is not None:
-                    yield from zip(run, self._groups(run, *found), strict=True)
-                elif len(run) > 1:
+                found = self.tokens(text, encoding, self.second.encode(text[1:], return_type="proto").pieces)
+                if found is None and len(run) > 1:
                     again += [[part] for part in run]
+                elif found is None:
+                    yield Run(run, None, None, None, None, None)
                 else:
-                    yield run[0], None
+                    a, a_ends, b, b_ends = found
+                    common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+                    stops = np.cumsum([1 + len(part.encode()) for part in run])
+                    yield Run(run, a, b, np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1, np.searchsorted(common, stops) + 1)
             runs = again
 
-    @staticmethod
-    def _groups(run: list[str], a: list[int], a_ends: np.ndarray, b: list[int], b_ends: np.ndarray) -> Iterator[list[tuple[list[int], list[int]]]]:
-        common = np.intersect1d(a_ends, b_ends)
-        a_cuts = (np.searchsorted(a_ends, common) + 1).tolist()
-        b_cuts = (np.searchsorted(b_ends, common) + 1).tolist()
-        stops = np.cumsum([len(part.encode()) for part in run])
-        i = j = k = 0
-        for last in np.searchsorted(common, stops).tolist():
-            own = []
-            while k <= last:
-                own.append((a[i:a_cuts[k]], b[j:b_cuts[k]]))
-                i, j, k = a_cuts[k], b_cuts[k], k + 1
-            yield own
-
-
-def linked_pairs(groups: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct id pairs (first id in the upper half) of the links, and how many links each has."""
-    codes, counts = [], []
-    for a, b in groups:
-        if len(a) == len(b) == 1:
-            codes.append(np.array([a[0] << 32 | b[0]]))
-            counts.append(np.array([1]))
-        else:
-            ids_a, n_a = np.unique(np.array(a, dtype=np.int64), return_counts=True)
-            ids_b, n_b = np.unique(np.array(b, dtype=np.int64), return_counts=True)
-            codes.append((ids_a[:, None] << 32 | ids_b).ravel())
-            counts.append((n_a[:, None] * n_b).ravel())
-    if not codes:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    found, place = np.unique(np.concatenate(codes), return_inverse=True)
-    return found, np.bincount(place, weights=np.concatenate(counts), minlength=len(found)).astype(np.int64)
+
+class Run(NamedTuple):
+    """Parts that were encoded together: ids of both, how many ids of each come up to the
+    end of every group, and how many groups up to the end of every part. A part whose bytes
+    the tokens don't give back is alone in its run, without ids."""
+
+    parts: list[str]
+    a: np.ndarray | None
+    b: np.ndarray | None
+    a_cuts: np.ndarray | None
+    b_cuts: np.ndarray | None
+    ends: np.ndarray | None
+
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Id pairs (first id in the upper half), how many links each stands for, and where
+        the pairs of each part begin and end. A pair may be listed more than once."""
+        a_starts, b_starts = np.concatenate([[0], self.a_cuts[:-1]]), np.concatenate([[0], self.b_cuts[:-1]])
+        n_b = self.b_cuts - b_starts
+        sizes = (self.a_cuts - a_starts) * n_b
+        few = np.where(sizes <= FEW_LINKS, sizes, 0)
+        group = np.repeat(np.arange(len(sizes)), few)
+        place = np.arange(len(group)) - np.repeat(np.cumsum(few) - few, few)
+        pairs = self.a[a_starts[group] + place // n_b[group]] << 32 | self.b[b_starts[group] + place % n_b[group]]
+        times = np.ones(len(pairs), dtype=np.int64)
+        large = np.nonzero(sizes > FEW_LINKS)[0]
+        if len(large):
+            every = [(group, pairs, times)]
+            for g in large.tolist():
+                ids_a, n_a = np.unique(self.a[a_starts[g]:self.a_cuts[g]], return_counts=True)
+                ids_b, n_b = np.unique(self.b[b_starts[g]:self.b_cuts[g]], return_counts=True)
+                codes = (ids_a[:, None] << 32 | ids_b).ravel()
+                every.append((np.full(len(codes), g), codes, (n_a[:, None] * n_b).ravel()))
+            group, pairs, times = (np.concatenate(x) for x in zip(*every, strict=True))
+            order = np.argsort(group, kind="stable")
+            group, pairs, times = group[order], pairs[order], times[order]
+        return pairs, times, np.concatenate([[0], np.searchsorted(group, self.ends)])
+
+    def texts(self) -> list[str]:
+        """The groups of every part as text."""
+        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
+        groups, i, j = [], 0, 0
+        for x, y in zip(self.a_cuts.tolist(), self.b_cuts.tolist(), strict=True):
+            groups.append((a[i] if x == i + 1 else ",".join(a[i:x])) + "|" + (b[j] if y == j + 1 else ",".join(b[j:y])))
+            i, j = x, y
+        ends = self.ends.tolist()
+        return [";".join(groups[p:q]) for p, q in zip([0, *ends], ends, strict=False)]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
 
 
 class Parts:
-    """What ``describe`` says of every part met lately, by number."""
+    """What ``describe`` says of every part met lately, by number; it takes a run, and None
+    stands for a part that the tokens don't give back."""
 
-    def __init__(self, paths: tuple[str, str], describe: Callable):
+    def __init__(self, paths: tuple[str, str], describe: Callable[[Run], list]):
         if paths not in _aligners:
             _aligners[paths] = Aligner(*paths)
         self.aligner, self.describe = _aligners[paths], describe
@@ -184,18 +218,23 @@ class Parts:
 
     def texts(self, texts: Iterable[str]) -> list[list[int]]:
         """The numbers of each text's parts; numbers of earlier calls may become void."""
-        if self.held > STORED_CHARACTERS:
+        if len(self.about) > STORED_PARTS or self.held > STORED_CHARACTERS:
             self.clear()
-        cuts = []
+        get = self.number.get
+        cuts, rows = [], []
+        new: dict[str, None] = {}
         for text in texts:
-            first, *rest = _PART.split(" " + text) if text else [""]
-            cuts.append([first, *(" " + part for part in rest)] if text else [])
-        new = list({part: None for own in cuts for part in own if part not in self.number})
-        for part, groups in self.aligner.align(new):
-            self.number[part] = len(self.about)
-            self.about.append(self.describe(groups))
-            self.held += len(part) + 50
-        return [list(map(self.number.__getitem__, own)) for own in cuts]
+            own = (_PART.split(text) if _ODD_BLANK.search(text) else text.split(" ")) if text else []
+            row = list(map(get, own))
+            if None in row:
+                new.update((part, None) for part, k in zip(own, row, strict=True) if k is None)
+            cuts.append(own)
+            rows.append(row)
+        for run in self.aligner.align(list(new)):
+            self.number.update(zip(run.parts, range(len(self.about), len(self.about) + len(run.parts)), strict=True))
+            self.about += self.describe(run) if run.a is not None else [None]
+        self.held += sum(map(len, new))
+        return [list(map(get, own)) if None in row else row for own, row in zip(cuts, rows, strict=True)]
 
 
 # --- counts of pairs ---------------------------------------------------------------
@@ -204,32 +243,27 @@ def count_pairs(texts: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """code, n: in how many texts each id pair is linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = Parts(paths, lambda groups: None if groups is None else linked_pairs(groups)[0])
-        codes, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        new: list[np.ndarray] = []
-        size = 0
+        def describe(run: Run) -> list:
+            pairs, _, edges = run.links()
+            pairs, edges = pairs.tolist(), edges.tolist()
+            return [tuple(pairs[p:q]) for p, q in zip(edges, edges[1:], strict=False)]
+
+        parts = Parts(paths, describe)
+        counts: Counter[int] = Counter()
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            found, place = np.unique(np.concatenate([codes, *new]), return_inverse=True)
-            weights = np.concatenate([counts, np.ones(len(place) - len(counts), dtype=np.int64)])
-            return found, np.bincount(place, weights=weights, minlength=len(found)).astype(np.int64)
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["code", "n"])
 
         for batch in batches:
             for some in in_slices(batch.column(0).to_pylist()):
                 for own in parts.texts(some):
                     pairs = [parts.about[k] for k in set(own)]
-                    if pairs and all(p is not None for p in pairs):
-                        new.append(np.unique(np.concatenate(pairs)))
-                        size += len(new[-1])
-                        if size > COUNTED_PAIRS:
-                            codes, counts = merged()
-                            new, size = [], 0
-                            if len(codes) > COUNTED_PAIRS:
-                                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
-                                codes, counts = codes[:0], counts[:0]
-        codes, counts = merged()
-        if len(codes):
-            yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts)], names=["code", "n"])
+                    if None not in pairs:
+                        counts.update(set().union(*pairs))
+                if len(counts) > COUNTED_PAIRS:
+                    yield counted()
+                    counts.clear()
+        yield counted()
 
     return texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
@@ -273,18 +307,22 @@ def align_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts, top = shared.value
 
-        def describe(groups: list | None):
-            if groups is None:
-                return None
-            pairs, times = linked_pairs(groups)
+        def describe(run: Run) -> list:
+            pairs, times, edges = run.links()
             at = np.minimum(np.searchsorted(codes, pairs), max(0, len(codes) - 1))
             have = codes[at] == pairs if len(codes) else np.zeros(len(pairs), dtype=bool)
             n = np.where(have, counts[at] if len(codes) else 0, 0)
-            is_best = have & (n == top[pairs >> 32])
-            numbers = (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), int(times.sum()),
-                       int(times[is_best].sum()), int((n * times).sum()))
-            text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
-            return numbers, text, (pairs[~have], times[~have]) if not have.all() else None
+            # Sums by differences, so that they stay whole numbers.
+            best = times * (have & (n == top[pairs >> 32]))
+            sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[edges]) for x in (times, best, n * times)]
+            ends = np.concatenate([[0], run.ends])
+            sizes = [np.diff(np.concatenate([[0], cuts])[ends]) for cuts in (run.a_cuts, run.b_cuts)] + [np.diff(ends)]
+            rare: list = [None] * len(run.parts)
+            if not have.all():
+                for k, (p, q) in enumerate(zip(edges.tolist(), edges[1:].tolist(), strict=False)):
+                    if not have[p:q].all():
+                        rare[k] = pairs[p:q][~have[p:q]], times[p:q][~have[p:q]]
+            return list(zip(np.stack(sizes + sums, axis=1), run.texts(), rare, strict=True))
 
         parts = Parts(paths, describe)
         for batch in batches:
@@ -295,10 +333,10 @@ def align_documents(
                 for own in parts.texts(some):
                     about = [parts.about[k] for k in own]
                     if not about or any(x is None for x in about):
-                        rows.append((0,) * len(NUMBERS))
+                        rows.append(np.zeros(len(NUMBERS), dtype=np.int64))
                         text = None
                     else:
-                        rows.append(tuple(map(sum, zip(*[x[0] for x in about], strict=True))))
+                        rows.append(np.sum([x[0] for x in about], axis=0))
                         text = ";".join([x[1] for x in about])
                     digests.append("" if text is None else hashlib.sha256(text.encode()).hexdigest())
                     texts.append(text or "" if with_groups else None)
