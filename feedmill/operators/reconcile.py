@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmill.functions.dates import previous_business_day
 from feedmill.functions.names import get_column
-from feedmill.sources.lines import read_lines, split_envelope
+from feedmill.sources.lines import feed_ends, read_lines
 
 
 # A field is a record count if its name holds one of these.
@@ -146,7 +146,7 @@ def previous_delivery(
     try:
         lines = read_lines(spark, path_of(expected))
         if header_date is not None:
-            first = split_envelope(lines, header_count=1).header
+            first = feed_ends(lines, header_count=1)[0]
             actual = first.agg(F.max(header_date(first))).first()[0]
             status = "ok" if actual == expected else "wrong_date"
     except AnalysisException as error:

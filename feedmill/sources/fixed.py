@@ -117,10 +117,7 @@ def read_fixed(
     lines give empty trailing fields; blank lines are no records.
     """
     header_fields, trailer_fields = list(header_fields), list(trailer_fields)
-    envelope = split_envelope(
-        read_lines(spark, path), header_count, trailer_count, unit,
-        keep_ends=bool(header_fields or trailer_fields),
-    )
+    envelope = split_envelope(read_lines(spark, path), header_count, trailer_count, unit)
     layout = Layout.of(fields)
     if not layout.fields:
         data = envelope.data.select("feed", "value")

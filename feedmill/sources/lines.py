@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -12,6 +13,7 @@ from feedmill.session import broadcast_if_small, cut, pin_scan_splits
 _PART_FILE = r"/part-\d+[^/]*$"
 # A block row holds two paths and a few numbers.
 _BLOCK_ROW_BYTES = 512
+_LINES = "array<struct<scan_id: bigint, value: string>>"
 
 
 class Envelope(NamedTuple):
@@ -67,16 +69,33 @@ def _part_number(path: Column) -> Column:
     return F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
 
 
-def count_blocks(lines: DataFrame, unit: str = "auto") -> DataFrame:
-    """One row per scan block: its feed, first scan id, line count and offset.
+def _ends(size: int, best: Callable[[Column], Column]) -> Column:
+    """The ``size`` first or last lines of a block, as ``best`` says: of consecutive ids,
+    those with the least or highest id of each remainder. Their number is bounded."""
+    line = F.struct("scan_id", "value")
+    found = [best(F.when(F.col("scan_id") % size == k, line)) for k in range(size)]
+    return F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast(_LINES)
+
+
+def count_blocks(lines: DataFrame, unit: str = "auto", header_count: int = 0, trailer_count: int = 0) -> DataFrame:
+    """One row per scan block: its feed, first scan id, line count and offset, and its
+    ``header_count`` first and ``trailer_count`` last lines.
 
     The scan of the lines is reduced to blocks inside each task, so the window
     below sees one short row per file split and never the lines themselves. The
-    result is cut from its lineage: every later use shares this one count.
+    result is cut from its lineage: every later use shares this one count, and the
+    header and trailer lines of all feeds are among the lines it holds.
     """
     per_block = (
         lines.groupBy("file_path", "block")
-        .agg(F.min("scan_id").alias("first_id"), F.count(F.lit(1)).alias("lines"))
+        .agg(
+            F.min("scan_id").alias("first_id"), F.count(F.lit(1)).alias("lines"),
+            _ends(header_count, F.min).alias("firsts"), _ends(trailer_count, F.max).alias("lasts"),
+            # An aggregate that holds objects, though none here: with it Spark hashes the
+            # blocks, while text among the aggregates alone would have it sort all lines.
+            F.collect_list(F.lit(None).cast("boolean")).alias("_objects"),
+        )
+        .drop("_objects")
         .withColumn("feed", feed_of(F.col("file_path"), unit))
     )
     in_feed = Window.partitionBy("feed")
@@ -98,37 +117,63 @@ def with_positions(
 
     Both scans must see the same splits. A line that does not fit the counted
     block raises an error, so a changed split can never give a wrong number.
+    Lines find their block by the number of the scan's task, one long, and their id.
     """
     blocks = count_blocks(lines, unit) if blocks is None else blocks
+    blocks = blocks.select(
+        _task(F.col("first_id")).alias("task"), "first_id", (F.col("first_id") + F.col("lines")).alias("next_id"),
+        "feed", F.col("file_path").alias("counted_path"), F.col("block").alias("counted_block"), "offset", "feed_lines")
     blocks = broadcast_if_small(blocks, blocks.count(), _BLOCK_ROW_BYTES)
-    in_block = F.col("scan_id") - F.col("first_id")
-    fits = in_block.between(F.lit(0), F.col("lines") - 1)
+    own = (F.col("task") == _task(F.col("scan_id"))) & (F.col("scan_id") >= F.col("first_id")) & (F.col("scan_id") < F.col("next_id"))
+    fits = F.col("counted_block").eqNullSafe(F.col("block")) & F.col("counted_path").eqNullSafe(F.col("file_path"))
     changed = F.raise_error(F.lit("file splits changed between the count and the read"))
 
     def checked(value: Column) -> Column:
         return F.when(fits, value).otherwise(changed).cast("bigint")
 
-    return lines.join(blocks, ["file_path", "block"], "left").select(
+    return lines.join(blocks, own, "left").select(
         "value",
         "feed",
         "file_path",
-        checked(F.col("offset") + in_block).alias("line_no"),
+        checked(F.col("offset") + F.col("scan_id") - F.col("first_id")).alias("line_no"),
         checked(F.col("feed_lines")).alias("feed_lines"),
     )
 
 
+def _task(scan_id: Column) -> Column:
+    """The scan task that gave an id."""
+    return F.shiftright(scan_id, 33)
+
+
+def _held(blocks: DataFrame, lines: str) -> DataFrame:
+    """The first or last lines that the blocks hold, with their position in the feed."""
+    line_no = F.col("offset") + F.col("line.scan_id") - F.col("first_id")
+    return blocks.withColumn("line", F.explode(lines)).select(
+        F.col("line.value").alias("value"), "feed", "file_path", line_no.alias("line_no"), "feed_lines")
+
+
+def feed_ends(
+    lines: DataFrame, header_count: int = 0, trailer_count: int = 0, unit: str = "auto"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Header and trailer lines of each feed, and the blocks, from one scan of the lines."""
+    keep = ["value", "feed", "file_path", "line_no"]
+    blocks = count_blocks(lines, unit, header_count, trailer_count)
+    header = _held(blocks, "firsts").filter(F.col("line_no") < header_count)
+    trailer = _held(blocks, "lasts").filter(F.col("line_no") >= F.col("feed_lines") - trailer_count)
+    return header.select(keep), trailer.select(keep), blocks
+
+
 def split_envelope(
     lines: DataFrame,
     header_count: int = 0,
     trailer_count: int = 0,
     unit: str = "auto",
-    keep_ends: bool = False,
 ) -> Envelope:
     """Split each feed into its first lines, last lines and the lines between.
 
-    Without header and trailer no position is needed and nothing is counted.
-    Blank lines count as lines but are not data. ``keep_ends`` stores the few
-    header and trailer lines, so that one scan serves every later use of them.
+    Without header and trailer no position is needed and nothing is counted; with
+    them the count also brings the header and trailer lines, a few per feed, which are
+    stored with it and cost no scan of their own. Blank lines count as lines but are not data.
     """
     keep = ["value", "feed", "file_path", "line_no"]
     not_blank = F.trim("value") != ""
@@ -140,14 +185,7 @@ def split_envelope(
             F.lit(None).cast("bigint").alias("line_no"),
         )
         return Envelope(plain.filter(not_blank), plain.limit(0), plain.limit(0))
-    placed = with_positions(lines, unit)
-    is_header = F.col("line_no") < header_count
-    is_trailer = F.col("line_no") >= F.col("feed_lines") - trailer_count
-    ends = placed.filter(is_header | is_trailer)
-    if keep_ends:
-        ends = cut(ends, "ends")
-    return Envelope(
-        placed.filter(~is_header & ~is_trailer & not_blank).select(keep),
-        ends.filter(is_header).select(keep),
-        ends.filter(is_trailer).select(keep),
-    )
+    header, trailer, blocks = feed_ends(lines, header_count, trailer_count, unit)
+    placed = with_positions(lines, unit, blocks)
+    inner = (F.col("line_no") >= header_count) & (F.col("line_no") < F.col("feed_lines") - trailer_count)
+    return Envelope(placed.filter(inner & not_blank).select(keep), header, trailer)

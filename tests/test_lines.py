@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_nodes, text_scans
 from feedmill import session
 from feedmill.plans.fixtures import ORDER_HEADER, ORDER_TRAILER
 from feedmill.sinks.fixed import write_feeds, write_fixed
@@ -57,7 +58,7 @@ def test_envelope_per_file(spark, small_splits, tmp_path, end):
         body = [f"{i:05d}" + ("" if i % 3 else "x" * 20) for i in range(n)]
         body.insert(2, "   ")
         _write(tmp_path / name, ["H1", "H2", *body, "T"], end)
-    data, header, trailer = split_envelope(read_lines(spark, str(tmp_path)), 2, 1, keep_ends=True)
+    data, header, trailer = split_envelope(read_lines(spark, str(tmp_path)), 2, 1)
     counts = {r.feed: r["count"] for r in _name(data).groupBy("feed").count().collect()}
     assert counts == {"a": 300, "b": 5}
     assert data.filter("value rlike '[HT\r]' or trim(value) = ''").count() == 0
@@ -166,3 +167,20 @@ def test_clean_up_deletes_what_was_stored(spark, monkeypatch):
     assert kept.count() == 3 and os.path.isdir(path)
     assert session.clean_up(spark) == 1 and not os.path.exists(path)
     assert session.clean_up(spark) == 0
+
+
+def test_ends_come_with_the_count(spark, small_splits, tmp_path):
+    """Two scans of the text serve data, header and trailer; lines join on one long."""
+    for name, n in (("a", 900), ("b", 1)):
+        _write(tmp_path / name, [f"{name}:{i:06d}" for i in range(n)])
+    nodes = plan_nodes(spark)
+    data, header, trailer = split_envelope(read_lines(spark, str(tmp_path)), 3, 2)
+    assert {(r.feed, r.line_no) for r in _name(header).collect()} == {("a", 0), ("a", 1), ("a", 2), ("b", 0)}
+    assert {(r.value, r.line_no) for r in trailer.collect()} == {("a:000898", 898), ("a:000899", 899), ("b:000000", 0)}
+    assert data.count() == 895
+    assert text_scans(nodes()) == 2
+    assert not any("SortAggregate" in name for name in nodes())
+    plan = data._jdf.queryExecution().executedPlan().toString()
+    assert "shiftright(scan_id" in plan and "[file_path" not in plan.split("HashJoin")[1].split("BuildRight")[0]
+    counted = count_blocks(read_lines(spark, str(tmp_path)), "auto", 3, 2)
+    assert counted.agg(F.max(F.size("firsts")), F.max(F.size("lasts"))).first()[:] == (3, 2)
