@@ -13,7 +13,7 @@ from feedmill.session import broadcast_if_small, cut, pin_scan_splits
 _PART_FILE = r"/part-\d+[^/]*$"
 # A block row holds two paths and a few numbers.
 _BLOCK_ROW_BYTES = 512
-_LINES = "array<struct<scan_id: bigint, value: string>>"
+_LINE = "struct<scan_id: bigint, value: string>"
 
 
 class Envelope(NamedTuple):
@@ -74,7 +74,10 @@ def _ends(size: int, best: Callable[[Column], Column]) -> Column:
     those with the least or highest id of each remainder. Their number is bounded."""
     line = F.struct("scan_id", "value")
     found = [best(F.when(F.col("scan_id") % size == k, line)) for k in range(size)]
-    return F.filter(F.array(*found), lambda x: x.isNotNull()) if found else F.array().cast(_LINES)
+    # An aggregate that holds objects, though none here: beside it Spark hashes the blocks,
+    # while aggregates of text by themselves would have it sort all lines.
+    none = F.collect_list(F.lit(None).cast(_LINE))
+    return F.concat(F.filter(F.array(*found), lambda x: x.isNotNull()), none) if found else F.array().cast(f"array<{_LINE}>")
 
 
 def count_blocks(lines: DataFrame, unit: str = "auto", header_count: int = 0, trailer_count: int = 0) -> DataFrame:
@@ -91,11 +94,7 @@ def count_blocks(lines: DataFrame, unit: str = "auto", header_count: int = 0, tr
         .agg(
             F.min("scan_id").alias("first_id"), F.count(F.lit(1)).alias("lines"),
             _ends(header_count, F.min).alias("firsts"), _ends(trailer_count, F.max).alias("lasts"),
-            # An aggregate that holds objects, though none here: with it Spark hashes the
-            # blocks, while text among the aggregates alone would have it sort all lines.
-            F.collect_list(F.lit(None).cast("boolean")).alias("_objects"),
         )
-        .drop("_objects")
         .withColumn("feed", feed_of(F.col("file_path"), unit))
     )
     in_feed = Window.partitionBy("feed")
