@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedmill.fields import Layout
 from feedmill.functions.dates import dated_path, path_date, spark_pattern
-from feedmill.functions.ebcdic import encode_text, pack_decimal
+from feedmill.functions.ebcdic import encode_text, pack_decimal, record_field
 from feedmill.operators.sets import union_frames
 from feedmill.plans import fixtures
 from feedmill.plans.flow import run_flow
@@ -18,7 +18,7 @@ from feedmill.sinks import fixed as fixed_sink
 from feedmill.sinks import tables as sinks
 from feedmill.sinks.jdbc import column_types
 from feedmill.sources.dated import days_between, read_dated, with_load_date
-from feedmill.sources.ebcdic import read_ebcdic
+from feedmill.sources.ebcdic import read_ebcdic, read_framed_records
 from feedmill.sources.fixed import last_per_feed, read_fixed, width_profile
 from feedmill.sources.lines import read_lines, split_envelope, with_positions
 from feedmill.sources.tables import empty_frame, read_delimited, read_parquet, typed_cast
@@ -362,6 +362,29 @@ def ebcdic_read(spark, folder):
     return data.select(F.col("CUST_ID").cast("bigint").alias("CUST_ID"), "NAME", "BALANCE")
 
 
+@query("ebcdic_framed_read", """
+    SELECT c_nationkey AS nation, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS record_id,
+           c_custkey AS CUST_ID, c_name AS NAME, CAST(c_acctbal AS DECIMAL(31,2)) AS BALANCE FROM customer""")
+def ebcdic_framed_read(spark, folder):
+    """A file a nation, with 19 bytes before and after its records of 38 bytes."""
+    path = new_folder(spark, "framed")
+    customers = table(spark, folder, "customer")
+    record = F.concat(pack_decimal(F.col("c_custkey"), 6), encode_text(F.rpad("c_name", 24, " ")),
+                      pack_decimal(F.col("c_acctbal"), 7, 2)).cast("string")
+    nations = customers.select("c_nationkey").distinct()
+    frame = F.explode(F.array(F.lit(0), F.lit(2))).alias("section")
+    rows = customers.select("c_nationkey", F.lit(1).alias("section"), "c_custkey", record.alias("value")).unionByName(
+        nations.select("c_nationkey", frame).select("c_nationkey", "section", F.lit(None).cast("bigint").alias("c_custkey"), F.lit("f" * 18).alias("value")))
+    (rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "section", "c_custkey").select("c_nationkey", "value")
+     .write.partitionBy("c_nationkey").option("lineSep", "\x40").text(path))
+    records = read_framed_records(spark, path, 38, 19, 19)
+    fields = Layout.of([{"name": "CUST-ID", "type": "packed", "length": 6}, {"name": "NAME", "length": 24},
+                        {"name": "BALANCE", "type": "packed", "precision": 2, "length": 7}]).fields
+    data = records.select(
+        F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("int").alias("nation"), "record_id", *[record_field(F.col("record"), f, "cp037") for f in fields])
+    return data.withColumn("CUST_ID", F.col("CUST_ID").cast("bigint"))
+
+
 # ---- sinks ---------------------------------------------------------------------------
 
 @query("sink_parquet_roundtrip", _ORDERS)

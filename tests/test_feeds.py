@@ -1,6 +1,7 @@
 """Fixed-width, delimited, EBCDIC and table sinks; control totals and reconciliation."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -18,7 +19,7 @@ from feedmill.session import cut, new_folder, shared_folder
 from feedmill.sinks import jdbc, tables
 from feedmill.sinks.fixed import to_lines, write_feeds, write_fixed
 from feedmill.sources.dated import days_between, load_date, read_dated
-from feedmill.sources.ebcdic import read_ebcdic
+from feedmill.sources.ebcdic import read_ebcdic, read_framed_records
 from feedmill.sources.fixed import parse_fixed, read_fixed
 from feedmill.sources.tables import empty_frame, read_delimited, typed_cast
 
@@ -128,6 +129,25 @@ def test_ebcdic_numbers_and_offsets(spark, tmp_path):
 
 # ---- totals --------------------------------------------------------------------------
 
+def test_framed_records_by_many_tasks(spark, tmp_path):
+    """One file is read by several tasks, at whatever offsets; nothing bounds its size."""
+    rng = random.Random(6)
+    for name, n, start, end in (("a", 700, 7, 0), ("b", 0, 7, 0), ("deep/c", 33, 7, 0)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"h" * start + b"".join(bytes(rng.randrange(256) for _ in range(8)) + k.to_bytes(4, "big") for k in range(n)) + b"t" * end)
+    found = read_framed_records(spark, str(tmp_path), 12, 7, 0, split_bytes=1000)
+    assert [n for n in found.select("path").distinct().toPandas().path.map(lambda x: x.rsplit("/", 1)[1]).sort_values()] == ["a", "c"]
+    rows = found.collect()
+    assert len(rows) == 733 and all(int.from_bytes(r.record[8:], "big") == r.record_id and len(r.record) == 12 for r in rows)
+    whole = read_framed_records(spark, str(tmp_path / "a"), 7, 7, 0, split_bytes=1000)
+    assert whole.rdd.getNumPartitions() > 5
+    assert b"".join(r.record for r in whole.orderBy("record_id").collect()) == (tmp_path / "a").read_bytes()[7:]
+    with pytest.raises(SparkRuntimeException, match="no whole number"):
+        read_framed_records(spark, str(tmp_path), 13, 7, 0).collect()
+    with pytest.raises(ValueError, match="at least one byte"):
+        read_framed_records(spark, str(tmp_path), 0)
+
+
 def test_control_line_forms(spark):
     df = spark.createDataFrame([(1, -2.5, "x"), (2, 1.0, "y")], "n int, d double, s string")
 
