@@ -16,8 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
 
@@ -38,7 +37,8 @@ STORED_CHARACTERS = 16_000_000
 JOINED_PARTS = 400
 # Links of a group that are laid out one by one; those of larger groups are counted by id.
 FEW_LINKS = 10_000
-# Id pairs that a task counts before it hands them on.
+# Links that are sorted at once, and id pairs that a task counts before it hands them on.
+SORTED_LINKS = 2_000_000
 COUNTED_PAIRS = 1_000_000
 # Counts of pairs that are broadcast at most, 16 bytes each; rarer pairs meet theirs by shuffle.
 BROADCAST_PAIRS = 1 << 21
@@ -163,16 +163,17 @@ class Run(NamedTuple):
     b_cuts: np.ndarray | None
     ends: np.ndarray | None
 
-    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Id pairs (first id in the upper half), how many links each stands for, and where
-        the pairs of each part begin and end. A pair may be listed more than once."""
+    def links(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of id pairs (first id times ``width`` plus second id), how many links each
+        stands for, and how many come up to the end of each part. A pair may be listed more
+        than once."""
         a_starts, b_starts = np.concatenate([[0], self.a_cuts[:-1]]), np.concatenate([[0], self.b_cuts[:-1]])
         n_b = self.b_cuts - b_starts
         sizes = (self.a_cuts - a_starts) * n_b
         few = np.where(sizes <= FEW_LINKS, sizes, 0)
         group = np.repeat(np.arange(len(sizes)), few)
         place = np.arange(len(group)) - np.repeat(np.cumsum(few) - few, few)
-        pairs = self.a[a_starts[group] + place // n_b[group]] << 32 | self.b[b_starts[group] + place % n_b[group]]
+        pairs = self.a[a_starts[group] + place // n_b[group]] * width + self.b[b_starts[group] + place % n_b[group]]
         times = np.ones(len(pairs), dtype=np.int64)
         large = np.nonzero(sizes > FEW_LINKS)[0]
         if len(large):
@@ -180,12 +181,12 @@ class Run(NamedTuple):
             for g in large.tolist():
                 ids_a, n_a = np.unique(self.a[a_starts[g]:self.a_cuts[g]], return_counts=True)
                 ids_b, n_b = np.unique(self.b[b_starts[g]:self.b_cuts[g]], return_counts=True)
-                codes = (ids_a[:, None] << 32 | ids_b).ravel()
+                codes = (ids_a[:, None] * width + ids_b).ravel()
                 every.append((np.full(len(codes), g), codes, (n_a[:, None] * n_b).ravel()))
             group, pairs, times = (np.concatenate(x) for x in zip(*every, strict=True))
             order = np.argsort(group, kind="stable")
             group, pairs, times = group[order], pairs[order], times[order]
-        return pairs, times, np.concatenate([[0], np.searchsorted(group, self.ends)])
+        return pairs, times, np.searchsorted(group, self.ends)
 
     def texts(self) -> list[str]:
         """The groups of every part as text."""
@@ -202,23 +203,48 @@ _aligners: dict[tuple[str, str], Aligner] = {}
 
 
 class Parts:
-    """What ``describe`` says of every part met lately, by number; it takes a run, and None
-    stands for a part that the tokens don't give back."""
+    """What is known of every part met lately, by number: the sizes, groups and links."""
 
-    def __init__(self, paths: tuple[str, str], describe: Callable[[Run], list]):
+    def __init__(self, paths: tuple[str, str]):
         if paths not in _aligners:
             _aligners[paths] = Aligner(*paths)
-        self.aligner, self.describe = _aligners[paths], describe
+        self.aligner = _aligners[paths]
+        self.width = len(self.aligner.second_bytes)
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.about: list = []
+        self.groups: list[str | None] = []
         self.held = 0
+        # ids of both and groups of every part; where its links end; the links' codes and times.
+        self.sizes, self.ends = np.empty((0, 3), dtype=np.int64), np.empty(0, dtype=np.int64)
+        self.codes, self.times = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        """Align parts not met before; one without ids has no groups."""
+        sizes, ends, codes, times = [self.sizes], [self.ends], [self.codes], [self.times]
+        known = len(self.codes)
+        for run in self.aligner.align(new):
+            self.number.update(zip(run.parts, range(len(self.groups), len(self.groups) + len(run.parts)), strict=True))
+            if run.a is None:
+                self.groups.append(None)
+                sizes.append(np.zeros((1, 3), dtype=np.int64))
+                ends.append(np.array([known]))
+                continue
+            pairs, n, stops = run.links(self.width)
+            last = run.ends - 1
+            sizes.append(np.diff(np.stack([run.a_cuts[last], run.b_cuts[last], run.ends], axis=1), axis=0, prepend=0))
+            ends.append(known + stops)
+            known += len(pairs)
+            codes.append(pairs)
+            times.append(n)
+            self.groups += run.texts()
+        self.sizes, self.ends, self.codes, self.times = (np.concatenate(x) for x in (sizes, ends, codes, times))
+        self.held += sum(map(len, new))
 
-    def texts(self, texts: Iterable[str]) -> list[list[int]]:
+    def numbers(self, texts: list[str]) -> list[list[int]]:
         """The numbers of each text's parts; numbers of earlier calls may become void."""
-        if len(self.about) > STORED_PARTS or self.held > STORED_CHARACTERS:
+        if len(self.groups) > STORED_PARTS or self.held > STORED_CHARACTERS:
             self.clear()
         get = self.number.get
         cuts, rows = [], []
@@ -230,47 +256,132 @@ class Parts:
                 new.update((part, None) for part, k in zip(own, row, strict=True) if k is None)
             cuts.append(own)
             rows.append(row)
-        for run in self.aligner.align(list(new)):
-            self.number.update(zip(run.parts, range(len(self.about), len(self.about) + len(run.parts)), strict=True))
-            self.about += self.describe(run) if run.a is not None else [None]
-        self.held += sum(map(len, new))
+        if new:
+            self._learn(list(new))
         return [list(map(get, own)) if None in row else row for own, row in zip(cuts, rows, strict=True)]
 
+    def block(self, texts: list[str]) -> Block:
+        """The texts together."""
+        rows = self.numbers(texts)
+        groups = [[self.groups[k] for k in row] for row in rows]
+        whole = [None not in own for own in groups]
+        rows = [row if ok else [] for row, ok in zip(rows, whole, strict=True)]
+        groups = [";".join(own) if ok else "" for own, ok in zip(groups, whole, strict=True)]
+        counts = np.array([len(row) for row in rows], dtype=np.int64)
+        part = np.fromiter(chain.from_iterable(rows), dtype=np.int64, count=int(counts.sum()))
+        doc = np.repeat(np.arange(len(rows)), counts)
+        begins = np.concatenate([[0], self.ends])[part]
+        lengths = self.ends[part] - begins
+        sums = np.zeros((len(rows), 4), dtype=np.int64)
+        np.add.at(sums, doc, np.concatenate([self.sizes[part], np.zeros((len(part), 1), dtype=np.int64)], axis=1))
+        docs, codes, times = [], [], []
+        # So many parts at a time that their links stay few, however long a text is.
+        piece = np.cumsum(lengths) // SORTED_LINKS
+        for p in np.unique(piece):
+            own = piece == p
+            n = lengths[own]
+            at = np.arange(int(n.sum())) + np.repeat(begins[own] - np.cumsum(n) + n, n)
+            found = _reduced(np.repeat(doc[own], n), self.codes[at], self.times[at])
+            for out, x in zip((docs, codes, times), found, strict=True):
+                out.append(x)
+        if len(docs) > 1:
+            found = _reduced(np.concatenate(docs), np.concatenate(codes), np.concatenate(times))
+        elif not docs:
+            found = (np.empty(0, dtype=np.int64),) * 3
+        np.add.at(sums[:, 3], found[0], found[2])
+        return Block(groups, sums, *found)
+
+
+class Block(NamedTuple):
+    """Texts that were aligned together: the groups of each as text; n_a, n_b, n_groups and
+    n_links; and its distinct id pairs: text, code and number of links, sorted."""
+
+    groups: list[str]
+    sums: np.ndarray
+    docs: np.ndarray
+    codes: np.ndarray
+    times: np.ndarray
+
+
+def _reduced(docs: np.ndarray, codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of text and code, sorted, with the sum of their times."""
+    shift = max(1, int(codes.max(initial=0)).bit_length())
+    key = docs << shift | codes
+    if (times == 1).all():
+        found, total = np.unique(key, return_counts=True)
+    else:
+        found, place = np.unique(key, return_inverse=True)
+        total = np.zeros(len(found), dtype=np.int64)
+        np.add.at(total, place, times)
+    return found >> shift, found & ((1 << shift) - 1), total.astype(np.int64)
+
+
+# --- the alignment -----------------------------------------------------------------
+
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+BLOCK_SCHEMA = (
+    "ids array<long>, " + ", ".join(f"{n} array<long>" for n in NUMBERS)
+    + ", digests array<string>, groups array<string>, counts binary, codes binary, links binary, times binary")
 
-# --- counts of pairs ---------------------------------------------------------------
 
-def count_pairs(texts: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """code, n: in how many texts each id pair is linked."""
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32, byte by byte: the upper ones are mostly zero and pack well."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def aligned_blocks(docs: DataFrame, paths: tuple[str, str], with_groups: bool) -> DataFrame:
+    """Blocks of documents (doc_id, text), aligned once: their sums, digests and distinct id
+    pairs, the pairs as places in the block's own list of codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def describe(run: Run) -> list:
-            pairs, _, edges = run.links()
-            pairs, edges = pairs.tolist(), edges.tolist()
-            return [tuple(pairs[p:q]) for p, q in zip(edges, edges[1:], strict=False)]
+        parts = Parts(paths)
+        for batch in batches:
+            start = 0
+            for some in in_slices(batch.column(1).to_pylist()):
+                block = parts.block(some)
+                codes, place = np.unique(block.codes, return_inverse=True)
+                digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in block.groups]
+                yield pa.RecordBatch.from_pydict({
+                    "ids": pa.array([batch.column(0).slice(start, len(some)).to_pylist()], pa.list_(pa.int64())),
+                    **{name: pa.array([block.sums[:, k]], pa.list_(pa.int64())) for k, name in enumerate(NUMBERS)},
+                    "digests": pa.array([digests], pa.list_(pa.string())),
+                    "groups": pa.array([block.groups if with_groups else []], pa.list_(pa.string())),
+                    "counts": pa.array([_planes(np.bincount(block.docs, minlength=len(some)))], pa.binary()),
+                    "codes": pa.array([codes.astype("<i8").tobytes()], pa.binary()),
+                    "links": pa.array([_planes(place)], pa.binary()), "times": pa.array([_planes(block.times)], pa.binary())})
+                start += len(some)
+
+    return docs.mapInArrow(run, BLOCK_SCHEMA)
+
 
-        parts = Parts(paths, describe)
-        counts: Counter[int] = Counter()
+def count_pairs(blocks: DataFrame) -> DataFrame:
+    """code, n: in how many documents each id pair is linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
         def counted() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["code", "n"])
+            codes, place = np.unique(np.concatenate([c for c, _ in held] or [np.empty(0, dtype=np.int64)]), return_inverse=True)
+            n = np.zeros(len(codes), dtype=np.int64)
+            np.add.at(n, place, np.concatenate([n for _, n in held] or [np.empty(0, dtype=np.int64)]))
+            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
 
         for batch in batches:
-            for some in in_slices(batch.column(0).to_pylist()):
-                for own in parts.texts(some):
-                    pairs = [parts.about[k] for k in set(own)]
-                    if None not in pairs:
-                        counts.update(set().union(*pairs))
-                if len(counts) > COUNTED_PAIRS:
+            for packed, links in zip(batch.column(0), batch.column(1), strict=True):
+                codes = np.frombuffer(packed.as_py(), "<i8")
+                held.append((codes, np.bincount(_numbers(links.as_py()), minlength=len(codes))))
+                size += len(codes)
+                if size > COUNTED_PAIRS:
                     yield counted()
-                    counts.clear()
+                    held, size = [], 0
         yield counted()
 
-    return texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-# --- the alignment -----------------------------------------------------------------
-
-NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return blocks.select("codes", "links").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def align_documents(
@@ -287,13 +398,15 @@ def align_documents(
 
     Null and empty texts, and texts that the tokens of either don't decode to, have no
     tokens: zeros, and empty text unhashed. Repeated rows are documents of their own, null
-    ids stay null, other columns are ignored, and an empty table gives none. Counts of at most ``broadcast``
-    pairs, the commonest, travel to the tasks; links of rarer pairs meet theirs by shuffle.
+    ids stay null, other columns are ignored, and an empty table gives none. Texts are
+    encoded once, into stored blocks. Counts of at most ``broadcast`` pairs, the commonest,
+    travel to the tasks; links of rarer pairs meet theirs by shuffle.
     """
     spark = docs.sparkSession
-    paths = (byte_path, piece_path)
-    counted = cut(count_pairs(docs.select(text_of(text_col).alias("text")), paths), "pairs")
-    first = F.shiftright("code", 32).cast("int")
+    width = sentencepiece.SentencePieceProcessor(model_file=piece_path).get_piece_size()
+    blocks = cut(aligned_blocks(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")), (byte_path, piece_path), with_groups), "blocks")
+    counted = cut(count_pairs(blocks), "pairs")
+    first = F.floor(F.col("code") / width).cast("int")
     # One row a token of the first vocabulary at most.
     best = counted.groupBy(first.alias("a")).agg(F.max("n").alias("best"))
     most = best.toPandas()
@@ -306,53 +419,33 @@ def align_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts, top = shared.value
-
-        def describe(run: Run) -> list:
-            pairs, times, edges = run.links()
-            at = np.minimum(np.searchsorted(codes, pairs), max(0, len(codes) - 1))
-            have = codes[at] == pairs if len(codes) else np.zeros(len(pairs), dtype=bool)
-            n = np.where(have, counts[at] if len(codes) else 0, 0)
-            # Sums by differences, so that they stay whole numbers.
-            best = times * (have & (n == top[pairs >> 32]))
-            sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[edges]) for x in (times, best, n * times)]
-            ends = np.concatenate([[0], run.ends])
-            sizes = [np.diff(np.concatenate([[0], cuts])[ends]) for cuts in (run.a_cuts, run.b_cuts)] + [np.diff(ends)]
-            rare: list = [None] * len(run.parts)
-            if not have.all():
-                for k, (p, q) in enumerate(zip(edges.tolist(), edges[1:].tolist(), strict=False)):
-                    if not have[p:q].all():
-                        rare[k] = pairs[p:q][~have[p:q]], times[p:q][~have[p:q]]
-            return list(zip(np.stack(sizes + sums, axis=1), run.texts(), rare, strict=True))
-
-        parts = Parts(paths, describe)
         for batch in batches:
-            ids = batch.column(0)
-            start = 0
-            for some in in_slices(batch.column(1).to_pylist()):
-                rows, digests, texts, rare, times = [], [], [], [], []
-                for own in parts.texts(some):
-                    about = [parts.about[k] for k in own]
-                    if not about or any(x is None for x in about):
-                        rows.append(np.zeros(len(NUMBERS), dtype=np.int64))
-                        text = None
-                    else:
-                        rows.append(np.sum([x[0] for x in about], axis=0))
-                        text = ";".join([x[1] for x in about])
-                    digests.append("" if text is None else hashlib.sha256(text.encode()).hexdigest())
-                    texts.append(text or "" if with_groups else None)
-                    left = [x[2] for x in about if x[2] is not None] if text is not None else []
-                    rare.append(np.concatenate([x for x, _ in left]) if left else None)
-                    times.append(np.concatenate([x for _, x in left]) if left else None)
-                numbers = np.array(rows, dtype=np.int64).reshape(-1, len(NUMBERS))
+            for row in batch.to_pylist():
+                own = np.frombuffer(row["codes"], "<i8")
+                at = np.minimum(np.searchsorted(codes, own), max(0, len(codes) - 1))
+                have = codes[at] == own if len(codes) else np.zeros(len(own), dtype=bool)
+                n = np.where(have, counts[at] if len(codes) else 0, 0)
+                is_best = have & (n == top[own // width])
+                links, times, sizes = _numbers(row["links"]), _numbers(row["times"]), _numbers(row["counts"])
+                doc = np.repeat(np.arange(len(sizes)), sizes)
+                sums = np.zeros((2, len(sizes)), dtype=np.int64)
+                np.add.at(sums[0], doc, times * is_best[links])
+                np.add.at(sums[1], doc, times * n[links])
+                rare, rare_times = [None] * len(sizes), [None] * len(sizes)
+                unknown = ~have[links]
+                for k in np.unique(doc[unknown]).tolist():
+                    mine = unknown & (doc == k)
+                    rare[k], rare_times[k] = own[links[mine]], times[mine]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, len(rows)), *(pa.array(numbers[:, k]) for k in range(len(NUMBERS))), pa.array(digests, pa.string()),
-                     pa.array(texts, pa.string()), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-                    names=["doc_id", *NUMBERS, "groups_sha256", "groups", "rare", "times"])
-                start += len(rows)
-
-    schema = "doc_id long, " + ", ".join(f"{n} long" for n in NUMBERS) + ", groups_sha256 string, groups string, rare array<long>, times array<long>"
-    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
-    columns = ["doc_id", *NUMBERS, "groups_sha256", *(["groups"] if with_groups else [])]
+                    [pa.array(row["ids"], pa.int64()), *(pa.array(row[name], pa.int64()) for name in NUMBERS), pa.array(sums[0]), pa.array(sums[1]),
+                     pa.array(row["digests"], pa.string()), pa.array(row["groups"] or [None] * len(sizes), pa.string()),
+                     pa.array(rare, pa.list_(pa.int64())), pa.array(rare_times, pa.list_(pa.int64()))],
+                    names=["doc_id", *NUMBERS, "n_best", "count_sum", "groups_sha256", "groups", "rare", "times"])
+
+    columns = ["doc_id", *NUMBERS, "n_best", "count_sum", "groups_sha256", *(["groups"] if with_groups else [])]
+    schema = ("doc_id long, " + ", ".join(f"{n} long" for n in NUMBERS)
+              + ", n_best long, count_sum long, groups_sha256 string, groups string, rare array<long>, times array<long>")
+    found = blocks.mapInArrow(run, schema)
     if total <= broadcast:
         return found.select(columns)
     found = cut(found.withColumn("row", F.monotonically_increasing_id()), "aligned")
