@@ -431,7 +431,8 @@ def repeated_starts(pieces: DataFrame, sources: DataFrame, length: int, widths:
     place. ``sources`` has the owners' bytes: o1, o2, content. ``widths`` are those that
     anchors with more than ``most`` contents are cut to, the last being 1.
     """
-    keys = pieces.groupBy("key").agg(F.sum("n").alias("total"), (F.min("node") != F.max("node")).alias("mixed")).where("total > 1").select("key", "mixed")
+    # Stored, so that the join sees two plain shuffles and can split a key with very many pieces.
+    keys = cut(pieces.groupBy("key").agg(F.sum("n").alias("total"), (F.min("node") != F.max("node")).alias("mixed")).where("total > 1").select("key", "mixed"), "keys")
     again = cut(pieces.join(keys, "key"), "again")
     low = F.shiftright("place", 32)
     size = F.shiftright("place", 16).bitwiseAND(0xFFFF)
