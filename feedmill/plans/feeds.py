@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedmill.fields import Layout
 from feedmill.functions.dates import dated_path, path_date, spark_pattern
-from feedmill.functions.ebcdic import encode_text, pack_decimal, record_field
+from feedmill.functions.ebcdic import encode_text, pack_decimal
 from feedmill.operators.sets import union_frames
 from feedmill.plans import fixtures
 from feedmill.plans.flow import run_flow
@@ -18,7 +18,7 @@ from feedmill.sinks import fixed as fixed_sink
 from feedmill.sinks import tables as sinks
 from feedmill.sinks.jdbc import column_types
 from feedmill.sources.dated import days_between, read_dated, with_load_date
-from feedmill.sources.ebcdic import read_ebcdic, read_framed_records
+from feedmill.sources.ebcdic import parse_records, read_ebcdic, read_framed_records
 from feedmill.sources.fixed import last_per_feed, read_fixed, width_profile
 from feedmill.sources.lines import read_lines, split_envelope, with_positions
 from feedmill.sources.tables import empty_frame, read_delimited, read_parquet, typed_cast
@@ -275,6 +275,37 @@ def feed_record_position(spark, folder):
                         fixtures.feed_year().alias("order_year"), "line_no")
 
 
+@query("fixed_double_roundtrip", """
+    SELECT o_orderkey * 1000000 AS ORDER_KEY, CAST(o_totalprice AS DECIMAL(18,2)) AS AMOUNT, o_custkey::DOUBLE AS CUSTOMER FROM orders""")
+def fixed_double_roundtrip(spark, folder):
+    """Floating-point numbers in whole, decimal and plain fields come back as they were."""
+    path = new_folder(spark, "doubles")
+    layout = Layout.of([{"name": "ORDER-KEY", "type": "long", "length": 14}, {"name": "AMOUNT", "type": "decimal", "precision": 2, "length": 12},
+                        {"name": "CUSTOMER", "type": "double", "length": 16}])
+    orders = table(spark, folder, "orders").select(
+        (F.col("o_orderkey") * F.lit(1e6)).alias("ORDER_KEY"), F.col("o_totalprice").alias("AMOUNT"), F.col("o_custkey").cast("double").alias("CUSTOMER"))
+    fixed_sink.write_fixed(orders, layout, path)
+    return read_fixed(spark, path, layout).data.select(
+        F.col("ORDER_KEY").try_cast("bigint").alias("ORDER_KEY"), "AMOUNT", F.col("CUSTOMER").try_cast("double").alias("CUSTOMER"))
+
+
+@query("feed_wide_trailer", """
+    SELECT strftime(max(o_orderdate), '%Y%m%d') AS FILE_DATE, lpad(CAST(sum(o_orderkey)::BIGINT AS VARCHAR), 18, ' ') AS line_total,
+           CAST(sum(o_orderkey) AS BIGINT) AS TOTAL, count(*) AS records FROM orders""")
+def feed_wide_trailer(spark, folder):
+    """Header and trailer may be wider than the data, and no total is cut."""
+    path = new_folder(spark, "wide")
+    header = [{"name": "REC-ID", "length": 3, "expression": "'HDR'"},
+              {"name": "FILE-DATE", "length": 8, "expression": "date_format(max(FILE_DAY), 'yyyyMMdd')"}]
+    trailer = [{"name": "REC-ID", "length": 3, "expression": "'TRL'"}, {"name": "TOTAL", "type": "long", "length": 18, "expression": "sum(ORDER_KEY)"}]
+    fields = [{"name": "ORDER-KEY", "type": "long", "length": 9}]
+    fixed_sink.write_fixed(fixtures.orders(spark, folder), fields, path, 1, 1, header, trailer)
+    feed = read_fixed(spark, path, fields, 1, 1, header, [{"name": "LINE", "start": 4, "length": 18}, {"name": "TOTAL", "start": 4, "length": 18}])
+    counted = feed.data.groupBy("feed").agg(F.count(F.lit(1)).alias("records"))
+    return counted.join(feed.header, "feed").join(feed.trailer, "feed").select(
+        "FILE_DATE", F.lpad("LINE", 18, " ").alias("line_total"), F.col("TOTAL").cast("bigint").alias("TOTAL"), "records")
+
+
 @query("feed_write_enveloped", """
     SELECT (SELECT rpad('HDR' || strftime(max(o_orderdate), '%Y%m%d'), 40, ' ') FROM orders) AS header,
            (SELECT rpad('TRL' || lpad(CAST(count(*) + 2 AS VARCHAR), 10, '0'), 40, ' ') FROM orders) AS trailer,
@@ -378,11 +409,11 @@ def ebcdic_framed_read(spark, folder):
     (rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "section", "c_custkey").select("c_nationkey", "value")
      .write.partitionBy("c_nationkey").option("lineSep", "\x40").text(path))
     records = read_framed_records(spark, path, 38, 19, 19)
-    fields = Layout.of([{"name": "CUST-ID", "type": "packed", "length": 6}, {"name": "NAME", "length": 24},
-                        {"name": "BALANCE", "type": "packed", "precision": 2, "length": 7}]).fields
-    data = records.select(
-        F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("int").alias("nation"), "record_id", *[record_field(F.col("record"), f, "cp037") for f in fields])
-    return data.withColumn("CUST_ID", F.col("CUST_ID").cast("bigint"))
+    data = parse_records(records, [
+        {"name": "CUST-ID", "type": "packed", "length": 6}, {"name": "NAME", "length": 24},
+        {"name": "BALANCE", "type": "packed", "precision": 2, "length": 7}], record_id=True)
+    nation = F.regexp_extract("path", r"c_nationkey=(\d+)", 1).cast("int").alias("nation")
+    return data.select(nation, "record_id", F.col("CUST_ID").cast("bigint").alias("CUST_ID"), "NAME", "BALANCE")
 
 
 # ---- sinks ---------------------------------------------------------------------------

@@ -7,10 +7,11 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from feedmill.fields import Field, Layout
+from feedmill.fields import INTEGRAL, Field, Layout
 from feedmill.functions.content import content_hash
 from feedmill.functions.dates import spark_pattern
 from feedmill.functions.names import find_column, sql_text
+from feedmill.functions.numbers import fitting, is_number, plain_text, whole_text
 
 Spec = Field | Mapping[str, Any]
 
@@ -24,16 +25,6 @@ def refuse_append(mode: str, path: str) -> None:
         raise ValueError(f"cannot append to the enveloped feed at '{path}'; write a directory of its own")
 
 
-def _fitting(text: Column, field: Field, on_overflow: str) -> Column:
-    """The text, or an error if it is longer than its field; ``truncate`` lets it be cut."""
-    if on_overflow == "truncate":
-        return text
-    if on_overflow != "error":
-        raise ValueError(f"unknown overflow mode '{on_overflow}'")
-    message = F.concat(F.lit(f"value does not fit the {field.length} places of '{field.name}': "), text)
-    return F.when(F.length(text) > field.length, F.raise_error(message).cast("string")).otherwise(text)
-
-
 def _implied(value: Column, field: Field) -> Column:
     """Digits without their point, sign first, then zeros; longer than the field if they must be."""
     exact = value.try_cast(T.DecimalType(38, field.precision)).cast("string")
@@ -46,6 +37,14 @@ def _implied(value: Column, field: Field) -> Column:
     return F.when(exact.startswith("-") & (digits != ""), minus).otherwise(filled(field.length))
 
 
+def _text(value: Column, field: Field) -> Column:
+    """A value as text: numbers in the form of the field's type, never with an exponent."""
+    if field.type in INTEGRAL:
+        # Text stays as it is, so that validation can still see it.
+        return F.when(is_number(value), whole_text(value)).otherwise(value.cast("string"))
+    return plain_text(value)
+
+
 def data_piece(value: Column, field: Field, on_overflow: str = "error") -> Column:
     """One field of a data line, padded to its length; NULL is blank.
 
@@ -57,19 +56,24 @@ def data_piece(value: Column, field: Field, on_overflow: str = "error") -> Colum
     elif field.format and field.type in ("date", "timestamp"):
         text = F.date_format(value, spark_pattern(field.format))
     else:
-        text = value.cast("string")
+        text = _text(value, field)
     text = F.coalesce(text, F.lit(""))
     if field.implied or field.numeric:
-        text = _fitting(text, field, on_overflow)
+        text = fitting(text, field, on_overflow)
     pad = F.lpad if field.numeric or field.just_right else F.rpad
     return pad(text, field.length, " ")
 
 
-def compose(pieces: list[tuple[Field, Column]], width: int) -> Column:
+def compose(pieces: list[tuple[Field, Column]], width: int, cut_text: bool = False) -> Column:
     """Pieces set at their starts, gaps blank, the line as wide as declared.
 
-    Every piece has its exact length, so the rest of the line is a constant.
+    Every piece has its exact length, so the rest of the line is a constant. Pieces that
+    reach beyond the line are an error, since a number cut off would be another one;
+    ``cut_text`` lets text fields be cut.
     """
+    for field, _ in pieces:
+        if field.end > width and (field.numeric or not cut_text):
+            raise ValueError(f"'{field.name}' reaches to place {field.end} of a record of {width}")
     out: list[Column] = []
     cursor = 1
     for field, piece in sorted(pieces, key=lambda p: p[0].start):
@@ -98,7 +102,7 @@ def fixed_line(df: DataFrame, layout: Layout, on_overflow: str = "error") -> Col
         (f, F.lit(" " * f.length) if c is None else data_piece(df[c], f, on_overflow))
         for f, c in zip(fields, found)
     ]
-    return compose(pieces, layout.width)
+    return compose(pieces, layout.width, cut_text=True)
 
 
 def to_lines(df: DataFrame, fields: Iterable[Spec] | Layout, on_overflow: str = "error") -> DataFrame:
@@ -111,18 +115,24 @@ def envelope_piece(field: Field, columns: list[str]) -> Column:
     value = F.expr(sql_text(field.expression, columns)) if field.expression else F.lit("")
     if field.format and field.type in ("date", "timestamp"):
         value = F.date_format(value, spark_pattern(field.format))
-    text = F.coalesce(value.cast("string"), F.lit(""))
-    if field.numeric:
-        text = _fitting(text, field, "error")
+    number = is_number(value)
+    text = F.coalesce(_text(value, field), F.lit(""))
+    # Numbers fit whatever the field's type says; other text is cut.
+    text = F.when(number | F.lit(field.numeric), fitting(text, field, "error")).otherwise(text)
     pad = F.lpad if field.numeric or field.just_right else F.rpad
     return pad(text, field.length, " ")
 
 
-def envelope_line(fields: Iterable[Spec], columns: list[str], width: int) -> Column:
-    """A header or trailer line; without fields it is blank."""
+def envelope_line(fields: Iterable[Spec], columns: list[str], data: Layout) -> Column:
+    """A header or trailer line; without fields it is blank.
+
+    It is as wide as a data line, or wider if its own fields need it; fields beyond a
+    declared record length are an error.
+    """
     layout = Layout.of(fields)
+    width = data.record_length or max(data.width, layout.width)
     if not layout.fields:
-        return F.lit(" " * width)
+        return F.lit(" " * data.width)
     return compose([(f, envelope_piece(f, columns)) for f in layout.fields], width)
 
 
@@ -152,8 +162,8 @@ def write_fixed(
         return
     refuse_append(mode, path)
     ends = df.agg(
-        envelope_line(header_fields, df.columns, layout.width).alias("header"),
-        envelope_line(trailer_fields, df.columns, layout.width).alias("trailer"),
+        envelope_line(header_fields, df.columns, layout).alias("header"),
+        envelope_line(trailer_fields, df.columns, layout).alias("trailer"),
     ).first()
     one = df.sparkSession.range(0, 1, 1, 1)
     parts = [one.select(F.lit(ends["header"]).alias("value"))] * header_count
@@ -200,8 +210,8 @@ def write_feeds(
     order_type = body.schema["__order"].dataType
     columns = [c for c in df.columns if c != feed]
     ends = df.groupBy(feed).agg(
-        envelope_line(header_fields, columns, layout.width).alias("header"),
-        envelope_line(trailer_fields, columns, layout.width).alias("trailer"),
+        envelope_line(header_fields, columns, layout).alias("header"),
+        envelope_line(trailer_fields, columns, layout).alias("trailer"),
     )
     # One unfolded row per feed: the totals are computed once for both ends.
     sections = F.array(

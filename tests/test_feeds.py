@@ -445,3 +445,55 @@ def test_header_references_stay_with_their_feed(spark):
     with pytest.raises(Py4JJavaError, match="several feeds"):
         totals.control_line(data, fields, header=header).collect()
     assert totals.control_line(data, fields, header=header.where("feed = 'a'")).first().value == "00320260301"
+
+
+# ---- exact numbers --------------------------------------------------------------------
+
+def test_control_numbers_are_exact_or_raise(spark):
+    df = spark.createDataFrame([(8.9985e10, 6000, Decimal("89985000000.00"), 1e-5)], "d double, n long, m decimal(18,2), s double")
+
+    def line(kind, length, expression, **more):
+        on_overflow = more.pop("on_overflow", "error")
+        field = {"name": "X", "type": kind, "length": length, "expression": expression} | more
+        return totals.control_line(df, [field], on_overflow=on_overflow).first().value
+
+    assert line("LONG", 15, "sum(d)") == "000089985000000"
+    assert line("LONG", 15, "-sum(d)") == "-00089985000000"
+    assert line("INT", 4, "sum(n)") == "6000" and line("INT", 5, "-sum(n)") == "-6000"
+    assert line("DOUBLE", 14, "sum(d)") == " 89985000000.0" and line("DOUBLE", 8, "sum(s)") == " 0.00001"
+    assert line("DECIMAL", 14, "sum(m)") == "89985000000.00" and line("DECIMAL", 14, "sum(d)", precision=1) == " 89985000000.0"
+    assert line("STRING", 13, "sum(d)") == "89985000000.0"
+    assert line("LONG", 6, "cast(null as long)") == "000000" and line("DOUBLE", 3, "cast(null as double)") == "   "
+    for kind, length, expression in (("INT", 3, "sum(n)"), ("LONG", 10, "sum(d)"), ("DOUBLE", 8, "sum(d)"), ("DECIMAL", 8, "sum(m)"), ("INT", 4, "-sum(n)")):
+        with pytest.raises(SparkRuntimeException, match="does not fit"):
+            line(kind, length, expression)
+    assert line("INT", 3, "sum(n)", on_overflow="truncate") == "600"
+    for value in ("'abc'", "double('NaN')", "1e300"):
+        with pytest.raises(SparkRuntimeException, match="not a number"):
+            line("LONG", 15, f"max({value})")
+
+
+def test_floating_numbers_in_data_lines(spark):
+    layout = Layout.of([{"name": "N", "type": "long", "length": 10}, {"name": "D", "type": "double", "length": 12}, {"name": "S", "length": 12}])
+    df = spark.createDataFrame([(2.9995e7, 2.9995e7, 1.5), (None, -0.5, None), (-3.0, 1e-7, 0.25)], "N double, D double, S double")
+    assert [r.value for r in to_lines(df, layout).collect()] == [
+        "  29995000  29995000.01.5         ", "                  -0.5            ", "        -3   0.00000010.25        "]
+    with pytest.raises(SparkRuntimeException, match="does not fit"):
+        to_lines(spark.createDataFrame([(1e10,)], "N double"), layout).collect()
+    text = to_lines(spark.createDataFrame([("x1",)], "N string"), layout).first().value
+    assert text == "        x1" + " " * 24
+
+
+def test_lines_are_never_cut(spark, tmp_path):
+    df = spark.range(1, 4).selectExpr("id * 100000000 as N")
+    data, trailer = [{"name": "N", "type": "long", "length": 9}], [{"name": "T", "length": 3, "expression": "'TRL'"}, {"name": "SUM", "type": "long", "length": 12, "expression": "sum(N)"}]
+    path = str(tmp_path / "wide")
+    write_fixed(df, data, path, 0, 1, trailer_fields=trailer)
+    assert sorted(r.value for r in spark.read.text(path).collect())[-1] == "TRL   600000000"
+    with pytest.raises(ValueError, match="place 15 of a record of 9"):
+        write_fixed(df, Layout.of(data, 9), path, 0, 1, trailer_fields=trailer)
+    with pytest.raises(ValueError, match="place 9 of a record of 6"):
+        write_fixed(df, Layout.of(data, 6), path)
+    short = [{"name": "SUM", "length": 4, "expression": "sum(N)"}]
+    with pytest.raises(SparkRuntimeException, match="does not fit"):
+        write_fixed(df, data, path, 1, 0, header_fields=short)
