@@ -97,3 +97,23 @@ def missing_date_alerts(days: DataFrame, flow: str, input_name: str,
         F.concat(F.lit(f"no delivery of '{input_name}' for "), day),
         {"input": F.lit(input_name), "partition_column": day},
     )
+
+
+def missing_input_alerts(listing: DataFrame, flow: str) -> DataFrame:
+    """From a listing of declared inputs: an alert per input that was not delivered."""
+    return alerts(
+        listing.filter(~F.col("delivered")), "input_missing", flow, F.col("input"),
+        F.concat(F.lit("input '"), F.col("input"), F.lit(f"' of '{flow}' was not delivered to "), F.col("path")),
+        {"input": F.col("input"), "path": F.col("path")},
+    )
+
+
+def generic_alerts(findings: DataFrame, flow: str, subject: Column, summary: Column,
+                   tags: dict[str, Column] | None = None, severity: str | None = None) -> DataFrame:
+    """Any other finding, one alert a row, in the caller's words."""
+    return alerts(findings, "generic", flow, subject, summary, tags, severity)
+
+
+def write_alerts(found: DataFrame, path: str) -> None:
+    """Add alerts to a table of them."""
+    found.write.mode("append").parquet(path)

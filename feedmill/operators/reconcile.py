@@ -22,6 +22,10 @@ class CountMismatch(RuntimeError):
     """Raised by the gate on a feed whose trailer count is wrong."""
 
 
+class MissingInput(RuntimeError):
+    """Raised by a flow whose declared inputs were not all delivered."""
+
+
 class BrokenContinuity(RuntimeError):
     """Raised by the gates on deliveries that are missing or carry a wrong date."""
 
@@ -118,9 +122,11 @@ def continuity(
 
 
 def compare_total(data: DataFrame, expected: Column, source: DataFrame) -> DataFrame:
-    """One row: the count that ``expected`` finds in ``source`` (its first line or record)
-    against all rows of ``data``, in the columns of :func:`compare_counts`."""
-    declared = source.select(F.trim(expected).try_cast("bigint").alias("n")).agg(F.max("n").alias("n")).scalar()
+    """One row: the count that ``expected`` finds in ``source``, its lines with ``line_no``,
+    against all rows of ``data``, in the columns of :func:`compare_counts`. The first line
+    counts; without one, or if it is no number, the count is NULL and never a match."""
+    count = F.trim(expected).try_cast("bigint")
+    declared = source.agg(F.min_by(F.struct(count.alias("n")), F.col("line_no")).alias("first")).select("first.n").scalar()
     actual = data.agg(F.count(F.lit(1)).alias("actual_count"))
     return actual.select(
         F.lit("all").alias("feed"), declared.alias("expected_count"), "actual_count",
@@ -166,6 +172,13 @@ def require_continuity(days: DataFrame) -> DataFrame:
     return days
 
 
+def require_delivered(listing: DataFrame) -> None:
+    """Nothing if every input is there, else :class:`MissingInput` with all that are not."""
+    missing = listing.filter("NOT delivered").select("input", "path").collect()
+    if missing:
+        raise MissingInput(f"inputs were not delivered: {[r.asDict() for r in missing]}")
+
+
 def require_complete(missing: DataFrame) -> None:
     """Nothing if no date is missing, else :class:`BrokenContinuity` with up to five."""
     gaps = missing.limit(5).collect()

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from feedmill.fields import Field
 from feedmill.functions.dates import dated_path, spark_pattern
 from feedmill.operators import aggregates, filters, joins, reconcile, sets, validate, verbs
+from feedmill.plans.options import check_step
 from feedmill.session import cut
 from feedmill.sinks.jdbc import load_table
 from feedmill.sinks.tables import write_control_file
@@ -95,16 +96,6 @@ def _custom(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame:
     raise ValueError(f"unknown custom operation '{op}'")
 
 
-# What a validate step knows; anything else is refused, so that no declared check is lost.
-_VALIDATE_KEYS = {
-    "source_inputs", "rules", "fail_mode", "mode", "on_invalid", "layout", "output_path", "validated_path", "error_path", "run_date",
-    "record_count_check", "record_count_trailer_field", "header_count", "trailer_count", "trailer_check", "trailer_count_field",
-    "previous_day_check", "last_run_check", "previous_day_file_path", "previous_day_file_name", "previous_day_frequency",
-    "previous_day_header_field", "last_run_file_path", "last_run_file_name", "last_run_frequency", "partition_column", "holidays",
-    "skip_weekends",
-}
-
-
 def _previous(df: DataFrame, logic: Mapping[str, Any], kind: str) -> None:
     """Gate on the delivery of the business day before the run."""
     spark, run_date = df.sparkSession, logic.get("run_date") or dt.date.today()
@@ -134,9 +125,6 @@ def _validate(frames: Frames, step: Step, logic: Mapping[str, Any]) -> DataFrame
     ``trailer_check`` compares each feed's trailer with the rows that pass all rules.
     """
     df = _source(frames, step, logic)
-    unknown = {k for k in logic if not k.startswith("_")} - _VALIDATE_KEYS
-    if unknown:
-        raise ValueError(f"step '{_alias(step)}': unknown validation options {sorted(unknown)}")
     for kind, wanted in (("previous_day", logic.get("previous_day_check")), ("last_run", logic.get("last_run_check"))):
         if wanted:
             _previous(df, logic, kind)
@@ -204,23 +192,90 @@ def run_step(
     Steps build plans. Only the sinks (``ctrl_file``, ``table_write``, a
     validation with an output path) and the gates of a validation run a job;
     sinks pass their input on. A step with ``store: true`` is written to the
-    shared folder once, for a result that several outputs start from. Dated
-    paths follow ``run_date``, by default today.
+    shared folder once, for a result that several outputs start from. Options
+    that a step does not know are refused. Dated paths follow ``run_date``, by
+    default today.
     """
+    check_step(step, _logic(step))
     kind = str(step.get("type") or "select").lower()
-    if kind not in STEPS:
-        raise ValueError(f"unknown step type '{kind}'")
     df = STEPS[kind](frames, step, {**_logic(step), "run_date": run_date})
     return _alias(step), cut(df, "step") if step.get("store") else df
 
 
+def _reads(step: Step, named: Iterable[str]) -> list[str]:
+    """The frames a step computes from, one entry a time it does."""
+    logic, named = _logic(step), set(named)
+    kind = str(step.get("type") or "select").lower()
+    if kind == "join":
+        return [n for n in (logic.get("left"), logic.get("right")) if n in named]
+    known = [n for n in _names(step, logic) if n in named]
+    if kind == "union" or (kind == "custom" and str(logic.get("operation") or logic.get("op")).lower() == "merge"):
+        return known
+    times = 1
+    if kind == "validate":
+        # Gates and sinks compute the rows before the result does.
+        mode = str(logic.get("fail_mode") or logic.get("mode") or "FLAG").upper()
+        aborts = mode == "ABORT" or str(logic.get("on_invalid", "")).lower() == "abort"
+        sinks = any(logic.get(k) for k in ("output_path", "validated_path", "error_path"))
+        times += bool(logic.get("trailer_check")) + bool(logic.get("record_count_check")) + (aborts or sinks)
+    elif kind in _SINKS:
+        times += 1
+    return known[:1] * times
+
+
+# Steps that write what they are given and hand it on.
+_SINKS = {"ctrl_file", "table_write", "oracle_write"}
+
+
+def shared_frames(steps: Iterable[Step], inputs: Iterable[str], wanted: Iterable[str] | None = None) -> set[tuple[int, str]]:
+    """The frames that are computed more than once: (number of the step, -1 for an input; name).
+
+    ``wanted`` names the results that are used afterwards, each as often as it is listed; by
+    default all of them are. Steps that nothing wanted comes from, and that write nothing,
+    are never computed and use nothing. A name may be given again: later steps then see the
+    later frame.
+    """
+    steps = list(steps)
+    latest = {name: -1 for name in inputs}
+    reads: list[list[tuple[int, str]]] = []
+    for number, step in enumerate(steps):
+        reads.append([(latest[n], n) for n in _reads(step, latest)])
+        latest[_alias(step)] = number
+    uses: dict[tuple[int, str], int] = {}
+    for name in latest if wanted is None else wanted:
+        if name in latest:
+            uses[latest[name], name] = uses.get((latest[name], name), 0) + 1
+    for number in reversed(range(len(steps))):
+        step = steps[number]
+        own = (number, _alias(step))
+        kind = str(step.get("type") or "select").lower()
+        if uses.get(own) or kind in _SINKS or kind == "validate":
+            # A stored result is computed once, any other as often as it is used.
+            times = 1 if uses.get(own, 0) > 1 and step.get("store") is not False else max(1, uses.get(own, 0))
+            for frame in reads[number]:
+                uses[frame] = uses.get(frame, 0) + times
+    return {frame for frame, n in uses.items() if n > 1}
+
+
 def run_steps(
-    frames: Frames, steps: Iterable[Step], run_date: dt.date | None = None
+    frames: Frames, steps: Iterable[Step], run_date: dt.date | None = None, wanted: Iterable[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Fold steps over named frames; returns inputs and results by name."""
-    named = dict(frames)
+    """Fold steps over named frames; returns inputs and results by name.
+
+    With ``wanted``, the names that outputs use, a result that several steps or outputs
+    compute from is stored by itself, so that all of them start from one copy; ``store: false``
+    leaves one out. All options are checked before the first step runs.
+    """
+    steps = list(steps)
     for step in steps:
+        check_step(step, _logic(step))
+    shared = shared_frames(steps, frames, wanted) if wanted is not None else set()
+    named = dict(frames)
+    for number, step in enumerate(steps):
         alias, df = run_step(step, named, run_date)
+        passed_on = any(df is other for other in named.values())
+        if (number, alias) in shared and "store" not in step and not passed_on:
+            df = cut(df, "step")
         named[alias] = df
     return named
 

@@ -92,6 +92,14 @@ def read_framed_records(
     return pieces.groupBy("path", "record_id").agg(record.alias("record"))
 
 
+def parse_records(
+    records: DataFrame, fields: Iterable[Field | Mapping[str, Any]] | Layout, encoding: str = "cp037", record_id: bool = False
+) -> DataFrame:
+    """Project records on a layout; with ``record_id`` their file and number come first."""
+    columns = [record_field(F.col("record"), f, encoding) for f in Layout.of(fields).fields]
+    return records.select(*(["path", "record_id"] if record_id else []), *columns)
+
+
 def read_ebcdic(
     spark: SparkSession,
     path: str,
@@ -105,9 +113,8 @@ def read_ebcdic(
     """Read fixed-length records by a declared layout."""
     layout = Layout.of(fields)
     length = record_length or layout.width
-    columns = [record_field(F.col("record"), f, encoding) for f in layout.fields]
     if start_offset or end_offset or record_id:
         records = read_framed_records(spark, path, length, start_offset, end_offset)
-        keep = ["path", "record_id"] if record_id else []
-        return records.select(*keep, *columns)
-    return read_records(spark, path, length).select(*columns)
+    else:
+        records = read_records(spark, path, length)
+    return parse_records(records, layout, encoding, record_id)

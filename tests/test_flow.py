@@ -4,9 +4,10 @@ import datetime as dt
 
 import pytest
 
-from feedmill.operators.reconcile import BrokenContinuity, CountMismatch
+from conftest import plan_nodes, text_scans
+from feedmill.operators.reconcile import BrokenContinuity, CountMismatch, MissingInput
 from feedmill.plans.flow import declared_path, read_input, run_flow
-from feedmill.plans.steps import run_steps
+from feedmill.plans.steps import run_steps, shared_frames
 
 DAY = dt.date(2026, 3, 1)
 
@@ -157,3 +158,131 @@ def test_count_file_of_an_input(spark, tmp_path):
     (tmp_path / "F.CNT").write_text("6\n")
     with pytest.raises(CountMismatch):
         run_flow(spark, config, DAY)
+
+
+# ---- options, missing inputs, shared results --------------------------------------------
+
+@pytest.mark.parametrize("step, text", [
+    ({"type": "filter", "logic": {"condition": [{"field": "AMOUNT", "operation": ">", "value": 0}]}}, "filter options .'condition'"),
+    ({"type": "filter", "logic": {"conditions": [{"field": "AMOUNT", "operator": "<", "value": 0}]}}, "conditions: unknown options .'operator'"),
+    ({"type": "filter", "logic": {}}, "needs conditions"),
+    ({"type": "filter", "logic": {"conditions": []}, "source_input": "d"}, "unknown options .'source_input'"),
+    ({"type": "aggregate", "logic": {"groupby": ["STATUS"], "aggregations": []}}, "aggregate options .'groupby'"),
+    ({"type": "aggregate", "logic": {"group_by": ["STATUS"], "aggregation": []}}, "aggregate options .'aggregation'"),
+    ({"type": "aggregate", "logic": {"aggregations": [{"field": "AMOUNT", "operation": "sum", "as": "x"}]}}, "unknown options .'as'"),
+    ({"type": "select", "logic": {"expressions": [{"target": "A", "operation": "move", "expresion": "1"}]}}, "unknown options .'expresion'"),
+    ({"type": "validate", "logic": {"rules": [{"field": "A", "nullabel": False}]}}, "rules: unknown options .'nullabel'"),
+    ({"type": "union", "logic": {"distinct": True}}, "union options .'distinct'"),
+    ({"type": "ctrl_file", "logic": {"path": "x", "ctrl_file_fields": [{"name": "N", "expresion": "count(*)"}]}}, "unknown options .'expresion'"),
+])
+def test_options_nobody_knows_are_refused(spark, step, text):
+    df = spark.createDataFrame([("A", 1)], "STATUS string, AMOUNT long")
+    with pytest.raises(ValueError, match=text):
+        run_steps({"d": df}, [{"id": "s", "input": "d", **step}])
+
+
+def test_remarks_are_no_options(spark):
+    df = spark.range(3)
+    step = {"id": "s", "type": "filter", "source_inputs": ["d"], "description": "all", "logic": {"conditions": [], "comment": "all", "_origin": 1}}
+    assert run_steps({"d": df}, [step])["s"].count() == 3
+
+
+@pytest.mark.parametrize("place, name, change, text", [
+    ("Inputs", "TXN", {"filter": "AMOUNT > 0"}, "input 'TXN' of format csv: unknown options .'filter'"),
+    ("Inputs", "TXN", {"record_length": 20}, "record_length"), ("Outputs", "OUT", {"compresion": "gzip"}, "compresion"),
+    ("Outputs", "OUT", {"on_overflow": "truncate"}, "on_overflow"), ("Inputs", "TXN", {"if_missing": "ignore"}, "if_missing"),
+    ("Outputs", "OUT", {"fields": [{"name": "A", "lenght": 3}]}, "lenght"), ("Inputs", "TXN", {"format": "avro"}, "unknown format 'avro'"),
+])
+def test_places_nobody_knows_are_refused(spark, tmp_path, place, name, change, text):
+    config = _txn(tmp_path, ROWS)
+    config[place][name] |= change
+    with pytest.raises(ValueError, match=text):
+        run_flow(spark, config, DAY)
+    assert not (tmp_path / "out").exists()
+
+
+def test_empty_options_of_other_formats_say_nothing(spark, tmp_path):
+    config = _txn(tmp_path, ROWS)
+    config["Inputs"]["TXN"] |= {"record_length": 0, "header_fields": []}
+    assert run_flow(spark, config, DAY)["OUT"].count() == 3
+
+
+@pytest.mark.parametrize("lines, right", [("5\n100\n", True), ("100\n5\n", False), ("five\n5\n", False), ("", False)])
+def test_count_file_of_any_format_by_its_first_line(spark, tmp_path, lines, right):
+    config = _txn(tmp_path, ROWS)
+    (tmp_path / "count").write_text(lines)
+    config["Inputs"]["TXN"]["count_file_path"] = str(tmp_path / "count")
+    parquet = str(tmp_path / "p")
+    spark.range(5).write.parquet(parquet)
+    other = {"Inputs": {"P": {"path": parquet, "count_file_path": str(tmp_path / "count")}}, "Outputs": {"P": {"path": str(tmp_path / "o")}}}
+    for flow in (config, other):
+        if right:
+            run_flow(spark, flow, DAY)
+        else:
+            with pytest.raises(CountMismatch):
+                run_flow(spark, flow, DAY)
+
+
+def test_inputs_that_were_not_delivered(spark, tmp_path):
+    config = _txn(tmp_path, ROWS) | {"name": "daily", "alerts_path": str(tmp_path / "alerts")}
+    late = {"format": "csv", "path": str(tmp_path / "late.csv"), "fields": [{"name": "TXN-ID"}, {"name": "AMOUNT", "type": "long"}]}
+    config["Inputs"]["LATE"] = late
+    with pytest.raises(MissingInput, match="LATE"):
+        run_flow(spark, config, DAY)
+    assert not (tmp_path / "out").exists()
+    found = spark.read.parquet(str(tmp_path / "alerts")).collect()
+    assert [(r.alert_key, r.kind, r.severity, r.tags["input"]) for r in found] == [
+        ("feedmill.daily.LATE.input_file_missing", "input_missing", "CRITICAL", "LATE")]
+    late["if_missing"] = "empty"
+    config["Transformations"]["steps"].append({"id": "late", "type": "filter", "source_inputs": ["LATE"], "logic": {"conditions": []}})
+    config["Outputs"]["OUT"]["source_inputs"] = ["KEPT"]
+    config["Outputs"]["late"] = {"path": str(tmp_path / "late_out")}
+    assert run_flow(spark, config, DAY)["late"].dtypes == [("TXN_ID", "string"), ("AMOUNT", "bigint")]
+    assert spark.read.parquet(str(tmp_path / "late_out")).count() == 0
+    config["Inputs"]["TXN"]["fields"] = []
+    config["Transformations"]["steps"][0]["logic"]["conditions"][0]["field"] = "NOPE"
+    with pytest.raises(ValueError):
+        run_flow(spark, config, DAY)
+    kinds = [r.kind for r in spark.read.parquet(str(tmp_path / "alerts")).collect()]
+    assert sorted(kinds) == ["generic", "input_missing"]
+
+
+@pytest.mark.parametrize("spec", [
+    {"format": "parquet"}, {"format": "fixed", "header_count": 1, "header_fields": [{"name": "H", "length": 3}]},
+    {"format": "ebcdic", "cobrix": {"generate_record_id": True}}, {"format": "csv"}])
+def test_missing_inputs_of_every_format_have_their_columns(spark, tmp_path, spec):
+    given = spec | {"path": str(tmp_path / "none"), "if_missing": "empty", "fields": [{"name": "A-B", "length": 4}]}
+    found = read_input(spark, "X", given, DAY)
+    assert "A_B" in found["X"].columns and found["X"].count() == 0
+    assert spec["format"] != "fixed" or found["X_header"].columns == ["feed", "line_no", "H"]
+    with pytest.raises(ValueError, match="declares no fields"):
+        read_input(spark, "X", given | {"fields": []}, DAY)
+
+
+def test_frames_used_twice_are_stored_once(spark, tmp_path):
+    """Two outputs of one text input scan it once, and share the step both come from."""
+    lines = "\n".join(f"{k:06d}{k * 100:08d}" for k in range(500))
+    (tmp_path / "F.DAT").write_text(lines + "\n")
+    config = {
+        "Inputs": {"F": {"format": "fixed", "path": str(tmp_path / "F.DAT"), "fields": FIELDS}},
+        "Outputs": {"low": {"path": str(tmp_path / "low")}, "high": {"path": str(tmp_path / "high")}, "all": {"path": str(tmp_path / "all"), "source_inputs": ["both"]}},
+        "Transformations": {"steps": [
+            {"id": "typed", "type": "select", "source_inputs": ["F"], "logic": {"expressions": [{"target": "N", "operation": "expression", "expression": "cast(ID as int)"}]}},
+            {"id": "low", "type": "filter", "source_inputs": ["typed"], "logic": {"conditions": [{"field": "N", "operation": "<", "value": 100}]}},
+            {"id": "high", "type": "filter", "source_inputs": ["typed"], "logic": {"conditions": [{"field": "N", "operation": ">=", "value": 400}]}},
+            {"id": "both", "type": "union", "source_inputs": ["low", "high"], "logic": {}},
+            {"id": "unused", "type": "filter", "source_inputs": ["F"], "logic": {"conditions": []}}]},
+    }
+    nodes = plan_nodes(spark)
+    found = run_flow(spark, config, DAY)
+    assert {k: df.count() for k, df in found.items()} == {"low": 100, "high": 100, "all": 200}
+    assert text_scans(nodes()) == 1
+    steps = config["Transformations"]["steps"]
+    assert shared_frames(steps, ["F"], ["low", "high", "both"]) == {(0, "typed"), (1, "low"), (2, "high")}
+    # What is stored is computed once, so its source is used once.
+    assert shared_frames(steps, ["F"], ["low"]) == set()
+    assert shared_frames([s | {"store": False} for s in steps], ["F"], ["low", "high"]) == {(0, "typed"), (-1, "F")}
+    nodes = plan_nodes(spark)
+    counts = run_flow(spark, config, DAY, dry_run=True)["row_counts"].collect()
+    assert sorted(map(tuple, counts)) == [("all", 200), ("high", 100), ("low", 100)]
+    assert text_scans(nodes()) == 1
