@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from feedmill.fields import Layout
 from feedmill.functions.dates import dated_path, path_date, spark_pattern
 from feedmill.functions.ebcdic import encode_text, pack_decimal
+from feedmill.operators.reconcile import MissingInput
 from feedmill.operators.sets import union_frames
 from feedmill.plans import fixtures
 from feedmill.plans.flow import run_flow
@@ -698,3 +699,30 @@ def flow_curated_control(spark, folder):
         "Outputs": {"OUT": {"path": f"{base}/out", "source_inputs": ["control"]}}})
     return spark.read.text(f"{base}/ORDERS.CTL")
 
+
+@query("flow_missing_input", f"""
+    SELECT 'feedmill.days.D' || d || '.input_file_missing' AS finding, NULL::BIGINT AS n
+    FROM (SELECT unnest([{", ".join(f"'{d}'" for d in fixtures.DECLARED_DAYS)}]) AS d)
+    WHERE d NOT IN (SELECT strftime(ts, '%Y%m%d') FROM events WHERE strftime(ts, '%Y-%m-%d') NOT IN ({", ".join(f"'{d}'" for d in fixtures.LOST_DAYS)}))
+    UNION ALL
+    SELECT event_type, count(*) FROM events WHERE strftime(ts, '%Y%m%d') IN ({", ".join(f"'{d}'" for d in fixtures.DECLARED_DAYS)})
+      AND strftime(ts, '%Y-%m-%d') NOT IN ({", ".join(f"'{d}'" for d in fixtures.LOST_DAYS)}) GROUP BY 1""")
+def flow_missing_input(spark, folder):
+    """Days that were not delivered stop a flow with an alert each, or stand as empty inputs."""
+    base, target, found = fixtures.event_feeds(spark, folder), new_folder(spark, "days"), new_folder(spark, "alerts")
+    day_input = {"format": "fixed", "unit": "directory", "fields": fixtures.EVENT_FIELDS, "header_count": 1, "trailer_count": 1}
+    inputs = {f"D{d}": day_input | {"path": f"{base}/DAILY/load_date={d}"} for d in fixtures.DECLARED_DAYS}
+    flow = {
+        "name": "days", "alerts_path": found, "Inputs": inputs,
+        "Transformations": {"steps": [
+            {"id": "all", "type": "union", "source_inputs": list(inputs), "logic": {}},
+            {"id": "counts", "type": "aggregate", "source_inputs": ["all"], "logic": {
+                "group_by": ["EVENT-TYPE"], "aggregations": [{"field": "*", "operation": "count", "alias": "n"}]}}]},
+        "Outputs": {"OUT": {"path": target, "source_inputs": ["counts"]}}}
+    try:
+        run_flow(spark, flow)
+    except MissingInput:
+        # The alerts tell which; now the same inputs may be empty.
+        run_flow(spark, flow | {"Inputs": {k: i | {"if_missing": "empty"} for k, i in inputs.items()}})
+    alerts = spark.read.parquet(found).select(F.col("alert_key").alias("finding"), F.lit(None).cast("bigint").alias("n"))
+    return alerts.unionByName(read_parquet(spark, target).withColumnRenamed("EVENT_TYPE", "finding"))

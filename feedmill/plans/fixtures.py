@@ -79,6 +79,8 @@ EVENT_TRAILER = [
 ]
 # Deliveries the feed lost, and one that carries the date of another day.
 LOST_DAYS = ["2024-01-10", "2024-01-20"]
+# Days for which the flows declare an input.
+DECLARED_DAYS = [f"202401{day:02d}" for day in range(8, 23)]
 WRONG_DAY, WRONG_HEADER = "2024-01-25", "2024-01-23"
 
 
