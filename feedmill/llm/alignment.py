@@ -26,7 +26,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from feedmill.llm.pieces import in_slices
+from feedmill.llm.pieces import cut_parts, in_slices, is_closed
 from feedmill.llm.tables import text_of
 from feedmill.session import cut
 
@@ -43,10 +43,6 @@ COUNTED_PAIRS = 1_000_000
 # Counts of pairs that are broadcast at most, 16 bytes each; rarer pairs meet theirs by shuffle.
 BROADCAST_PAIRS = 1 << 21
 
-# Blanks behind anything but a letter, a digit or another visible ASCII character, or at the
-# end of a text, are no cuts; few texts have them.
-_PART = re.compile(r"(?<=[\w!-~]) (?=[\s\S])")
-_ODD_BLANK = re.compile(r"[^\w!-~] | \Z|\A ")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>\Z")
 
 
@@ -129,7 +125,7 @@ class Aligner:
         closed, runs = [], []
         for part in parts:
             # No token reaches on behind a visible character and a blank.
-            if part and ("!" <= part[-1] <= "~" or part[-1].isalpha()):
+            if is_closed(part):
                 closed.append(part)
             else:
                 runs.append([part])
@@ -250,7 +246,7 @@ class Parts:
         cuts, rows = [], []
         new: dict[str, None] = {}
         for text in texts:
-            own = (_PART.split(text) if _ODD_BLANK.search(text) else text.split(" ")) if text else []
+            own = cut_parts(text) if text else []
             row = list(map(get, own))
             if None in row:
                 new.update((part, None) for part, k in zip(own, row, strict=True) if k is None)

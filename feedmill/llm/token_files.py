@@ -12,33 +12,36 @@ reaches: ``part`` and ``seq`` order them, ``content`` holds one shard file.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from feedmill.llm.bpe import WORDS
-from feedmill.llm.pieces import PieceEncoder, id_type, in_slices
+from feedmill.llm.pieces import cut_parts, id_type, in_slices, is_closed
 from feedmill.llm.tables import task_count, text_of
 
 MAGIC = b"DACTOK1\0"
 CHUNK_BITS = 8
 BLOCK_BITS = 512
-# A shard is closed once it holds this many ids; a longer document is a shard of its own.
+# A shard is closed once it holds this many ids.
 SHARD_IDS = 4_000_000
-# Words without a leading blank that a worker remembers, and words that go to the library
-# in one text.
-KNOWN_OTHERS = 100_000
-JOINED_WORDS = 32
+# Parts that a worker stores, as long as they have this many characters; and parts that are
+# encoded as one text.
+STORED_PARTS = 500_000
+STORED_CHARACTERS = 16_000_000
+JOINED_PARTS = 400
+# Characters of a text that place it among texts of its id.
+RANGE_CHARACTERS = 128
 
 _HEADER = struct.Struct("<8sQQB")
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[str, PartIds] = {}
 
 
 # --- codes -----------------------------------------------------------------------
@@ -149,69 +152,97 @@ class Shard:
 
 # --- encoding --------------------------------------------------------------------
 
-def library_encoder(tokenizer_path: str) -> tuple[PieceEncoder, np.dtype]:
-    """Encoder of a tokenizers file; the library encodes each part it has not met lately."""
+class PartIds:
+    """Encodes texts by the library, each new part once: the ids of all parts met lately
+    stand in one array, and a text is gathered from the numbers of its parts."""
+
+    def __init__(self, tokenizer_path: str):
+        # The tasks are the parallelism; threads of the library would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.kind = id_type(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        # Added tokens that take blanks with them could reach across parts.
+        self.whole = any(" " in t.content or t.lstrip or t.rstrip for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.clear()
+
+    def clear(self) -> None:
+        # The first part of a text, which has no blank, is known by a tuple.
+        self.number: dict[str | tuple[str], int] = {}
+        self.ids, self.ends = np.empty(0, dtype=self.kind), np.empty(0, dtype=np.int64)
+        self.held = 0
+
+    def _learn(self, heads: list[str], parts: list[str]) -> None:
+        closed = [part for part in parts if is_closed(part)]
+        runs = [closed[k:k + JOINED_PARTS] for k in range(0, len(closed), JOINED_PARTS)] + [[part] for part in parts if not is_closed(part)]
+        texts = heads + [" " + " ".join(run) for run in runs]
+        ids, ends, known = [self.ids], [self.ends], len(self.ids)
+        for k, encoding in enumerate(self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            own = np.array(encoding.ids, dtype=self.kind)
+            if k < len(heads):
+                names, stops = [(heads[k],)], np.array([len(own)])
+            else:
+                names = runs[k - len(heads)]
+                # Offsets tell whose token it is: no token crosses from part to part.
+                reached = np.fromiter((end for _, end in encoding.offsets), dtype=np.int64, count=len(own))
+                stops = np.searchsorted(reached, np.cumsum([len(part) + 1 for part in names]), side="right")
+            self.number.update(zip(names, range(len(self.number), len(self.number) + len(names)), strict=True))
+            ids.append(own)
+            ends.append(known + stops)
+            known += len(own)
+        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+        self.held += sum(map(len, parts)) + sum(map(len, heads))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        if len(self.number) > STORED_PARTS or self.held > STORED_CHARACTERS:
+            self.clear()
+        get = self.number.get
+        cuts = [[text] if self.whole else cut_parts(text) for text in texts]
+
+        def look_up(own: list[str]) -> list[int | None]:
+            row = list(map(get, own))
+            row[0] = get((own[0],))
+            return row
+
+        rows = list(map(look_up, cuts))
+        heads: dict[str, None] = {}
+        parts: dict[str, None] = {}
+        holes = [k for k, row in enumerate(rows) if None in row]
+        for k in holes:
+            new = [part for part, known in zip(cuts[k], rows[k], strict=True) if known is None]
+            if rows[k][0] is None:
+                heads[new.pop(0)] = None
+            parts.update(dict.fromkeys(new))
+        if holes:
+            self._learn(list(heads), list(parts))
+            for k in holes:
+                rows[k] = look_up(cuts[k])
+        counts = np.array([len(row) for row in rows], dtype=np.int64)
+        part = np.fromiter(chain.from_iterable(rows), dtype=np.int64, count=int(counts.sum()))
+        begins = np.concatenate([[0], self.ends])[part]
+        lengths = self.ends[part] - begins
+        at = np.arange(int(lengths.sum())) + np.repeat(begins - np.cumsum(lengths) + lengths, lengths)
+        totals = np.diff(np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])])
+        return self.ids[at], totals
+
+
+def library_encoder(tokenizer_path: str) -> PartIds:
+    """The encoder of a tokenizers file, one a process."""
     if tokenizer_path not in _encoders:
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        kind = id_type(tokenizer.get_vocab_size(with_added_tokens=True))
-
-        words = regex.compile(WORDS)
-        others: dict[str, bytes] = {}
-
-        def encode_words(new: list[str]) -> dict[str, bytes]:
-            """The library encodes words. Many stand in one text: no token crosses a blank
-            or a line feed before a letter, and the offsets tell whose token it is."""
-            found: dict[str, bytes] = {}
-            alone = [w for w in new if w[0].isspace() and (len(w) == 1 or w[1].isspace() or w[0] != " ")]
-            for word, encoding in zip(alone, tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
-                found[word] = np.array(encoding.ids, dtype=kind).tobytes()
-            rest = [w for w in new if w not in found]
-            runs = [rest[k:k + JOINED_WORDS] for k in range(0, len(rest), JOINED_WORDS)]
-            joined = ["".join(w if w[0] == " " else "\n" + w for w in run) for run in runs]
-            for run, encoding in zip(runs, tokenizer.encode_batch(joined, add_special_tokens=False), strict=True):
-                packed = np.array(encoding.ids, dtype=kind).tobytes()
-                begins = np.cumsum([0] + [len(w) + (w[0] != " ") for w in run])
-                firsts = np.array([begin for begin, _ in encoding.offsets])
-                cuts = (np.searchsorted(firsts, begins) * kind.itemsize).tolist()
-                for word, low, high in zip(run, cuts, cuts[1:], strict=False):
-                    found[word] = packed[low if word[0] == " " else low + kind.itemsize:high]
-            return found
-
-        def encode_parts(parts: list[str]) -> list[bytes]:
-            cut = [words.findall(part) for part in parts]
-            ids: dict[str, bytes] = {}
-            new = []
-            for word in {word for own in cut for word in own}:
-                have = encoder.known(word[1:]) if word[0] == " " and len(word) > 1 else others.get(word)
-                if have is None:
-                    new.append(word)
-                else:
-                    ids[word] = have
-            if new:
-                found = encode_words(new)
-                ids |= found
-                for word, own in found.items():
-                    if word[0] != " ":
-                        others[word] = own
-                    elif len(word) > 1:
-                        encoder.remember(word[1:], own)
-                if len(others) > KNOWN_OTHERS:
-                    others.clear()
-            return [b"".join(map(ids.__getitem__, own)) for own in cut]
-
-        specials = {
-            token.content: np.array([number], dtype=kind).tobytes()
-            for number, token in tokenizer.get_added_tokens_decoder().items()
-        }
-        encoder = PieceEncoder(encode_parts, specials)
-        _encoders[tokenizer_path] = encoder
-        _kinds[tokenizer_path] = kind
-    return _encoders[tokenizer_path], _kinds[tokenizer_path]
-
-
-_kinds: dict[str, np.dtype] = {}
+        _encoders[tokenizer_path] = PartIds(tokenizer_path)
+    return _encoders[tokenizer_path]
+
+
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end_id`` behind each text."""
+    if end_id is None:
+        return ids, counts
+    out = np.full(len(ids) + len(counts), end_id, dtype=np.promote_types(ids.dtype, np.min_scalar_type(end_id)))
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+    return out, counts + 1
+
 
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_ids long, content binary"
 
@@ -222,43 +253,44 @@ def write_token_files(
     """Encode every text and write the ids as shards in ascending id order to ``path``.
 
     Nulls: a null text is empty, rows with a null id come first. Rows that repeat are all
-    kept; equal ids are ordered by their text. Without rows the table is empty. Other
-    columns are ignored. Texts are spread by ranges of ids, so any number of rows may
-    share a source or a text.
+    kept; equal ids are ordered by their text, whatever the number of tasks. Without rows
+    the table is empty. Other columns are ignored. Texts are spread by ranges of ids and
+    of how texts begin, so any number of rows may share a source or an id.
     """
     spark = docs.sparkSession
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-        .repartitionByRange(task_count(spark), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+        .repartitionByRange(task_count(spark), F.col("doc_id").asc_nulls_first(), F.substring("text", 1, RANGE_CHARACTERS))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     )
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, kind = library_encoder(tokenizer_path)
+        encoder = library_encoder(tokenizer_path)
         part, seq = TaskContext.get().partitionId(), 0
-        end = np.array([] if end_id is None else [end_id], dtype=kind).tobytes()
         doc_ids: list[int | None] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            lengths = np.array([len(x) // kind.itemsize for x in held], dtype=np.int64)
-            ids = np.frombuffer(b"".join(held), dtype=kind)
+            ids = np.concatenate(held)
             return pa.RecordBatch.from_pydict(
                 {"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()),
                  "n_docs": pa.array([len(doc_ids)], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64()),
-                 "content": pa.array([pack_shard(doc_ids, lengths, ids)], pa.binary())})
+                 "content": pa.array([pack_shard(doc_ids, np.concatenate(lengths), ids)], pa.binary())})
 
         for batch in batches:
-            ids = iter(batch.column(0).to_pylist())
+            own, start = batch.column(0).to_pylist(), 0
             for run in in_slices(batch.column(1).to_pylist()):
-                for packed in encoder.encode(run):
-                    doc_ids.append(next(ids))
-                    held.append(packed + end)
-                    size += len(held[-1]) // kind.itemsize
-                    if size >= SHARD_IDS:
-                        yield close()
-                        doc_ids, held, size, seq = [], [], 0, seq + 1
+                ids, counts = with_end(*encoder.encode(run), end_id)
+                doc_ids += own[start:start + len(run)]
+                start += len(run)
+                held.append(ids)
+                lengths.append(counts)
+                size += len(ids)
+                if size >= SHARD_IDS:
+                    yield close()
+                    doc_ids, held, lengths, size, seq = [], [], [], 0, seq + 1
         if doc_ids:
             yield close()
 

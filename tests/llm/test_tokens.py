@@ -15,7 +15,7 @@ from feedmill.llm.queries import QUERIES
 from feedmill.llm.token_files import Shard, library_encoder, pack_shard, read_token_files, write_token_files
 from feedmill.session import new_folder
 
-from llm_rows import FOLDER, ROWS
+from llm_rows import FOLDER, ROWS, prose
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -48,8 +48,11 @@ def test_encoders_agree_with_the_library(library):
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(1500)]
     texts += ["a  b", " a", "a ", "\n\n a\n", "x<|endoftext|>y", "don't we'll", "A" * 300, "!?" * 200, "ab" * 5000]
     want = ids_of(library, texts)
-    encoder, kind = library_encoder(PATH)
-    assert [np.frombuffer(x, kind).tolist() for x in encoder.encode(texts)] == want
+    encoder = library_encoder(PATH)
+    for some in (texts, texts[::-1]):
+        ids, counts = encoder.encode(some)
+        found = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        assert found == (want if some is texts else want[::-1])
     assert [x.tolist() for x in codec(PATH).encode(texts)] == want
     for ids in want + [[rnd.randrange(50257) for _ in range(30)] for _ in range(100)]:
         assert codec(PATH).decode(ids) == library.decode(ids, skip_special_tokens=False)
@@ -75,6 +78,20 @@ def test_token_files_of_odd_rows(spark, odd, nothing, library):
         assert order(found.collect()) == order(expected_files(library, rows))
 
 
+def test_equal_ids_keep_their_order(spark, library):
+    """Any number of tasks gives every row the same start."""
+    rows = [(k % 3 if k % 4 else None, f"{prose(k, 30)} {k % 50}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for tasks in ("2", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        path = new_folder(spark, "tokens")
+        write_token_files(df, path, PATH, 2)
+        found.append(order(read_token_files(spark, path).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == order(expected_files(library, rows))
+
+
 def test_op1_query(spark, documents, library):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     assert order(QUERIES["op1_token_files"](spark, FOLDER).collect()) == order(expected_files(library, rows))
