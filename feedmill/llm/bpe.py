@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from feedmill.llm.pieces import PieceEncoder, id_type, in_slices
-from feedmill.llm.tables import text_of
+from feedmill.llm.tables import give_back, text_of
 
 # How byte-level vocabularies of this family split a text before merging.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -287,6 +287,8 @@ def encode_decode(
                     ends = np.cumsum([0] + [len(a) for a in arrays]).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays))))
                 yield pa.RecordBatch.from_arrays(columns, names=[*out, *(["ids"] if with_ids else [])])
+        own.encoder.forget()
+        give_back()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, schema)

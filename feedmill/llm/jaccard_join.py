@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmill.llm.components import connected_components
-from feedmill.llm.tables import text_of
+from feedmill.llm.tables import give_back, text_of
 from feedmill.session import cut
 
 SHINGLE_WORDS = 4
@@ -38,7 +38,7 @@ SAMPLE_DOCS = 20_000
 # N-grams a bin on average, fewest bins, and n-grams of one block on the way to the bins.
 BIN_GRAMS = 2_000_000
 FEWEST_BINS = 128
-BLOCK_GRAMS = 1_000_000
+BLOCK_GRAMS = 250_000
 # Involved texts are found through a broadcast only while their hashes take less than this.
 BROADCAST_BYTES = 32 << 20
 
@@ -51,7 +51,7 @@ _FREQUENT_RANK = np.int64(1) << 40
 class Shingler:
     """Turns texts into sorted arrays of distinct n-gram hashes; knows recent words."""
 
-    def __init__(self, words: int, known: int = 300_000):
+    def __init__(self, words: int, known: int = 200_000):
         self.words, self.limit = words, known
         self.known: dict[bytes, int] = {}
 
@@ -95,6 +95,12 @@ def shingler(words: int) -> Shingler:
     return _shinglers.setdefault(words, Shingler(words))
 
 
+def task_ends() -> None:
+    """Forget the words of this task, so that its worker stays small in later stages."""
+    _shinglers.clear()
+    give_back()
+
+
 def describe_sets(texts: DataFrame, words: int) -> DataFrame:
     """``texts`` (with a column text) with n (size of its set), node (16 bytes that name the
     set) and code (its first eight) in place of the text."""
@@ -111,6 +117,7 @@ def describe_sets(texts: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in rest), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
                  pa.array([None if x is None else _short(x) for x in nodes], pa.int64())], names=names)
+        task_ends()
 
     schema = texts.drop("text").schema.add("n", "long").add("node", "binary").add("code", "long")
     return texts.mapInArrow(run, schema)
@@ -132,6 +139,7 @@ def frequent_grams(texts: DataFrame, sets: DataFrame, words: int, share: float,
         for batch in batches:
             for t in batch.column(0):
                 yield pa.RecordBatch.from_arrays([pa.array(cut_text(t.as_py()).view(np.int64))], names=["gram"])
+        task_ends()
 
     least = max(3, int(share * min(sample, total)))
     counts = some.select("text").mapInArrow(grams, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= least)
@@ -224,6 +232,7 @@ def shared_grams(texts: DataFrame, words: int, threshold: int, frequent: np.ndar
                         yield from flush()
         if held:
             yield from flush()
+        task_ends()
 
     def meet(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -298,6 +307,7 @@ def prefixes(shared: DataFrame, orders: int, threshold: int) -> DataFrame:
                     out[4].append(reach[keep].astype(np.int64))
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["ord", "gram", "code", "n", "reach"])
+        give_back()
 
     return sets.mapInArrow(run, "ord int, gram long, code long, n long, reach long")
 
@@ -341,6 +351,7 @@ def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, classes: D
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([node], pa.binary()), pa.array([_short(node)], pa.int64()), pa.array([own.tobytes()], pa.binary())],
                         names=["node", "code", "grams"])
+        task_ends()
 
     held = cut(some.mapInArrow(sets, "node binary, code long, grams binary").dropDuplicates(["node"]), "sets")
     right = held.select(F.col("code").alias("b"), F.col("node").alias("node_b"), F.col("grams").alias("grams_b"))
@@ -355,6 +366,7 @@ def verified(spark: SparkSession, pairs: DataFrame, texts: DataFrame, classes: D
                 keep.append(100 * both >= threshold * (len(x) + len(y) - both))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+        give_back()
 
     both = pairs.join(right, "b").join(left, "a").where("node_a <> node_b")
     return both.select("node_a", "node_b", "grams_a", "grams_b").mapInArrow(check, "a binary, b binary")

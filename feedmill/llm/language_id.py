@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedmill.llm.tables import free_name
+from feedmill.llm.tables import free_name, give_back
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -249,6 +249,7 @@ def predict_language(
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=[*b.schema.names[:-1], "lang_pred", "score"])
+        give_back()
 
     schema = kept.schema.add("lang_pred", "string").add("score", "double")
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))

@@ -69,6 +69,10 @@ class PieceEncoder:
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drop all cached parts, as at the end of a task."""
+        self._young, self._old = {}, {}
+
     def known(self, part: str) -> bytes | None:
         """The ids of a blank and ``part``, if they are cached."""
         ids = self._young.get(part)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedmill.session import cut
@@ -64,3 +68,16 @@ def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
     return next(name for k in range(len(taken) + 1) if (name := f"_{stem}_{k}") not in taken)
+
+
+def give_back() -> None:
+    """Hand what a task has freed back to the system, when the task ends.
+
+    Workers live on from stage to stage, and what the allocators keep would add to the
+    memory of every later stage.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
