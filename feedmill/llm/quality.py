@@ -5,86 +5,90 @@ one over all trusted texts, one over the whole corpus. A text's score is the mea
 n-grams, of the logarithm of trusted over raw probability; a text that scores below the
 threshold is dropped. Everything is built of DataFrame functions.
 
-There are as many buckets as the distinct n-grams of the corpus need, so that at every size
-about as many n-grams share a bucket: were they more, all buckets would come to look alike.
+The trusted multinomial is mixed with a little of the raw one, in its own proportions: an
+n-gram that no trusted text has then costs the same at every size of the corpus, and one
+bucket is not smoothed more than another because it is rare.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmill.llm.tables import WORD, text_of
 from feedmill.session import cut
 
-# Buckets at least, and distinct n-grams a bucket where there are more of them.
-BUCKETS = 1 << 16
-LOAD = 4
-# Ratios that are broadcast at most, about 64 bytes each; those of rarer buckets are joined by shuffle.
-BROADCAST = 1 << 21
-# Added to every bucket's count.
-SMOOTHING = 1.0
+# Buckets. A task hands on at most one count a bucket, so their number bounds the shuffle.
+BUCKETS = 1 << 21
+# Buckets whose ratios travel together, as one array.
+PACKED = 1 << 10
+# Share of the raw multinomial in the trusted one.
+MIXED = 0.02
 # Mean thousandths of a natural logarithm below which a text is dropped.
-THRESHOLD = -400
+THRESHOLD = -350
 FEWEST_WORDS = 50
 MOST_REPEATED = 50
 SYMBOLS = "#*$%&|<>"
+# Trusted ids meet the texts through a broadcast only while they take less than this.
+BROADCAST_BYTES = 32 << 20
 
 
-def _hashes(words: Column) -> Column:
-    """Hashes of all words and word pairs."""
-    ones = F.transform(words, lambda w: F.xxhash64(w))
-    last = F.size(words) - 1
-    pairs = F.transform(
-        F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>")),
-        lambda k: F.xxhash64(F.get(words, k - 1), F.get(words, k)))
-    return F.concat(ones, pairs)
+def _words(text: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def _grams(words: Column, buckets: int) -> Column:
-    """Buckets of all words and word pairs."""
-    kind = "int" if buckets < 1 << 31 else "long"
-    return F.transform(_hashes(words), lambda h: F.pmod(h, F.lit(buckets)).cast(kind))
+def _windows(hashes: Column, size: int) -> Column:
+    """A hash of each ``size`` consecutive words, from the hashes of the words."""
+    last = F.size(hashes) - size
+    return F.when(last >= 0, F.transform(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+        lambda k: F.xxhash64(*[F.get(hashes, k + j) for j in range(size)]))).otherwise(F.array().cast("array<bigint>"))
 
 
-def bucket_count(texts: DataFrame, load: int = LOAD, least: int = BUCKETS) -> int:
-    """Buckets for the distinct words and word pairs of ``texts``, ``load`` of them a bucket."""
-    words = texts.select(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
-    found = words.select(F.explode(_hashes(F.col("words"))).alias("h")).agg(F.approx_count_distinct("h", 0.01)).first()[0]
-    return max(least, -(-found // load))
+def _grams(hashes: Column, buckets: int) -> Column:
+    """Buckets of all words and word pairs, from the hashes of the words."""
+    return F.transform(F.concat(hashes, _windows(hashes, 2)), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
-def _counts(texts: DataFrame, buckets: int, name: str) -> DataFrame:
-    words = texts.select(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
-    return words.select(F.explode(_grams(F.col("words"), buckets)).alias("bucket")).groupBy("bucket").agg(F.count("*").alias(name))
+def _hashed(texts: DataFrame, *columns: str) -> DataFrame:
+    """The columns, the words and their hashes."""
+    words = texts.select(*columns, _words("text").alias("words"))
+    return words.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
 
 
-def likelihood_ratios(texts: DataFrame, trusted: DataFrame, buckets: int, smoothing: float) -> DataFrame:
-    """bucket, raw (its count), ratio: thousandths of ln(trusted / raw), whole numbers, one
-    row a bucket that is met in ``texts``.
+def with_trusted(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``texts`` with a column trusted, 1 where ``ids`` (doc_id) has their id, else 0.
 
-    ``texts`` and ``trusted``, some of them, have a column text. Both are counted whole; what
-    leaves a task is at most one count a bucket.
+    While the ids are few they are broadcast and no text moves; else texts meet them by shuffle.
     """
-    both = cut(_counts(texts, buckets, "raw").join(_counts(trusted, buckets, "good"), "bucket", "left").na.fill(0, ["good"]), "ratios")
-    sums = both.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
-    spread = smoothing * buckets
-    shift = math.log((sums[0] + spread) / (sums[1] + spread))
-    ratio = F.log((F.col("good") + smoothing) / (F.col("raw") + smoothing)) + shift if sums[1] else F.lit(0.0)
-    return both.select("bucket", "raw", F.round(ratio * 1000).cast("long").alias("ratio"))
-
-
-def _least_count(ratios: DataFrame, most: int) -> int:
-    """The least count of a bucket such that at most ``most`` buckets have it or a higher one."""
-    least, taken = 1 << 62, 0
-    # Few counts differ: n of them need n * n / 2 n-grams.
-    for row in ratios.groupBy("raw").agg(F.count("*").alias("n")).orderBy(F.desc("raw")).toLocalIterator():
-        taken += row["n"]
-        if taken > most:
-            break
-        least = row["raw"]
-    return least
+    known = ids.where("doc_id IS NOT NULL").distinct().withColumn("trusted", F.lit(1))
+    small = known.count() * 16 <= BROADCAST_BYTES
+    met = texts.join(F.broadcast(known) if small else known.hint("merge"), "doc_id", "left")
+    return met.withColumn("trusted", F.coalesce("trusted", F.lit(0)))
+
+
+def bucket_counts(texts: DataFrame, buckets: int) -> DataFrame:
+    """bucket, raw, good: n-grams of all texts and of the trusted ones, counted in one pass
+    over ``texts`` (text, trusted)."""
+    grams = _hashed(texts, "text", "trusted").select("trusted", F.explode(_grams(F.col("hashes"), buckets)).alias("bucket"))
+    return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good"))
+
+
+def likelihood_ratios(counts: DataFrame, mixed: float) -> DataFrame:
+    """bucket, ratio: thousandths of ln(trusted / raw), whole numbers; without trusted texts
+    no n-gram is better than another."""
+    counts = cut(counts, "counts")
+    sums = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
+    raw, good = float(sums[0]), float(sums[1])
+    ratio = F.log((F.col("good") / F.col("raw") * raw + mixed * good) / ((1 + mixed) * good)) if good else F.lit(0.0)
+    return counts.select("bucket", F.round(ratio * 1000).cast("int").alias("ratio"))
+
+
+def packed_ratios(ratios: DataFrame, buckets: int) -> DataFrame:
+    """pack, ratios: those of ``PACKED`` consecutive buckets as one array, 0 where there is none."""
+    every = ratios.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    placed = every.join(ratios, "bucket", "left").select(
+        F.shiftright("bucket", PACKED.bit_length() - 1).alias("pack"), F.struct("bucket", F.coalesce("ratio", F.lit(0)).alias("ratio")).alias("x"))
+    return placed.groupBy("pack").agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["ratio"]).alias("ratios"))
 
 
 def _repeats(triples: Column) -> Column:
@@ -95,47 +99,34 @@ def _repeats(triples: Column) -> Column:
 
 def apply_rules(
     docs: DataFrame, trusted_ids: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-    buckets: int | None = None, smoothing: float = SMOOTHING, threshold: int = THRESHOLD, broadcast: int = BROADCAST,
+    buckets: int = BUCKETS, mixed: float = MIXED, threshold: int = THRESHOLD,
 ) -> DataFrame:
     """Counts and verdict of every document; ``trusted_ids`` has one column, ids of trusted ones.
 
     One row a document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, score (mean thousandths of ln(trusted / raw); null without words), kept.
+    base_failed, kept, score (mean thousandths of ln(trusted / raw); null without words).
     A null or empty text has no words and fails; repeated rows and rows with a null id are
     judged alike; null trusted ids are ignored; other columns are ignored. Without trusted
     texts no text is better than another and only the base rules decide.
 
-    Texts move once, to meet the trusted ids; all else leaves a task as counts. ``buckets`` is
-    by default as many as the corpus needs (``bucket_count``). The n-grams of a text meet the
-    ratios of at most ``broadcast`` buckets, the commonest, by broadcast and are summed in the
-    task that made them; n-grams of rarer buckets, of which no one is in many texts, meet
-    theirs by shuffle.
+    Two passes over the texts: one counts the n-grams, one judges. What leaves a task is at
+    most one count a bucket, then one row a document. ``buckets`` is rounded up to a whole
+    number of packs; their ratios take four bytes each and are broadcast.
     """
+    buckets = -(-buckets // PACKED) * PACKED
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("doc_id"))
-    # The same plan at every size: a small table of ids is not broadcast either.
-    good = texts.join(ids.hint("merge"), "doc_id", "left_semi")
-    buckets = buckets or bucket_count(texts)
-    ratios = likelihood_ratios(texts, good, buckets, smoothing)
-    least = 0 if buckets <= broadcast else _least_count(ratios, broadcast)
-    common = F.broadcast(ratios.where(F.col("raw") >= least).select("bucket", "ratio"))
-    # Equal texts have equal sums, so their hashes tell which rare n-grams are whose.
-    same = [F.xxhash64("text").alias("h_1"), F.xxhash64(F.lit(1), "text").alias("h_2")] if least else []
-
-    words = texts.select(
-        F.monotonically_increasing_id().alias("row"), *same, "doc_id", "text", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
+    ratios = likelihood_ratios(bucket_counts(with_trusted(texts, ids), buckets), mixed)
+    packs = F.broadcast(packed_ratios(ratios, buckets))
+
+    words = _hashed(texts.withColumn("row", F.monotonically_increasing_id()), "row", "doc_id", "text")
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(WORD))
-    n = F.size("words")
-    triples = F.when(n >= 3, F.transform(
-        F.sequence(F.lit(0), n - 3),
-        lambda k: F.xxhash64(F.get("words", k), F.get("words", k + 1), F.get("words", k + 2)))).otherwise(F.array().cast("array<bigint>"))
-    hashes = ["h_1", "h_2"] if least else []
     cuts = words.select(
-        "row", *hashes, "doc_id", n.cast("long").alias("n_words"), F.length(F.concat_ws("", "words")).cast("long").alias("word_chars"),
+        "row", "doc_id", F.size("words").cast("long").alias("n_words"), F.length(F.concat_ws("", "words")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        lines.alias("lines"), triples.alias("triples"), _grams(F.col("words"), buckets).alias("grams"))
+        lines.alias("lines"), _windows(F.col("hashes"), 3).alias("triples"), _grams(F.col("hashes"), buckets).alias("grams"))
     marked = cuts.select(
-        "row", *hashes, "doc_id", "n_words", "word_chars", "n_symbols",
+        "row", "doc_id", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _repeats(F.col("triples")).alias("placed"), "grams")
     twice = F.filter("placed", lambda x, k: F.coalesce(
@@ -148,28 +139,15 @@ def apply_rules(
         lambda got, k: F.struct(k.alias("last"), (got["sum"] + F.least(F.lit(3), k - got["last"])).alias("sum")),
         lambda got: got["sum"])
     counted = marked.select(
-        "row", *hashes, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), "grams")
     keys = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    summed = (
-        counted.select("row", *hashes, *keys, F.explode_outer("grams").alias("bucket"))
-        .join(common, "bucket", "left")
-        .groupBy("row").agg(
-            *[F.first(k).alias(k) for k in hashes + keys], F.sum("ratio").alias("ratio"),
-            F.count("bucket").alias("grams"), (F.count("bucket") - F.count("ratio")).alias("rare"))
-    )
-    if least:
-        rare = (
-            words.select(*hashes, F.explode(_grams(F.col("words"), buckets)).alias("bucket"))
-            .join(common, "bucket", "left_anti")
-            .join(ratios.where(F.col("raw") < least).select("bucket", "ratio").hint("merge"), "bucket")
-            .groupBy(*hashes).agg(F.sum("ratio").alias("more"), F.count("*").alias("all_rare"))
-        )
-        # Copies of a text share a sum over all of them, of which each takes its part.
-        own = F.coalesce(F.col("more") * F.col("rare") / F.col("all_rare"), F.lit(0.0))
-        summed = summed.join(rare.hint("merge"), hashes, "left").withColumn(
-            "ratio", F.when(F.col("grams") > 0, F.coalesce("ratio", F.lit(0)) + F.round(own).cast("long")))
+    grams = counted.select("row", *keys, F.explode_outer("grams").alias("bucket"))
+    met = grams.join(packs, F.shiftright("bucket", PACKED.bit_length() - 1) == F.col("pack"), "left")
+    # All n-grams of a text are in one task: what leaves it is one row a document.
+    ratio = F.get("ratios", F.col("bucket").bitwiseAND(PACKED - 1))
+    summed = met.groupBy("row", *keys).agg(F.sum(ratio).alias("ratio"), F.count("bucket").alias("grams"))
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return summed.select(
-        *keys, failed.alias("base_failed"), (F.col("ratio") / F.col("grams")).alias("score"),
-        (~failed & (F.col("ratio") >= threshold * F.col("grams"))).alias("kept"))
+        *keys, failed.alias("base_failed"), (~failed & (F.col("ratio") >= threshold * F.col("grams"))).alias("kept"),
+        (F.col("ratio") / F.col("grams")).alias("score"))

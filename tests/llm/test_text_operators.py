@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import struct
 import zlib
 
 import pytest
@@ -140,10 +141,17 @@ def buckets(text, size):
         seed = 42
         for w in words:
             seed = xxhash.xxh64_intdigest(w.encode(), seed=seed)
+        return seed - 2**64 if seed >= 2**63 else seed
+
+    def of_hashes(*hashes):
+        seed = 42
+        for h in hashes:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", h), seed=seed)
         return (seed - 2**64 if seed >= 2**63 else seed) % size
 
     words = WORD.findall(text)
-    return [spark_hash(w) for w in words] + [spark_hash(*p) for p in zip(words, words[1:])]
+    hashes = [spark_hash(w) for w in words]
+    return [h % size for h in hashes] + [of_hashes(*p) for p in zip(hashes, hashes[1:])]
 
 
 def check_quality(rows, trusted, found, size=quality.BUCKETS):
@@ -153,18 +161,18 @@ def check_quality(rows, trusted, found, size=quality.BUCKETS):
         raw.update(own)
         if doc in trusted:
             good.update(own)
-    shift = math.log((raw.total() + size) / (good.total() + size))
-    ratio = {b: round(1000 * (math.log((good[b] + 1) / (raw[b] + 1)) + shift)) for b in raw}
+    total, share = raw.total(), quality.MIXED
+    ratio = {b: round(1000 * math.log((good[b] / raw[b] * total + share * good.total()) / ((1 + share) * good.total()))) for b in raw}
     want = []
     for doc, text in rows:
         counts, own = base_counts(text or ""), buckets(text or "", size)
         failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
         score = sum(ratio[b] for b in own) / len(own) if own else None
-        want.append((doc, *counts, failed, score, not failed and score >= quality.THRESHOLD))
+        want.append((doc, *counts, failed, not failed and score >= quality.THRESHOLD, score))
     got = sorted((tuple(r) for r in found), key=lambda r: key(r[:7]))
     for a, b in zip(got, sorted(want, key=lambda r: key(r[:7])), strict=True):
-        assert a[:7] == b[:7] and a[8] == b[8]
-        assert a[7] == b[7] or abs(a[7] - b[7]) < 1
+        assert a[:8] == b[:8]
+        assert a[8] == b[8] or abs(a[8] - b[8]) < 1
 
 
 def test_quality_of_odd_rows(spark, odd, nothing):
@@ -194,11 +202,13 @@ def test_bad_texts_are_dropped_at_every_size(spark, scale):
     assert sum(bad) <= 0.1 * len(bad) and sum(good) == len(good)
 
 
-def test_rare_buckets_are_joined_by_shuffle(spark, odd, nothing):
+def test_trusted_ids_by_shuffle_and_other_buckets(spark, odd, nothing, monkeypatch):
     trusted = spark.createDataFrame([(6,), (1,)], "doc_id long")
-    for broadcast in (0, 100, 5000):
-        check_quality([(r[0], r[1]) for r in ROWS], {6, 1}, quality.apply_rules(odd, trusted, buckets=quality.BUCKETS, broadcast=broadcast).collect())
-    assert quality.apply_rules(nothing, trusted, broadcast=100).collect() == []
+    monkeypatch.setattr(quality, "BROADCAST_BYTES", 0)
+    for buckets in (quality.PACKED, 5000):
+        size = -(-buckets // quality.PACKED) * quality.PACKED
+        check_quality([(r[0], r[1]) for r in ROWS], {6, 1}, quality.apply_rules(odd, trusted, buckets=buckets).collect(), size)
+    assert quality.apply_rules(nothing, trusted, buckets=100).collect() == []
 
 
 # ---- languages ------------------------------------------------------------------
