@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 from operator import and_, eq, ge, gt, le, lt, ne
 from typing import Any
@@ -23,19 +23,25 @@ COMPARISONS = {
 IN = ("in", "in_list")
 NOT_IN = ("not_in", "not_in_list", "nin")
 _COMPARE = {word: op for op, words in COMPARISONS.items() for word in words}
+# Numbers of up to 20 places before the point and 18 behind it are compared exactly.
+_EXACT = T.DecimalType(38, 18)
 
 
-def _operand(df: DataFrame, name: str, values: list[Any]) -> Column:
-    """The column, read as a number when text is compared with numbers.
-
-    Text that is no number then compares as NULL and the row is dropped.
+def _compared(df: DataFrame, name: str, values: list[Any], test: Callable[[Column, list[Column]], Column]) -> Column:
+    """``test`` of the column and the values. Text compared with numbers is read as a number:
+    exactly, or as floating point where it has too many digits for that. Text that is no
+    number then compares as NULL and the row is dropped.
     """
     name = get_column(df.columns, name)
     column = df[name]
     numbers = all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in values)
-    if values and numbers and isinstance(df.schema[name].dataType, T.StringType):
-        return column.try_cast("double")
-    return column
+    if not (values and numbers and isinstance(df.schema[name].dataType, T.StringType)):
+        return test(column, [F.lit(v) for v in values])
+    rough = test(column.try_cast("double"), [F.lit(float(v)) for v in values])
+    if any(not abs(v) < 10**20 for v in values):
+        return rough
+    exact = test(column.try_cast(_EXACT), [F.lit(repr(v)).cast(_EXACT) for v in values])
+    return F.coalesce(exact, rough)
 
 
 def condition(df: DataFrame, spec: Mapping[str, Any]) -> Column:
@@ -45,11 +51,11 @@ def condition(df: DataFrame, spec: Mapping[str, Any]) -> Column:
     values = list(value) if isinstance(value, (list, tuple)) else [value]
     field = spec.get("field") or ""
     if op in IN:
-        return _operand(df, field, values).isin(values)
+        return _compared(df, field, values, lambda column, items: column.isin(items))
     if op in NOT_IN:
-        return ~_operand(df, field, values).isin(values)
+        return ~_compared(df, field, values, lambda column, items: column.isin(items))
     if op in _COMPARE:
-        return _COMPARE[op](_operand(df, field, [value]), F.lit(value))
+        return _compared(df, field, [value], lambda column, items: _COMPARE[op](column, items[0]))
     column = df[get_column(df.columns, field)]
     if op == "contains":
         return column.cast("string").contains(str(value))

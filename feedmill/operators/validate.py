@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 from feedmill.fields import Layout
 from feedmill.functions.dates import spark_pattern
 from feedmill.functions.names import column_name, find_column
+from feedmill.session import cut
 from feedmill.sinks.fixed import fixed_line
 
 ERRORS, VALID = "_validation_errors", "_is_valid"
@@ -233,17 +234,40 @@ def error_counts(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> DataFrame
     )
 
 
-def require_valid(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> DataFrame:
-    """ABORT: ``df`` itself if every row passes, else :class:`InvalidRows`."""
-    rules = list(rules)
-    _raise_invalid(df, rules, summary(df, rules).first()["invalid_rows"])
-    return df
+# Errors of at most so many rows are reported by a gate.
+_SAMPLES = 5
+
+
+def _counted(marked: DataFrame) -> tuple[DataFrame, Observation]:
+    """Marked rows, with counts of both sides and the errors of a few rows, observed when
+    they are computed. A row's running number picks the place its errors may take."""
+    place = F.monotonically_increasing_id() % _SAMPLES
+    seen = Observation()
+    samples = [F.min(F.when(~F.col(VALID) & (F.col("_place") == k), F.col(ERRORS))).alias(f"sample{k}") for k in range(_SAMPLES)]
+    observed = marked.withColumn("_place", place).observe(
+        seen, F.count_if(VALID).alias("accepted"), F.count_if(~F.col(VALID)).alias("rejected"), *samples)
+    return observed.drop("_place"), seen
+
 
+def _require_none(seen: Mapping[str, Any]) -> None:
+    if seen["rejected"]:
+        samples = [seen[f"sample{k}"] for k in range(_SAMPLES)]
+        raise InvalidRows(seen["rejected"], [x for x in samples if x is not None])
 
-def _raise_invalid(df: DataFrame, rules: list[Mapping[str, Any]], invalid: int) -> None:
-    if invalid:
-        sample = rejected(df, rules).select(ERRORS).limit(5).collect()
-        raise InvalidRows(invalid, [row[0] for row in sample])
+
+def store_marked(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> tuple[DataFrame, dict[str, Any]]:
+    """All rows with their errors, stored, and what was counted on the way: one pass over
+    ``df``, however often the rows are used."""
+    observed, seen = _counted(annotate(df, rules))
+    return cut(observed, "marked"), seen.get
+
+
+def require_valid(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> DataFrame:
+    """ABORT: the rows of ``df`` if every one passes, else :class:`InvalidRows`. They are
+    computed once: what follows starts from the rows that were checked."""
+    marked, seen = store_marked(df, rules)
+    _require_none(seen)
+    return marked.drop(ERRORS, VALID)
 
 
 def write_split(
@@ -259,21 +283,18 @@ def write_split(
     as fixed-width lines if a layout is given, else as Parquet with the errors.
     Counts are observed during the write, so nothing is read or kept twice.
     """
-    marked = annotate(df, rules).withColumn(
-        "outcome", F.when(F.col(VALID), "accepted").otherwise("rejected")
-    )
-    counts = Observation()
-    marked = marked.observe(
-        counts,
-        F.count_if(VALID).alias("accepted"),
-        F.count_if(~F.col(VALID)).alias("rejected"),
-    )
+    observed, seen = _counted(annotate(df, rules))
+    _write_split(observed, df.columns, path, layout, mode)
+    return {side: seen.get[side] for side in ("accepted", "rejected")}
+
+
+def _write_split(marked: DataFrame, columns: list[str], path: str, layout: Layout | None, mode: str) -> None:
+    outcome = F.when(F.col(VALID), "accepted").otherwise("rejected").alias("outcome")
     if layout is not None:
-        lines = marked.select(fixed_line(df, layout).alias("value"), "outcome")
+        lines = marked.select(fixed_line(marked.select(*[f"`{c}`" for c in columns]), layout).alias("value"), outcome)
         lines.write.mode(mode).partitionBy("outcome").text(path)
     else:
-        marked.drop(VALID).write.mode(mode).partitionBy("outcome").parquet(path)
-    return counts.get
+        marked.select("*", outcome).drop(VALID).write.mode(mode).partitionBy("outcome").parquet(path)
 
 
 def write_sides(
@@ -286,11 +307,14 @@ def write_sides(
 ) -> None:
     """Write accepted rows to one path and rejected rows, with errors, to another.
 
-    Each path costs a pass over the input; :func:`write_split` needs one in all.
+    One pass over the input stores the marked rows; each path is written from these.
     """
-    rules = list(rules)
-    sides = ((validated_path, accepted(df, rules)), (error_path, rejected(df, rules)))
-    for path, rows in sides:
+    _write_sides(store_marked(df, rules)[0], validated_path, error_path, layout, mode)
+
+
+def _write_sides(marked: DataFrame, validated_path: str, error_path: str, layout: Layout | None, mode: str) -> None:
+    passed, failed = marked.filter(VALID).drop(ERRORS, VALID), marked.filter(~F.col(VALID))
+    for path, rows in ((validated_path, passed), (error_path, failed)):
         if path and layout is not None:
             rows.select(fixed_line(rows, layout).alias("value")).write.mode(mode).text(path)
         elif path:
@@ -301,8 +325,9 @@ def validate(df: DataFrame, logic: Mapping[str, Any]) -> DataFrame:
     """The validate step. ``fail_mode`` or ``mode`` is FLAG, DROP or ABORT.
 
     FLAG and DROP never stop a run; add ``on_invalid: abort`` to make them.
-    Both sides are written as well if paths are given: in one pass below an
-    ``output_path``, or apart to ``validated_path`` and ``error_path``.
+    Both sides are written as well if paths are given: together below an
+    ``output_path``, or apart to ``validated_path`` and ``error_path``. With paths or
+    a gate the rows are computed once and stored; sinks, gate and result share them.
     """
     rules = list(logic.get("rules") or [])
     mode = str(logic.get("fail_mode") or logic.get("mode") or "FLAG").upper()
@@ -310,14 +335,14 @@ def validate(df: DataFrame, logic: Mapping[str, Any]) -> DataFrame:
     if mode not in ("FLAG", "DROP", "ABORT"):
         raise ValueError(f"unknown validation mode '{mode}'")
     layout = Layout.of(logic["layout"]) if logic.get("layout") else None
-    counts = write_split(df, rules, logic["output_path"], layout) if logic.get("output_path") else None
-    validated, errors = logic.get("validated_path") or "", logic.get("error_path") or ""
-    if validated or errors:
-        write_sides(df, rules, validated, errors, layout)
-    if mode == "ABORT" or str(logic.get("on_invalid", "")).lower() == "abort":
-        if counts is not None:
-            # The write has counted already.
-            _raise_invalid(df, rules, counts["rejected"])
-        else:
-            require_valid(df, rules)
-    return accepted(df, rules) if mode == "DROP" else annotate(df, rules)
+    split, validated, errors = (logic.get(k) or "" for k in ("output_path", "validated_path", "error_path"))
+    aborts = mode == "ABORT" or str(logic.get("on_invalid", "")).lower() == "abort"
+    if not (split or validated or errors or aborts):
+        return accepted(df, rules) if mode == "DROP" else annotate(df, rules)
+    marked, seen = store_marked(df, rules)
+    if split:
+        _write_split(marked, df.columns, split, layout, "append")
+    _write_sides(marked, validated, errors, layout, "append")
+    if aborts:
+        _require_none(seen)
+    return marked.filter(VALID).drop(ERRORS, VALID) if mode == "DROP" else marked

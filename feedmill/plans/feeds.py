@@ -574,6 +574,23 @@ def scan_csv_mixed(spark, folder):
     return df.withColumn("CUSTOMER", F.col("CUSTOMER").cast("bigint"))
 
 
+@query("sink_dated_range", """
+    SELECT strftime(ts, '%Y%m%d') AS load_date, event_type AS EVENT_TYPE,
+           count(*) * CASE WHEN CAST(ts AS DATE) = DATE '2024-01-09' THEN 2 ELSE 1 END AS n
+    FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-10' GROUP BY 1, 2, CAST(ts AS DATE)""")
+def sink_dated_range(spark, folder):
+    """Three days in one write; rewriting one of them leaves the others."""
+    base = new_folder(spark, "days")
+    events = fixtures.events(spark, folder)
+    days = events.filter(F.col("load_date").between("20240108", "20240110"))
+    day = F.to_date("load_date", "yyyyMMdd")
+    sinks.write_days(days, day, base, "daily")
+    again = days.filter("load_date = '20240109'")
+    # The day comes again with every row twice.
+    sinks.write_days(again.unionAll(again), day, base, "daily")
+    return spark.read.parquet(f"{base}/DAILY").groupBy(F.col("load_date").cast("string").alias("load_date"), "EVENT_TYPE").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- whole flows: feeds in and out --------------------------------------------------
 
 def _copy_flow(spark, folder, output, fields=_PLAIN):

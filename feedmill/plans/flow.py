@@ -69,24 +69,30 @@ def _require_count(spark: SparkSession, data: DataFrame, spec: Spec) -> None:
     require_counts(compare_total(data, expected, first))
 
 
+def _controls(spec: Spec, steps: list[Spec]) -> list[dict[str, Any]]:
+    """The control steps that feed an output and declare a file beside it."""
+    found = []
+    for step in steps:
+        logic = {**{k: v for k, v in step.items() if k != "logic"}, **(step.get("logic") or {})}
+        feeds = (step.get("output_alias") or step.get("id")) in (spec.get("source_inputs") or [])
+        if step.get("type") == "ctrl_file" and feeds and logic.get("ctrl_file_name") and logic.get("ctrl_file_fields"):
+            found.append(logic)
+    return found
+
+
 def write_curated_control(
     df: DataFrame, spec: Spec, steps: list[Spec], run_date: dt.date, frames: Mapping[str, DataFrame], base: str = ""
 ) -> None:
     """The control file of an output, beside its directory, if a control step feeds it.
 
-    Its values come from the very rows that were written. A control step feeds an output
+    ``df`` are the stored rows that were written. A control step feeds an output
     when the output names the step's result among its sources.
     """
-    sources = spec.get("source_inputs") or []
-    for step in steps:
-        logic = {**{k: v for k, v in step.items() if k != "logic"}, **(step.get("logic") or {})}
-        if step.get("type") != "ctrl_file" or (step.get("output_alias") or step.get("id")) not in sources:
-            continue
-        if logic.get("ctrl_file_name") and logic.get("ctrl_file_fields"):
-            folder = declared_path(df.sparkSession, spec, run_date, base, output=True).rstrip("/").rpartition("/")[0]
-            table_sinks.write_control_file(
-                df, f"{folder}/{logic['ctrl_file_name']}", logic["ctrl_file_fields"], bool(logic.get("ctrl_include_header")),
-                frames.get(logic.get("header_input") or ""))
+    for logic in _controls(spec, steps):
+        folder = declared_path(df.sparkSession, spec, run_date, base, output=True).rstrip("/").rpartition("/")[0]
+        table_sinks.write_control_file(
+            df, f"{folder}/{logic['ctrl_file_name']}", logic["ctrl_file_fields"], bool(logic.get("ctrl_include_header")),
+            frames.get(logic.get("header_input") or ""))
 
 
 def _not_delivered(spark: SparkSession, name: str, spec: Spec) -> dict[str, DataFrame]:
@@ -153,9 +159,13 @@ def read_input(
 
 
 def write_output(
-    df: DataFrame, spec: Spec, run_date: dt.date, base: str = ""
+    df: DataFrame, spec: Spec, run_date: dt.date, base: str = "", stored: bool = False
 ) -> None:
-    """Write one output in its declared columns, format and mode."""
+    """Write one output in its declared columns, format and mode.
+
+    ``stored`` says that its rows are; else those of a feed with header, trailer or control
+    file are stored first, so that all of them agree.
+    """
     check_output(str(spec.get("name") or spec.get("dataset_name") or "output"), spec)
     path = declared_path(df.sparkSession, spec, run_date, base, output=True)
     kind = format_of(spec)
@@ -171,10 +181,13 @@ def write_output(
         shown = shown.drop("feed")
     if kind in ("fixed", "cobol"):
         layout = Layout.of(spec.get("fields") or [], _number(spec, "record_length"))
+        if spec.get("control_file_path") and not stored:
+            shown, stored = fixed_sink.store_rows(shown), True
+            df = shown
         fixed_sink.write_fixed(
             shown, layout, path, *ends,
             spec.get("header_fields") or [], spec.get("trailer_fields") or [], mode,
-            spec.get("on_overflow") or "error",
+            spec.get("on_overflow") or "error", stored,
         )
         if spec.get("control_file_path"):
             control, fields = spec["control_file_path"], spec.get("control_fields") or []
@@ -262,6 +275,10 @@ def _run(
     if dry_run:
         return {"row_counts": row_counts(found)}
     for name, df in found.items():
-        write_output(df, outputs[name], day, output_base)
+        stored = bool(_controls(outputs[name], steps) or outputs[name].get("control_file_path"))
+        if stored:
+            # Data and control file are written from one copy.
+            found[name] = df = fixed_sink.store_rows(df)
+        write_output(df, outputs[name], day, output_base, stored)
         write_curated_control(df, outputs[name], steps, day, inputs, output_base)
     return found

@@ -213,11 +213,8 @@ def _reads(step: Step, named: Iterable[str]) -> list[str]:
         return known
     times = 1
     if kind == "validate":
-        # Gates and sinks compute the rows before the result does.
-        mode = str(logic.get("fail_mode") or logic.get("mode") or "FLAG").upper()
-        aborts = mode == "ABORT" or str(logic.get("on_invalid", "")).lower() == "abort"
-        sinks = any(logic.get(k) for k in ("output_path", "validated_path", "error_path"))
-        times += bool(logic.get("trailer_check")) + bool(logic.get("record_count_check")) + (aborts or sinks)
+        # Count gates compute the rows before the result does.
+        times += bool(logic.get("trailer_check")) + bool(logic.get("record_count_check"))
     elif kind in _SINKS:
         times += 1
     return known[:1] * times

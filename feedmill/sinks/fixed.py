@@ -12,6 +12,7 @@ from feedmill.functions.content import content_hash
 from feedmill.functions.dates import spark_pattern
 from feedmill.functions.names import find_column, sql_text
 from feedmill.functions.numbers import fitting, is_number, plain_text, whole_text
+from feedmill.session import cut
 
 Spec = Field | Mapping[str, Any]
 
@@ -19,6 +20,13 @@ Spec = Field | Mapping[str, Any]
 NO_FEED = "__HIVE_DEFAULT_PARTITION__"
 
 
+def store_rows(df: DataFrame) -> DataFrame:
+    """The rows, stored: whatever is written from them afterwards agrees, even if their
+    source changes. Columns without a type become text."""
+    typed = [F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`") for f in df.schema]
+    return cut(df.select(*typed), "rows")
+
+
 def refuse_append(mode: str, path: str) -> None:
     """A feed with header or trailer cannot grow: its lines would end up inside."""
     if mode.lower() == "append":
@@ -146,21 +154,24 @@ def write_fixed(
     trailer_fields: Iterable[Spec] = (),
     mode: str = "overwrite",
     on_overflow: str = "error",
+    stored: bool = False,
 ) -> None:
     """Write one feed as ordered part files: header, data, trailer.
 
-    Header and trailer values come from one aggregation. A union keeps its
-    inputs in order, so data is written in parallel and never moved. Only a feed
-    without header and trailer can be appended to.
+    The rows of a feed with header or trailer are computed once and stored, so that its
+    totals are those of the very rows it holds; ``stored`` says that they already are.
+    A union keeps its inputs in order, so data is written in parallel and never moved.
+    Only a feed without header and trailer can be appended to.
     """
     layout = Layout.of(fields)
     if not layout.fields:
         raise ValueError("a fixed-width output needs fields")
-    body = to_lines(df, layout, on_overflow)
     if not (header_count or trailer_count):
-        body.write.mode(mode).text(path)
+        to_lines(df, layout, on_overflow).write.mode(mode).text(path)
         return
     refuse_append(mode, path)
+    df = df if stored else store_rows(df)
+    body = to_lines(df, layout, on_overflow)
     ends = df.agg(
         envelope_line(header_fields, df.columns, layout).alias("header"),
         envelope_line(trailer_fields, df.columns, layout).alias("trailer"),
@@ -190,7 +201,8 @@ def write_feeds(
 
     Lines are range-partitioned by feed, section and order, so a large feed is
     spread over many part files whose order is the order of the feed. A blank
-    ``order_by`` spreads rows by content. Nothing can be appended to such feeds.
+    ``order_by`` spreads rows by content. Nothing can be appended to such feeds. The
+    rows are computed once and stored; lines and totals come from the same copy.
     """
     refuse_append(mode, path)
     layout = Layout.of(fields)
@@ -200,6 +212,7 @@ def write_feeds(
         # A key that cannot be NULL keeps its order through the partitioned write.
         named = F.coalesce(F.nullif(feed, F.lit("")), F.lit(NO_FEED))
         df = df.withColumn(feed, named)
+    df = store_rows(df)
     order = [F.col(c) for c in order_by]
     body = df.select(
         feed,

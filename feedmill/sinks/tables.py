@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedmill.fields import Field, Layout
+from feedmill.functions.content import content_hash
 from feedmill.functions.names import column_name, find_column
 from feedmill.operators.reconcile import count_column
 from feedmill.operators.totals import control_line
@@ -21,6 +22,19 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode.lower()).parquet(path)
 
 
+def write_days(df: DataFrame, day: Column, base: str, frequency: str, mode: str = "overwrite") -> None:
+    """Rows below ``<base>/<FREQUENCY>/load_date=<yyyyMMdd>``, all their days in one write.
+
+    Overwriting replaces the days that have rows and leaves the others as they are, so a
+    rerun of some days touches no more than these. Rows are spread by day and content: a
+    day that holds most of them takes many part files. A row without a day is an error.
+    """
+    stamp = F.date_format(day.cast("date"), "yyyyMMdd")
+    dated = df.withColumn("load_date", F.when(day.isNull(), F.raise_error(F.lit("a row has no day")).cast("string")).otherwise(stamp))
+    spread = dated.repartitionByRange("load_date", content_hash(df)).sortWithinPartitions("load_date")
+    spread.write.mode(mode.lower()).option("partitionOverwriteMode", "dynamic").partitionBy("load_date").parquet(f"{base.rstrip('/')}/{frequency.upper()}")
+
+
 def write_delimited(
     df: DataFrame, path: str, delimiter: str = ",", mode: str = "overwrite"
 ) -> None:

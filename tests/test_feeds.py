@@ -10,10 +10,12 @@ from pyspark.errors import SparkRuntimeException
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from conftest import plan_nodes, text_scans
 from feedmill.fields import Layout
 from feedmill.functions.ebcdic import encode_text, pack_decimal
 from feedmill.operators import alerts, reconcile, totals
 from feedmill.operators import validate as v
+from feedmill.plans.flow import write_output
 from feedmill.plans.steps import run_step
 from feedmill.session import cut, new_folder, shared_folder
 from feedmill.sinks import jdbc, tables
@@ -497,3 +499,77 @@ def test_lines_are_never_cut(spark, tmp_path):
     short = [{"name": "SUM", "length": 4, "expression": "sum(N)"}]
     with pytest.raises(SparkRuntimeException, match="does not fit"):
         write_fixed(df, data, path, 1, 0, header_fields=short)
+
+
+# ---- one pass --------------------------------------------------------------------------
+
+@pytest.mark.parametrize("logic", [
+    {"mode": "ABORT"}, {"mode": "DROP", "validated_path": "a", "error_path": "b"}, {"mode": "FLAG", "validated_path": "a", "error_path": "b"},
+    {"mode": "FLAG", "output_path": "o", "on_invalid": "abort"}])
+def test_gates_sinks_and_result_share_one_pass(spark, tmp_path, logic):
+    (tmp_path / "rows.txt").write_text("".join(f"{k}\n" for k in range(300)))
+    logic = {k: str(tmp_path / v) if k.endswith("path") else v for k, v in logic.items()}
+    rules = [{"field": "value", "data_type": "int", "nullable": False}]
+    nodes = plan_nodes(spark)
+    found = v.validate(spark.read.text(str(tmp_path / "rows.txt")), {"rules": rules, **logic})
+    assert found.count() == 300
+    assert text_scans(nodes()) == 1
+    for name, count in (("a", 300), ("b", 0)):
+        if (tmp_path / name).exists():
+            assert spark.read.parquet(str(tmp_path / name)).count() == count
+    if "output_path" in logic:
+        assert spark.read.parquet(logic["output_path"]).groupBy("outcome").count().collect() == [("accepted", 300)]
+
+
+def test_gate_reports_a_few_errors(spark):
+    rows = spark.range(0, 1000, 1, 4).selectExpr("concat('x', id) as A")
+    with pytest.raises(v.InvalidRows) as error:
+        v.require_valid(rows, [{"field": "A", "data_type": "int"}])
+    assert error.value.count == 1000 and 1 <= len(error.value.samples) <= 5
+
+
+def test_ends_agree_with_a_source_that_changes(spark, tmp_path):
+    """Header, trailer, control file and data are those of one reading of the source."""
+    # Every run of the plan draws other numbers.
+    drawn = F.expr("cast(java_method('java.lang.Math', 'random') as double)")
+    changing = spark.range(0, 400, 1, 4).select(F.col("id").alias("N"), F.floor(drawn * 1000).cast("long").alias("V")).where("V < 500")
+    fields = [{"name": "N", "type": "long", "length": 6}, {"name": "V", "type": "long", "length": 6}]
+    trailer = [{"name": "T", "length": 1, "expression": "'T'"}, {"name": "C", "type": "long", "length": 5, "expression": "count(*)"},
+               {"name": "S", "type": "long", "length": 12, "expression": "sum(V)"}]
+    path = str(tmp_path / "out")
+    write_output(changing, {"format": "fixed", "path": path, "fields": fields, "header_count": 1, "trailer_count": 1,
+                            "header_fields": trailer[1:], "trailer_fields": trailer, "control_file_path": f"{path}-count"}, dt.date(2026, 3, 1))
+    feed = read_fixed(spark, path, fields, 1, 1, [{"name": "C", "length": 5}, {"name": "S", "length": 12}],
+                      [{"name": "T", "length": 1}, {"name": "C", "length": 5}, {"name": "S", "length": 12}])
+    n, total = feed.data.agg(F.count("*"), F.sum(F.col("V").cast("long"))).first()
+    for end in (feed.header, feed.trailer):
+        row = end.first()
+        assert (int(row.C), int(row.S)) == (n, total)
+    assert int(spark.read.text(f"{path}-count").first().value) == n
+
+
+def test_text_meets_numbers_exactly(spark):
+    rows = spark.createDataFrame([("9007199254740993",), ("9007199254740992",), ("0.1",), ("1e400",), ("123456789012345678901234",), ("x",), (None,)], "v string")
+
+    def kept(operation, value):
+        return [r.v for r in run_step({"id": "f", "type": "filter", "input": "d", "logic": {"conditions": [
+            {"field": "v", "operation": operation, "value": value}]}}, {"d": rows})[1].collect()]
+
+    assert kept("==", 9007199254740993) == ["9007199254740993"] and kept("in", [9007199254740992, 7]) == ["9007199254740992"]
+    assert kept("==", 0.1) == ["0.1"] and kept("<", 9007199254740993) == ["9007199254740992", "0.1"]
+    assert kept(">", 1e22) == ["1e400", "123456789012345678901234"]
+    assert kept("not_in", [0.1]) == ["9007199254740993", "9007199254740992", "1e400", "123456789012345678901234"]
+
+
+def test_days_are_replaced_one_by_one(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.range(0, 900).select("id", F.date_add(F.lit(dt.date(2026, 3, 1)), F.when(F.col("id") < 800, 0).otherwise((F.col("id") % 3).cast("int"))).alias("day"))
+    tables.write_days(rows, F.col("day"), base, "daily")
+    before = {p.name: sorted(x.name for x in p.iterdir()) for p in (tmp_path / "DAILY").glob("load_date=*")}
+    assert len(before) == 3
+    tables.write_days(rows.where("day = date'2026-03-02'").limit(4), F.col("day"), base, "DAILY")
+    after = {p.name: sorted(x.name for x in p.iterdir()) for p in (tmp_path / "DAILY").glob("load_date=*")}
+    assert {k for k in before if before[k] != after[k]} == {"load_date=20260302"}
+    assert spark.read.parquet(f"{base}/DAILY/load_date=20260302").count() == 4
+    with pytest.raises(SparkRuntimeException, match="no day"):
+        tables.write_days(rows, F.lit(None).cast("date"), base, "DAILY")
