@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmill.llm.components import connected_components
-from feedmill.llm.tables import give_back, text_of
+from feedmill.llm.tables import give_back, in_steps, text_of
 from feedmill.session import cut
 
 SHINGLE_WORDS = 4
@@ -110,7 +110,7 @@ def describe_sets(texts: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut_text = shingler(words)
-        for batch in batches:
+        for batch in in_steps(batches):
             sets = [cut_text(t.as_py()) for t in batch.column(place)]
             sizes = [len(s) for s in sets]
             nodes = [_node(s) if len(s) else None for s in sets]
@@ -235,6 +235,11 @@ def shared_grams(texts: DataFrame, words: int, threshold: int, frequent: np.ndar
         task_ends()
 
     def meet(table: pa.Table) -> pa.Table:
+        met = meet_in_bin(table)
+        give_back()
+        return met
+
+    def meet_in_bin(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         number = rows[0]["bin"]
         if number < 0:

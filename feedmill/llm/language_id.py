@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedmill.llm.tables import free_name, give_back
+from feedmill.llm.tables import free_name, in_steps
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -244,12 +244,11 @@ def predict_language(
         return names, scores
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_steps(batches):
             names, scores = predict(b.column(place).to_pylist(), b.column(b.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=[*b.schema.names[:-1], "lang_pred", "score"])
-        give_back()
 
     schema = kept.schema.add("lang_pred", "string").add("score", "double")
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))

@@ -71,8 +71,8 @@ def mix(
 ) -> DataFrame:
     """Words that the mix takes of every document.
 
-    One row a row of ``docs``: doc_id, size (words), source_size, target, epochs (complete
-    copies), part (words of the fraction), taken. The document at the edge of a fraction is
+    One row a row of ``docs``: doc_id, size (words), source_size, target, taken, epochs
+    (complete copies), part (words of the fraction). The document at the edge of a fraction is
     cut there; with ``whole`` it is taken whole if that comes nearer. ``carry`` names
     further columns to keep.
 
@@ -87,6 +87,8 @@ def mix(
         *[F.col(c).alias(f"_carry_{c}") for c in carry])
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     keyed = sized.withColumn("key", -F.log(uniform(name, seed)) / quality_weight(F.col("_text"), F.col("size"))).drop("_text")
+    # Narrow rows, stored: the texts are read once.
+    keyed = cut(keyed, "keyed")
     sources = cut(keyed.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     aims = targets(sources, weights, total_share, most_epochs)
     running = running_total(
@@ -103,8 +105,8 @@ def mix(
         .withColumn("epochs", epochs.cast("long"))
         .withColumn("rest", rest)
         .withColumn("part", part.cast("long"))
-        .select("doc_id", "size", "source_size", "target", "epochs", "part",
-                (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"),
+        .select("doc_id", "size", "source_size", "target",
+                (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"), "epochs", "part",
                 *[F.col(f"_carry_{c}").alias(c) for c in carry])
     )
 

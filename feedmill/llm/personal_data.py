@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from feedmill.llm.pieces import in_slices
-from feedmill.llm.tables import text_of
+from feedmill.llm.tables import in_steps, text_of
 from feedmill.session import cut
 
 # The four kinds with an exact definition, in the order of the digest.
@@ -46,7 +46,7 @@ _EMAIL_WORDS = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}"
     r"(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]{2,63})+", re.IGNORECASE)
 _DOT = re.compile("dot", re.IGNORECASE)
-_NUMBER = re.compile(r"[0-9](?<![0-9A-Za-z.][0-9])(?:[ ()./-]{0,2}[0-9]){6,18}(?![0-9A-Za-z])")
+_NUMBER = re.compile(r"[0-9](?<![0-9A-Za-z.][0-9])(?:[ ()./-]{0,2}[0-9]){6,}(?![0-9A-Za-z])")
 _SECRET = re.compile(r"(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|key)\s{0,2}[:=]\s{0,2}[\"']?([A-Za-z0-9_/+=.-]{7,}[A-Za-z0-9_/+=-])", re.IGNORECASE)
 
 # Words that announce personal data, and public suffixes that are common.
@@ -178,7 +178,7 @@ def find_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     names = [*(docs.columns[k] for k in rest), "base", "candidates"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_steps(batches):
             row = 0
             for texts in in_slices(batch.column(place).to_pylist()):
                 both: tuple[list, list] = [], []
@@ -271,10 +271,11 @@ def detect(docs: DataFrame, *, text_col: str = "text", accept: float = ACCEPT) -
 
     Base spans are those of the definitions; added ones are the candidates the classifier
     accepts. Offsets count code points, the end is exclusive. A null or empty text has none;
-    repeated rows and null ids are kept as they are. The spans are stored once, for
-    learning and for the verdict, so the texts are read once.
+    repeated rows and null ids are kept as they are; columns of ``docs`` named base, added
+    or candidates are replaced. The spans are stored once, for learning and for the
+    verdict, so the texts are read once.
     """
-    spans = cut(find_spans(docs, text_col), "spans")
+    spans = cut(find_spans(docs.drop(*({"base", "added", "candidates"} - {text_col})), text_col), "spans")
     chances = learn(spans)
     accepted = [k for k, p in chances.items() if p >= accept]
     keep = F.array(*[F.lit(k) for k in sorted(accepted)]).cast("array<int>")
@@ -286,7 +287,8 @@ def detect(docs: DataFrame, *, text_col: str = "text", accept: float = ACCEPT) -
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """doc_id, a count of each base kind, base_sha256 and spans of ``detect``'s result."""
+    """doc_id, a count of each base kind, base_sha256, spans, n_added and a count of each
+    added kind, of ``detect``'s result."""
     def of_kind(kind: str):
         return lambda x: x["kind"] == kind
 
@@ -298,7 +300,8 @@ def digest(found: DataFrame) -> DataFrame:
         "doc_id",
         *[F.size(F.filter("base", of_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(F.array_join(ranked(F.col("base")), ","), 256).alias("base_sha256"),
-        F.array_join(ranked(F.concat("base", "added")), ",").alias("spans"))
+        F.array_join(ranked(F.concat("base", "added")), ",").alias("spans"), F.size("added").cast("long").alias("n_added"),
+        *[F.size(F.filter("added", of_kind(k))).cast("long").alias(f"n_{k}") for k in ADDED])
 
 
 def mask(docs: DataFrame, *, text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
@@ -321,7 +324,7 @@ def mask(docs: DataFrame, *, text_col: str = "text", accept: float = ACCEPT) ->
         return "".join(out) + text[at:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_steps(batches):
             columns = batch.column(0).flatten()
             base, added = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             texts = columns[place].to_pylist()

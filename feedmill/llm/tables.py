@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -70,6 +71,15 @@ def free_name(df: DataFrame, stem: str) -> str:
     return next(name for k in range(len(taken) + 1) if (name := f"_{stem}_{k}") not in taken)
 
 
+def in_steps(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in steps of a few rows, so that a worker holds few texts as objects; what
+    the task has freed is handed back when all are done."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    give_back()
+
+
 def give_back() -> None:
     """Hand what a task has freed back to the system, when the task ends.
 

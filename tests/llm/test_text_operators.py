@@ -8,6 +8,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from checks import differences, open_tables
@@ -115,6 +116,26 @@ def test_keys_go_to_their_end(spark):
         personal_data.candidate_spans(text, [])
 
 
+def test_added_spans_are_counted_and_clashing_columns_replaced(spark, documents):
+    rows = [(10**6 + k, f"mail me: jane{k}.doe (at) example (dot) com or token = {hashlib.sha256(str(k).encode()).hexdigest()}") for k in range(30)]
+    rows.append((10**6 + 99, "an order number of " + "1234567 " * 9))
+    both = documents.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    for name in ("base", "added", "candidates", "spans", "votes"):
+        both = both.withColumn(name, F.lit("x"))
+    found = personal_data.detect(both)
+    assert found.columns == ["doc_id", "spans", "votes", "base", "added"]
+    digest = personal_data.digest(found)
+    assert digest.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "n_email_words", "n_number", "n_secret"]
+    for r in digest.collect():
+        kinds = collections.Counter(span.split(":")[0] for span in r.spans.split(",") if span)
+        assert [r[f"n_{k}"] for k in ("email_words", "number", "secret")] == [kinds[k] for k in ("email_words", "number", "secret")]
+        assert r.n_added == r.n_email_words + r.n_number + r.n_secret
+        assert not 10**6 <= r.doc_id < 10**6 + 30 or r.n_secret == 1
+    # A number of any length is one candidate.
+    text = "order " + "1234567 " * 9 + "x"
+    assert personal_data.candidate_spans(text, []) == [("number", 6, 6 + 71)]
+
+
 def test_em_finds_the_bad_labeler():
     # Labelers 0, 1 and 2 agree with the truth, labeler 3 votes at random.
     patterns = {}
