@@ -15,7 +15,7 @@ import time
 from pyspark.sql import SparkSession
 
 from feedmill.plans import catalog
-from feedmill.session import configure
+from feedmill.session import clean_up, configure
 
 HEADLINE = [
     "steps_join_filter_agg", "agg_complex_condition", "join_inner", "join_skewed", "join_skewed_full",
@@ -45,6 +45,7 @@ def main() -> None:
             start = time.perf_counter()
             catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - start, 3)
+            clean_up(spark)
     spark.stop()
     print(json.dumps({
         "metric": "total_seconds",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, SparkSession, functions as F
@@ -18,6 +18,17 @@ def spark_pattern(pattern: str) -> str:
     return pattern.strip().replace("Y", "y").replace("DD", "dd").replace("SS", "ss")
 
 
+_TODAY = r"(?:load_date|current_date)\s*\(\s*\)"
+# Dated-path expressions: the whole text as a pattern -> its date, from the run date and
+# what the pattern's group holds.
+_PATH_DATES: dict[str, Callable[[Column, str], Column]] = {
+    _TODAY: lambda day, _: F.date_format(day, DAY),
+    rf"date_sub\s*\(\s*{_TODAY}\s*,\s*(\d+)\s*\)": lambda day, n: F.date_format(F.date_sub(day, int(n)), DAY),
+    rf"date_format\s*\(\s*{_TODAY}\s*,\s*['\"]([^'\"]+)['\"]\s*\)": lambda day, form: F.date_format(day, spark_pattern(form)),
+    rf"last_day\s*\(\s*{_TODAY}\s*\)": lambda day, _: F.date_format(F.last_day(day), DAY),
+}
+
+
 def path_date(expression: str, run_date: Column) -> Column:
     """A dated-path expression as a string column, relative to ``run_date``.
 
@@ -26,18 +37,8 @@ def path_date(expression: str, run_date: Column) -> Column:
     ``last_day(current_date())``; any other text is a literal.
     """
     text = expression.strip() or "load_date()"
-    today = r"(?:load_date|current_date)\s*\(\s*\)"
-    if re.fullmatch(today, text, re.I):
-        return F.date_format(run_date, DAY)
-    if found := re.fullmatch(rf"date_sub\s*\(\s*{today}\s*,\s*(\d+)\s*\)", text, re.I):
-        return F.date_format(F.date_sub(run_date, int(found.group(1))), DAY)
-    if found := re.fullmatch(
-        rf"date_format\s*\(\s*{today}\s*,\s*['\"]([^'\"]+)['\"]\s*\)", text, re.I
-    ):
-        return F.date_format(run_date, spark_pattern(found.group(1)))
-    if re.fullmatch(rf"last_day\s*\(\s*{today}\s*\)", text, re.I):
-        return F.date_format(F.last_day(run_date), DAY)
-    return F.lit(text)
+    matches = ((date, re.fullmatch(pattern, text, re.I)) for pattern, date in _PATH_DATES.items())
+    return next((date(run_date, (found.groups() or ("",))[0]) for date, found in matches if found), F.lit(text))
 
 
 def dated_path(

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import SparkRuntimeException
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -175,7 +175,7 @@ def test_header_reference_without_rows(spark):
     fields = [{"name": "N", "type": "INT", "length": 2}, {"name": "D", "type": "DATE", "length": 8,
               "expression": "last_day(to_date(first(FILE-DATE), 'yyyyMMdd'))"}]
     assert totals.control_line(data, fields, header=header).first().value == "0020260331"
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException, match="FILE"):
         totals.control_line(data, fields).collect()
 
 
