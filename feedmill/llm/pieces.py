@@ -23,7 +23,7 @@ _SAFE_CUT = re.compile(r"(?= [^\W_])")
 # Blanks behind anything but a letter, a digit or another visible ASCII character, or at an
 # end of a text, are no cuts of ``cut_parts``; few texts have them.
 _PART = re.compile(r"(?<=[\w!-~]) (?=[\s\S])")
-_VISIBLE = re.compile(r"[\w!-~]")
+VISIBLE = re.compile(r"[\w!-~]")
 
 # Parts longer than this are encoded each time, so that the cache stays small in bytes.
 LONGEST_CACHED = 48
@@ -41,7 +41,7 @@ def cut_parts(text: str) -> list[str]:
     """Parts of a text, cut before each blank that follows a visible character: no token of
     the vocabularies here reaches across. All but the first stand for a blank and themselves."""
     parts = text.split(" ")
-    if parts[-1] and all(map(_VISIBLE.match, {part[-1:] for part in parts[:-1]})):
+    if parts[-1] and all(map(VISIBLE.match, {part[-1:] for part in parts[:-1]})):
         return parts
     return _PART.split(text)
 

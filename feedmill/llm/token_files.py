@@ -20,11 +20,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from feedmill.llm.pieces import cut_parts, id_type, in_slices, is_closed
+from feedmill.llm.pieces import VISIBLE, cut_parts, id_type, is_closed
 from feedmill.llm.tables import task_count, text_of
 
 MAGIC = b"DACTOK1\0"
@@ -34,9 +35,11 @@ BLOCK_BITS = 512
 SHARD_IDS = 4_000_000
 # Parts that a worker stores, as long as they have this many characters; and parts that are
 # encoded as one text.
-STORED_PARTS = 500_000
-STORED_CHARACTERS = 16_000_000
+STORED_PARTS = 800_000
+STORED_CHARACTERS = 24_000_000
 JOINED_PARTS = 400
+# Bytes of the texts that are split at once.
+SLICE_BYTES = 4_000_000
 # Characters of a text that place it among texts of its id.
 RANGE_CHARACTERS = 128
 
@@ -163,6 +166,10 @@ class PartIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = id_type(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        added = {number: token.content for number, token in self.tokenizer.get_added_tokens_decoder().items()}
+        names = [self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+        # Byte-level vocabularies write a byte as one letter, added tokens stand as they are.
+        self.lengths = np.array([len(added[k].encode()) if k in added else len(name) for k, name in enumerate(names)], dtype=np.int64)
         # Added tokens that take blanks with them could reach across parts.
         self.whole = any(" " in t.content or t.lstrip or t.rstrip for t in self.tokenizer.get_added_tokens_decoder().values())
         self.clear()
@@ -174,19 +181,23 @@ class PartIds:
         self.held = 0
 
     def _learn(self, heads: list[str], parts: list[str]) -> None:
+        """Encode parts not met before, many as one text: no token crosses from part to part,
+        and the bytes of the tokens tell whose they are."""
         closed = [part for part in parts if is_closed(part)]
         runs = [closed[k:k + JOINED_PARTS] for k in range(0, len(closed), JOINED_PARTS)] + [[part] for part in parts if not is_closed(part)]
         texts = heads + [" " + " ".join(run) for run in runs]
         ids, ends, known = [self.ids], [self.ends], len(self.ids)
-        for k, encoding in enumerate(self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        for k, encoding in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             own = np.array(encoding.ids, dtype=self.kind)
-            if k < len(heads):
-                names, stops = [(heads[k],)], np.array([len(own)])
+            names: list = [(heads[k],)] if k < len(heads) else runs[k - len(heads)]
+            if len(names) == 1:
+                stops = np.array([len(own)])
             else:
-                names = runs[k - len(heads)]
-                # Offsets tell whose token it is: no token crosses from part to part.
-                reached = np.fromiter((end for _, end in encoding.offsets), dtype=np.int64, count=len(own))
-                stops = np.searchsorted(reached, np.cumsum([len(part) + 1 for part in names]), side="right")
+                reached = np.cumsum(self.lengths[own])
+                places = np.cumsum([len(part.encode()) + 1 for part in names])
+                stops = np.searchsorted(reached, places) + 1
+                if reached[-1] != places[-1] or (reached[stops - 1] != places).any():
+                    raise ValueError("the tokens of this vocabulary are not the bytes of the text")
             self.number.update(zip(names, range(len(self.number), len(self.number) + len(names)), strict=True))
             ids.append(own)
             ends.append(known + stops)
@@ -194,33 +205,62 @@ class PartIds:
         self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
         self.held += sum(map(len, parts)) + sum(map(len, heads))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after the other, and how many each has."""
+    def _numbers(self, keys: list) -> np.ndarray:
+        """The numbers of known parts; -1 for the others."""
+        get = self.number.get
+        return np.fromiter((get(key, -1) for key in keys), dtype=np.int64, count=len(keys))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has.
+
+        Texts are split and their parts told apart by Arrow; only distinct parts become
+        objects. The few texts with blanks that are no cuts are cut by themselves.
+        """
         if len(self.number) > STORED_PARTS or self.held > STORED_CHARACTERS:
             self.clear()
-        get = self.number.get
-        cuts = [[text] if self.whole else cut_parts(text) for text in texts]
-
-        def look_up(own: list[str]) -> list[int | None]:
-            row = list(map(get, own))
-            row[0] = get((own[0],))
-            return row
-
-        rows = list(map(look_up, cuts))
-        heads: dict[str, None] = {}
-        parts: dict[str, None] = {}
-        holes = [k for k, row in enumerate(rows) if None in row]
-        for k in holes:
-            new = [part for part, known in zip(cuts[k], rows[k], strict=True) if known is None]
-            if rows[k][0] is None:
-                heads[new.pop(0)] = None
-            parts.update(dict.fromkeys(new))
-        if holes:
-            self._learn(list(heads), list(parts))
-            for k in holes:
-                rows[k] = look_up(cuts[k])
-        counts = np.array([len(row) for row in rows], dtype=np.int64)
-        part = np.fromiter(chain.from_iterable(rows), dtype=np.int64, count=int(counts.sum()))
+        split = pc.split_pattern(texts, " ")
+        edges = split.offsets.to_numpy().astype(np.int64)
+        edges -= edges[0]
+        coded = split.flatten().dictionary_encode()
+        code, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+        first, last = edges[:-1], edges[1:] - 1
+        # No cut behind a part that is empty or ends in anything but a visible character.
+        ends_well = np.array([bool(word) and VISIBLE.match(word[-1]) is not None for word in words], dtype=bool)
+        filled = np.array([bool(word) for word in words], dtype=bool)
+        bad = ~ends_well[code]
+        bad[last] = ~filled[code[last]] & (last > first)
+        odd = np.add.reduceat(bad, first) > 0 if len(first) else np.empty(0, dtype=bool)
+        if self.whole:
+            odd[:] = True
+        cuts = {k: [texts[k].as_py()] if self.whole else cut_parts(texts[k].as_py()) for k in np.flatnonzero(odd).tolist()}
+
+        text = np.repeat(np.arange(len(first)), edges[1:] - edges[:-1])
+        plain = ~odd[text]
+        inner = plain.copy()
+        inner[first] = False
+        heads = [(words[c],) for c in np.unique(code[first[~odd]]).tolist()] + [(own[0],) for own in cuts.values()]
+        used = np.zeros(len(words), dtype=bool)
+        used[code[inner]] = True
+        wanted = [words[c] for c in np.flatnonzero(used).tolist()] + [part for own in cuts.values() for part in own[1:]]
+        new_heads = dict.fromkeys(h[0] for h in heads if h not in self.number)
+        new_parts = dict.fromkeys(part for part in wanted if part not in self.number)
+        if new_heads or new_parts:
+            self._learn(list(new_heads), list(new_parts))
+
+        of_word, of_head = np.full(len(words), -1, dtype=np.int64), np.full(len(words), -1, dtype=np.int64)
+        places = np.flatnonzero(used)
+        of_word[places] = self._numbers([words[c] for c in places.tolist()])
+        starts = np.unique(code[first[~odd]])
+        of_head[starts] = self._numbers([(words[c],) for c in starts.tolist()])
+        part = np.where(inner, of_word[code], of_head[code])
+        counts = edges[1:] - edges[:-1]
+        if cuts:
+            # Their own parts in the place of those at all blanks.
+            pieces, at = [], 0
+            for k, own in cuts.items():
+                pieces += [part[at:edges[k]], self._numbers([(own[0],), *own[1:]])]
+                counts[k], at = len(own), edges[k + 1]
+            part = np.concatenate([*pieces, part[at:]])
         begins = np.concatenate([[0], self.ends])[part]
         lengths = self.ends[part] - begins
         at = np.arange(int(lengths.sum())) + np.repeat(begins - np.cumsum(lengths) + lengths, lengths)
@@ -228,6 +268,17 @@ class PartIds:
         return self.ids[at], totals
 
 
+def text_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive texts of about ``size`` bytes; a longer one is a slice of its own."""
+    reached = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = reached[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(reached, before + size, side="right")))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def library_encoder(tokenizer_path: str) -> PartIds:
     """The encoder of a tokenizers file, one a process."""
     if tokenizer_path not in _encoders:
@@ -281,7 +332,7 @@ def write_token_files(
 
         for batch in batches:
             own, start = batch.column(0).to_pylist(), 0
-            for run in in_slices(batch.column(1).to_pylist()):
+            for run in text_slices(batch.column(1)):
                 ids, counts = with_end(*encoder.encode(run), end_id)
                 doc_ids += own[start:start + len(run)]
                 start += len(run)

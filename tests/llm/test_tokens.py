@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -50,7 +51,7 @@ def test_encoders_agree_with_the_library(library):
     want = ids_of(library, texts)
     encoder = library_encoder(PATH)
     for some in (texts, texts[::-1]):
-        ids, counts = encoder.encode(some)
+        ids, counts = encoder.encode(pa.array(some))
         found = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
         assert found == (want if some is texts else want[::-1])
     assert [x.tolist() for x in codec(PATH).encode(texts)] == want
