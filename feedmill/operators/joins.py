@@ -113,9 +113,8 @@ def salted_join(
     if kind == "right":
         return salted_join(right, left, [(b, a) for a, b in keys], "left", parts)
     left_keys, right_keys = [a for a, _ in keys], [b for _, b in keys]
-    hot = [cut(hot_keys(left, left_keys, parts), "hot"), None]
-    if kind in ("inner", "left"):
-        hot[1] = cut(hot_keys(right, right_keys, parts), "hot")
+    hot = _hot_of_both(left, left_keys, right, right_keys, parts) if kind in ("inner", "left") else [
+        cut(hot_keys(left, left_keys, parts), "hot"), None]
     # A key that is hot on both sides is spread on the right and repeated on the left.
     salted = _salt_rows(left, left_keys, hot, parts, repeat_first=True)
     repeated = _salt_rows(right, right_keys, hot[::-1], parts, repeat_first=False).withColumnsRenamed({_SALT: _SALTS, _REPEATED: _DROP})
@@ -139,6 +138,15 @@ def hot_keys(df: DataFrame, columns: list[str], parts: int) -> DataFrame:
     )
 
 
+def _hot_of_both(left: DataFrame, left_keys: list[str], right: DataFrame, right_keys: list[str], parts: int) -> list[DataFrame]:
+    """The hot keys of both sides; keys of the same types are counted by one job."""
+    found = [hot_keys(left, left_keys, parts), hot_keys(right, right_keys, parts)]
+    if [f.dataType for f in found[0].schema] != [f.dataType for f in found[1].schema]:
+        return [cut(side, "hot") for side in found]
+    both = cut(reduce(DataFrame.unionByName, [df.withColumn("__side", F.lit(k)) for k, df in enumerate(found)]), "hot")
+    return [both.where(F.col("__side") == k).drop("__side") for k in range(2)]
+
+
 def _flag_hot(df: DataFrame, keys: list[str], hot: DataFrame | None, name: str) -> DataFrame:
     if hot is None:
         return df.withColumn(name, F.lit(False))

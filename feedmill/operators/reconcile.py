@@ -6,11 +6,11 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmill.functions.dates import previous_business_day
 from feedmill.functions.names import get_column
+from feedmill.sources.inventory import path_exists
 from feedmill.sources.lines import feed_ends, read_lines
 
 
@@ -144,21 +144,18 @@ def previous_delivery(
     """The delivery of the business day before ``run_date``, as one row of :func:`continuity`.
 
     ``path_of`` names the place of a day's delivery. ``header_date`` takes its lines to the
-    date its header carries; without it, a delivery that is there is right.
+    date its header carries; without it, a delivery that is there is right and no file is
+    opened.
     """
     day = spark.range(1).select(previous_business_day(F.lit(run_date), holidays, skip_weekends).alias("d"))
     expected = day.first()["d"]
     actual, status = None, "ok"
-    try:
-        lines = read_lines(spark, path_of(expected))
-        if header_date is not None:
-            first = feed_ends(lines, header_count=1)[0]
-            actual = first.agg(F.max(header_date(first))).first()[0]
-            status = "ok" if actual == expected else "wrong_date"
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path_of(expected)):
         status = "missing"
+    elif header_date is not None:
+        first = feed_ends(read_lines(spark, path_of(expected)), header_count=1)[0]
+        actual = first.agg(F.max(header_date(first))).first()[0]
+        status = "ok" if actual == expected else "wrong_date"
     return spark.range(1).select(
         F.lit(run_date).alias("file_date"), F.lit(expected).alias("expected_date"), F.lit(actual).cast("date").alias("actual_date"),
         F.lit(status).alias("status"))
