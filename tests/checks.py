@@ -1,4 +1,4 @@
-"""Comparison of a query with its SQL in DuckDB."""
+"""Comparison of a query with its SQL in DuckDB, and the nodes of executed plans."""
 
 from __future__ import annotations
 
@@ -47,3 +47,24 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
         if a != b:
             return f"{a} vs {b}"
     return ""
+
+
+def plan_nodes(spark):
+    """The names of the nodes of all plans executed from now on: call the result to get them."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+
+    def nodes():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        found = []
+        for k in range(before, store.executionsCount()):
+            graph = store.planGraph(store.executionsList(k, 1).apply(0).executionId()).allNodes()
+            found += [graph.apply(i).name().strip() for i in range(graph.size())]
+        return found
+
+    return nodes
+
+
+def text_scans(nodes):
+    """How many of the nodes read text files."""
+    return sum(name.startswith("Scan text") for name in nodes)

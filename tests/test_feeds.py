@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException, SparkRuntimeException
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_nodes, text_scans
+from checks import plan_nodes, text_scans
 from feedmill.fields import Layout
 from feedmill.functions.ebcdic import encode_text, pack_decimal
 from feedmill.operators import alerts, reconcile, totals

@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import plan_nodes, text_scans
+from checks import plan_nodes, text_scans
 from feedmill.operators.reconcile import BrokenContinuity, CountMismatch, MissingInput
 from feedmill.plans.flow import declared_path, read_input, run_flow
 from feedmill.plans.steps import run_steps, shared_frames

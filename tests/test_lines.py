@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_nodes, text_scans
+from checks import plan_nodes, text_scans
 from feedmill import session
 from feedmill.plans.fixtures import ORDER_HEADER, ORDER_TRAILER
 from feedmill.sinks.fixed import write_feeds, write_fixed
