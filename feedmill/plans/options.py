@@ -17,7 +17,8 @@ REMARKS = {"description", "comment", "notes"}
 STEP = {"id", "name", "type", "input", "source_inputs", "output_alias", "logic", "store"}
 LOGIC = {
     "filter": {"source_inputs", "conditions", "field", "value_list", "else_branch"},
-    "select": {"source_inputs", "columns", "expressions"},
+    # Targets come into being when they are first set; declaring them is allowed.
+    "select": {"source_inputs", "columns", "expressions", "working_storage"},
     "join": {"source_inputs", "left", "right", "on", "how", "skew_parts"},
     "aggregate": {"source_inputs", "group_by", "aggregations"},
     "union": {"source_inputs"},
