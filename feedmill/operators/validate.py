@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 from feedmill.fields import Layout
 from feedmill.functions.dates import spark_pattern
 from feedmill.functions.names import column_name, find_column
-from feedmill.session import cut
+from feedmill.session import keep
 from feedmill.sinks.fixed import fixed_line
 
 ERRORS, VALID = "_validation_errors", "_is_valid"
@@ -259,7 +259,7 @@ def store_marked(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> tuple[Dat
     """All rows with their errors, stored, and what was counted on the way: one pass over
     ``df``, however often the rows are used."""
     observed, seen = _counted(annotate(df, rules))
-    return cut(observed, "marked"), seen.get
+    return keep(observed), seen.get
 
 
 def require_valid(df: DataFrame, rules: Iterable[Mapping[str, Any]]) -> DataFrame:

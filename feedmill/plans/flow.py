@@ -16,7 +16,7 @@ from feedmill.operators.reconcile import (
 from feedmill.operators.validate import InvalidRows
 from feedmill.plans.options import check_flow, check_input, check_output, format_of
 from feedmill.plans.steps import _alias, resolve_outputs, row_counts, run_steps, shared_frames
-from feedmill.session import cut
+from feedmill.session import keep
 from feedmill.sinks import fixed as fixed_sink
 from feedmill.sinks import tables as table_sinks
 from feedmill.sources.ebcdic import parse_records, read_ebcdic
@@ -182,7 +182,7 @@ def write_output(
     if kind in ("fixed", "cobol"):
         layout = Layout.of(spec.get("fields") or [], _number(spec, "record_length"))
         if spec.get("control_file_path") and not stored:
-            shown, stored = fixed_sink.store_rows(shown), True
+            shown, stored = keep(shown), True
             df = shown
         fixed_sink.write_fixed(
             shown, layout, path, *ends,
@@ -268,7 +268,7 @@ def _run(
     for number, name in shared_frames(steps, inputs, wanted):
         # A columnar input is read again at the price of the columns that are used.
         if number < 0 and name in declared and format_of(declared[name]) != "parquet" and declared[name].get("store") is not False:
-            inputs[name] = cut(inputs[name], "input")
+            inputs[name] = keep(inputs[name])
     named = run_steps(inputs, steps, day, wanted)
     results = {k: df for k, df in named.items() if inputs.get(k) is not df}
     found = resolve_outputs(inputs, results, outputs)
@@ -278,7 +278,7 @@ def _run(
         stored = bool(_controls(outputs[name], steps) or outputs[name].get("control_file_path"))
         if stored:
             # Data and control file are written from one copy.
-            found[name] = df = fixed_sink.store_rows(df)
+            found[name] = df = keep(df)
         write_output(df, outputs[name], day, output_base, stored)
         write_curated_control(df, outputs[name], steps, day, inputs, output_base)
     return found

@@ -13,7 +13,7 @@ from feedmill.fields import Field
 from feedmill.functions.dates import dated_path, spark_pattern
 from feedmill.operators import aggregates, filters, joins, reconcile, sets, validate, verbs
 from feedmill.plans.options import check_step
-from feedmill.session import cut
+from feedmill.session import cut, keep
 from feedmill.sinks.jdbc import load_table
 from feedmill.sinks.tables import write_control_file
 from feedmill.sources.fixed import last_per_feed
@@ -272,7 +272,7 @@ def run_steps(
         alias, df = run_step(step, named, run_date)
         passed_on = any(df is other for other in named.values())
         if (number, alias) in shared and "store" not in step and not passed_on:
-            df = cut(df, "step")
+            df = keep(df)
         named[alias] = df
     return named
 

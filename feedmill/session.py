@@ -93,6 +93,18 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder and continue from there.
+
+    Like :func:`cut`, one pass computes it; its rows also keep their order and their tasks,
+    which a table that is read again does not.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Mark ``df`` for broadcast only when its measured size is within the limit."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_LIMIT else df

@@ -12,7 +12,7 @@ from feedmill.functions.content import content_hash
 from feedmill.functions.dates import spark_pattern
 from feedmill.functions.names import find_column, sql_text
 from feedmill.functions.numbers import fitting, is_number, plain_text, whole_text
-from feedmill.session import cut
+from feedmill.session import keep
 
 Spec = Field | Mapping[str, Any]
 
@@ -20,13 +20,6 @@ Spec = Field | Mapping[str, Any]
 NO_FEED = "__HIVE_DEFAULT_PARTITION__"
 
 
-def store_rows(df: DataFrame) -> DataFrame:
-    """The rows, stored: whatever is written from them afterwards agrees, even if their
-    source changes. Columns without a type become text."""
-    typed = [F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`") for f in df.schema]
-    return cut(df.select(*typed), "rows")
-
-
 def refuse_append(mode: str, path: str) -> None:
     """A feed with header or trailer cannot grow: its lines would end up inside."""
     if mode.lower() == "append":
@@ -170,7 +163,7 @@ def write_fixed(
         to_lines(df, layout, on_overflow).write.mode(mode).text(path)
         return
     refuse_append(mode, path)
-    df = df if stored else store_rows(df)
+    df = df if stored else keep(df)
     body = to_lines(df, layout, on_overflow)
     ends = df.agg(
         envelope_line(header_fields, df.columns, layout).alias("header"),
@@ -212,7 +205,7 @@ def write_feeds(
         # A key that cannot be NULL keeps its order through the partitioned write.
         named = F.coalesce(F.nullif(feed, F.lit("")), F.lit(NO_FEED))
         df = df.withColumn(feed, named)
-    df = store_rows(df)
+    df = keep(df)
     order = [F.col(c) for c in order_by]
     body = df.select(
         feed,

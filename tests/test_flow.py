@@ -8,6 +8,7 @@ from checks import plan_nodes, text_scans
 from feedmill.operators.reconcile import BrokenContinuity, CountMismatch, MissingInput
 from feedmill.plans.flow import declared_path, read_input, run_flow
 from feedmill.plans.steps import run_steps, shared_frames
+from feedmill.sources.lines import read_lines, with_positions
 
 DAY = dt.date(2026, 3, 1)
 
@@ -286,3 +287,21 @@ def test_frames_used_twice_are_stored_once(spark, tmp_path):
     counts = run_flow(spark, config, DAY, dry_run=True)["row_counts"].collect()
     assert sorted(map(tuple, counts)) == [("all", 200), ("high", 100), ("low", 100)]
     assert text_scans(nodes()) == 1
+
+
+def test_stored_results_keep_their_order(spark, tmp_path):
+    """A sorted result that two outputs share is written in its order by both."""
+    source = str(tmp_path / "in")
+    spark.range(0, 2000, 1, 7).selectExpr("(id * 7919) % 2000 as N", "'x' as S").write.parquet(source)
+    fields = [{"name": "N", "type": "long", "length": 6}]
+    output = {"format": "fixed", "fields": fields, "header_count": 1, "source_inputs": ["checked"], "header_fields": [
+        {"name": "C", "type": "long", "length": 6, "expression": "count(*)"}]}
+    run_flow(spark, {
+        "Inputs": {"D": {"path": source}},
+        "Transformations": {"steps": [
+            {"id": "sorted", "type": "custom", "source_inputs": ["D"], "logic": {"operation": "sort", "key": "N"}},
+            {"id": "checked", "type": "validate", "source_inputs": ["sorted"], "logic": {"mode": "DROP", "on_invalid": "abort", "rules": [{"field": "N", "nullable": False}]}}]},
+        "Outputs": {"A": output | {"path": str(tmp_path / "a")}, "B": output | {"path": str(tmp_path / "b")}}})
+    for name in "ab":
+        rows = with_positions(read_lines(spark, str(tmp_path / name)), "directory").orderBy("line_no").collect()
+        assert [int(r.value) for r in rows] == [2000, *range(2000)]
