@@ -117,6 +117,9 @@ def with_positions(
     Both scans must see the same splits. A line that does not fit the counted
     block raises an error, so a changed split can never give a wrong number.
     Lines find their block by the number of the scan's task, one long, and their id.
+    All that comes of the blocks is checked: a later condition on a bare column of theirs
+    would make this an inner join, which loses lines without a block and checks a line
+    against every block of its task.
     """
     blocks = count_blocks(lines, unit) if blocks is None else blocks
     blocks = blocks.select(
@@ -127,12 +130,12 @@ def with_positions(
     fits = F.col("counted_block").eqNullSafe(F.col("block")) & F.col("counted_path").eqNullSafe(F.col("file_path"))
     changed = F.raise_error(F.lit("file splits changed between the count and the read"))
 
-    def checked(value: Column) -> Column:
-        return F.when(fits, value).otherwise(changed).cast("bigint")
+    def checked(value: Column, kind: str = "bigint") -> Column:
+        return F.when(fits, value).otherwise(changed).cast(kind)
 
     return lines.join(blocks, own, "left").select(
         "value",
-        "feed",
+        checked(F.col("feed"), "string").alias("feed"),
         "file_path",
         checked(F.col("offset") + F.col("scan_id") - F.col("first_id")).alias("line_no"),
         checked(F.col("feed_lines")).alias("feed_lines"),

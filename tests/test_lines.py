@@ -101,6 +101,28 @@ def test_changed_splits_are_an_error_never_a_wrong_number(spark, small_splits, t
         with_positions(lines, blocks=blocks).filter("line_no >= 0").agg(F.sum("line_no")).collect()
 
 
+def test_changed_splits_are_an_error_to_whoever_reads_the_feed_only(spark, small_splits, tmp_path):
+    """Lines without a block are not lost to a condition on the feed."""
+    _write(tmp_path / "a", [f"{i:06d}" for i in range(3000)])
+    lines = read_lines(spark, str(tmp_path))
+    blocks = count_blocks(lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+    with pytest.raises(Exception, match="splits changed"):
+        with_positions(lines, blocks=blocks).filter("feed is not null").groupBy("feed").count().collect()
+
+
+def test_several_blocks_of_a_task_under_an_inner_join(spark, small_splits, tmp_path):
+    """A line is checked against its own block, not against the others of its task."""
+    for k in range(12):
+        _write(tmp_path / f"f{k}", [f"HDR{k:04d}", *[f"{i:07d}" for i in range(20)], "TRL0022"])
+    fields = [{"name": "N", "type": "long", "length": 7}]
+    feed = read_fixed(spark, str(tmp_path), fields, 1, 1, [{"name": "K", "start": 4, "length": 4}], [{"name": "CNT", "start": 4, "length": 4}])
+    assert read_lines(spark, str(tmp_path)).rdd.getNumPartitions() < 12
+    counted = feed.data.groupBy("feed").agg(F.count(F.lit(1)).alias("records"))
+    rows = counted.join(feed.header, "feed").join(feed.trailer, "feed").select("K", "CNT", "records").collect()
+    assert sorted(r[:] for r in rows) == [(f"{k:04d}", "0022", 20) for k in range(12)]
+
+
 def test_header_fields_of_short_and_repeated_lines(spark, tmp_path):
     _write(tmp_path / "f", ["HDR20260301", "HDR2026", "body", "TRL0000000004"])
     feed = read_fixed(spark, str(tmp_path), [{"name": "A", "length": 4}], 2, 1,
