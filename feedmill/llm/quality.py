@@ -27,7 +27,7 @@ MIXED = 0.02
 THRESHOLD = -350
 FEWEST_WORDS = 50
 MOST_REPEATED = 50
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
 # Trusted ids meet the texts through a broadcast only while they take less than this.
 BROADCAST_BYTES = 32 << 20
 
@@ -36,17 +36,25 @@ def _words(text: str) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def _windows(hashes: Column, size: int) -> Column:
-    """A hash of each ``size`` consecutive words, from the hashes of the words."""
-    last = F.size(hashes) - size
-    return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda k: F.xxhash64(*[F.get(hashes, k + j) for j in range(size)]))).otherwise(F.array().cast("array<bigint>"))
+def _joined(firsts: Column, seconds: Column) -> Column:
+    """A hash of each of ``firsts`` that has one of ``seconds`` at its place, and that one."""
+    both = F.zip_with(firsts, seconds, lambda a, b: F.xxhash64(a, b))
+    return F.slice(both, F.lit(1), F.size(seconds))
 
 
-def _grams(hashes: Column, buckets: int) -> Column:
-    """Buckets of all words and word pairs, from the hashes of the words."""
-    return F.transform(F.concat(hashes, _windows(hashes, 2)), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def _from(hashes: Column, place: int) -> Column:
+    """The hashes from a place, counted from one."""
+    return F.slice(hashes, F.lit(place), F.greatest(F.size(hashes) - (place - 1), F.lit(0)))
+
+
+def _pairs(hashes: Column) -> Column:
+    """A hash of each two consecutive words, from the hashes of the words."""
+    return _joined(hashes, _from(hashes, 2))
+
+
+def _bucket(gram: Column, buckets: int) -> Column:
+    """The bucket of a word or word pair, from its hash."""
+    return F.pmod(gram, F.lit(buckets)).cast("int")
 
 
 def _hashed(texts: DataFrame, *columns: str) -> DataFrame:
@@ -69,7 +77,10 @@ def with_trusted(texts: DataFrame, ids: DataFrame) -> DataFrame:
 def bucket_counts(texts: DataFrame, buckets: int) -> DataFrame:
     """bucket, raw, good: n-grams of all texts and of the trusted ones, counted in one pass
     over ``texts`` (text, trusted)."""
-    grams = _hashed(texts, "text", "trusted").select("trusted", F.explode(_grams(F.col("hashes"), buckets)).alias("bucket"))
+    hashes = _hashed(texts, "text", "trusted")
+    # Unfolded as they are: what is done to a row is compiled, what is done inside an array is not.
+    grams = hashes.select("trusted", F.explode(F.concat("hashes", _pairs(F.col("hashes")))).alias("gram")).select(
+        "trusted", _bucket(F.col("gram"), buckets).alias("bucket"))
     return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good"))
 
 
@@ -120,11 +131,12 @@ def apply_rules(
     packs = F.broadcast(packed_ratios(ratios, buckets))
 
     words = _hashed(texts.withColumn("row", F.monotonically_increasing_id()), "row", "doc_id", "text")
+    words = words.select("*", _pairs(F.col("hashes")).alias("pairs"))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(WORD))
     cuts = words.select(
         "row", "doc_id", F.size("words").cast("long").alias("n_words"), F.length(F.concat_ws("", "words")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        lines.alias("lines"), _windows(F.col("hashes"), 3).alias("triples"), _grams(F.col("hashes"), buckets).alias("grams"))
+        F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
+        lines.alias("lines"), _joined(F.col("pairs"), _from(F.col("hashes"), 3)).alias("triples"), F.concat("hashes", "pairs").alias("grams"))
     marked = cuts.select(
         "row", "doc_id", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -142,7 +154,8 @@ def apply_rules(
         "row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), "grams")
     keys = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    grams = counted.select("row", *keys, F.explode_outer("grams").alias("bucket"))
+    grams = counted.select("row", *keys, F.explode_outer("grams").alias("gram")).select(
+        "row", *keys, _bucket(F.col("gram"), buckets).alias("bucket"))
     met = grams.join(packs, F.shiftright("bucket", PACKED.bit_length() - 1) == F.col("pack"), "left")
     # All n-grams of a text are in one task: what leaves it is one row a document.
     ratio = F.get("ratios", F.col("bucket").bitwiseAND(PACKED - 1))

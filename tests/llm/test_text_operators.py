@@ -196,6 +196,15 @@ def check_quality(rows, trusted, found, size=quality.BUCKETS):
         assert a[8] == b[8] or abs(a[8] - b[8]) < 1
 
 
+def test_quality_ngrams_need_no_sequence(spark):
+    """Word pairs come of two arrays side by side; buckets are taken of rows, not inside arrays."""
+    texts = spark.createDataFrame([("",), ("a",), ("a b",), ("a b a b",)], "text string").withColumn("trusted", F.lit(1))
+    counts = quality.bucket_counts(texts, 1 << 21)
+    assert sorted((r.raw, r.good) for r in counts.collect()) == [(1, 1), (3, 3), (3, 3), (4, 4)]
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan and "lambda pmod" not in plan and "lambdafunction(cast(pmod" not in plan
+
+
 def test_quality_of_odd_rows(spark, odd, nothing):
     trusted = spark.createDataFrame([(6,), (1,), (None,), (6,)], "doc_id long")
     check_quality([(r[0], r[1]) for r in ROWS], {6, 1}, quality.apply_rules(odd, trusted).collect())
