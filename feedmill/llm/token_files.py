@@ -15,8 +15,9 @@ from __future__ import annotations
 import os
 import struct
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, compress, repeat
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -183,8 +184,9 @@ class PartIds:
     def _learn(self, heads: list[str], parts: list[str]) -> None:
         """Encode parts not met before, many as one text: no token crosses from part to part,
         and the bytes of the tokens tell whose they are."""
-        closed = [part for part in parts if is_closed(part)]
-        runs = [closed[k:k + JOINED_PARTS] for k in range(0, len(closed), JOINED_PARTS)] + [[part] for part in parts if not is_closed(part)]
+        closes = by_last(parts, is_closed)
+        closed = list(compress(parts, closes))
+        runs = [closed[k:k + JOINED_PARTS] for k in range(0, len(closed), JOINED_PARTS)] + [[part] for part in compress(parts, map(not_, closes))]
         texts = heads + [" " + " ".join(run) for run in runs]
         ids, ends, known = [self.ids], [self.ends], len(self.ids)
         for k, encoding in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
@@ -194,7 +196,7 @@ class PartIds:
                 stops = np.array([len(own)])
             else:
                 reached = np.cumsum(self.lengths[own])
-                places = np.cumsum([len(part.encode()) + 1 for part in names])
+                places = np.cumsum(list(map(len, map(str.encode, names)))) + np.arange(1, len(names) + 1)
                 stops = np.searchsorted(reached, places) + 1
                 if reached[-1] != places[-1] or (reached[stops - 1] != places).any():
                     raise ValueError("the tokens of this vocabulary are not the bytes of the text")
@@ -207,8 +209,7 @@ class PartIds:
 
     def _numbers(self, keys: list) -> np.ndarray:
         """The numbers of known parts; -1 for the others."""
-        get = self.number.get
-        return np.fromiter((get(key, -1) for key in keys), dtype=np.int64, count=len(keys))
+        return np.fromiter(map(self.number.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has.
@@ -222,11 +223,11 @@ class PartIds:
         edges = split.offsets.to_numpy().astype(np.int64)
         edges -= edges[0]
         coded = split.flatten().dictionary_encode()
-        code, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+        code, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False)
         first, last = edges[:-1], edges[1:] - 1
         # No cut behind a part that is empty or ends in anything but a visible character.
-        ends_well = np.array([bool(word) and VISIBLE.match(word[-1]) is not None for word in words], dtype=bool)
-        filled = np.array([bool(word) for word in words], dtype=bool)
+        ends_well = np.array(by_last(words.tolist(), lambda last: VISIBLE.match(last) is not None), dtype=bool)
+        filled = words.astype(bool)
         bad = ~ends_well[code]
         bad[last] = ~filled[code[last]] & (last > first)
         odd = np.add.reduceat(bad, first) > 0 if len(first) else np.empty(0, dtype=bool)
@@ -238,20 +239,20 @@ class PartIds:
         plain = ~odd[text]
         inner = plain.copy()
         inner[first] = False
-        heads = [(words[c],) for c in np.unique(code[first[~odd]]).tolist()] + [(own[0],) for own in cuts.values()]
+        of_word, of_head = np.full(len(words), -1, dtype=np.int64), np.full(len(words), -1, dtype=np.int64)
+        starts = np.unique(code[first[~odd]])
+        heads = [(word,) for word in words[starts]] + [(own[0],) for own in cuts.values()]
         used = np.zeros(len(words), dtype=bool)
         used[code[inner]] = True
-        wanted = [words[c] for c in np.flatnonzero(used).tolist()] + [part for own in cuts.values() for part in own[1:]]
+        places = np.flatnonzero(used)
+        of_word[places] = self._numbers(words[places].tolist())
+        unknown = places[of_word[places] < 0]
         new_heads = dict.fromkeys(h[0] for h in heads if h not in self.number)
-        new_parts = dict.fromkeys(part for part in wanted if part not in self.number)
+        new_parts = dict.fromkeys(chain(words[unknown].tolist(), (part for own in cuts.values() for part in own[1:] if part not in self.number)))
         if new_heads or new_parts:
             self._learn(list(new_heads), list(new_parts))
-
-        of_word, of_head = np.full(len(words), -1, dtype=np.int64), np.full(len(words), -1, dtype=np.int64)
-        places = np.flatnonzero(used)
-        of_word[places] = self._numbers([words[c] for c in places.tolist()])
-        starts = np.unique(code[first[~odd]])
-        of_head[starts] = self._numbers([(words[c],) for c in starts.tolist()])
+        of_word[unknown] = self._numbers(words[unknown].tolist())
+        of_head[starts] = self._numbers([(word,) for word in words[starts]])
         part = np.where(inner, of_word[code], of_head[code])
         counts = edges[1:] - edges[:-1]
         if cuts:
@@ -268,6 +269,13 @@ class PartIds:
         return self.ids[at], totals
 
 
+def by_last(parts: list[str], holds: Callable[[str], bool]) -> list[bool]:
+    """Whether it holds of the last character of each part, asked once a character; not of empty parts."""
+    lasts = [part[-1:] for part in parts]
+    found = {last: bool(last) and holds(last) for last in set(lasts)}
+    return list(map(found.__getitem__, lasts))
+
+
 def text_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
     """Consecutive texts of about ``size`` bytes; a longer one is a slice of its own."""
     reached = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -11,7 +11,9 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from feedmill.llm import token_files
 from feedmill.llm.bpe import codec, encode_decode
+from feedmill.llm.pieces import is_closed
 from feedmill.llm.queries import QUERIES
 from feedmill.llm.token_files import Shard, library_encoder, pack_shard, read_token_files, write_token_files
 from feedmill.session import new_folder
@@ -113,3 +115,15 @@ def test_bpe_of_odd_rows(odd, nothing, library):
 def test_op3_query(spark, documents, library):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     assert order(QUERIES["op3_bpe"](spark, FOLDER).collect()) == order(expected_bpe(library, rows))
+
+
+def test_parts_are_judged_once_a_last_character(monkeypatch):
+    """Whether a part is closed follows from its last character; 3,000 new parts have four here."""
+    asked = []
+    monkeypatch.setattr(token_files, "is_closed", lambda part: asked.append(part) or is_closed(part))
+    encoder = token_files.PartIds(PATH)
+    texts = [" ".join(f"w{k}x{j}{'ab.é'[j % 4]}" for j in range(300)) for k in range(10)] + ["", " ", "a  b", "one\n two ", "日本 語"]
+    ids, counts = encoder.encode(pa.array(texts))
+    assert 0 < len(asked) <= 12
+    want = [encoder.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert counts.tolist() == [len(own) for own in want] and ids.tolist() == [x for own in want for x in own]
