@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from feedmill.llm import suffix_dedup as sd
 from feedmill.llm.queries import QUERIES
@@ -88,6 +89,23 @@ def test_repeats_of_odd_rows(odd, nothing):
         sd.remove_repeats(odd, length=2)
 
 
+def test_equal_texts_spread_over_tasks(spark):
+    """Three quarters of the rows are one text; no task of the result holds them all."""
+    rows = [(k, prose(1, 90) if k % 4 else prose(k + 10, 90)) for k in range(400)]
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 400 and max(sizes) < 150
+        assert found(df) == expected(rows, 400)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_op11_query(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     assert found(QUERIES["op11_suffix_dedup"](spark, FOLDER)) == expected(rows, 400)
