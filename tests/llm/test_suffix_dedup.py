@@ -89,21 +89,38 @@ def test_repeats_of_odd_rows(odd, nothing):
         sd.remove_repeats(odd, length=2)
 
 
-def test_equal_texts_spread_over_tasks(spark):
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins shuffle, as those of large tables do, unless the code marks one for broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_equal_texts_spread_over_tasks(spark, small_splits, no_broadcast):
     """Three quarters of the rows are one text; no task of the result holds them all."""
     rows = [(k, prose(1, 90) if k % 4 else prose(k + 10, 90)) for k in range(400)]
-    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    before = {k: spark.conf.get(k) for k in keys}
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        df = sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
-        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 400 and max(sizes) < 150
-        assert found(df) == expected(rows, 400)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    df = sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 and max(sizes) < 150
+    assert found(df) == expected(rows, 400)
+
+
+def test_contents_of_an_anchor_spread_over_tasks(spark, small_splits, no_broadcast, monkeypatch):
+    """Every text holds one passage between words of its own: many contents of few anchors."""
+    passage, sizes = prose(1, 90), []
+    rows = [(k, prose(k + 10, 20) + passage + prose(k + 1000, 20)) for k in range(300)]
+    contents = sd._contents
+
+    def seen(sources, asked, length):
+        sizes.append([r["count"] for r in asked.groupBy(F.spark_partition_id()).count().collect()])
+        return contents(sources, asked, length)
+
+    monkeypatch.setattr(sd, "_contents", seen)
+    assert found(sd.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == expected(rows, 400)
+    assert len(sizes) == 1 and sum(sizes[0]) > 300 and max(sizes[0]) < sum(sizes[0]) / 4
 
 
 def test_op11_query(spark, documents):
