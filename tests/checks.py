@@ -50,15 +50,23 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
 
 
 def plan_nodes(spark):
-    """The names of the nodes of all plans executed from now on: call the result to get them."""
+    """The names of the nodes of all plans executed from now on: call the result to get them.
+
+    New plans are known by their ids: the store drops old plans, so its length may stand still.
+    """
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
 
-    def nodes():
+    def ids():
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        found = store.executionsList()
+        return {found.apply(k).executionId() for k in range(found.size())}
+
+    last = max(ids(), default=-1)
+
+    def nodes():
         found = []
-        for k in range(before, store.executionsCount()):
-            graph = store.planGraph(store.executionsList(k, 1).apply(0).executionId()).allNodes()
+        for k in sorted(k for k in ids() if k > last):
+            graph = store.planGraph(k).allNodes()
             found += [graph.apply(i).name().strip() for i in range(graph.size())]
         return found
 
